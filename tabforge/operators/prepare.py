@@ -251,6 +251,11 @@ class FeaturePrepModel:
             named.append((name, expr))
         return named
 
+    def feature_columns(self, df: DataFrame) -> dict[str, Column]:
+        """Output feature expressions by name (to embed in another projection)."""
+        dtypes = {f.name: f.dataType for f in df.schema.fields}
+        return dict(self._plan(dtypes))
+
     @property
     def feature_names(self) -> list[str]:
         if self._names is None:

@@ -1,3 +1,227 @@
-"""Catalogue entries (filled in below)."""
+"""Catalogue entries for sources / sinks (S1, S2, S4-S7), P5 and validation (V2-V6)."""
 
-from tabforge.plans.catalogue import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabforge.functions.columns import sigmoid, threshold_class
+from tabforge.operators.validate import validate, validation_report
+from tabforge.plans.catalogue import query, r6, rounded, table
+from tabforge.plans.queries_prepare import DOCS_BASE_SQL, feature_matrix_sql, fit_docs
+from tabforge.session import scratch_path
+from tabforge.sources.readers import apply_types, normalize_nulls, read_source
+from tabforge.sources.sinks import prediction_table as prediction_table_sink
+from tabforge.sources.sinks import scored_original as scored_original_sink
+from tabforge.sources.sinks import scored_transformed as scored_transformed_sink
+from tabforge.sources.sinks import write_table
+from tabforge.spec import FeatureSpec
+
+# ---------------------------------------------------------------------------
+# S1 / S2
+# ---------------------------------------------------------------------------
+
+LINEITEM_CSV_SPEC = FeatureSpec.from_columns({
+    "l_quantity": ["float", 1, "mean", None, "f"],
+    "l_extendedprice": ["float", 1, "mean", None, "f"],
+    "l_discount": ["float", 1, "mean", None, "f"],
+    "l_tax": ["float", 1, "mean", None, "f"],
+    "l_returnflag": ["category", 1, "unknown", "one-hot", "f"],
+    "l_linestatus": ["category", 1, "unknown", "one-hot", "f"],
+})
+
+
+@query("scan_csv_roundtrip", f"""
+SELECT l_orderkey, l_linenumber, {r6("l_quantity")} AS l_quantity, {r6("l_extendedprice")} AS l_extendedprice,
+       {r6("l_discount")} AS l_discount, {r6("l_tax")} AS l_tax, l_returnflag, l_linestatus
+FROM lineitem
+""")
+def scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write lineitem as header CSV, read it back with every column as
+    STRING, then type it by the metadata (try_cast, no inference pass)."""
+    li = table(spark, sf_dir, "lineitem").drop("l_partkey", "l_suppkey", "l_shipdate")
+    path = write_table(li, scratch_path(spark, "csv"), fmt="csv")
+    raw = read_source(spark, path, "CSV")
+    typed = apply_types(raw, LINEITEM_CSV_SPEC)
+    return rounded(typed.select(F.col("l_orderkey").try_cast("bigint").alias("l_orderkey"),
+                                F.col("l_linenumber").try_cast("int").alias("l_linenumber"),
+                                "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                                "l_returnflag", "l_linestatus"))
+
+
+@query("normalize_nulls", f"""
+SELECT c_custkey,
+       CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_name END AS c_name,
+       CASE WHEN c_custkey % 13 = 0 OR c_custkey % 23 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+       CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE {r6("c_acctbal")} END AS c_acctbal
+FROM customer
+""")
+def normalize_nulls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NA tokens ('NA', 'nan', blanks) and NaN become null."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    dirty = c.select(
+        "c_custkey",
+        F.when(k % 17 == 0, F.lit("  ")).otherwise(F.col("c_name")).alias("c_name"),
+        F.when(k % 13 == 0, F.lit("NA")).when(k % 23 == 0, F.lit("nan"))
+         .otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.when(k % 19 == 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias("c_acctbal"))
+    return rounded(normalize_nulls(dirty))
+
+
+# ---------------------------------------------------------------------------
+# P5, S4-S7 over a deterministic score of the prepared documents
+# ---------------------------------------------------------------------------
+
+@query("threshold_class", f"""
+SELECT event_id, {r6("value / (value + 10)")} AS prediction_proba,
+       CAST(value / (value + 10) > 0.5 AS INTEGER) AS prediction_class
+FROM events
+""")
+def threshold_class_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: class = probability > 0.5 (strict)."""
+    e = table(spark, sf_dir, "events")
+    p = F.col("value") / (F.col("value") + F.lit(10.0))
+    return rounded(e.select("event_id", p.alias("prediction_proba"),
+                            threshold_class(p).alias("prediction_class")))
+
+
+def scored_docs(spark: SparkSession, sf_dir: str):
+    """Prepared documents with a fixed logistic score of the scaled length
+    (stands in for a model so SQL can reproduce it)."""
+    raw, model = fit_docs(spark, sf_dir)
+    mat = model.transform(raw)
+    p = sigmoid(F.col("n_chars"))
+    scored = mat.withColumn("prediction_proba", p).withColumn("prediction_class", threshold_class(p))
+    return raw, model, scored
+
+
+_SCORED_SQL = f"""
+WITH m AS ({feature_matrix_sql(with_raw_z=True)}),
+s AS (SELECT m.* EXCLUDE (_z), 1.0 / (1.0 + exp(-m._z)) AS p FROM m)
+"""
+
+
+@query("prediction_table", _SCORED_SQL + f"""
+SELECT doc_id, {r6("p")} AS prediction_proba, CAST(p > 0.5 AS INTEGER) AS prediction_class, quality FROM s
+""")
+def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id + probability + class + target."""
+    _, _, scored = scored_docs(spark, sf_dir)
+    return rounded(prediction_table_sink(scored, "classification", "doc_id", "quality"))
+
+
+@query("scored_original", f"""
+WITH base AS ({DOCS_BASE_SQL}),
+""" + _SCORED_SQL.strip()[len("WITH "):] + f"""
+SELECT b.doc_id, {r6("b.n_chars")} AS n_chars, b.lang, b.source, b.toxic_flag, b.quality,
+       {r6("s.p")} AS prediction_proba, CAST(s.p > 0.5 AS INTEGER) AS prediction_class
+FROM base b JOIN s ON b.doc_id = s.doc_id
+""")
+def scored_original(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Original columns + target + predictions, rows carried through
+    the same DataFrame (no positional join)."""
+    raw, model = fit_docs(spark, sf_dir)
+    z = model.feature_columns(raw)["n_chars"]     # the scaled value, as an expression
+    p = sigmoid(z)
+    both = raw.withColumn("prediction_proba", p).withColumn("prediction_class", threshold_class(p))
+    return rounded(scored_original_sink(both, raw.columns, "classification", "quality"))
+
+
+@query("scored_transformed", _SCORED_SQL + f"""
+SELECT * EXCLUDE (p, doc_id), {r6("p")} AS prediction_proba, CAST(p > 0.5 AS INTEGER) AS prediction_class
+FROM s
+""")
+def scored_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transformed features + target + predictions."""
+    _, model, scored = scored_docs(spark, sf_dir)
+    return rounded(scored_transformed_sink(scored, model.feature_names, "classification", "quality"))
+
+
+# ---------------------------------------------------------------------------
+# V2-V6
+# ---------------------------------------------------------------------------
+
+def validation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with a target that has nulls, text and bool columns as a CSV
+    source would deliver them."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(k % 8 != 0, (F.col("l_returnflag") == "R").cast("int")).alias("target"),
+        F.when(k % 50 == 0, F.concat(F.lit("n/a-"), F.col("l_returnflag")))
+         .otherwise(F.col("l_quantity").cast("string")).alias("qty_txt"),
+        F.col("l_discount"),
+        F.col("l_linestatus").alias("status_bool"),
+        F.when(F.col("l_returnflag") == "R", F.lit("1")).otherwise(F.lit("0")).alias("is_r_txt"),
+        F.col("l_linenumber").alias("linenumber_bool"))
+
+
+VALIDATION_SPEC = FeatureSpec.from_columns({
+    "l_orderkey": ["category", 0, "unknown", None, "id"],
+    "target": ["bool", 1, None, None, "target"],
+    "qty_txt": ["float", 1, "mean", None, "f"],
+    "l_discount": ["float", 1, "mean", None, "f"],
+    "status_bool": ["bool", 1, None, None, "f"],
+    "is_r_txt": ["bool", 1, None, None, "f"],
+    "linenumber_bool": ["bool", 1, None, None, "f"],
+    "l_comment": ["category", 1, "unknown", "one-hot", "f"],
+})
+
+_VAL_BASE_SQL = """
+WITH v AS (SELECT l_orderkey, l_linenumber,
+                  CASE WHEN l_orderkey % 8 <> 0 THEN CAST(l_returnflag = 'R' AS INTEGER) END AS target,
+                  CASE WHEN l_orderkey % 50 = 0 THEN 'n/a-' || l_returnflag ELSE CAST(l_quantity AS VARCHAR) END
+                      AS qty_txt,
+                  l_linestatus AS status_bool, l_linenumber AS linenumber_bool
+           FROM lineitem)
+"""
+
+_V_TARGET = ("SELECT 'error' AS severity, 'target' AS \"column\", 'target_nulls' AS \"check\", "
+             "count(*) FILTER (WHERE target IS NULL) AS bad_rows, "
+             "'Target variable ''target'' contains ' || CAST(count(*) FILTER (WHERE target IS NULL) AS VARCHAR) "
+             "|| ' null values' AS message FROM v")
+_V_NUMERIC = ("SELECT 'warning' AS severity, 'qty_txt' AS \"column\", 'not_numeric' AS \"check\", "
+              "count(*) FILTER (WHERE qty_txt IS NOT NULL AND try_cast(qty_txt AS DOUBLE) IS NULL) AS bad_rows, "
+              "'Column ''qty_txt'' should be float but has non-numeric values' AS message FROM v")
+_V_BOOL = ("SELECT 'warning' AS severity, 'status_bool' AS \"column\", 'not_boolean' AS \"check\", "
+           "count(*) FILTER (WHERE status_bool IS NOT NULL AND lower(trim(status_bool)) NOT IN "
+           "('true', '1', '1.0', 'false', '0', '0.0')) AS bad_rows, "
+           "'Column ''status_bool'' should be boolean but has non-boolean values' AS message FROM v "
+           "UNION ALL SELECT 'warning', 'linenumber_bool', 'not_boolean', "
+           "count(*) FILTER (WHERE CAST(linenumber_bool AS DOUBLE) NOT IN (0.0, 1.0)), "
+           "'Column ''linenumber_bool'' should be boolean but has non-boolean values' FROM v")
+
+
+def _report_rows(spark: SparkSession, sf_dir: str, checks: tuple[str, ...] | None) -> DataFrame:
+    res = validate(validation_frame(spark, sf_dir), VALIDATION_SPEC, target="target", training=True)
+    rep = validation_report(spark, res)
+    return rep if checks is None else rep.where(F.col("check").isin(*checks))
+
+
+@query("validate_target_nulls", _VAL_BASE_SQL + _V_TARGET)
+def validate_target_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: nulls in the target -> error with the count."""
+    return _report_rows(spark, sf_dir, ("target_nulls",))
+
+
+@query("validate_numeric", _VAL_BASE_SQL + _V_NUMERIC)
+def validate_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3: float feature with text that is not a number -> warning."""
+    return _report_rows(spark, sf_dir, ("not_numeric",))
+
+
+@query("validate_bool_domain", _VAL_BASE_SQL + _V_BOOL)
+def validate_bool_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4: bool feature with values outside {0, 1, true, false} -> warning."""
+    return _report_rows(spark, sf_dir, ("not_boolean",))
+
+
+@query("validation_report", _VAL_BASE_SQL + " UNION ALL ".join([
+    _V_TARGET, _V_NUMERIC, _V_BOOL,
+    "SELECT 'error', 'l_comment', 'missing_feature', count(*), "
+    "'Required feature ''l_comment'' is missing from the data' FROM v"]))
+def validation_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 (with V1, V5): every failed check in one table; one aggregate job."""
+    return _report_rows(spark, sf_dir, None)

@@ -59,7 +59,9 @@ def _onehot_sql(col: str, values: list[str]) -> str:
         f"CASE WHEN {col}_i = '{v}' THEN 1.0 ELSE 0.0 END AS \"{col}_{v}\"" for v in values)
 
 
-FEATURE_MATRIX_SQL = f"""
+def feature_matrix_sql(with_raw_z: bool = False) -> str:
+    z = "(n_imp - m2) / CASE WHEN s2 = 0 THEN 1 ELSE s2 END"
+    return f"""
 WITH base AS ({DOCS_BASE_SQL}),
 src_mode AS (SELECT source AS v FROM base WHERE source IS NOT NULL
              GROUP BY source ORDER BY count(*) DESC, source LIMIT 1),
@@ -71,7 +73,7 @@ imp AS (SELECT b.*,
 sc AS (SELECT avg(n_imp) AS m2, stddev_pop(n_imp) AS s2 FROM imp)
 SELECT doc_id, quality,
        CASE WHEN n_chars IS NULL THEN 1.0 ELSE 0.0 END AS n_chars_missing,
-       {r6("(n_imp - m2) / CASE WHEN s2 = 0 THEN 1 ELSE s2 END")} AS n_chars,
+       {r6(z)} AS n_chars,{f" {z} AS _z," if with_raw_z else ""}
        {_onehot_sql("lang", LANGS + ["unknown"])},
        CASE WHEN lang IS NULL THEN 1.0 ELSE 0.0 END AS lang_missing,
        {_onehot_sql("source", SOURCES)},
@@ -82,6 +84,9 @@ FROM imp, sc
 """
 
 
+FEATURE_MATRIX_SQL = feature_matrix_sql()
+
+
 def fit_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeaturePrepModel]:
     df = docs_labeled(spark, sf_dir)
     model = FeaturePrep(DOC_SPEC, target="quality", passthrough=["doc_id"]).fit(df)

@@ -22,8 +22,8 @@ NA_TOKENS = (
 )
 
 # Text accepted as a boolean cell (case-insensitive).
-TRUE_TOKENS = ("true", "1", "1.0", "t")
-FALSE_TOKENS = ("false", "0", "0.0", "f")
+TRUE_TOKENS = ("true", "1", "1.0")
+FALSE_TOKENS = ("false", "0", "0.0")
 
 SUPPORTED_SOURCES = ("CSV", "PARQUET")
 
