@@ -36,6 +36,7 @@ from tabforge.session import work_dir
 from tabforge.spec import ModelConfig, draw_trials, parse_space
 
 DEFAULT_MAX_BINS = 255
+VALIDATION_TOL = 0.001
 MAX_DEPTH_LIMIT = 30
 
 
@@ -86,12 +87,12 @@ def make_estimator(problem_type: str, params: dict, label_col: str, features_col
     est_cls = GBTClassifier if problem_type == "classification" else GBTRegressor
     kw = dict(labelCol=label_col, featuresCol=features_col, seed=seed,
               predictionCol="_pred", cacheNodeIds=True, checkpointInterval=10)
-    if problem_type == "classification":
-        kw.update(probabilityCol="_prob", rawPredictionCol="_raw")
     if weight_col:
         kw["weightCol"] = weight_col
     if validation_col:
+        # stop when a tree improves the validation loss by less than 0.1 %
         kw["validationIndicatorCol"] = validation_col
+        kw["validationTol"] = VALIDATION_TOL
     kw.update(params)
     return est_cls(**kw)
 

@@ -1,3 +1,305 @@
-"""Catalogue entries (filled in below)."""
+"""Catalogue entries for training, search, scoring, persistence (M1-M9,
+S12) and attribution (X1-X7, S8, S9).
 
-from tabforge.plans.catalogue import query  # noqa: F401
+Model outputs cannot be reproduced by SQL, so most entries here have no
+oracle (rows-only check); their invariants (additivity, reload identity,
+probability range, AUC floor) are asserted in ``tests/``. The importance
+aggregation X4-X6 is also run over a linear attribution that SQL can
+reproduce, with an oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabforge.operators import explain
+from tabforge.operators.model import (fit_single, load_model, save_model, score, train_cv)
+from tabforge.operators.prepare import FeaturePrep
+from tabforge.plans.catalogue import query, r6, rounded, table
+from tabforge.plans.queries_prepare import fit_docs
+from tabforge.session import scratch_path
+from tabforge.spec import FeatureSpec, ModelConfig
+
+# Fixed training parameters of the catalogue's single fits.
+CLASSIFIER_PARAMS = {"learning_rate": 0.1, "num_leaves": 8, "n_estimators": 20, "min_data_in_leaf": 5}
+REGRESSOR_PARAMS = {"learning_rate": 0.1, "num_leaves": 16, "n_estimators": 15, "min_data_in_leaf": 20}
+
+# The reference's test configuration for the search (2 trials per fold).
+SEARCH_CONFIG = {
+    "target_variable": "quality", "problem_type": "classification", "evaluation_metric": "rocauc",
+    "better_performance": "gt", "models": ["lgbm"], "retrain_with_whole_dataset": True,
+    "importance_extraction_method": "shap", "sample_for_contribution": 1.0, "num_hp_searches": 2,
+    "hyperparameter_space": {"lgbm": {
+        "boosting_type": "trial.suggest_categorical('boosting_type', ['gbdt'])",
+        "learning_rate": "trial.suggest_uniform('learning_rate', 0.05, 0.1)",
+        "num_leaves": "int(trial.suggest_discrete_uniform('num_leaves', 30, 50, 10))",
+        "feature_fraction": "trial.suggest_uniform('feature_fraction', 0.5, 0.8)",
+        "n_estimators": "int(trial.suggest_discrete_uniform('n_estimators', 50, 100, 50))"}},
+}
+
+_CACHE: dict = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, what: str):
+    return (spark.sparkContext.applicationId, sf_dir, what)
+
+
+def doc_model(spark: SparkSession, sf_dir: str):
+    """Prepared documents (assembled) + a fitted classifier + its forest."""
+    k = _key(spark, sf_dir, "docs")
+    if k not in _CACHE:
+        raw, prep = fit_docs(spark, sf_dir)
+        mat = prep.transform(raw, assemble=True)
+        model = fit_single(mat, "classification", CLASSIFIER_PARAMS, "quality")
+        path = scratch_path(spark, "doc-model")
+        model.write().overwrite().save(path)
+        _CACHE[k] = (raw, prep, mat, model, path)
+    return _CACHE[k]
+
+
+def doc_search(spark: SparkSession, sf_dir: str):
+    k = _key(spark, sf_dir, "search")
+    if k not in _CACHE:
+        _, _, mat, _, _ = doc_model(spark, sf_dir)
+        _CACHE[k] = train_cv(mat, ModelConfig.from_dict(SEARCH_CONFIG), "quality", id_cols=["doc_id"])
+    return _CACHE[k]
+
+
+def _tree_summary(spark: SparkSession, model, path: str) -> DataFrame:
+    nodes = explain.forest_table(spark, model, path)
+    weights = spark.createDataFrame(list(enumerate(float(w) for w in model.treeWeights)),
+                                    "tree int, weight double")
+    per_tree = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("nodes"),
+                                         F.count_if(F.col("left") < 0).alias("leaves"))
+    return per_tree.join(weights, "tree")
+
+
+@query("train_classifier")
+def train_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 (+M6 fit): GBT classifier on the prepared documents; one row per tree."""
+    _, _, _, model, path = doc_model(spark, sf_dir)
+    return _tree_summary(spark, model, path)
+
+
+LINEITEM_REG_SPEC = FeatureSpec.from_columns({
+    "l_quantity": ["float", 1, "mean", None, "f"],
+    "l_discount": ["float", 1, "mean", None, "f"],
+    "l_tax": ["float", 1, "mean", None, "f"],
+    "l_returnflag": ["category", 1, "unknown", "one-hot", "f"],
+    "l_linestatus": ["category", 1, "unknown", "one-hot", "f"],
+})
+
+
+def lineitem_regression(spark: SparkSession, sf_dir: str):
+    k = _key(spark, sf_dir, "reg")
+    if k not in _CACHE:
+        li = table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag",
+            "l_linestatus", "l_extendedprice")
+        prep = FeaturePrep(LINEITEM_REG_SPEC, target="l_extendedprice",
+                           passthrough=["l_orderkey", "l_linenumber"]).fit(li)
+        mat = prep.transform(li, assemble=True)
+        # early stopping (M3): one md5-chosen fifth of the rows is the validation set
+        from tabforge.operators.split import assign_folds
+        mat = assign_folds(mat, k=5, seed=42, id_cols=["l_orderkey", "l_linenumber"])
+        mat = mat.withColumn("_is_val", F.col("fold") == 0)
+        model = fit_single(mat, "regression", REGRESSOR_PARAMS, "l_extendedprice", validation_col="_is_val")
+        path = scratch_path(spark, "reg-model")
+        model.write().overwrite().save(path)
+        _CACHE[k] = (prep, mat, model, path)
+    return _CACHE[k]
+
+
+@query("train_regressor")
+def train_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M3: GBT regressor of l_extendedprice with early stopping; one row per tree."""
+    _, _, model, path = lineitem_regression(spark, sf_dir)
+    return _tree_summary(spark, model, path)
+
+
+@query("regression_score")
+def regression_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 (regression) + E2/E3 on the early-stopping rows."""
+    from tabforge.functions.metrics import regression_metrics
+    _, mat, model, _ = lineitem_regression(spark, sf_dir)
+    scored = score(model, mat.where(F.col("_is_val")), "regression")
+    return regression_metrics(scored, "l_extendedprice", "prediction")
+
+
+@query("hp_search")
+def hp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: random-search trials on every fold (fold, trial, params, val AUC, trees)."""
+    return doc_search(spark, sf_dir).cv_results_frame(spark)
+
+
+@query("cv_results")
+def cv_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 / M9: per-fold train and validation AUC of the best trial."""
+    return doc_search(spark, sf_dir).fold_scores_frame(spark)
+
+
+@query("batch_score")
+def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: probability + class per document (a shuffle-free projection)."""
+    _, _, mat, model, _ = doc_model(spark, sf_dir)
+    return score(model, mat, "classification").select("doc_id", "prediction_proba", "prediction_class", "quality")
+
+
+@query("model_reload")
+def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save, reload, score with the copy."""
+    _, _, mat, model, _ = doc_model(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    save_model(spark, model, path, {"problem_type": "classification"})
+    copy, _ = load_model(spark, path)
+    return score(copy, mat, "classification").select("doc_id", "prediction_proba", "prediction_class")
+
+
+@query("native_importance")
+def native_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split count per feature."""
+    _, prep, _, model, path = doc_model(spark, sf_dir)
+    return explain.native_importance(spark, model, prep.feature_names, path)
+
+
+def _contrib(spark: SparkSession, sf_dir: str, method: str):
+    k = _key(spark, sf_dir, f"contrib-{method}")
+    if k not in _CACHE:
+        _, prep, mat, model, path = doc_model(spark, sf_dir)
+        forest = explain.load_forest(spark, model, path)
+        _CACHE[k] = (prep, mat, model, forest)
+    prep, mat, model, forest = _CACHE[k]
+    return prep, mat, model, explain.attribution(mat, model, keep=["doc_id"], method=method, forest=forest)
+
+
+@query("path_contributions")
+def path_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 + S9: per-document path contributions, one column per feature."""
+    prep, _, _, contrib = _contrib(spark, sf_dir, "path")
+    return explain.contributions_wide(contrib, prep.feature_names, keep=["doc_id"])
+
+
+@query("shap_values")
+def shap_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 + S9: per-document SHAP values, one column per feature."""
+    prep, _, _, contrib = _contrib(spark, sf_dir, "shap")
+    return explain.contributions_wide(contrib, prep.feature_names, keep=["doc_id"])
+
+
+def _additivity(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
+    _, mat, model, contrib = _contrib(spark, sf_dir, method)
+    from pyspark.ml.functions import vector_to_array
+    raw = (model.copy().setPredictionCol("_p").setProbabilityCol("_pr").setRawPredictionCol("_raw")
+           .transform(mat).select("doc_id", vector_to_array("_raw").getItem(1).alias("margin")))
+    total = contrib.select("doc_id", (F.col("bias") + F.aggregate("contributions", F.lit(0.0),
+                                                                    lambda a, b: a + b)).alias("total"))
+    err = raw.join(total, "doc_id").select(F.abs(F.col("margin") - F.col("total")).alias("e"))
+    return rounded(err.agg(F.count(F.lit(1)).alias("n_rows"), F.max("e").alias("max_abs_error")))
+
+
+_ADDITIVITY_SQL = """
+SELECT count(*) AS n_rows, 0.0 AS max_abs_error
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+
+@query("contribution_additivity", _ADDITIVITY_SQL)
+def contribution_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 invariant: bias + sum(contributions) equals the model margin for every row."""
+    return _additivity(spark, sf_dir, "path")
+
+
+@query("shap_additivity", _ADDITIVITY_SQL)
+def shap_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 invariant (local accuracy): base value + sum(SHAP) equals the margin."""
+    return _additivity(spark, sf_dir, "shap")
+
+
+@query("importance_path")
+def importance_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4-X6 (+X7 method 'treeinterpreter') over the model's path contributions."""
+    prep, _, _, contrib = _contrib(spark, sf_dir, "path")
+    return explain.importance_from_contributions(contrib, prep.feature_names)
+
+
+@query("importance_shap")
+def importance_shap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4-X6 (+X7 method 'shap') over the model's SHAP values."""
+    prep, _, _, contrib = _contrib(spark, sf_dir, "shap")
+    return explain.importance_from_contributions(contrib, prep.feature_names)
+
+
+# ---------------------------------------------------------------------------
+# X4-X6, S8, S9 over a linear attribution SQL can reproduce:
+# c_i = w_i * (x_i - avg(x_i)); one negative weight, one constant feature
+# ---------------------------------------------------------------------------
+
+# The linear attribution's weights per lineitem column.
+LINEAR_WEIGHTS = {"l_quantity": 0.5, "l_discount": -2.0, "l_tax": 3.0, "one": 1.0}
+
+
+def linear_contributions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                                  "l_discount", "l_tax", F.lit(1.0).alias("one"))
+    names = list(LINEAR_WEIGHTS)
+    means = li.agg(*[F.avg(n).alias(n) for n in names]).collect()[0]
+    out = li.select("l_orderkey", "l_linenumber", *names,
+                    *[(F.lit(w) * (F.col(n) - F.lit(means[n]))).alias(f"c_{n}")
+                      for n, w in LINEAR_WEIGHTS.items()])
+    return out, names
+
+
+_LIN_SQL = "WITH m AS (SELECT avg(l_quantity) AS q, avg(l_discount) AS d, avg(l_tax) AS t FROM lineitem),\n" \
+    "c AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, 1.0 AS one,\n" \
+    "  0.5 * (l_quantity - m.q) AS c_l_quantity, -2.0 * (l_discount - m.d) AS c_l_discount,\n" \
+    "  3.0 * (l_tax - m.t) AS c_l_tax, 0.0 AS c_one FROM lineitem, m),\n"
+
+
+def _stats_sql() -> str:
+    parts = []
+    for n in LINEAR_WEIGHTS:
+        parts.append(
+            f"SELECT '{n}' AS feature, avg(abs(c_{n})) AS mean_abs, "
+            f"CASE WHEN min({n}) < max({n}) AND min(c_{n}) < max(c_{n}) "
+            f"THEN CAST(sign(covar_pop({n}, c_{n})) AS DOUBLE) ELSE 1.0 END AS sign FROM c")
+    return "s AS (" + " UNION ALL ".join(parts) + ")\n"
+
+
+@query("mean_abs_contribution", _LIN_SQL + _stats_sql() + f"SELECT feature, {r6('mean_abs')} AS mean_abs FROM s")
+def mean_abs_contribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean absolute contribution per feature."""
+    c, names = linear_contributions(spark, sf_dir)
+    imp = explain.importance_frame(spark, c, names, [F.col(n) for n in names], [F.col(f"c_{n}") for n in names])
+    return rounded(imp.select("feature", "mean_abs"))
+
+
+@query("contribution_sign", _LIN_SQL + _stats_sql() + "SELECT feature, sign FROM s")
+def contribution_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign of the feature / contribution covariance (+1 for a constant)."""
+    c, names = linear_contributions(spark, sf_dir)
+    imp = explain.importance_frame(spark, c, names, [F.col(n) for n in names], [F.col(f"c_{n}") for n in names])
+    return rounded(imp.select("feature", "sign"))
+
+
+@query("importance_signed", _LIN_SQL + _stats_sql() + f"""
+SELECT feature, {r6('mean_abs * sign')} AS importance,
+       CAST(row_number() OVER (ORDER BY abs(mean_abs * sign) DESC, feature) AS INTEGER) AS rank_abs
+FROM s
+""")
+def importance_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6 + S8: signed importance and its rank by absolute value."""
+    c, names = linear_contributions(spark, sf_dir)
+    imp = explain.importance_frame(spark, c, names, [F.col(n) for n in names], [F.col(f"c_{n}") for n in names])
+    return rounded(imp.select("feature", "importance", "rank_abs"))
+
+
+@query("contribution_wide", _LIN_SQL.rstrip().rstrip(",") + f"""
+SELECT l_orderkey, l_linenumber, {r6('c_l_quantity')} AS l_quantity, {r6('c_l_discount')} AS l_discount,
+       {r6('c_l_tax')} AS l_tax, {r6('c_one')} AS one
+FROM c
+""")
+def contribution_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-row contributions, one column per feature, keyed by the row id."""
+    c, names = linear_contributions(spark, sf_dir)
+    return rounded(c.select("l_orderkey", "l_linenumber", *[F.col(f"c_{n}").alias(n) for n in names]))
