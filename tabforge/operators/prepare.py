@@ -263,9 +263,11 @@ class FeaturePrepModel:
         return list(self._names)
 
     def transform(self, df: DataFrame, keep: list[str] | None = None,
-                  assemble: bool = False, features_col: str = "features") -> DataFrame:
+                  assemble: bool = False, features_col: str = "features",
+                  name_prefix: str = "") -> DataFrame:
         """One projection: ``keep`` columns (default: passthrough + target when
-        present) followed by the generated feature columns."""
+        present) followed by the generated feature columns (named
+        ``name_prefix + name``, so they can sit next to the original columns)."""
         if keep is None:
             keep = [c for c in [*self.passthrough, self.target] if c and c in df.columns]
         dtypes = {f.name: f.dataType for f in df.schema.fields}
@@ -274,10 +276,10 @@ class FeaturePrepModel:
         if missing:
             raise ValueError(f"Required feature(s) missing from the data: {missing}")
         plan = self._plan(dtypes)
-        out = df.select(*[_q(c) for c in keep], *[e.alias(n) for n, e in plan])
+        out = df.select(*[_q(c) for c in keep], *[e.alias(name_prefix + n) for n, e in plan])
         if assemble:
             from pyspark.ml.feature import VectorAssembler
-            out = VectorAssembler(inputCols=[n for n, _ in plan], outputCol=features_col,
+            out = VectorAssembler(inputCols=[name_prefix + n for n, _ in plan], outputCol=features_col,
                                   handleInvalid="keep").transform(out)
         return out
 

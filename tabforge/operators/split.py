@@ -14,10 +14,22 @@ from pyspark.sql import functions as F
 from tabforge.operators.ranking import broadcast_if_small, hash_rank, hash_sample, md5_key
 
 
+def _atomic_cols(df: DataFrame) -> list[str]:
+    from pyspark.sql import types as T
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, (T.AtomicType, T.NullType))]
+
+
 def _key_cols(df: DataFrame, id_cols: list[str] | None) -> list[str]:
     # without an id, the whole row is the identity (rows equal in every column
     # are interchangeable)
-    return list(id_cols) if id_cols else list(df.columns)
+    return list(id_cols) if id_cols else _atomic_cols(df)
+
+
+def _tiebreak(df: DataFrame, keys: list[str]) -> list:
+    # ids may repeat: after the id itself, order by a hash of the whole row
+    rest = [c for c in _atomic_cols(df) if c not in keys]
+    return list(keys) + ([md5_key(rest, 0)] if rest else [])
 
 
 def assign_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str | None = None,
@@ -32,7 +44,7 @@ def assign_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str | None =
     keys = _key_cols(df, id_cols)
     key = md5_key(keys, seed)
     groups = [label] if label else []
-    ranked = hash_rank(df, key, group_cols=groups, tiebreak=keys, n_buckets=n_buckets,
+    ranked = hash_rank(df, key, group_cols=groups, tiebreak=_tiebreak(df, keys), n_buckets=n_buckets,
                        rank_col="_fold_rank", n_groups_bound=n_classes_bound if label else 1)
     return ranked.withColumn(fold_col, ((F.col("_fold_rank") - 1) % k).cast("int")).drop("_fold_rank")
 
@@ -46,7 +58,8 @@ def sample_exact(df: DataFrame, frac: float, seed: int = 42, id_cols: list[str]
     n = df.count()
     n_keep = max(int(n * frac), 1)
     keys = _key_cols(df, id_cols)
-    return hash_sample(df, md5_key(keys, seed), n_keep, tiebreak=keys, n_buckets=n_buckets, n_rows=n)
+    return hash_sample(df, md5_key(keys, seed), n_keep, tiebreak=_tiebreak(df, keys),
+                       n_buckets=n_buckets, n_rows=n)
 
 
 def class_weight_frame(df: DataFrame, label: str) -> DataFrame:
