@@ -35,8 +35,13 @@ def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[
     s = _c(score).cast("double")
     base = df.select(*[F.col(b) for b in by], s.alias("_s"), y.alias("_y"))
     if n_buckets is None:
-        n = base.count()
-        n_buckets = int(min(AUC_MAX_BUCKETS, max(1, math.ceil(n / ROWS_PER_BUCKET))))
+        # sized from the planner's estimate (no extra job); any count is exact
+        from tabforge.operators.ranking import BYTES_PER_BUCKET
+        try:
+            size = int(str(base._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        except Exception:  # pragma: no cover
+            size = base.count() * 16
+        n_buckets = int(min(AUC_MAX_BUCKETS, max(1, math.ceil(size / BYTES_PER_BUCKET))))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         q = base.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []

@@ -269,7 +269,14 @@ def fit_single(df: DataFrame, problem_type: str, params: dict, label_col: str,
     if problem_type == "classification" and wmode == "balanced":
         src = with_class_weights(df, label_col, "_w_balanced", "balanced")
         wcol = "_w_balanced"
-    return make_estimator(problem_type, sp, label_col, features_col, wcol, validation_col, seed).fit(src)
+    # the fit makes several passes (split finding, tree levels, errors): read
+    # the projected input once
+    cols = [label_col, features_col] + [c for c in (wcol, validation_col) if c]
+    data = src.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return make_estimator(problem_type, sp, label_col, features_col, wcol, validation_col, seed).fit(data)
+    finally:
+        data.unpersist()
 
 
 # ---------------------------------------------------------------------------

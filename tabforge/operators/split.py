@@ -26,31 +26,40 @@ def _key_cols(df: DataFrame, id_cols: list[str] | None) -> list[str]:
     return list(id_cols) if id_cols else _atomic_cols(df)
 
 
-def _tiebreak(df: DataFrame, keys: list[str]) -> list:
-    # ids may repeat: after the id itself, order by a hash of the whole row
-    rest = [c for c in _atomic_cols(df) if c not in keys]
+def _tiebreak(df: DataFrame, keys: list[str], unique: bool, row_cols: list[str] | None = None) -> list:
+    # unique ids: the id settles ties. Ids that may repeat: after the id, order
+    # by a hash of the row (``row_cols``, default every atomic column)
+    if unique:
+        return list(keys)
+    rest = [c for c in (row_cols or _atomic_cols(df)) if c not in keys]
     return list(keys) + ([md5_key(rest, 0)] if rest else [])
 
 
 def assign_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str | None = None,
                  id_cols: list[str] | None = None, fold_col: str = "fold",
-                 n_buckets: int | None = None, n_classes_bound: int = 64) -> DataFrame:
+                 n_buckets: int | None = None, n_classes_bound: int = 64,
+                 ids_unique: bool = True, row_cols: list[str] | None = None) -> DataFrame:
     """K1 (``label`` given: stratified) / K2 (plain): ``fold_col`` in 0..k-1.
 
     Within each class the rows are ranked by ``md5(id:seed)`` and dealt out
-    round-robin, so per class the fold sizes differ by at most one."""
+    round-robin, so per class the fold sizes differ by at most one. With
+    ``ids_unique=False`` ties between equal ids are broken by a hash of
+    ``row_cols`` (default: all atomic columns) so the result stays
+    deterministic when a task is recomputed."""
     if k < 2:
         raise ValueError("k must be >= 2")
     keys = _key_cols(df, id_cols)
     key = md5_key(keys, seed)
     groups = [label] if label else []
-    ranked = hash_rank(df, key, group_cols=groups, tiebreak=_tiebreak(df, keys), n_buckets=n_buckets,
+    ranked = hash_rank(df, key, group_cols=groups,
+                       tiebreak=_tiebreak(df, keys, ids_unique and bool(id_cols), row_cols), n_buckets=n_buckets,
                        rank_col="_fold_rank", n_groups_bound=n_classes_bound if label else 1)
     return ranked.withColumn(fold_col, ((F.col("_fold_rank") - 1) % k).cast("int")).drop("_fold_rank")
 
 
 def sample_exact(df: DataFrame, frac: float, seed: int = 42, id_cols: list[str] | None = None,
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, ids_unique: bool = True,
+                 row_cols: list[str] | None = None) -> DataFrame:
     """K3: exactly ``max(int(n * frac), 1)`` rows (all rows when frac >= 1),
     the ones first in ``md5(id:seed)`` order."""
     if frac >= 1.0:
@@ -58,7 +67,8 @@ def sample_exact(df: DataFrame, frac: float, seed: int = 42, id_cols: list[str]
     n = df.count()
     n_keep = max(int(n * frac), 1)
     keys = _key_cols(df, id_cols)
-    return hash_sample(df, md5_key(keys, seed), n_keep, tiebreak=_tiebreak(df, keys),
+    return hash_sample(df, md5_key(keys, seed), n_keep,
+                       tiebreak=_tiebreak(df, keys, ids_unique and bool(id_cols), row_cols),
                        n_buckets=n_buckets, n_rows=n)
 
 

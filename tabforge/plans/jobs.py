@@ -89,7 +89,9 @@ def _pred_cols(problem: str) -> list[str]:
 
 def _attribution_outputs(spark, layout, model, prep, frame, method, uid, fmt, sample, seed):
     """X2/X3 + X4-X6 + S8/S9 on (a K3 sample of) ``frame``."""
-    rows = sample_exact(frame, sample, seed=seed, id_cols=[uid] if uid else None) if sample < 1 else frame
+    rows = (sample_exact(frame, sample, seed=seed, id_cols=[uid] if uid else None, ids_unique=False,
+                         row_cols=[c for c in frame.columns if not c.startswith(TMP_PREFIX)])
+            if sample < 1 else frame)
     keep = [uid] if uid and uid in rows.columns else []
     if not keep:
         rows = rows.withColumn("index", F.monotonically_increasing_id())
@@ -116,7 +118,7 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     # folds on the full rows: ids may repeat, the whole row breaks ties
     folded = assign_folds(full, k=model_cfg.n_folds, seed=model_cfg.seed,
                           label=target if problem == "classification" else None,
-                          id_cols=[uid] if uid else None)
+                          id_cols=[uid] if uid else None, ids_unique=False, row_cols=typed.columns)
     result = train_cv(folded.select(target, "features", "fold"), model_cfg, target)
     model = result.model
     layout = _layout(data_cfg)

@@ -303,3 +303,32 @@ def contribution_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-row contributions, one column per feature, keyed by the row id."""
     c, names = linear_contributions(spark, sf_dir)
     return rounded(c.select("l_orderkey", "l_linenumber", *[F.col(f"c_{n}").alias(n) for n in names]))
+
+
+@query("stream_score")
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming scoring: the documents table read as a file stream, joined to
+    the static labels, prepared and scored by the fitted preparation + model,
+    written by an ``availableNow`` query with a checkpoint; the sink is read back."""
+    from tabforge.plans.queries_prepare import docs_labeled
+    from tabforge.streaming.scoring import score_stream
+    _, prep, _, model, _ = doc_model(spark, sf_dir)
+    docs_schema = table(spark, sf_dir, "documents").schema
+    stream = (spark.readStream.schema(docs_schema).option("pathGlobFilter", "documents.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    labels = table(spark, sf_dir, "labels")
+    k = F.col("doc_id")
+    rows = stream.join(labels, "doc_id").select(
+        "doc_id",
+        F.when(k % 7 != 0, F.col("n_chars").cast("double")).alias("n_chars"),
+        F.when(k % 11 != 0, F.col("lang")).alias("lang"),
+        F.when(k % 13 != 0, F.col("source")).alias("source"),
+        F.when(k % 5 != 0, F.col("toxic") == 1).alias("toxic_flag"),
+        "quality")
+    out_path = scratch_path(spark, "stream-out")
+    q = (score_stream(rows, prep, model, "classification", keep=["doc_id", "quality"], typed=True)
+         .writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out_path)
