@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import range_bucket
-from tabforge.operators.ranking import ROWS_PER_BUCKET, broadcast_if_small
+from tabforge.operators.ranking import broadcast_if_small
 
 AUC_MAX_BUCKETS = 1024
 
@@ -35,13 +35,10 @@ def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[
     s = _c(score).cast("double")
     base = df.select(*[F.col(b) for b in by], s.alias("_s"), y.alias("_y"))
     if n_buckets is None:
-        # sized from the planner's estimate (no extra job); any count is exact
-        from tabforge.operators.ranking import BYTES_PER_BUCKET
-        try:
-            size = int(str(base._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        except Exception:  # pragma: no cover
-            size = base.count() * 16
-        n_buckets = int(min(AUC_MAX_BUCKETS, max(1, math.ceil(size / BYTES_PER_BUCKET))))
+        # one score-range bucket per input partition once the input is large
+        # (no extra job); any count gives the exact result
+        parts = base.rdd.getNumPartitions()
+        n_buckets = 1 if parts <= 16 else int(min(AUC_MAX_BUCKETS, parts))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         q = base.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []

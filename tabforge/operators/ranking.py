@@ -52,26 +52,18 @@ def _hex_bucket(key: Column, n_buckets: int) -> Column:
     return F.floor(prefix * F.lit(n_buckets) / F.lit(_HEX8)).cast("int")
 
 
-# target input bytes per rank bucket, when sizing from the planner's estimate
-BYTES_PER_BUCKET = 256 << 20
-
-
 def choose_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = 1 << 16) -> int:
     return int(min(max_buckets, max(1, math.ceil(n_rows / max(1, rows_per_bucket)))))
 
 
 def estimated_buckets(df: DataFrame, max_buckets: int = 1 << 16) -> int:
-    """Bucket count from the optimizer's size estimate (no job is run).
-
-    The count only sets how many window tasks share the ranking; any value
-    gives the same ranks, so an estimate is enough."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return choose_buckets(df.count())
-    # at least one bucket per core, so the ranking window never runs in one task
+    """Bucket count without running a job: one bucket per input partition
+    (file splits of ``spark.sql.files.maxPartitionBytes``), at least one per
+    core. The count only sets how many window tasks share the ranking; every
+    value gives the same ranks."""
+    parts = df.rdd.getNumPartitions()
     floor = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    return int(min(max_buckets, max(floor, math.ceil(size / BYTES_PER_BUCKET))))
+    return int(min(max_buckets, max(floor, parts)))
 
 
 def hash_rank(df: DataFrame, key: Column, group_cols: list[str] | None = None,

@@ -225,3 +225,30 @@ def validate_bool_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validation_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V6 (with V1, V5): every failed check in one table; one aggregate job."""
     return _report_rows(spark, sf_dir, None)
+
+
+@query("scored_original_predict", f"""
+WITH base AS ({DOCS_BASE_SQL}),
+""" + _SCORED_SQL.strip()[len("WITH "):] + f"""
+SELECT b.doc_id, {r6("b.n_chars")} AS n_chars, b.lang, b.source, b.toxic_flag,
+       {r6("s.p")} AS prediction_proba, CAST(s.p > 0.5 AS INTEGER) AS prediction_class, b.quality
+FROM base b JOIN s ON b.doc_id = s.doc_id
+""")
+def scored_original_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring-mode layout -- original columns, predictions, target last."""
+    raw, model = fit_docs(spark, sf_dir)
+    p = sigmoid(model.feature_columns(raw)["n_chars"])
+    both = raw.withColumn("prediction_proba", p).withColumn("prediction_class", threshold_class(p))
+    return rounded(scored_original_sink(both, raw.columns, "classification", "quality", target_last=True))
+
+
+@query("prediction_table_index", _SCORED_SQL + f"""
+SELECT {r6("p")} AS prediction_proba, CAST(p > 0.5 AS INTEGER) AS prediction_class, quality FROM s
+""")
+def prediction_table_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 fallback: without an id column the table carries a generated row
+    index (unique, not contiguous); compared here without that index."""
+    _, _, scored = scored_docs(spark, sf_dir)
+    t = prediction_table_sink(scored, "classification", "no_such_id", "quality")
+    assert t.columns[0] == "index"
+    return rounded(t.drop("index"))

@@ -332,3 +332,48 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out_path)
+
+
+# ---------------------------------------------------------------------------
+# The full jobs over a CSV export of the prepared documents
+# ---------------------------------------------------------------------------
+
+def _job_inputs(spark: SparkSession, sf_dir: str):
+    k = _key(spark, sf_dir, "job")
+    if k not in _CACHE:
+        from tabforge.plans import jobs
+        from tabforge.plans.queries_prepare import DOC_SPEC, docs_labeled
+        from tabforge.sources.sinks import write_table
+        from tabforge.spec import DataConfig
+        csv = write_table(docs_labeled(spark, sf_dir), scratch_path(spark, "job-input"), "csv")
+        base = scratch_path(spark, "job-out")
+        mcfg = ModelConfig.from_dict(SEARCH_CONFIG)
+        tcfg = DataConfig(training=True, input_data_source="CSV", file_path=csv, uid_column_name="doc_id",
+                          output_base=base, run_id="train")
+        res = jobs.train(spark, mcfg, tcfg, spec=DOC_SPEC)
+        _CACHE[k] = (csv, base, mcfg, res)
+    return _CACHE[k]
+
+
+@query("train_job")
+def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read CSV -> validate -> prepare -> CV search -> refit -> score ->
+    attribute -> write; returns the written original-data-with-predictions table."""
+    _, _, _, res = _job_inputs(spark, sf_dir)
+    return spark.read.option("header", True).csv(f"{res.output_dir}/predictions/original_data_with_predictions")
+
+
+@query("predict_job")
+def predict_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reload preparation + model from J1's output, score the CSV, write
+    the prediction table (id, probability, class, target) and SHAP outputs."""
+    from tabforge.plans import jobs
+    from tabforge.spec import DataConfig
+    csv, base, mcfg, res = _job_inputs(spark, sf_dir)
+    stem = "quality_classification_lgbm"
+    pcfg = DataConfig(training=False, input_data_source="CSV", file_path=csv, uid_column_name="doc_id",
+                      model_file_path=f"{res.output_dir}/model/{stem}",
+                      data_processor_file_path=f"{res.output_dir}/deep_insights_input/{stem}_data_processor",
+                      output_base=base, run_id="predict", calculate_importance=True)
+    out = jobs.predict(spark, mcfg, pcfg)
+    return spark.read.option("header", True).csv(out.details["output_path"])
