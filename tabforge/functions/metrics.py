@@ -39,15 +39,18 @@ def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[
         # (no extra job); any count gives the exact result
         parts = base.rdd.getNumPartitions()
         n_buckets = 1 if parts <= 16 else int(min(AUC_MAX_BUCKETS, parts))
+    per_score = (base.groupBy(*by, "_s")
+                 .agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n")))
     if n_buckets > 1:
+        # range buckets balanced over *distinct* scores (the window's rows);
+        # the per-score table feeds two jobs, so it is materialised once
+        per_score = per_score.persist()
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        q = base.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []
+        q = per_score.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []
         bucket = range_bucket(F.col("_s"), list(q))
     else:
         bucket = F.lit(0)
-    per_score = (base.groupBy(*by, "_s")
-                 .agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n"))
-                 .withColumn("_b", bucket))
+    per_score = per_score.withColumn("_b", bucket)
     per_bucket = per_score.groupBy(*by, "_b").agg(F.sum("_n").alias("_nb"))
     w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*by, "_b", F.coalesce(F.sum("_nb").over(w_off), F.lit(0)).alias("_off"))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.operators.ranking import exact_median_from_sketch, median_sketch_exprs
+from tabforge.operators.ranking import _accuracy_for, exact_median_from_sketch, median_sketch_exprs
 from tabforge.sources.readers import to_bool_double, to_category, to_double
 from tabforge.spec import FeatureSpec
 
@@ -138,7 +138,7 @@ class FeaturePrep:
                     fill = 0.0
                 elif method == "median":
                     fill = exact_median_from_sketch(typed, f.name, int(row[f"_med_n__{f.name}"]),
-                                                    row[f"_med_q__{f.name}"])
+                                                    row[f"_med_q__{f.name}"], _accuracy_for(0))
                 elif method == "0":
                     fill = 0.0
                 else:
@@ -161,17 +161,17 @@ class FeaturePrep:
                 for f in categorical]))
             grouped = (df.select(pairs.alias("p")).select("p.feature", "p.value")
                        .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
-            grouped = grouped.persist()
-            try:
-                sizes = {r["feature"]: int(r["k"]) for r in
-                         grouped.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
-                too_big = {k: v for k, v in sizes.items() if v > self.max_categories + 1}
-                if too_big:
-                    raise ValueError(f"categorical features exceed max_categories={self.max_categories}: "
-                                     f"{too_big}")
-                rows = grouped.collect()   # bounded: <= (max_categories + 1) per feature
-            finally:
-                grouped.unpersist()
+            # one job: a bounded collect. More rows than every feature may have
+            # means some feature is over the limit (nothing unbounded reaches the driver)
+            cap = (self.max_categories + 1) * len(categorical)
+            rows = grouped.limit(cap + 1).collect()
+            sizes: dict[str, int] = {}
+            for r in rows:
+                sizes[r["feature"]] = sizes.get(r["feature"], 0) + 1
+            too_big = {k: v for k, v in sizes.items() if v > self.max_categories + 1}
+            if too_big or len(rows) > cap:
+                raise ValueError(f"categorical features exceed max_categories={self.max_categories}: "
+                                 f"{too_big or 'at least one'}")
             by_feat: dict[str, list] = {f.name: [] for f in categorical}
             for r in rows:
                 by_feat[r["feature"]].append((r["value"], int(r["n"])))

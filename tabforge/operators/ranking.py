@@ -154,68 +154,83 @@ def median_sketch_exprs(col: str, n_rows_hint: int | None = None) -> list[Column
             F.percentile_approx(c, probs, acc).alias(f"_med_q__{col}")]
 
 
-def exact_median_from_sketch(df: DataFrame, col: str, n_valid: int, bracket: list[float] | None) -> float | None:
-    """Pass 2: count rows under the bracket, rank the rows inside it."""
+def exact_median_from_sketch(df: DataFrame, col: str, n_valid: int, bracket: list[float] | None,
+                             accuracy: int = 10_000) -> float | None:
+    """Exact median from the pass-1 sketch.
+
+    Small brackets (the usual case): ONE job -- rows up to ``hi`` grouped by
+    value, everything under ``lo`` folded into one null group, a running count
+    over the (bounded) group table locates the two middle ranks; a bracket that
+    missed is widened and retried. Large brackets (huge columns) are first
+    narrowed by sketches of the bracket rows only."""
     if n_valid == 0 or bracket is None:
         return None
     k1 = (n_valid - 1) // 2          # 0-based middle ranks
     k2 = n_valid // 2
     lo, hi = float(bracket[0]), float(bracket[1])
     c = F.col(f"`{col}`")
-    for attempt in range(6):
-        row = df.agg(F.count_if(c < lo).alias("below"), F.count_if(c <= hi).alias("upto")).collect()[0]
-        below, upto = int(row["below"]), int(row["upto"])
-        if below <= k1 and upto > k2:
-            break
-        # the sketch's rank error bound makes this rare; widen geometrically
-        span = max(hi - lo, abs(hi) * 1e-9, abs(lo) * 1e-9, 1e-300)
-        lo, hi = (lo - span * 4) if below > k1 else lo, (hi + span * 4) if upto <= k2 else hi
-    else:
-        raise RuntimeError(f"median bracket for {col} did not converge")
-    # a bracket from a coarse sketch over a huge column can still be large:
-    # narrow it with a sketch over the bracket rows only, until it is small
+    if n_valid * 8.0 / accuracy > MAX_BRACKET_ROWS:
+        lo, hi = _narrow(df, c, n_valid, k1, k2, lo, hi)
+    for _ in range(3):
+        grouped = (df.where(c <= hi).groupBy(F.when(c >= lo, c).alias("v"))
+                   .agg(F.count(F.lit(1)).alias("n")))
+        w = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = grouped.select("v", "n", F.sum("n").over(w).alias("cum"))
+        picks = ranked.where(F.col("v").isNull() | ((F.col("cum") - F.col("n") <= F.lit(k2))
+                                                     & (F.col("cum") > F.lit(k1)))).collect()
+        below = next((r["n"] for r in picks if r["v"] is None), 0)
+
+        def at(k):
+            for r in picks:
+                if r["cum"] - r["n"] <= k < r["cum"]:
+                    return r["v"]
+            return None
+        a, b = at(k1), at(k2)
+        if a is not None and b is not None:
+            return (float(a) + float(b)) / 2.0
+        # the sketch missed a middle rank (its error bound makes this rare):
+        # open the missing side to the data range, then narrow by counting
+        mm = df.agg(F.min(c).alias("a"), F.max(c).alias("b")).collect()[0]
+        if below > k1:
+            lo = float(mm["a"])
+        if (a is None and below <= k1) or (b is None and below <= k2):
+            hi = float(mm["b"])
+        lo, hi = _narrow(df, c, n_valid, k1, k2, lo, hi)
+    raise RuntimeError(f"median bracket for {col} did not converge")
+
+
+def _narrow(df: DataFrame, c: Column, n_valid: int, k1: int, k2: int, lo: float, hi: float):
+    """Shrink a bracket with sketches over the bracket rows until it is small."""
+    row = df.agg(F.count_if(c < lo).alias("below"), F.count_if(c <= hi).alias("upto")).collect()[0]
+    below, upto = int(row["below"]), int(row["upto"])
+    if not (below <= k1 and upto > k2):
+        return lo, hi        # sketch missed: the caller widens
     for _ in range(8):
         inside_n = upto - below
         if inside_n <= MAX_BRACKET_ROWS:
             break
-        sub = df.where((c >= lo) & (c <= hi))
         acc = _accuracy_for(inside_n)
         eps = 4.0 / acc
         p1 = max(0.0, (k1 - below) / inside_n - eps)
         p2 = min(1.0, (k2 - below + 1) / inside_n + eps)
-        q = sub.agg(F.percentile_approx(c, [p1, p2], acc).alias("q")).collect()[0]["q"]
+        q = df.where((c >= lo) & (c <= hi)).agg(F.percentile_approx(c, [p1, p2], acc).alias("q")).collect()[0]["q"]
         nlo, nhi = float(q[0]), float(q[1])
         row = df.agg(F.count_if(c < nlo).alias("below"), F.count_if(c <= nhi).alias("upto")).collect()[0]
         nb, nu = int(row["below"]), int(row["upto"])
         if not (nb <= k1 and nu > k2) or (nu - nb) >= inside_n:
-            break   # no progress: rank the current (correct) bracket
+            break
         lo, hi, below, upto = nlo, nhi, nb, nu
-    # rows inside the bracket, pre-aggregated per distinct value; the bracket is
-    # a few times the sketch's rank error wide, so this table stays small
-    inside = (df.where((c >= lo) & (c <= hi)).groupBy(c.alias("v"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.select("v", (F.sum("n").over(w) + F.lit(below)).alias("cum"),
-                           F.col("n"))
-    # value at 0-based rank k: first v with cum > k
-    picks = (ranked.where((F.col("cum") - F.col("n") <= F.lit(k2)) & (F.col("cum") > F.lit(k1)))
-             .orderBy("v").collect())
-    def at(k):
-        for r in picks:
-            if r["cum"] - r["n"] <= k < r["cum"]:
-                return float(r["v"])
-        raise RuntimeError("median selection failed")  # pragma: no cover
-    return (at(k1) + at(k2)) / 2.0
+    return lo, hi
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Exact median of each column (nulls ignored); None for an all-null column."""
     if not cols:
         return {}
-    n_hint = df.count()
     exprs = []
     for c in cols:
-        exprs += median_sketch_exprs(c, n_hint)
+        exprs += median_sketch_exprs(c, None)
     row = df.agg(*exprs).collect()[0]
-    return {c: exact_median_from_sketch(df, c, int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"])
+    return {c: exact_median_from_sketch(df, c, int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"],
+                                        _accuracy_for(0))
             for c in cols}

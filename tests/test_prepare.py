@@ -118,7 +118,7 @@ def test_imputed_moments_formula():
 
 def test_exact_median_narrowing(spark, monkeypatch):
     import tabforge.operators.ranking as rk
-    monkeypatch.setattr(rk, "MAX_BRACKET_ROWS", 50)      # force the narrowing passes
+    monkeypatch.setattr(rk, "MAX_BRACKET_ROWS", 1)       # force the narrowing passes
     rng = np.random.default_rng(1)
     vals = np.round(rng.lognormal(0, 2, 4001), 3)
     df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(7)
