@@ -50,6 +50,9 @@ def work_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: point it at a folder every executor "
+                             "can reach (a machine-local temp folder would not survive on a cluster)")
         configured = tempfile.mkdtemp(prefix="tabforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -168,7 +168,7 @@ class ModelConfig:
     n_folds: int = 5
     seed: int = 42
     param_selection: str = "best_mean"      # or "first_fold" (parity)
-    parallelism: int = 4
+    parallelism: int = 8
 
     @staticmethod
     def from_dict(d: dict) -> "ModelConfig":
