@@ -168,6 +168,15 @@ class TrainResult:
                                      "fold int, train_score double, val_score double")
 
 
+def _scores_by_part(scored: DataFrame, problem: str, label_col: str) -> dict:
+    """AUC (classification) or RMSE (regression) per value of ``_part``."""
+    if problem == "classification":
+        rows = auc_frame(scored, label_col, "prediction_proba", by=["_part"], n_groups_bound=2).collect()
+        return {r["_part"]: (float("nan") if r["auc"] is None else float(r["auc"])) for r in rows}
+    rows = regression_metrics(scored, label_col, "prediction", by=["_part"]).collect()
+    return {r["_part"]: float(r["rmse"]) for r in rows}
+
+
 def cv_summary_frame(scores: DataFrame) -> DataFrame:
     """M9: mean train score, mean and population std of the validation score."""
     return scores.agg(F.avg("train_score").alias("cv_mean_train_score"),
@@ -224,10 +233,10 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
             rs = [r for r in results if r.fold == f]
             best = max(rs, key=lambda r: (sign * (r.val_score if not math.isnan(r.val_score) else -math.inf)))
             best_by_fold[f] = best
-            tr = score(best.model, data.where(F.col(fold_col) != f), problem)
-            va = score(best.model, data.where(F.col(fold_col) == f), problem)
-            fold_scores.append((f, evaluate(tr, problem, fold_metric, label_col),
-                                evaluate(va, problem, fold_metric, label_col)))
+            # train and validation score of the fold's best model in one grouped job
+            scored = score(best.model, data, problem).withColumn("_part", F.col(fold_col) == f)
+            both = _scores_by_part(scored, problem, label_col)
+            fold_scores.append((f, both.get(False, float("nan")), both.get(True, float("nan"))))
 
         if cfg.param_selection == "first_fold":
             chosen = best_by_fold[0].trial
