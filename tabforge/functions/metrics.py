@@ -27,7 +27,7 @@ def _c(x) -> Column:
 
 
 def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[str] | None = None,
-              n_buckets: int | None = None, n_groups_bound: int = 1_000) -> DataFrame:
+              n_buckets: int | None = None, n_groups_bound: int | None = None) -> DataFrame:
     """ROC AUC per group of ``by`` (one row per group; ``auc`` is null when a
     group lacks positives or negatives). ``label`` is 1 for positives."""
     by = list(by or [])
@@ -54,7 +54,9 @@ def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[
     per_bucket = per_score.groupBy(*by, "_b").agg(F.sum("_n").alias("_nb"))
     w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*by, "_b", F.coalesce(F.sum("_nb").over(w_off), F.lit(0)).alias("_off"))
-    joined = per_score.join(broadcast_if_small(offsets, n_groups_bound * n_buckets), on=[*by, "_b"])
+    # offsets: n_buckets rows per group; broadcast only when the group count is bounded
+    bound = n_buckets if not by else (n_groups_bound * n_buckets if n_groups_bound else None)
+    joined = per_score.join(broadcast_if_small(offsets, bound) if bound else offsets, on=[*by, "_b"])
     w = Window.partitionBy(*by, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     below = F.col("_off") + F.coalesce(F.sum("_n").over(w), F.lit(0))
     contrib = joined.select(*by, "_p", "_n", (F.col("_p") * (below + F.col("_n") / 2.0)).alias("_u"))

@@ -110,12 +110,13 @@ def hash_sample(df: DataFrame, key: Column, n_keep: int, tiebreak: list[Column |
     w_off = Window.orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)
     # the counts table has at most n_buckets rows: a one-partition window over it is bounded
     offs = counts.select("_rk_b", "_rk_n", F.coalesce(F.sum("_rk_n").over(w_off), F.lit(0)).alias("_rk_off"))
-    rows = offs.where(F.col("_rk_off") < n_keep).collect()   # <= n_buckets small rows
-    full = [r["_rk_b"] for r in rows if r["_rk_off"] + r["_rk_n"] <= n_keep]
-    cut = [r for r in rows if r["_rk_off"] + r["_rk_n"] > n_keep]
+    # the one bucket that straddles the cut (a single small row)
+    cut = offs.where((F.col("_rk_off") < n_keep) & (F.col("_rk_off") + F.col("_rk_n") > n_keep)).collect()
+    # buckets are ordered: every bucket before the straddling one is kept whole
+    last_full = cut[0]["_rk_b"] if cut else n_buckets
     parts = []
-    if full:
-        parts.append(keyed.where(F.col("_rk_b").isin(full)))
+    if last_full > 0:
+        parts.append(keyed.where(F.col("_rk_b") < last_full))
     if cut:
         r = cut[0]
         order = [F.col("_rk_key")] + [F.col(t) if isinstance(t, str) else t for t in tiebreak]

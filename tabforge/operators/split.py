@@ -8,10 +8,10 @@ partitioning, and recomputable after an executor loss. Ranks come from
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.operators.ranking import broadcast_if_small, hash_rank, hash_sample, md5_key
+from tabforge.operators.ranking import hash_rank, hash_sample, md5_key
 
 
 def _atomic_cols(df: DataFrame) -> list[str]:
@@ -72,21 +72,40 @@ def sample_exact(df: DataFrame, frac: float, seed: int = 42, id_cols: list[str]
                        n_buckets=n_buckets, n_rows=n)
 
 
+MAX_CLASSES = 64
+
+
+def class_counts(df: DataFrame, label: str) -> list[tuple]:
+    """Per-class row counts; refuses a label with more than MAX_CLASSES values
+    (the collect is bounded)."""
+    rows = (df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+            .limit(MAX_CLASSES + 1).collect())
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"label '{label}' has more than {MAX_CLASSES} classes")
+    return [(r[label], int(r["n"])) for r in rows]
+
+
 def class_weight_frame(df: DataFrame, label: str) -> DataFrame:
     """M8: ``balanced`` weights ``n / (n_classes * n_c)`` per class value."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()   # over the per-class table: a handful of rows
-    return counts.select(label, "n", (F.sum("n").over(w) / (F.count(F.lit(1)).over(w) * F.col("n")))
-                         .alias("weight"))
+    counts = class_counts(df, label)
+    total, k = sum(n for _, n in counts), len(counts)
+    dtype = df.schema[label].dataType.simpleString()
+    return df.sparkSession.createDataFrame([(v, n, total / (k * n)) for v, n in counts],
+                                           f"`{label}` {dtype}, n long, weight double")
 
 
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight",
                        mode: str | None = "balanced") -> DataFrame:
-    """Attach a weight column (1.0 when ``mode`` is None); the per-class table
-    is bounded by the class count and joined by broadcast."""
+    """Attach a weight column (1.0 when ``mode`` is None): a CASE over the
+    bounded per-class weights, no join."""
     if mode is None:
         return df.withColumn(weight_col, F.lit(1.0))
     if mode != "balanced":
         raise ValueError(f"unsupported class_weight: {mode}")
-    weights = class_weight_frame(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(broadcast_if_small(weights, 64), on=label, how="left")
+    counts = class_counts(df, label)
+    total, k = sum(n for _, n in counts), len(counts)
+    expr = None
+    for v, n in counts:
+        cond = F.col(label) == F.lit(v)
+        expr = F.when(cond, F.lit(total / (k * n))) if expr is None else expr.when(cond, F.lit(total / (k * n)))
+    return df.withColumn(weight_col, expr.otherwise(F.lit(1.0)) if expr is not None else F.lit(1.0))

@@ -135,3 +135,12 @@ def test_importance_sign_rules(spark):
     assert imp["pos"]["sign"] == 1.0 and imp["neg"]["sign"] == -1.0 and imp["const"]["sign"] == 1.0
     assert imp["neg"]["importance"] == -imp["pos"]["importance"]
     assert imp["const"]["rank_abs"] == 3
+
+
+def test_balanced_class_weights_fit(spark, f4):
+    from tabforge.operators.split import with_class_weights
+    w = {r["target"]: r["w"] for r in with_class_weights(f4, "target", "w").select("target", "w").distinct().collect()}
+    n1 = f4.where("target = 1").count()
+    assert abs(w[1.0] - 100 / (2 * n1)) < 1e-12
+    m = fit_single(f4, "classification", {"n_estimators": 3, "class_weight": "balanced", "num_leaves": 4}, "target")
+    assert m.getNumTrees == 3
