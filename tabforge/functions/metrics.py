@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.columns import range_bucket
 from tabforge.operators.ranking import broadcast_if_small
 
-AUC_MAX_BUCKETS = 1024
+AUC_MAX_BUCKETS = 16384
 
 
 def _c(x) -> Column:
@@ -42,15 +42,20 @@ def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[
     per_score = (base.groupBy(*by, "_s")
                  .agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n")))
     if n_buckets > 1:
-        # range buckets balanced over *distinct* scores (the window's rows);
-        # the per-score table feeds two jobs, so it is materialised once
-        per_score = per_score.persist()
+        # score-range boundaries from a sketch (partial aggregate: no big
+        # shuffle); buckets are assigned by binary search over the boundaries
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        q = per_score.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []
-        bucket = range_bucket(F.col("_s"), list(q))
+        q = base.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []
+        bounds = sorted(set(float(v) for v in q))
+        if len(bounds) <= 64:
+            per_score = per_score.withColumn("_b", range_bucket(F.col("_s"), bounds))
+        else:
+            from pyspark.ml.feature import Bucketizer
+            per_score = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_s", outputCol="_bd",
+                                   handleInvalid="keep").transform(per_score) \
+                .withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
     else:
-        bucket = F.lit(0)
-    per_score = per_score.withColumn("_b", bucket)
+        per_score = per_score.withColumn("_b", F.lit(0))
     per_bucket = per_score.groupBy(*by, "_b").agg(F.sum("_n").alias("_nb"))
     w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*by, "_b", F.coalesce(F.sum("_nb").over(w_off), F.lit(0)).alias("_off"))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabforge.operators.ranking import _accuracy_for, exact_median_from_sketch, median_sketch_exprs
+from tabforge.operators.ranking import _accuracy_for, exact_medians_from_sketches, median_sketch_exprs
 from tabforge.sources.readers import to_bool_double, to_category, to_double
 from tabforge.spec import FeatureSpec
 
@@ -128,6 +128,10 @@ class FeaturePrep:
                 exprs += median_sketch_exprs(c, None)
             row = agg_src.agg(*exprs).collect()[0]
             n = int(row["_n"])
+            # all median-imputed columns resolved together (one job)
+            medians = exact_medians_from_sketches(
+                typed, {c: (int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"]) for c in med_cols},
+                _accuracy_for(0)) if med_cols else {}
             for f in numeric:
                 nv = int(row[f"nv__{f.name}"])
                 mu = row[f"mu__{f.name}"]
@@ -137,8 +141,7 @@ class FeaturePrep:
                     warnings.warn(f"feature '{f.name}' has no values; filled with 0.0")
                     fill = 0.0
                 elif method == "median":
-                    fill = exact_median_from_sketch(typed, f.name, int(row[f"_med_n__{f.name}"]),
-                                                    row[f"_med_q__{f.name}"], _accuracy_for(0))
+                    fill = medians[f.name]
                 elif method == "0":
                     fill = 0.0
                 else:

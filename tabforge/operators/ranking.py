@@ -224,6 +224,50 @@ def _narrow(df: DataFrame, c: Column, n_valid: int, k1: int, k2: int, lo: float,
     return lo, hi
 
 
+def exact_medians_from_sketches(df: DataFrame, sketches: dict[str, tuple[int, list[float] | None]],
+                                accuracy: int = 10_000) -> dict[str, float | None]:
+    """Exact medians of several columns from their pass-1 sketches in ONE job
+    (small brackets): every row contributes one ``(column, value-or-below)``
+    pair per column whose bracket top it is under; a window partitioned by
+    column ranks the (bounded) per-value table. Columns whose bracket is large
+    or missed fall back to ``exact_median_from_sketch``."""
+    out: dict[str, float | None] = {}
+    todo = []
+    for col, (n_valid, bracket) in sketches.items():
+        if n_valid == 0 or bracket is None:
+            out[col] = None
+        elif n_valid * 8.0 / accuracy > MAX_BRACKET_ROWS:
+            out[col] = exact_median_from_sketch(df, col, n_valid, bracket, accuracy)
+        else:
+            todo.append((col, n_valid, float(bracket[0]), float(bracket[1])))
+    if not todo:
+        return out
+    pairs = []
+    for i, (col, _, lo, hi) in enumerate(todo):
+        c = F.col(f"`{col}`")
+        pairs.append(F.when(c <= F.lit(hi), F.struct(F.lit(i).alias("i"), F.when(c >= F.lit(lo), c).alias("v"))))
+    exploded = df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull()).select("p.i", "p.v")
+    grouped = exploded.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = grouped.select("i", "v", "n", F.sum("n").over(w).alias("cum"))
+    k1s = F.element_at(F.array(*[F.lit((n - 1) // 2) for _, n, _, _ in todo]), F.col("i") + 1)
+    k2s = F.element_at(F.array(*[F.lit(n // 2) for _, n, _, _ in todo]), F.col("i") + 1)
+    picks = ranked.where(F.col("v").isNull() | ((F.col("cum") - F.col("n") <= k2s) & (F.col("cum") > k1s))).collect()
+    for i, (col, n_valid, lo, hi) in enumerate(todo):
+        rows = [r for r in picks if r["i"] == i]
+        k1, k2 = (n_valid - 1) // 2, n_valid // 2
+
+        def at(k):
+            for r in rows:
+                if r["v"] is not None and r["cum"] - r["n"] <= k < r["cum"]:
+                    return float(r["v"])
+            return None
+        a, b = at(k1), at(k2)
+        out[col] = ((a + b) / 2.0 if a is not None and b is not None
+                    else exact_median_from_sketch(df, col, n_valid, [lo, hi], accuracy))
+    return out
+
+
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Exact median of each column (nulls ignored); None for an all-null column."""
     if not cols:
@@ -232,6 +276,5 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     for c in cols:
         exprs += median_sketch_exprs(c, None)
     row = df.agg(*exprs).collect()[0]
-    return {c: exact_median_from_sketch(df, c, int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"],
-                                        _accuracy_for(0))
-            for c in cols}
+    return exact_medians_from_sketches(
+        df, {c: (int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"]) for c in cols}, _accuracy_for(0))

@@ -141,3 +141,16 @@ def test_properties(spark, xs, cs):
     assert abs(x.mean()) < 1e-6 and (abs(x.std() - 1) < 1e-6 or abs(x.std()) < 1e-6)
     onehot = [c for c in model.feature_names if c.startswith("c_") and c != "c_missing"]
     assert (out[onehot].sum(axis=1) == 1).all()                   # seen values: exactly one hot
+
+
+def test_several_medians_one_job(spark):
+    from tabforge.operators.ranking import exact_medians
+    rng = np.random.default_rng(7)
+    a = rng.normal(size=501).round(2)
+    b = rng.exponential(size=501).round(1)
+    rows = [(float(x), float(y) if i % 2 else None, None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = exact_medians(df, ["a", "b", "c"])
+    assert got["a"] == float(np.median(a))
+    assert got["b"] == float(np.median(b[1::2]))       # even count: mean of the middle two
+    assert got["c"] is None

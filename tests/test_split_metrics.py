@@ -80,3 +80,20 @@ def test_class_weights(spark):
     df = spark.createDataFrame([(1,)] * 3 + [(0,)], "y int")
     w = {r["y"]: r["weight"] for r in class_weight_frame(df, "y").collect()}
     assert w == {1: 4 / 6, 0: 4 / 2}
+
+
+def test_auc_bucketizer_path(spark):
+    rng = np.random.default_rng(11)
+    y = rng.integers(0, 2, 2000)
+    s = np.round(rng.random(2000) + 0.2 * y, 3)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, s double").repartition(6)
+    exp = roc_auc(df, "y", "s", n_buckets=1)
+    assert abs(roc_auc(df, "y", "s", n_buckets=200) - exp) < 1e-12    # > 64 buckets: binary search
+
+
+def test_hash_folds_no_shuffle(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey")
+    f = assign_folds(o, k=5, id_cols=["o_orderkey"], exact=False)
+    assert "Exchange" not in f._jdf.queryExecution().executedPlan().toString()
+    sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) < 0.1 * sum(sizes) / 5
