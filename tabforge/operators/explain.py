@@ -193,13 +193,29 @@ def prepare_shap(forest: Forest) -> list:
                 forest.threshold, forest.value, forest.cover)], D
 
 
+# doubles one SHAP working array may hold (rows x leaves x path slots), ~64 MB
+SHAP_WORK_ELEMS = 8_000_000
+
+
 def shap_np(prepared, D: int, n_features: int, X: np.ndarray) -> np.ndarray:
-    """Exact path-dependent TreeSHAP values, (rows, features)."""
+    """Exact path-dependent TreeSHAP values, (rows, features). Rows are
+    processed in chunks sized so each tree's working arrays stay bounded."""
+    R = X.shape[0]
+    out = np.zeros((R, n_features))
+    for tree in prepared:
+        L = len(tree[2])
+        step = max(1, SHAP_WORK_ELEMS // max(1, L * (D + 1)))
+        for i in range(0, R, step):
+            out[i:i + step] += _shap_tree(tree, D, n_features, X[i:i + step])
+    return out
+
+
+def _shap_tree(tree, D: int, n_features: int, X: np.ndarray) -> np.ndarray:
     R = X.shape[0]
     out = np.zeros((R, n_features))
     # Shapley weights for a game of D players: k! (D-1-k)! / D!
     wk = np.array([math.factorial(k) * math.factorial(D - 1 - k) / math.factorial(D) for k in range(D)])
-    for w, val, ids, Fm, LO, HI, P in prepared:
+    for w, val, ids, Fm, LO, HI, P in [tree]:
         v = w * val[ids]                                   # (L,)
         xv = X[:, Fm]                                      # (R, L, D)
         Z = ((xv > LO) & (xv <= HI)).astype(float)         # pads: lo=-inf, hi=inf -> 1
@@ -268,7 +284,7 @@ def attribution(df: DataFrame, model, features_col: str = "features", keep: list
         kernel = lambda X: shap_np(prepared, D, nf, X)
     else:
         raise ValueError(f"unknown attribution method: {method}")
-    chunk = 2048
+    chunk = 4096
 
     def run(batches):
         for pdf in batches:
