@@ -97,3 +97,16 @@ def test_hash_folds_no_shuffle(spark):
     assert "Exchange" not in f._jdf.queryExecution().executedPlan().toString()
     sizes = [r["count"] for r in f.groupBy("fold").count().collect()]
     assert len(sizes) == 5 and max(sizes) - min(sizes) < 0.1 * sum(sizes) / 5
+
+
+@pytest.mark.parametrize("bound", [None, 4])
+def test_grouped_auc_bucketed(spark, bound):
+    rng = np.random.default_rng(5)
+    rows = [(int(g), int(y), float(np.round(rng.random() + 0.3 * y, 2)))
+            for g in range(3) for y in rng.integers(0, 2, 300)]
+    df = spark.createDataFrame(rows, "g int, y int, s double")
+    got = {r["g"]: r["auc"] for r in auc_frame(df, "y", "s", by=["g"], n_buckets=6, n_groups_bound=bound).collect()}
+    for g in range(3):
+        ys = [y for gg, y, _ in rows if gg == g]
+        ss = [s for gg, _, s in rows if gg == g]
+        assert abs(got[g] - brute_auc(ys, ss)) < 1e-12
