@@ -154,3 +154,13 @@ def test_several_medians_one_job(spark):
     assert got["a"] == float(np.median(a))
     assert got["b"] == float(np.median(b[1::2]))       # even count: mean of the middle two
     assert got["c"] is None
+
+
+def test_fit_partition_invariant(spark):
+    from tabforge.plans.queries_prepare import STANDARD_SCALE_SPEC, lineitem_nulls
+    df = lineitem_nulls(spark, "/root/testdata/sf0.001")
+    a = FeaturePrep(STANDARD_SCALE_SPEC, missing_indicators=False).fit(df)
+    b = FeaturePrep(STANDARD_SCALE_SPEC, missing_indicators=False).fit(df.repartition(11))
+    for x, y in zip(a.numeric, b.numeric):
+        assert x.name == y.name and x.fill == y.fill or abs(x.fill - y.fill) < 1e-9
+        assert abs(x.mean - y.mean) < 1e-9 and abs(x.scale - y.scale) < 1e-9

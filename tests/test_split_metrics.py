@@ -110,3 +110,18 @@ def test_grouped_auc_bucketed(spark, bound):
         ys = [y for gg, y, _ in rows if gg == g]
         ss = [s for gg, _, s in rows if gg == g]
         assert abs(got[g] - brute_auc(ys, ss)) < 1e-12
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=5, max_size=200), st.integers(1, 7), st.integers(1, 9))
+def test_fold_balance_property(spark, labels, parts, buckets):
+    df = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "id long, y int").repartition(parts)
+    pdf = assign_folds(df, k=5, label="y", id_cols=["id"], n_buckets=buckets).toPandas()
+    assert len(pdf) == len(labels)
+    for y, g in pdf.groupby("y"):
+        counts = g["fold"].value_counts().reindex(range(5), fill_value=0)
+        assert counts.max() - counts.min() <= 1
