@@ -203,6 +203,8 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
     weight_modes = {spark_params(t)[1] for t in trials}
     base = df
     if fold_col not in base.columns:
+        if cfg.use_custom_splits:
+            raise ValueError(f"use_custom_splits is set but the data has no '{fold_col}' column")
         base = assign_folds(base, k=k, seed=seed,
                             label=label_col if problem == "classification" else None,
                             id_cols=id_cols, fold_col=fold_col)

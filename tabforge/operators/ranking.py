@@ -85,8 +85,13 @@ def hash_rank(df: DataFrame, key: Column, group_cols: list[str] | None = None,
     w_off = Window.partitionBy(*group_cols).orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, "_rk_b",
                             F.coalesce(F.sum("_rk_n").over(w_off), F.lit(0)).alias("_rk_off"))
-    bound = n_buckets * (n_groups_bound if n_groups_bound is not None else BROADCAST_ROW_LIMIT + 1)
-    joined = keyed.join(broadcast_if_small(offsets, bound if group_cols else n_buckets),
+    if not group_cols:
+        bound = n_buckets                      # one offset row per bucket
+    elif n_groups_bound is not None:
+        bound = n_buckets * n_groups_bound     # proven by the caller
+    else:
+        bound = None                           # unknown: let AQE decide on measured size
+    joined = keyed.join(broadcast_if_small(offsets, bound) if bound is not None else offsets,
                         on=[*group_cols, "_rk_b"], how="inner")
     order = [F.col("_rk_key")] + [F.col(t) if isinstance(t, str) else t for t in tiebreak]
     w = Window.partitionBy(*group_cols, "_rk_b").orderBy(*order)

@@ -37,7 +37,7 @@ def _tiebreak(df: DataFrame, keys: list[str], unique: bool, row_cols: list[str]
 
 def assign_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str | None = None,
                  id_cols: list[str] | None = None, fold_col: str = "fold",
-                 n_buckets: int | None = None, n_classes_bound: int = 64,
+                 n_buckets: int | None = None, n_classes_bound: int | None = None,
                  ids_unique: bool = True, row_cols: list[str] | None = None,
                  exact: bool = True) -> DataFrame:
     """K1 (``label`` given: stratified) / K2 (plain): ``fold_col`` in 0..k-1.
@@ -60,6 +60,8 @@ def assign_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str | None =
     ranked = hash_rank(df, key, group_cols=groups,
                        tiebreak=_tiebreak(df, keys, ids_unique and bool(id_cols), row_cols), n_buckets=n_buckets,
                        rank_col="_fold_rank", n_groups_bound=n_classes_bound if label else 1)
+    # without a proven class bound no broadcast hint is given: AQE broadcasts
+    # the offsets table on its measured size, or keeps a sort-merge join
     return ranked.withColumn(fold_col, ((F.col("_fold_rank") - 1) % k).cast("int")).drop("_fold_rank")
 
 

@@ -144,3 +144,26 @@ def test_balanced_class_weights_fit(spark, f4):
     assert abs(w[1.0] - 100 / (2 * n1)) < 1e-12
     m = fit_single(f4, "classification", {"n_estimators": 3, "class_weight": "balanced", "num_leaves": 4}, "target")
     assert m.getNumTrees == 3
+
+
+def test_regression_cv_best_fold(spark, f4):
+    """Regression path: RMSE scores, best fold by the lowest RMSE (no refit)."""
+    df = f4.withColumn("y", F.col("feature_1") * 2.0 + F.col("feature_3"))
+    cfg = ModelConfig.from_dict({"target_variable": "y", "problem_type": "regression",
+                                 "evaluation_metric": "rmse", "better_performance": "lt",
+                                 "retrain_with_whole_dataset": False, "num_hp_searches": 1,
+                                 "hyperparameter_space": {"lgbm": {
+                                     "n_estimators": "int(trial.suggest_discrete_uniform('n_estimators', 10, 10, 1))",
+                                     "num_leaves": "int(trial.suggest_discrete_uniform('num_leaves', 8, 8, 1))"}}})
+    res = train_cv(df, cfg, "y", id_cols=["rid"])
+    vals = [v for _, _, v in res.fold_scores]
+    assert all(v >= 0 for v in vals)
+    assert abs(res.summary["cv_mean_val_score"] - sum(vals) / 5) < 1e-12
+    out = score(res.model, df, "regression").select("prediction").collect()
+    assert len(out) == 100
+
+
+def test_custom_splits_need_fold_column(spark, f4):
+    cfg = ModelConfig.from_dict({"use_custom_splits": True, "num_hp_searches": 1})
+    with pytest.raises(ValueError):
+        train_cv(f4, cfg, "target")
