@@ -43,7 +43,8 @@ def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[
     if n_buckets is None:
         # one score-range bucket per input partition once the input is large
         # (no extra job); any count gives the exact result
-        parts = base.rdd.getNumPartitions()
+        from tabforge.operators.ranking import input_partitions
+        parts = input_partitions(base)
         n_buckets = 1 if parts <= 16 else int(min(AUC_MAX_BUCKETS, parts))
     per_score = (base.groupBy(*by, "_s")
                  .agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n")))

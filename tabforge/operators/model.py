@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.columns import positive_probability, threshold_class
 from tabforge.functions.metrics import auc_frame, classification_metrics, regression_metrics
+from tabforge.operators.ranking import input_partitions
 from tabforge.operators.split import assign_folds, with_class_weights
 from tabforge.session import work_dir
 from tabforge.spec import ModelConfig, draw_trials, parse_space
@@ -211,8 +212,15 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
     if problem == "classification" and "balanced" in weight_modes:
         base = with_class_weights(base, label_col, "_w_balanced", "balanced")
     cols = [label_col, features_col, fold_col] + (["_w_balanced"] if "_w_balanced" in base.columns else [])
-    data = base.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    data = base.select(*cols)
+    # keep the input's parallelism: the fold ranking's shuffle may have split
+    # a small input into many tiny partitions, which every tree level of every
+    # concurrent fit would then schedule (a no-op when the input is large)
+    data = data.coalesce(input_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # materialise once: concurrent trials must not each recompute the
+        # lineage (preparation, fold ranking) while the cache is still empty
+        data.count()
         def run(fold: int, ti: int) -> TrialResult:
             sp, wmode = spark_params(trials[ti])
             marked = data.withColumn("_is_val", F.col(fold_col) == fold)
