@@ -291,8 +291,9 @@ def fit_single(df: DataFrame, problem_type: str, params: dict, label_col: str,
     # the fit makes several passes (split finding, tree levels, errors): read
     # the projected input once
     cols = [label_col, features_col] + [c for c in (wcol, validation_col) if c]
-    data = src.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    data = src.select(*cols).coalesce(input_partitions(src)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        data.count()
         return make_estimator(problem_type, sp, label_col, features_col, wcol, validation_col, seed).fit(data)
     finally:
         data.unpersist()
