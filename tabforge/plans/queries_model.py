@@ -378,3 +378,42 @@ def predict_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                       output_base=base, run_id="predict", calculate_importance=True)
     out = jobs.predict(spark, mcfg, pcfg)
     return spark.read.option("header", True).csv(out.details["output_path"])
+
+
+# ---------------------------------------------------------------------------
+# invariants as queries: their expected values follow from the tables alone
+# ---------------------------------------------------------------------------
+
+_DOC_COUNT_SQL = "FROM documents d JOIN labels l ON d.doc_id = l.doc_id"
+
+
+def _max_diff(a: DataFrame, b: DataFrame) -> DataFrame:
+    j = a.select("doc_id", F.col("prediction_proba").alias("pa")).join(
+        b.select("doc_id", F.col("prediction_proba").alias("pb")), "doc_id", "full_outer")
+    return rounded(j.agg(F.count(F.lit(1)).alias("n_rows"),
+                         F.max(F.coalesce(F.abs(F.col("pa") - F.col("pb")), F.lit(1.0))).alias("max_abs_diff")))
+
+
+@query("model_reload_identity", f"SELECT count(*) AS n_rows, 0.0 AS max_abs_diff {_DOC_COUNT_SQL}")
+def model_reload_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 invariant: the reloaded model scores every row exactly as the original."""
+    return _max_diff(batch_score(spark, sf_dir), model_reload(spark, sf_dir))
+
+
+@query("stream_batch_identity", f"SELECT count(*) AS n_rows, 0.0 AS max_abs_diff {_DOC_COUNT_SQL}")
+def stream_batch_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming scoring equals batch scoring, row for row."""
+    return _max_diff(batch_score(spark, sf_dir), stream_score(spark, sf_dir))
+
+
+@query("predict_job_contract", f"""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS bad_probability, CAST(0 AS BIGINT) AS bad_class {_DOC_COUNT_SQL}
+""")
+def predict_job_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 contract: one prediction per input row, probability in [0, 1],
+    class = probability > 0.5."""
+    t = predict_job(spark, sf_dir)
+    p = F.col("prediction_proba").cast("double")
+    return t.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if(p.isNull() | (p < 0) | (p > 1)).alias("bad_probability"),
+                 F.count_if(F.col("prediction_class").cast("int") != (p > 0.5).cast("int")).alias("bad_class"))
