@@ -105,3 +105,24 @@ def test_training_requires_target(spark, workspace, tmp_path):
                      file_path=str(tmp_path / "nt.csv"))
     with pytest.raises(ValueError):
         jobs.train(spark, ModelConfig.from_dict(MODEL_CFG), cfg)
+
+
+def test_regression_job(spark, workspace, tmp_path):
+    d = workspace
+    meta = json.loads((d / "meta.json").read_text())
+    meta["feature_1"][1] = 1
+    meta["feature_2"] = ["float", 1, "median", None, "target"]      # regression target
+    (tmp_path / "meta.json").write_text(json.dumps(meta))
+    cfg = dict(MODEL_CFG, target_variable="feature_2", problem_type="regression", evaluation_metric="rmse",
+               better_performance="lt", num_hp_searches=1, importance_extraction_method="treeinterpreter",
+               sample_for_contribution=1.0, retrain_with_whole_dataset=False)
+    tcfg = DataConfig(training=True, metadata_file_path=str(tmp_path / "meta.json"), input_data_source="CSV",
+                      file_path=str(d / "train.csv"), uid_column_name="id_col", run_id="reg",
+                      output_base=str(tmp_path))
+    res = jobs.train(spark, ModelConfig.from_dict(cfg), tcfg)
+    root = res.output_dir
+    assert res.details["training_results"]["cv_mean_val_score"] >= 0
+    pred = spark.read.option("header", True).csv(f"{root}/predictions/original_data_with_predictions")
+    assert pred.count() == 80 and "prediction" in pred.columns
+    contrib = spark.read.option("header", True).csv(f"{root}/deep_insights_input/treeinterpreter_contributions")
+    assert contrib.count() == 80 and "id_col" in contrib.columns
