@@ -317,19 +317,31 @@ def importance_frame(spark: SparkSession, df: DataFrame, names: list[str],
                      x_cols: list[Column], c_cols: list[Column]) -> DataFrame:
     """``(feature, mean_abs, sign, importance, rank_abs)``: mean |c_i|, the
     sign of covar_pop(x_i, c_i) (+1 when x_i or c_i is constant), their
-    product, and the rank by |importance| (1 = largest)."""
-    exprs = []
-    for i, (x, c) in enumerate(zip(x_cols, c_cols)):
-        exprs += [F.avg(F.abs(c)).alias(f"ma{i}"), F.covar_pop(x, c).alias(f"cv{i}"),
-                  F.min(x).alias(f"xa{i}"), F.max(x).alias(f"xb{i}"),
-                  F.min(c).alias(f"ca{i}"), F.max(c).alias(f"cb{i}")]
-    r = df.agg(*exprs).collect()[0]      # one row: 6 numbers per feature
+    product, and the rank by |importance| (1 = largest).
+
+    Long form: each row is exploded into (feature index, x, c) and one
+    ``groupBy(feature)`` with six aggregates runs, partially aggregated
+    map-side -- the plan's size does not grow with the feature count."""
+    arr = df.select(F.array(*[x.cast("double") for x in x_cols]).alias("_x"),
+                    F.array(*[c.cast("double") for c in c_cols]).alias("_c"))
+    return _importance_long(spark, arr, names)
+
+
+def _importance_long(spark: SparkSession, arr: DataFrame, names: list[str]) -> DataFrame:
+    long = arr.select(F.posexplode(F.arrays_zip(F.col("_x").alias("x"), F.col("_c").alias("c"))).alias("i", "p"))
+    x, c = F.col("p.x"), F.col("p.c")
+    stats = (long.groupBy("i")
+             .agg(F.avg(F.abs(c)).alias("ma"), F.covar_pop(x, c).alias("cv"),
+                  F.min(x).alias("xa"), F.max(x).alias("xb"), F.min(c).alias("ca"), F.max(c).alias("cb"))
+             .collect())                      # one row per feature
+    by_i = {r["i"]: r for r in stats}
     rows = []
     for i, n in enumerate(names):
-        ma = float(r[f"ma{i}"] or 0.0)
-        varies = (r[f"xa{i}"] is not None and r[f"xa{i}"] < r[f"xb{i}"]
-                  and r[f"ca{i}"] is not None and r[f"ca{i}"] < r[f"cb{i}"])
-        cv = float(r[f"cv{i}"] or 0.0)
+        r = by_i.get(i)
+        ma = float(r["ma"] or 0.0) if r else 0.0
+        varies = bool(r) and (r["xa"] is not None and r["xa"] < r["xb"]
+                              and r["ca"] is not None and r["ca"] < r["cb"])
+        cv = float(r["cv"] or 0.0) if r else 0.0
         sign = float(np.sign(cv)) if varies else 1.0
         rows.append((n, ma, sign, ma * sign))
     order = sorted(range(len(rows)), key=lambda j: (-abs(rows[j][3]), rows[j][0]))
@@ -340,6 +352,6 @@ def importance_frame(spark: SparkSession, df: DataFrame, names: list[str],
 
 def importance_from_contributions(contrib: DataFrame, feature_names: list[str]) -> DataFrame:
     """X4-X6 over the output of ``attribution``."""
-    xs = [F.col("x").getItem(i) for i in range(len(feature_names))]
-    cs = [F.col("contributions").getItem(i) for i in range(len(feature_names))]
-    return importance_frame(contrib.sparkSession, contrib, feature_names, xs, cs)
+    return _importance_long(contrib.sparkSession,
+                            contrib.select(F.col("x").alias("_x"), F.col("contributions").alias("_c")),
+                            feature_names)

@@ -14,6 +14,7 @@ import os
 import warnings
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,8 +88,10 @@ def _pred_cols(problem: str) -> list[str]:
     return ["prediction_proba", "prediction_class"] if problem == "classification" else ["prediction"]
 
 
-def _attribution_outputs(spark, layout, model, prep, frame, method, uid, fmt, sample, seed):
-    """X2/X3 + X4-X6 + S8/S9 on (a K3 sample of) ``frame``."""
+def _attribution_outputs(spark, layout, model, prep, frame, method, uid, fmt, sample, seed,
+                         model_path=None):
+    """X2/X3 + X4-X6 + S8/S9 on (a K3 sample of) ``frame``. The per-row
+    contributions feed two sinks, so they are computed once and persisted."""
     rows = (sample_exact(frame, sample, seed=seed, id_cols=[uid] if uid else None, ids_unique=False,
                          row_cols=[c for c in frame.columns if not c.startswith(TMP_PREFIX)])
             if sample < 1 else frame)
@@ -97,12 +100,16 @@ def _attribution_outputs(spark, layout, model, prep, frame, method, uid, fmt, sa
         rows = rows.withColumn("index", F.monotonically_increasing_id())
         keep = ["index"]
     name = "treeinterpreter" if method == "path" else "shap"
-    contrib = explain.attribution(rows, model, keep=keep, method=method)
-    imp = explain.importance_from_contributions(contrib, prep.feature_names)
-    write_table(importance_sink(imp), layout.insights(f"{name}_feature_importance"), fmt)
-    write_table(explain.contributions_wide(contrib, prep.feature_names, keep),
-                layout.insights(f"{name}_contributions" if method == "path" else "shap_values"), fmt)
-    return {r["feature"]: r["importance"] for r in imp.collect()}
+    contrib = explain.attribution(rows, model, keep=keep, method=method, model_path=model_path)
+    contrib = contrib.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        imp = explain.importance_from_contributions(contrib, prep.feature_names)   # small, driver-built
+        write_table(importance_sink(imp), layout.insights(f"{name}_feature_importance"), fmt)
+        write_table(explain.contributions_wide(contrib, prep.feature_names, keep),
+                    layout.insights(f"{name}_contributions" if method == "path" else "shap_values"), fmt)
+        return {r["feature"]: r["importance"] for r in imp.collect()}
+    finally:
+        contrib.unpersist()
 
 
 def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
@@ -126,6 +133,7 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     save_model(spark, model, layout.model(stem), {"problem_type": problem, "target": target,
                                                   "feature_names": prep.feature_names,
                                                   "best_params": result.best_params})
+    spark_model_path = f"{layout.model(stem)}/spark_model"      # node table for X1-X3
     prep.save(spark, layout.insights(f"{stem}_data_processor"))
 
     scored = score(model, full, problem)
@@ -136,11 +144,12 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     write_table(_transformed_view(scored, prep, [target, *preds]),
                 layout.predictions("transformed_data_with_predictions"), fmt)
 
-    native = explain.native_importance(spark, model, prep.feature_names)
+    native = explain.native_importance(spark, model, prep.feature_names, spark_model_path)
     write_table(importance_sink(native), layout.insights("native_feature_importance"), fmt)
     method = "path" if model_cfg.importance_extraction_method == "treeinterpreter" else "shap"
     importance = _attribution_outputs(spark, layout, model, prep, scored, method, uid, fmt,
-                                      float(model_cfg.sample_for_contribution), model_cfg.seed)
+                                      float(model_cfg.sample_for_contribution), model_cfg.seed,
+                                      spark_model_path)
     results = dict(result.summary)
     write_table(manifest_frame(spark, model_cfg.to_dict(), data_cfg.to_dict(), results),
                 layout.manifest(), "json")
@@ -184,7 +193,8 @@ def predict(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     if data_cfg.calculate_importance:
         method = "path" if model_cfg.importance_extraction_method == "treeinterpreter" else "shap"
         details["importance"] = _attribution_outputs(spark, layout, model, prep, scored, method, uid, fmt,
-                                                     float(model_cfg.sample_for_contribution), model_cfg.seed)
+                                                     float(model_cfg.sample_for_contribution), model_cfg.seed,
+                                                     f"{data_cfg.model_file_path.rstrip('/')}/spark_model")
     if has_target and problem == "classification":
         label = scored.select(F.col(target).alias("y"), F.col("prediction_proba").alias("p"))
         details["metrics"] = {r["metric"]: r["value"]
