@@ -164,3 +164,12 @@ def test_fit_partition_invariant(spark):
     for x, y in zip(a.numeric, b.numeric):
         assert x.name == y.name and x.fill == y.fill or abs(x.fill - y.fill) < 1e-9
         assert abs(x.mean - y.mean) < 1e-9 and abs(x.scale - y.scale) < 1e-9
+
+
+def test_numeric_typed_category(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (2.5,), (None,)], "c double")
+    spec = FeatureSpec.from_columns({"c": ["category", 1, "unknown", "one-hot", None]})
+    model = FeaturePrep(spec).fit(df)
+    assert model.feature_names == ["c_1", "c_2", "c_2.5", "c_unknown", "c_missing"]
+    rows = model.transform(df).collect()
+    assert [r["c_1"] for r in rows] == [1.0, 0.0, 0.0, 0.0]

@@ -90,3 +90,18 @@ def test_metric_direction_is_checked():
         ModelConfig.from_dict({"evaluation_metric": "logloss"})
     assert ModelConfig.from_dict({}).metric_sign == 1.0
     assert math.isclose(ModelConfig.from_dict({"evaluation_metric": "rmse", "better_performance": "lt"}).metric_sign, -1)
+
+
+def test_config_files_and_defaults(tmp_path):
+    from tabforge.spec import DataConfig
+    p = tmp_path / "data.json"
+    p.write_text(json.dumps({"training": True, "metadata_file_path": "/m.json", "input_data_source": "CSV",
+                             "file_path": "/d.csv", "unknown_key": 1}))
+    cfg = DataConfig.from_json_file(str(p))
+    assert cfg.training and cfg.input_data_source == "CSV" and cfg.file_path == "/d.csv"
+    with pytest.raises(FileNotFoundError):
+        DataConfig.from_json_file(str(tmp_path / "nope.json"))
+    m = ModelConfig.from_dict({})
+    assert (m.problem_type, m.evaluation_metric, m.better_performance) == ("classification", "rocauc", "gt")
+    assert m.num_hp_searches == 10 and m.retrain_with_whole_dataset and m.sample_for_contribution == 1.0
+    assert m.importance_extraction_method == "shap" and m.n_folds == 5 and m.seed == 42
