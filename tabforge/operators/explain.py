@@ -116,8 +116,15 @@ def load_forest(spark: SparkSession, model, model_path: str | None = None) -> Fo
 # ---------------------------------------------------------------------------
 
 def native_importance(spark: SparkSession, model, feature_names: list[str],
-                      model_path: str | None = None) -> DataFrame:
-    """Split count per feature (features never split on get 0)."""
+                      model_path: str | None = None, importance_type: str = "split") -> DataFrame:
+    """Split count per feature (features never split on get 0);
+    ``importance_type="gain"`` gives Spark's normalised gain importance."""
+    if importance_type == "gain":
+        gains = model.featureImportances.toArray()
+        return spark.createDataFrame([(n, float(gains[i])) for i, n in enumerate(feature_names)],
+                                     "feature string, importance double")
+    if importance_type != "split":
+        raise ValueError(f"unknown importance_type: {importance_type}")
     nodes = forest_table(spark, model, model_path)
     counts = nodes.where(F.col("left") >= 0).groupBy("feature").agg(F.count(F.lit(1)).alias("splits"))
     names = spark.createDataFrame(list(enumerate(feature_names)), "feature int, name string")

@@ -92,7 +92,7 @@ class FeaturePrep:
     def __init__(self, spec: FeatureSpec, target: str | None = None,
                  passthrough: list[str] | None = None, indicator: str = "flag",
                  missing_indicators: bool = True, scale: bool = True,
-                 max_categories: int = 1000):
+                 max_categories: int = 1000, median_relative_error: float = 0.0):
         if indicator not in ("flag", "fill_one"):
             raise ValueError("indicator must be 'flag' or 'fill_one'")
         self.spec = spec
@@ -102,6 +102,8 @@ class FeaturePrep:
         self.missing_indicators = missing_indicators
         self.scale = scale
         self.max_categories = max_categories
+        # 0 -> exact median; > 0 -> percentile_approx with that rank error (one pass)
+        self.median_relative_error = median_relative_error
 
     def fit(self, df: DataFrame) -> "FeaturePrepModel":
         problems = self.spec.problems()
@@ -124,14 +126,22 @@ class FeaturePrep:
             for f in numeric:
                 exprs += [F.count(_q(f.name)).alias(f"nv__{f.name}"), F.avg(_q(f.name)).alias(f"mu__{f.name}"),
                           F.var_pop(_q(f.name)).alias(f"var__{f.name}")]
+            approx = self.median_relative_error > 0
             for c in med_cols:
-                exprs += median_sketch_exprs(c, None)
+                if approx:
+                    acc = int(max(1, round(1.0 / self.median_relative_error)))
+                    exprs.append(F.percentile_approx(_q(c), 0.5, acc).alias(f"_med_a__{c}"))
+                else:
+                    exprs += median_sketch_exprs(c, None)
             row = agg_src.agg(*exprs).collect()[0]
             n = int(row["_n"])
             # all median-imputed columns resolved together (one job)
-            medians = exact_medians_from_sketches(
-                typed, {c: (int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"]) for c in med_cols},
-                _accuracy_for(0)) if med_cols else {}
+            if approx:
+                medians = {c: row[f"_med_a__{c}"] for c in med_cols}
+            else:
+                medians = exact_medians_from_sketches(
+                    typed, {c: (int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"]) for c in med_cols},
+                    _accuracy_for(0)) if med_cols else {}
             for f in numeric:
                 nv = int(row[f"nv__{f.name}"])
                 mu = row[f"mu__{f.name}"]

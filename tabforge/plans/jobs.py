@@ -154,6 +154,10 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     write_table(manifest_frame(spark, model_cfg.to_dict(), data_cfg.to_dict(), results),
                 layout.manifest(), "json")
     write_table(result.cv_results_frame(spark), layout.model("cv_results"), fmt)
+    write_table(spark.createDataFrame([(layout.run_id, k, float(v)) for k, v in results.items()
+                                       if isinstance(v, (int, float))],
+                                      "run_id string, metric string, value double"),
+                layout.model("metrics"), fmt)
     return JobResult(True, layout.root, {"training_results": results, "importance": importance,
                                          "warnings": report.warnings})
 

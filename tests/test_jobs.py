@@ -55,6 +55,7 @@ def test_train_then_predict(spark, workspace):
     res = jobs.train(spark, mcfg, tcfg)
     root = res.output_dir
     assert res.success and os.path.isdir(f"{root}/model/target_classification_lgbm/spark_model")
+    assert os.path.isdir(f"{root}/model/metrics")
     for sub in ("predictions/original_data_with_predictions", "predictions/transformed_data_with_predictions",
                 "deep_insights_input/native_feature_importance", "deep_insights_input/shap_feature_importance",
                 "deep_insights_input/shap_values", "training_config"):

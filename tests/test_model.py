@@ -167,3 +167,9 @@ def test_custom_splits_need_fold_column(spark, f4):
     cfg = ModelConfig.from_dict({"use_custom_splits": True, "num_hp_searches": 1})
     with pytest.raises(ValueError):
         train_cv(f4, cfg, "target")
+
+
+def test_gain_importance(spark, trained):
+    imp = {r["feature"]: r["importance"] for r in
+           explain.native_importance(spark, trained.model, FEATS, importance_type="gain").collect()}
+    assert set(imp) == set(FEATS) and abs(sum(imp.values()) - 1.0) < 1e-9

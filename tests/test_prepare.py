@@ -173,3 +173,11 @@ def test_numeric_typed_category(spark):
     assert model.feature_names == ["c_1", "c_2", "c_2.5", "c_unknown", "c_missing"]
     rows = model.transform(df).collect()
     assert [r["c_1"] for r in rows] == [1.0, 0.0, 0.0, 0.0]
+
+
+def test_approximate_median_option(spark):
+    df = spark.range(1, 1002).select(F.col("id").cast("double").alias("v"))
+    spec = FeatureSpec.from_columns({"v": ["float", 1, "median", None, None]})
+    exact = FeaturePrep(spec).fit(df).numeric[0].fill
+    approx = FeaturePrep(spec, median_relative_error=0.01).fit(df).numeric[0].fill
+    assert exact == 501.0 and abs(approx - 501.0) <= 0.01 * 1001 + 1
