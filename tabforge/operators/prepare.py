@@ -38,6 +38,23 @@ from tabforge.sources.readers import to_bool_double, to_category, to_double
 from tabforge.spec import FeatureSpec
 
 MISSING_SUFFIX = "_missing"
+SPARSE_SUFFIX = "_onehot"
+
+
+def _encode_sparse(df: DataFrame, col: str, vocab: list[str]) -> DataFrame:
+    """Replace the string column ``col`` by a sparse one-hot vector over
+    ``vocab`` (Spark's StringIndexer / OneHotEncoder: the value -> index map is
+    a JVM hash lookup, not a plan expression)."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
+    idx, vec = f"{col}__idx", f"{col}__vec"
+    indexed = StringIndexerModel.from_labels(vocab, inputCol=col, outputCol=idx,
+                                             handleInvalid="keep").transform(df)
+    # the indexer's "keep" adds an unknown label as the last category; dropLast
+    # removes exactly that slot, so unseen values encode as all zeros
+    encoded = OneHotEncoder(inputCols=[idx], outputCols=[vec], dropLast=True,
+                            handleInvalid="error").fit(indexed).transform(indexed)
+    cols = [F.col(vec).alias(col) if c == col else F.col(f"`{c}`") for c in df.columns]
+    return encoded.select(*cols)
 
 
 @dataclass
@@ -58,6 +75,7 @@ class CategoryStat:
     fill: str
     vocab: list[str]
     n_null: int
+    sparse: bool = False      # encoded as one sparse vector column (large vocabulary)
 
 
 def _q(name: str) -> Column:
@@ -92,7 +110,8 @@ class FeaturePrep:
     def __init__(self, spec: FeatureSpec, target: str | None = None,
                  passthrough: list[str] | None = None, indicator: str = "flag",
                  missing_indicators: bool = True, scale: bool = True,
-                 max_categories: int = 1000, median_relative_error: float = 0.0):
+                 max_categories: int = 100_000, median_relative_error: float = 0.0,
+                 sparse_above: int = 1000):
         if indicator not in ("flag", "fill_one"):
             raise ValueError("indicator must be 'flag' or 'fill_one'")
         self.spec = spec
@@ -102,6 +121,8 @@ class FeaturePrep:
         self.missing_indicators = missing_indicators
         self.scale = scale
         self.max_categories = max_categories
+        # vocabularies larger than this become one sparse one-hot vector column
+        self.sparse_above = sparse_above
         # 0 -> exact median; > 0 -> percentile_approx with that rank error (one pass)
         self.median_relative_error = median_relative_error
 
@@ -198,7 +219,8 @@ class FeaturePrep:
                 else:
                     fill = "unknown"
                 vocab = sorted(set(seen) | ({fill} if n_null > 0 else set()))
-                cat_stats.append(CategoryStat(f.name, f.impute_method, fill, vocab, n_null))
+                cat_stats.append(CategoryStat(f.name, f.impute_method, fill, vocab, n_null,
+                                              sparse=len(vocab) > self.sparse_above))
 
         return FeaturePrepModel(
             spec=self.spec, target=self.target, passthrough=self.passthrough,
@@ -242,8 +264,12 @@ class FeaturePrepModel:
         for s in self.categorical:
             raw = to_category(_q(s.name), dt(s.name))
             filled = F.coalesce(raw, F.lit(s.fill))
-            for v in s.vocab:
-                out.append((f"{s.name}_{v}", (filled == F.lit(v)).cast("double")))
+            if s.sparse:
+                # placeholder: the imputed string, encoded to a vector in transform()
+                out.append((s.name + SPARSE_SUFFIX, filled))
+            else:
+                for v in s.vocab:
+                    out.append((f"{s.name}_{v}", (filled == F.lit(v)).cast("double")))
             if self.missing_indicators:
                 out.append((s.name + MISSING_SUFFIX, raw.isNull().cast("double")))
         for name in self.boolean:
@@ -265,14 +291,29 @@ class FeaturePrepModel:
         return named
 
     def feature_columns(self, df: DataFrame) -> dict[str, Column]:
-        """Output feature expressions by name (to embed in another projection)."""
+        """Output feature expressions by name (to embed in another projection);
+        a sparse category appears as its imputed string."""
         dtypes = {f.name: f.dataType for f in df.schema.fields}
         return dict(self._plan(dtypes))
 
+    @property
+    def output_columns(self) -> list[str]:
+        """Columns ``transform`` adds (a sparse category is one vector column)."""
+        return [n for n, _ in self._plan({})]
+
     @property
     def feature_names(self) -> list[str]:
+        """One name per slot of the assembled feature vector (sparse
+        categories expanded to ``<c>_<value>``)."""
         if self._names is None:
-            self._names = [n for n, _ in self._plan({})]
+            sparse = {s.name + SPARSE_SUFFIX: s for s in self.categorical if s.sparse}
+            names = []
+            for n in self.output_columns:
+                if n in sparse:
+                    names += [f"{sparse[n].name}_{v}" for v in sparse[n].vocab]
+                else:
+                    names.append(n)
+            self._names = names
         return list(self._names)
 
     def transform(self, df: DataFrame, keep: list[str] | None = None,
@@ -290,9 +331,11 @@ class FeaturePrepModel:
             raise ValueError(f"Required feature(s) missing from the data: {missing}")
         plan = self._plan(dtypes)
         out = df.select(*[_q(c) for c in keep], *[e.alias(name_prefix + n) for n, e in plan])
+        for st in (x for x in self.categorical if x.sparse):
+            out = _encode_sparse(out, name_prefix + st.name + SPARSE_SUFFIX, st.vocab)
         if assemble:
             from pyspark.ml.feature import VectorAssembler
-            out = VectorAssembler(inputCols=[name_prefix + n for n, _ in plan], outputCol=features_col,
+            out = VectorAssembler(inputCols=[name_prefix + n for n in self.output_columns], outputCol=features_col,
                                   handleInvalid="keep").transform(out)
         return out
 
@@ -337,8 +380,8 @@ class FeaturePrepModel:
                                for s in self.categorical for i, v in enumerate(s.vocab)] or [],
                               "name string, impute string, fill string, pos int, value string, n_null long"
                               ).write.mode("overwrite").parquet(f"{path}/category_vocab")
-        spark.createDataFrame([(s.name, s.impute, s.fill, s.n_null) for s in self.categorical] or [],
-                              "name string, impute string, fill string, n_null long"
+        spark.createDataFrame([(s.name, s.impute, s.fill, s.n_null, s.sparse) for s in self.categorical] or [],
+                              "name string, impute string, fill string, n_null long, sparse boolean"
                               ).write.mode("overwrite").parquet(f"{path}/category_fill")
         return path
 
@@ -353,7 +396,8 @@ class FeaturePrepModel:
         for r in spark.read.parquet(f"{path}/category_vocab").collect():
             vocab.setdefault(r["name"], []).append((r["pos"], r["value"]))
         cats = {r["name"]: CategoryStat(r["name"], r["impute"], r["fill"],
-                                        [v for _, v in sorted(vocab.get(r["name"], []))], r["n_null"])
+                                        [v for _, v in sorted(vocab.get(r["name"], []))], r["n_null"],
+                                        bool(r["sparse"]))
                 for r in spark.read.parquet(f"{path}/category_fill").collect()}
         # restore the fitted (data column) order
         numeric = [nums[n] for n in meta["numeric_order"]]

@@ -80,7 +80,7 @@ def _with_features(prep: FeaturePrepModel, typed: DataFrame) -> DataFrame:
 
 
 def _transformed_view(scored: DataFrame, prep: FeaturePrepModel, extra: list[str]) -> DataFrame:
-    return scored.select(*[F.col(f"`{TMP_PREFIX}{n}`").alias(n) for n in prep.feature_names],
+    return scored.select(*[F.col(f"`{TMP_PREFIX}{n}`").alias(n) for n in prep.output_columns],
                          *[F.col(f"`{c}`") for c in extra if c in scored.columns])
 
 

@@ -135,7 +135,7 @@ FROM s
 def scored_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transformed features + target + predictions."""
     _, model, scored = scored_docs(spark, sf_dir)
-    return rounded(scored_transformed_sink(scored, model.feature_names, "classification", "quality"))
+    return rounded(scored_transformed_sink(scored, model.output_columns, "classification", "quality"))
 
 
 # ---------------------------------------------------------------------------

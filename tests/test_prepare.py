@@ -181,3 +181,23 @@ def test_approximate_median_option(spark):
     exact = FeaturePrep(spec).fit(df).numeric[0].fill
     approx = FeaturePrep(spec, median_relative_error=0.01).fit(df).numeric[0].fill
     assert exact == 501.0 and abs(approx - 501.0) <= 0.01 * 1001 + 1
+
+
+def test_sparse_one_hot_for_large_vocabulary(spark, tmp_path):
+    from pyspark.ml.functions import vector_to_array
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").select(
+        "p_partkey", F.concat(F.lit("n"), (F.col("p_partkey") % 150).cast("string")).alias("c"))
+    spec = FeatureSpec.from_columns({"c": ["category", 1, "unknown", "one-hot", None]})
+    model = FeaturePrep(spec, passthrough=["p_partkey"], sparse_above=100).fit(part)
+    st = model.categorical[0]
+    assert st.sparse and len(st.vocab) == 150
+    assert model.output_columns == ["c_onehot", "c_missing"]
+    assert model.feature_names[:2] == [f"c_{st.vocab[0]}", f"c_{st.vocab[1]}"] and len(model.feature_names) == 151
+    new = spark.createDataFrame([(1, st.vocab[7]), (2, "unseen")], "p_partkey long, c string")
+    rows = model.transform(new, assemble=True).select("p_partkey", vector_to_array("features").alias("f")).collect()
+    f = {r["p_partkey"]: r["f"] for r in rows}
+    assert len(f[1]) == 151 and f[1][7] == 1.0 and sum(f[1][:150]) == 1.0
+    assert sum(f[2][:150]) == 0.0                               # unseen -> all zeros
+    model.save(spark, str(tmp_path / "p"))
+    copy = FeaturePrepModel.load(spark, str(tmp_path / "p"))
+    assert copy.categorical[0].sparse and copy.feature_names == model.feature_names
