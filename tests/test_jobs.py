@@ -127,3 +127,14 @@ def test_regression_job(spark, workspace, tmp_path):
     assert pred.count() == 80 and "prediction" in pred.columns
     contrib = spark.read.option("header", True).csv(f"{root}/deep_insights_input/treeinterpreter_contributions")
     assert contrib.count() == 80 and "id_col" in contrib.columns
+
+
+def test_single_class_label_rejected(spark, workspace, tmp_path):
+    d = workspace
+    lines = (d / "train.csv").read_text().splitlines()
+    one = [lines[0]] + [",".join(l.split(",")[:-1] + ["1"]) for l in lines[1:]]
+    (tmp_path / "one.csv").write_text("\n".join(one) + "\n")
+    cfg = DataConfig(training=True, metadata_file_path=str(d / "meta.json"), input_data_source="CSV",
+                     file_path=str(tmp_path / "one.csv"))
+    with pytest.raises(ValueError, match="single class"):
+        jobs.train(spark, ModelConfig.from_dict(MODEL_CFG), cfg)

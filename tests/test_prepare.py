@@ -201,3 +201,12 @@ def test_sparse_one_hot_for_large_vocabulary(spark, tmp_path):
     model.save(spark, str(tmp_path / "p"))
     copy = FeaturePrepModel.load(spark, str(tmp_path / "p"))
     assert copy.categorical[0].sparse and copy.feature_names == model.feature_names
+
+
+def test_empty_table(spark, f3):
+    empty = f3.limit(0)
+    with pytest.warns(UserWarning):
+        model = FeaturePrep(F3_SPEC).fit(empty)
+    assert model.transform(empty).count() == 0
+    out = model.transform(f3).collect()                 # a fitted-on-nothing model still transforms
+    assert len(out) == 5 and all(v is not None for r in out for v in r)
