@@ -217,6 +217,20 @@ def shap_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _additivity(spark, sf_dir, "shap")
 
 
+@query("path_contributions_join")
+def path_contributions_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 as a Spark composition (leafCol -> posexplode -> broadcast join with
+    the leaf table -> groupBy row), one column per feature."""
+    prep, _, _, contrib = _contrib(spark, sf_dir, "path_join")
+    return explain.contributions_wide(contrib, prep.feature_names, keep=["doc_id"])
+
+
+@query("path_join_additivity", _ADDITIVITY_SQL)
+def path_join_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 (join form) invariant: bias + sum(contributions) equals the margin."""
+    return _additivity(spark, sf_dir, "path_join")
+
+
 @query("importance_path")
 def importance_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X4-X6 (+X7 method 'treeinterpreter') over the model's path contributions."""

@@ -173,3 +173,12 @@ def test_gain_importance(spark, trained):
     imp = {r["feature"]: r["importance"] for r in
            explain.native_importance(spark, trained.model, FEATS, importance_type="gain").collect()}
     assert set(imp) == set(FEATS) and abs(sum(imp.values()) - 1.0) < 1e-9
+
+
+def test_path_join_equals_numpy_path(spark, trained, f4):
+    a = {r["rid"]: r for r in explain.attribution(f4, trained.model, keep=["rid"], method="path").collect()}
+    b = explain.attribution(f4, trained.model, keep=["rid"], method="path_join").collect()
+    assert len(b) == len(a) == 100
+    for r in b:
+        assert abs(r["bias"] - a[r["rid"]]["bias"]) < 1e-12
+        assert max(abs(x - y) for x, y in zip(r["contributions"], a[r["rid"]]["contributions"])) < 1e-9
