@@ -33,7 +33,7 @@ from tabforge.functions.columns import positive_probability, threshold_class
 from tabforge.functions.metrics import auc_frame, classification_metrics, regression_metrics
 from tabforge.operators.ranking import input_partitions
 from tabforge.operators.split import assign_folds, with_class_weights
-from tabforge.session import work_dir
+from tabforge.session import cut_lineage, work_dir
 from tabforge.spec import ModelConfig, draw_trials, parse_space
 
 DEFAULT_MAX_BINS = 255
@@ -192,8 +192,14 @@ def _space(cfg: ModelConfig) -> list:
 
 
 def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str = "features",
-             id_cols: list[str] | None = None, fold_col: str = "fold") -> TrainResult:
-    """M4-M6, M9 on an assembled frame (``features_col`` vector + label)."""
+             id_cols: list[str] | None = None, fold_col: str = "fold",
+             lineage_cut: bool | None = None) -> TrainResult:
+    """M4-M6, M9 on an assembled frame (``features_col`` vector + label).
+
+    The training frame feeds every fit of the search. Large inputs (or
+    ``lineage_cut=True``) are checkpointed into the shared checkpoint
+    directory first, so a lost executor costs a re-read, not a re-run of the
+    preparation and fold ranking; small inputs are persisted."""
     spark = df.sparkSession
     work_dir(spark)   # checkpointInterval needs the shared directory
     problem = cfg.problem_type
@@ -216,7 +222,12 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
     # keep the input's parallelism: the fold ranking's shuffle may have split
     # a small input into many tiny partitions, which every tree level of every
     # concurrent fit would then schedule (a no-op when the input is large)
-    data = data.coalesce(input_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.coalesce(input_partitions(df))
+    if lineage_cut is None:
+        lineage_cut = input_partitions(df) > 4 * max(1, spark.sparkContext.defaultParallelism)
+    if lineage_cut:
+        data = cut_lineage(data)              # reliable checkpoint, shared storage
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # materialise once: concurrent trials must not each recompute the
         # lineage (preparation, fold ranking) while the cache is still empty

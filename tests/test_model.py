@@ -182,3 +182,11 @@ def test_path_join_equals_numpy_path(spark, trained, f4):
     for r in b:
         assert abs(r["bias"] - a[r["rid"]]["bias"]) < 1e-12
         assert max(abs(x - y) for x, y in zip(r["contributions"], a[r["rid"]]["contributions"])) < 1e-9
+
+
+def test_search_with_lineage_cut(spark, f4):
+    cfg = ModelConfig.from_dict({"target_variable": "target", "num_hp_searches": 1,
+                                 "hyperparameter_space": {"lgbm": {
+                                     "n_estimators": "int(trial.suggest_discrete_uniform('n_estimators', 5, 5, 1))"}}})
+    res = train_cv(f4, cfg, "target", id_cols=["rid"], lineage_cut=True)
+    assert len(res.fold_scores) == 5 and res.summary["cv_mean_val_score"] > 0.5
