@@ -190,3 +190,20 @@ def test_search_with_lineage_cut(spark, f4):
                                      "n_estimators": "int(trial.suggest_discrete_uniform('n_estimators', 5, 5, 1))"}}})
     res = train_cv(f4, cfg, "target", id_cols=["rid"], lineage_cut=True)
     assert len(res.fold_scores) == 5 and res.summary["cv_mean_val_score"] > 0.5
+
+
+def test_start_scoring_stream(spark, tmp_path):
+    from tabforge.plans import queries_model as qm
+    from tabforge.plans.queries_prepare import docs_labeled
+    from tabforge.streaming import start_scoring
+    sf = "/root/testdata/sf0.001"
+    _, prep, _, model, _ = qm.doc_model(spark, sf)
+    src = tmp_path / "in"
+    docs_labeled(spark, sf).write.parquet(str(src))
+    stream = spark.readStream.schema(docs_labeled(spark, sf).schema).parquet(str(src))
+    q = start_scoring(stream, prep, model, "classification", str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                      keep=["doc_id"], trigger_once=True)
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == docs_labeled(spark, sf).count()
+    assert out.columns == ["doc_id", "prediction_proba", "prediction_class"]
