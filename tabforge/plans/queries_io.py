@@ -252,3 +252,22 @@ def prediction_table_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = prediction_table_sink(scored, "classification", "no_such_id", "quality")
     assert t.columns[0] == "index"
     return rounded(t.drop("index"))
+
+
+@query("scan_parquet_typed", f"""
+SELECT o_orderkey, {r6("o_totalprice")} AS o_totalprice, o_orderpriority,
+       CASE WHEN o_orderstatus = 'F' THEN TRUE WHEN o_orderstatus = 'O' THEN FALSE END AS is_filled
+FROM orders
+""")
+def scan_parquet_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 (parquet source): scan, normalise, type by the metadata; a text
+    column declared bool keeps only values in the boolean domain."""
+    raw = read_source(spark, f"{sf_dir.rstrip('/')}/orders.parquet", "parquet")
+    src = raw.select("o_orderkey", "o_totalprice", "o_orderpriority",
+                     F.when(F.col("o_orderstatus") == "F", F.lit("1"))
+                      .when(F.col("o_orderstatus") == "O", F.lit("0"))
+                      .otherwise(F.col("o_orderstatus")).alias("is_filled"))
+    spec = FeatureSpec.from_columns({"o_totalprice": ["float", 1, "mean", None, "f"],
+                                     "o_orderpriority": ["category", 1, "unknown", "one-hot", "f"],
+                                     "is_filled": ["bool", 1, None, None, "f"]})
+    return rounded(apply_types(src, spec))
