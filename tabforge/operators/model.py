@@ -193,7 +193,8 @@ def _space(cfg: ModelConfig) -> list:
 
 def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str = "features",
              id_cols: list[str] | None = None, fold_col: str = "fold",
-             lineage_cut: bool | None = None) -> TrainResult:
+             lineage_cut: bool | None = None,
+             fold_frames: dict[int, DataFrame] | None = None) -> TrainResult:
     """M4-M6, M9 on an assembled frame (``features_col`` vector + label).
 
     The training frame feeds every fit of the search. Large inputs (or
@@ -228,17 +229,28 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
     if lineage_cut:
         data = cut_lineage(data)              # reliable checkpoint, shared storage
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    # fold-scoped preparation: fold f's trials and scores read its own frame
+    # (features prepared from the other folds' rows); the refit reads ``data``
+    per_fold = {}
+    for f, frame in (fold_frames or {}).items():
+        per_fold[f] = (frame.select(*cols).coalesce(input_partitions(df))
+                       .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def rows_of(fold: int) -> DataFrame:
+        return per_fold.get(fold, data)
     try:
         # materialise once: concurrent trials must not each recompute the
         # lineage (preparation, fold ranking) while the cache is still empty
         data.count()
+        for frame in per_fold.values():
+            frame.count()
         def run(fold: int, ti: int) -> TrialResult:
             sp, wmode = spark_params(trials[ti])
-            marked = data.withColumn("_is_val", F.col(fold_col) == fold)
+            marked = rows_of(fold).withColumn("_is_val", F.col(fold_col) == fold)
             est = make_estimator(problem, sp, label_col, features_col,
                                  "_w_balanced" if wmode == "balanced" else None, "_is_val", seed)
             model = est.fit(marked)
-            val = score(model, data.where(F.col(fold_col) == fold), problem)
+            val = score(model, rows_of(fold).where(F.col(fold_col) == fold), problem)
             return TrialResult(fold, ti, trials[ti], evaluate(val, problem, cfg.evaluation_metric, label_col),
                                int(model.getNumTrees), model)
 
@@ -255,7 +267,7 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
             best = max(rs, key=lambda r: (sign * (r.val_score if not math.isnan(r.val_score) else -math.inf)))
             best_by_fold[f] = best
             # train and validation score of the fold's best model in one grouped job
-            scored = score(best.model, data, problem).withColumn("_part", F.col(fold_col) == f)
+            scored = score(best.model, rows_of(f), problem).withColumn("_part", F.col(fold_col) == f)
             both = _scores_by_part(scored, problem, label_col)
             fold_scores.append((f, both.get(False, float("nan")), both.get(True, float("nan"))))
 
@@ -277,6 +289,8 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
             final = best_by_fold[pick[0]].model
     finally:
         data.unpersist()
+        for frame in per_fold.values():
+            frame.unpersist()
 
     vals = [v for _, _, v in fold_scores]
     summary = {"cv_mean_train_score": statistics.fmean(t for _, t, _ in fold_scores),

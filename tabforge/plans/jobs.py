@@ -126,7 +126,17 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     folded = assign_folds(full, k=model_cfg.n_folds, seed=model_cfg.seed,
                           label=target if problem == "classification" else None,
                           id_cols=[uid] if uid else None, ids_unique=False, row_cols=typed.columns)
-    result = train_cv(folded.select(target, "features", "fold"), model_cfg, target)
+    fold_frames = None
+    if model_cfg.fit_scope == "fold":
+        # preparation statistics from each fold's training rows only (no
+        # validation rows leak into imputation / scaling / vocabularies)
+        rows = folded.select(*typed.columns, "fold")
+        fold_frames = {}
+        for f in range(model_cfg.n_folds):
+            prep_f = FeaturePrep(spec, target=target, passthrough=[uid] if uid else []).fit(
+                rows.where(F.col("fold") != f))
+            fold_frames[f] = prep_f.transform(rows, keep=[target, "fold"], assemble=True)
+    result = train_cv(folded.select(target, "features", "fold"), model_cfg, target, fold_frames=fold_frames)
     model = result.model
     layout = _layout(data_cfg)
     stem = f"{target}_{problem}_{(model_cfg.models or ['gbt'])[0]}"

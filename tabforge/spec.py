@@ -168,6 +168,7 @@ class ModelConfig:
     n_folds: int = 5
     seed: int = 42
     param_selection: str = "best_mean"      # or "first_fold" (parity)
+    fit_scope: str = "all"                  # preparation fitted on all rows, or per fold ("fold")
     parallelism: int = 8
 
     @staticmethod
@@ -198,6 +199,8 @@ class ModelConfig:
                              f"'{expected}', config says '{self.better_performance}'")
         if self.importance_extraction_method not in ("shap", "treeinterpreter"):
             raise ValueError(f"Unsupported importance method: {self.importance_extraction_method}")
+        if self.fit_scope not in ("all", "fold"):
+            raise ValueError(f"fit_scope must be 'all' or 'fold', got {self.fit_scope}")
         if not 0 < float(self.sample_for_contribution) <= 1:
             raise ValueError("sample_for_contribution must be in (0, 1]")
 

@@ -138,3 +138,14 @@ def test_single_class_label_rejected(spark, workspace, tmp_path):
                      file_path=str(tmp_path / "one.csv"))
     with pytest.raises(ValueError, match="single class"):
         jobs.train(spark, ModelConfig.from_dict(MODEL_CFG), cfg)
+
+
+def test_fold_scoped_preparation(spark, workspace, tmp_path):
+    d = workspace
+    cfg = dict(MODEL_CFG, fit_scope="fold", num_hp_searches=1, sample_for_contribution=0.25)
+    tcfg = DataConfig(training=True, metadata_file_path=str(d / "meta.json"), input_data_source="CSV",
+                      file_path=str(d / "train.csv"), uid_column_name="id_col", run_id="foldscope",
+                      output_base=str(tmp_path))
+    res = jobs.train(spark, ModelConfig.from_dict(cfg), tcfg)
+    tr = res.details["training_results"]
+    assert 0.0 <= tr["cv_mean_val_score"] <= 1.0 and tr["cv_mean_train_score"] > 0.5
