@@ -4,8 +4,9 @@ Base counts come from one pass over the whole texts. For every (language,
 source) a KLL quantile sketch of each rule's ratio is built by partial
 aggregation (sketches of tasks merge, so a hot source is one sketch a task);
 its quantiles give that group's fence, and the counts are joined with the
-fences to filter. A document fails a rule only if its ratio is above the
-group's far-out fence: max(q99, q75 + 3 * (q75 - q25)).
+fences to filter. A document fails a rule if its ratio is above the group's
+far-out fence q75 + 3 * (q75 - q25). Where most ratios of a group are equal
+(mostly 0) that fence has no width; ``MARGIN`` keeps it off the median.
 
 Defined cases: null text has no words and fails the base rules; null language
 or source is a group of its own; repeated rows are judged one by one; an empty
@@ -29,7 +30,6 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 #: accuracy parameter of the sketches (rank error about 1.3 % at 200, 0.2 % at 1600)
 SKETCH_K = 1600
-FENCE_QUANTILE = 0.99
 FENCE_SPREAD = 3.0
 
 _SYMBOL = np.zeros(256, bool)
@@ -47,6 +47,9 @@ RATIOS = {
     "long_words": "word_chars / n_words",
     "short_words": "n_words / word_chars",
 }
+#: rule -> (least distance of the fence from the median, the same as a share of the median)
+MARGIN = {"symbols": (0.05, 0.0), "dup_lines": (0.2, 0.0), "repeats": (0.1, 0.0),
+          "long_words": (0.0, 0.35), "short_words": (0.0, 0.35)}
 
 
 def text_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -104,7 +107,8 @@ def fences(counts: DataFrame) -> DataFrame:
         return F.kll_sketch_get_quantile_double(rule, F.lit(p))
 
     return sketch.select("lang", "source", *[
-        F.greatest(q(r, FENCE_QUANTILE), q(r, 0.75) + F.lit(FENCE_SPREAD) * (q(r, 0.75) - q(r, 0.25)))
+        F.greatest(q(r, 0.5) * (1 + MARGIN[r][1]) + MARGIN[r][0],
+                   q(r, 0.75) + F.lit(FENCE_SPREAD) * (q(r, 0.75) - q(r, 0.25)))
         .alias(f"fence_{r}") for r in RATIOS])
 
 

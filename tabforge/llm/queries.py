@@ -19,11 +19,21 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import kn_quality
+    return kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm import quality_rules
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import langid
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm import packing
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -35,8 +45,22 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.digest(decontam.occurrences(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import pii
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import url_filter
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+OPERATORS = (op4_kneser_ney_quality, op5_quality_rules, op6_language_id, op7_best_fit_packing,
+             op8_benchmark_decontamination, op9_pii, op10_url_filter)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_quality_rules, op7_best_fit_packing, op8_benchmark_decontamination)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:

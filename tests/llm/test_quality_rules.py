@@ -38,10 +38,12 @@ def test_empty(nothing):
 
 def test_fences_adapt_to_the_group(spark):
     prose = "the quick brown fox jumps over lazy dogs and runs far away from here today"
-    rows = [(i, prose + f" w{i} " + "| " * (i % 3), "en", "plain", 1) for i in range(200)]
-    rows += [(1000 + i, prose + f" w{i} " + "| " * (20 + i % 3), "en", "tables", 1) for i in range(200)]
-    rows += [(5000, prose + " z " + "| " * 60, "en", "plain", 1)]
+    def row(i, source, symbols):
+        return i, f"{prose} w{i} " + " ".join(f"c{k}|" for k in range(symbols)), "en", source, 1
+
+    rows = [row(i, "plain", i % 3) for i in range(200)] + [row(1000 + i, "tables", 20 + i % 3) for i in range(200)]
+    rows.append(row(5000, "plain", 25))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     out = {r.doc_id: r for r in Q.judge(docs).collect()}
     assert not out[5000].kept and "symbols" in out[5000].failed_rules
-    assert all(r.kept for i, r in out.items() if i != 5000)   # tables are normal where the source is tables
+    assert all(r.kept for i, r in out.items() if i != 5000)   # symbols are normal where the source is tables
