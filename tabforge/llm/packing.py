@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -23,59 +24,119 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.llm import text as T
 from tabforge.llm.common import handed_off
 
 CAPACITY = 4096
 END_ID = 1
 #: pieces of one packing group: bounds a task's memory, and wastes at most about one sequence a group
 GROUP_PIECES = 20_000
-#: word cache of one task
-CACHE_WORDS = 400_000
+#: words the table of one worker process holds (about 40 bytes each)
+CACHE_WORDS = 2_000_000
 SEARCH_ROUNDS = 2_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \n\t\r")] = True
+_MARKS = np.zeros(256, bool)
+_MARKS[list(b".,;:!?")] = True
+
+
 class WordEncoder:
-    """Token ids of a text as little-endian 32-bit bytes.
+    """Token ids of whole texts, from a table of the words seen before.
 
-    The tokenizer's splits never cross white space, so a text's ids are its
-    blank-separated words' ids in a row; words seen before come from a cache.
+    The tokenizer lower-cases and its splits never cross white space, so a
+    text's ids are its blank-separated words' ids in a row (a mark after a
+    letter, at a word's end, is a piece of its own). New words are encoded
+    many to a string: a word of letters alone is one piece of the splitter, and
+    only the last id of a piece carries the word-end mark.
     """
 
+    WORD_END = "</w>"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith(self.WORD_END)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.hash = np.empty(0, T.U64)                    # sorted
+        self.at = self.length = np.empty(0, np.int64)     # place in the pool of ids
+        self.pool = np.empty(0, "<u4")
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids in a row)."""
+        lists = [words[i:i + 256] for i in range(0, len(words), 256)]
+        found = self._encoded([" ".join(x) for x in lists])
+        ids = np.concatenate(found) if found else np.empty(0, "<u4")
+        past = np.flatnonzero(self.ends[ids]) + 1
+        if [int(self.ends[x].sum()) for x in found] == [len(x) for x in lists]:
+            return np.diff(past, prepend=0), ids
+        found = self._encoded(words)
+        return np.fromiter(map(len, found), np.int64, len(found)), np.concatenate(found)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        plain = np.fromiter(map(str.isalpha, words), bool, len(words))
+        length = np.zeros(len(words), np.int64)
+        parts = [self.pool]
+        length[plain], ids = self._ids([w for w in words if w.isalpha()])
+        parts.append(ids)
+        others = self._encoded([w for w in words if not w.isalpha()])
+        length[~plain] = list(map(len, others))
+        at = np.empty(len(words), np.int64)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        at[order] = len(self.pool) + np.cumsum(length[order]) - length[order]
+        self.pool = np.concatenate([*parts, *others])
+        where = np.searchsorted(self.hash, hashes)
+        self.hash = np.insert(self.hash, where, hashes)
+        self.at, self.length = np.insert(self.at, where, at), np.insert(self.length, where, length)
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        special = any(b"<|" in t for t in texts)    # lower-casing must not make a special token
+        w = T.words(texts, _BLANK, lower=not special, marks=_MARKS)
+        known, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
+        if len(self.hash) > CACHE_WORDS:
+            self.forget()
+        new = np.flatnonzero(~np.isin(known, self.hash, assume_unique=True))
+        if len(new):
+            raw = w.data.tobytes()
+            self._learn(known[new], [raw[a:b].decode() for a, b in
+                                     zip(w.start[first[new]].tolist(), w.end[first[new]].tolist())])
+        place = np.searchsorted(self.hash, known)[which]
+        length = self.length[place]
+        past = np.cumsum(length)
+        ids = self.pool[np.repeat(self.at[place] - past + length, length) + np.arange(past[-1] if len(past) else 0)]
+        return np.split(ids, np.cumsum(w.per_row(length))[:-1])
+
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list({w for ws in split for w in ws} - self.known.keys())
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.asarray(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+@cache
+def _encoder(path: str) -> WordEncoder:
+    """One encoder (and table) a worker process."""
+    return WordEncoder(path)
 
 
 def _token_pieces(path: str, capacity: int):
-    end, step = np.asarray([END_ID], "<u4").tobytes(), 4 * capacity
+    end = np.asarray([END_ID], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(path)
+        encode = _encoder(path)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows: list[tuple] = []
-            for at in range(0, len(texts), 256):
-                for doc, raw in zip(ids[at:at + 256], encode([t or "" for t in texts[at:at + 256]])):
-                    raw += end
-                    for piece, lo in enumerate(range(0, len(raw), step)):
-                        part = raw[lo:lo + step]
-                        rows.append((doc, piece, lo // 4, len(part) // 4, zlib.crc32(part)))
+            doc_ids, rows = batch.column(0).to_pylist(), []
+            for first, texts in T.blocks(batch.column(1)):
+                for doc, ids in zip(doc_ids[first:first + len(texts)], encode(texts)):
+                    ids = np.concatenate([ids, end])
+                    for piece, lo in enumerate(range(0, len(ids), capacity)):
+                        part = ids[lo:lo + capacity]
+                        rows.append((doc, piece, lo, len(part), zlib.crc32(part)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), *[pa.int64()] * 3))],
@@ -183,7 +244,7 @@ def _pack_group(capacity: int):
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every whole text."""
-    return docs.select("doc_id", "text").mapInArrow(_token_pieces(tokenizer_path, capacity), PIECES)
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_token_pieces(tokenizer_path, capacity), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,

@@ -101,12 +101,20 @@ def joined(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndar
     return LOWER[data] if lower else data, start, start + length
 
 
-def words(texts: list[bytes], separator: np.ndarray = SPACE, lower: bool = False) -> Words:
+def words(texts: list[bytes], separator: np.ndarray = SPACE, lower: bool = False,
+          marks: np.ndarray | None = None) -> Words:
+    """``marks``: bytes that are a word of their own at the end of a word, after a-z."""
     data, row_start, row_end = joined(texts, lower)
     inside = np.zeros(len(data) + 1, bool)
     np.logical_not(separator[data], out=inside[1:])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[0::2], edge[1::2]
+    if marks is not None and len(end):
+        before = data[np.maximum(end - 2, 0)]
+        tail = marks[data[end - 1]] & (end - start > 1) & (before >= 0x61) & (before <= 0x7A)
+        start, end = np.concatenate([start, end[tail] - 1]), np.concatenate([end - tail, end[tail]])
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], end[order]
     row = np.searchsorted(row_start, start, side="right") - 1
     return Words(data, row_start, row_end, row, start, end, span_hash(prefix_hash(data), start, end))
 
