@@ -198,7 +198,7 @@ def _light_links(light: DataFrame) -> DataFrame:
     """Edges (a, b) that join every pair of linked light classes into one
     component: the members of a subset's list are linked across (or within,
     for equal) sizes, so all of them with the smallest."""
-    lists = light.select("class", "posts").mapInArrow(_light, "subset long, class long, n int, m int")
+    lists = light.select("class", "posts").mapInArrow(_light, "subset long, class long, n long, m long")
     heads = lists.groupBy("subset").agg(F.min("class").alias("head"), F.max("class").alias("last"),
                                         F.min("n").alias("low"), F.max("n").alias("high"), F.min("m").alias("least_m")) \
         .filter("head < last and (low < high or low = least_m)")
@@ -208,7 +208,7 @@ def _light_links(light: DataFrame) -> DataFrame:
 
 def _wanted(pairs: DataFrame) -> np.ndarray:
     """Bits of the classes in pairs(a, b): a filter of fixed size."""
-    bit = F.col("class").bitwiseAND(F.lit(FILTER_BITS - 1))
+    bit = F.col("class").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1    # bitmap functions count from 1
     rows = pairs.select(F.explode(F.array("a", "b")).alias("class")).groupBy(F.bitmap_bucket_number(bit).alias("k")) \
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
     out = np.zeros(FILTER_BITS, bool)
@@ -216,8 +216,6 @@ def _wanted(pairs: DataFrame) -> np.ndarray:
         b = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
         lo = (r.k - 1) * 32768
         out[lo:lo + len(b)] = b[:FILTER_BITS - lo]
-        if r.k < 1:
-            raise ValueError("negative bitmap bucket")
     return out
 
 
