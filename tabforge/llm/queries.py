@@ -24,6 +24,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import suffix_dedup
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op4_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm import kn_quality
     return kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -60,7 +65,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-OPERATORS = (op2_ngram_jaccard_join, op4_kneser_ney_quality, op5_quality_rules, op6_language_id, op7_best_fit_packing,
+OPERATORS = (op2_ngram_jaccard_join, op3_suffix_array_dedup, op4_kneser_ney_quality, op5_quality_rules, op6_language_id, op7_best_fit_packing,
              op8_benchmark_decontamination, op9_pii, op10_url_filter)
 
 
