@@ -1,9 +1,69 @@
-"""Placeholder until the stages exist."""
+"""Training-data pipeline: language ID, near-duplicate removal, benchmark
+decontamination, redaction of personal data, packing.
 
+Every stage is a function (spark, docs, sf_dir) -> DataFrame. Its result is
+written as Parquet to the shared folder and read again as the next stage's
+``docs``; all but the last return the columns of ``docs``.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+from tabforge.llm import decontam, langid, ngram_join, packing, pii
+from tabforge.llm.common import handed_off, table
+from tabforge.llm.queries import tokenizer_path
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a known language (no text, no letter) go."""
+    return langid.accepted(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return ngram_join.one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of benchmark windows are cut out of the texts."""
+    return decontam.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    return pii.redact(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id), ("ngram_jaccard_join", ngram_jaccard_join),
+    ("benchmark_decontamination", benchmark_decontamination), ("pii", personal_data),
+    ("best_fit_packing", best_fit_packing)]
+
+#: the stages train models and tokenize, which SQL cannot express
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = handed_off(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"pipeline": run}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

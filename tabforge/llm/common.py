@@ -43,9 +43,10 @@ def running_total(df: DataFrame, keys: list[str], order: list[Column], weight: C
     df = df.withColumn("_cell", cell).withColumn("_w", weight.cast("long"))
     sums = df.groupBy(*keys, "_cell").agg(F.sum("_w").alias("_s"))
     before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
-    on = [df[k].eqNullSafe(sums[k]) for k in [*keys, "_cell"]]
-    joined = df.join(sums, on, "left").select(*[df[c] for c in df.columns], sums["_off"])
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, "_cell"])]
+    sums = sums.select(*named, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, "_cell"])]
+    joined = df.join(sums, on, "left").select(*df.columns, "_off")
     inside = (Window.partitionBy(*keys, "_cell").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
     total = F.col("_off") + F.coalesce(F.sum("_w").over(inside), F.lit(0))

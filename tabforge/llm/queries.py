@@ -19,6 +19,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_label_propagation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import sharding
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabforge.llm import ngram_join
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -65,7 +70,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-OPERATORS = (op2_ngram_jaccard_join, op3_suffix_array_dedup, op4_kneser_ney_quality, op5_quality_rules, op6_language_id, op7_best_fit_packing,
+OPERATORS = (op1_label_propagation_sharding, op2_ngram_jaccard_join, op3_suffix_array_dedup,
+             op4_kneser_ney_quality, op5_quality_rules, op6_language_id, op7_best_fit_packing,
              op8_benchmark_decontamination, op9_pii, op10_url_filter)
 
 
