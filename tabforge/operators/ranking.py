@@ -125,8 +125,12 @@ def hash_rank(df: DataFrame, key: Column, group_cols: list[str] | None = None,
         bound = n_buckets * n_groups_bound     # proven by the caller
     else:
         bound = None                           # unknown: let AQE decide on measured size
-    joined = keyed.join(broadcast_if_small(offsets, bound) if bound is not None else offsets,
-                        on=[*group_cols, "_rk_b"], how="inner")
+    # null-safe: rows without a group value are a group of their own
+    keys = [*group_cols, "_rk_b"]
+    side = offsets.select(*[F.col(f"`{c}`").alias(f"_rk_k{i}") for i, c in enumerate(keys)], "_rk_off")
+    side = broadcast_if_small(side, bound) if bound is not None else side
+    joined = keyed.join(side, [F.col(f"`{c}`").eqNullSafe(F.col(f"_rk_k{i}")) for i, c in enumerate(keys)]) \
+        .drop(*[f"_rk_k{i}" for i in range(len(keys))])
     order = [F.col("_rk_key")] + [F.col(t) if isinstance(t, str) else t for t in tiebreak]
     w = Window.partitionBy(*group_cols, "_rk_b").orderBy(*order)
     return (joined.withColumn(rank_col, (F.col("_rk_off") + F.row_number().over(w)).cast("long"))

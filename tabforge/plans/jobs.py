@@ -54,7 +54,7 @@ def load_inputs(spark: SparkSession, data_cfg: DataConfig, model_cfg: ModelConfi
     """S1-S3 + V1-V6: typed DataFrame and the spec; raises if validation fails."""
     training = data_cfg.training if training is None else training
     spec = spec or FeatureSpec.from_json_file(data_cfg.metadata_file_path)
-    raw = read_source(spark, data_cfg.file_path, data_cfg.input_data_source)
+    raw = read_source(spark, data_cfg.file_path, data_cfg.input_data_source, data_cfg.csv_multi_line)
     target = model_cfg.target_variable
     report = validate(raw, spec, target, training=training)
     for w in report.warnings:
@@ -64,10 +64,15 @@ def load_inputs(spark: SparkSession, data_cfg: DataConfig, model_cfg: ModelConfi
     return typed, spec, report
 
 
-def _check_binary_label(df: DataFrame, target: str) -> None:
-    r = df.agg(F.count_if(~F.col(target).isin(0.0, 1.0)).alias("bad"),
-               F.count_if(F.col(target) == 1.0).alias("pos"),
-               F.count_if(F.col(target) == 0.0).alias("neg")).collect()[0]
+def _check_label(df: DataFrame, target: str, problem: str) -> None:
+    """The typed label is complete; for classification it is 0/1 with both classes."""
+    y = F.col(f"`{target}`")
+    r = df.agg(F.count_if(y.isNull()).alias("null"), F.count_if(~y.isin(0.0, 1.0)).alias("bad"),
+               F.count_if(y == 1.0).alias("pos"), F.count_if(y == 0.0).alias("neg")).collect()[0]
+    if r["null"]:
+        raise ValueError(f"target '{target}' has {r['null']} values that are not numbers")
+    if problem != "classification":
+        return
     if r["bad"]:
         raise ValueError(f"classification target '{target}' has {r['bad']} values outside {{0, 1}}")
     if not r["pos"] or not r["neg"]:
@@ -118,8 +123,7 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     typed, spec, report = load_inputs(spark, data_cfg, model_cfg, spec, training=True)
     target, problem = model_cfg.target_variable, model_cfg.problem_type
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
-    if problem == "classification":
-        _check_binary_label(typed, target)
+    _check_label(typed, target, problem)
     prep = FeaturePrep(spec, target=target, passthrough=[uid] if uid else []).fit(typed)
     full = _with_features(prep, typed)
     # folds on the full rows: ids may repeat, the whole row breaks ties
@@ -177,9 +181,9 @@ def predict(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     """Reload preparation + model, validate against the persisted spec,
     score, write the prediction tables (and attributions if asked)."""
     if not data_cfg.model_file_path:
-        raise ValueError(f"Model file not found: {data_cfg.model_file_path}")
+        raise ValueError("scoring needs model_file_path in the data configuration")
     if not data_cfg.data_processor_file_path:
-        raise ValueError(f"Data processor file not found: {data_cfg.data_processor_file_path}")
+        raise ValueError("scoring needs data_processor_file_path in the data configuration")
     prep = FeaturePrepModel.load(spark, data_cfg.data_processor_file_path)
     model, meta = load_model(spark, data_cfg.model_file_path)
     spec = prep.spec

@@ -49,6 +49,20 @@ def scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 "l_returnflag", "l_linestatus"))
 
 
+_QUOTED = ("c_name || CASE c_custkey % 4 WHEN 0 THEN ' \"Inc\", Ltd' WHEN 1 THEN ', a \"\"b\"' "
+           "WHEN 2 THEN '{br}next \"line\"' ELSE '' END")
+
+
+@query("scan_csv_quoted", "SELECT c_custkey, " + _QUOTED.replace("'{br}", "chr(10) || '") + " AS c_name FROM customer")
+def scan_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes, commas and line breaks inside cells survive a CSV round trip."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.expr(
+        _QUOTED.replace("'{br}", "chr(10) || '")).alias("c_name"))
+    path = write_table(c, scratch_path(spark, "csv-quoted"), fmt="csv")
+    raw = read_source(spark, path, "CSV", multi_line=True)
+    return raw.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
+
+
 @query("normalize_nulls", f"""
 SELECT c_custkey,
        CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_name END AS c_name,

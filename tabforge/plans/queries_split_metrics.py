@@ -33,6 +33,21 @@ def stratified_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
                         n_buckets=TEST_BUCKETS)
 
 
+_NULL_STATUS = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END"
+
+
+@query("stratified_kfold_null_label", f"""
+SELECT o_orderkey, o_orderstatus,
+       CAST({_FOLD_SQL.format(part="o_orderstatus")} AS INTEGER) AS fold
+FROM (SELECT o_orderkey, {_NULL_STATUS} AS o_orderstatus FROM orders) t
+""")
+def stratified_kfold_null_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 where a seventh of the labels is null: they are a class of their own."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_NULL_STATUS).alias("o_orderstatus"))
+    return assign_folds(o, k=5, seed=42, label="o_orderstatus", id_cols=["o_orderkey"],
+                        n_buckets=TEST_BUCKETS)
+
+
 @query("kfold", f"""
 SELECT o_orderkey, CAST({_FOLD_SQL.replace("PARTITION BY {part} ", "")} AS INTEGER) AS fold
 FROM orders

@@ -28,21 +28,27 @@ FALSE_TOKENS = ("false", "0", "0.0")
 SUPPORTED_SOURCES = ("CSV", "PARQUET")
 
 
-def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV, every column STRING (only the header line is read up front)."""
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Header CSV, every column STRING (only the header line is read up front).
+
+    A quote inside a quoted cell is doubled. A row with more or fewer cells
+    than the header fails the query (every cell is parsed, so pruning columns
+    cannot hide it). ``multi_line``: cells may hold line breaks; such files are
+    read whole, one task a file."""
     return (spark.read.option("header", True).option("inferSchema", False)
-            .option("mode", "PERMISSIVE").option("nullValue", None).csv(path))
+            .option("mode", "FAILFAST").option("columnPruning", False).option("nullValue", None)
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
-def read_source(spark: SparkSession, path: str | None, source: str | None) -> DataFrame:
-    """S1 with the reference's error rules: unknown source, missing path -> error."""
+def read_source(spark: SparkSession, path: str | None, source: str | None, multi_line: bool = False) -> DataFrame:
+    """A missing path or an unknown kind of source is an error."""
     if not path:
-        raise ValueError("Data file path not specified in data configuration")
+        raise ValueError("the data configuration names no file_path")
     kind = (source or "").upper()
     if kind not in SUPPORTED_SOURCES:
-        raise ValueError(f"Unsupported data source: {source}")
+        raise ValueError(f"input_data_source {source!r} is not one of {', '.join(SUPPORTED_SOURCES)}")
     if kind == "CSV":
-        df = read_csv_strings(spark, path)
+        df = read_csv_strings(spark, path, multi_line)
     else:
         df = spark.read.parquet(path)
     return normalize_nulls(df)

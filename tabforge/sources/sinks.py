@@ -48,7 +48,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     elif fmt == "parquet":
         w.parquet(path)
     elif fmt == "json":
