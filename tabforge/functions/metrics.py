@@ -26,84 +26,41 @@ def _c(x) -> Column:
 
 
 def auc_frame(df: DataFrame, label: str | Column, score: str | Column, by: list[str] | None = None,
-              n_buckets: int | None = None, n_groups_bound: int | None = None) -> DataFrame:
+              n_buckets: int | None = None) -> DataFrame:
     """ROC AUC per group of ``by`` (one row per group; ``auc`` is null when a
     group lacks positives or negatives). ``label`` is 1 for positives.
 
-    One bucket (small inputs): one job -- per-score counts, a running count of
-    negatives per group, one aggregate. More buckets: a score sketch gives
-    range boundaries, a map-side-combined job counts negatives per (group,
-    bucket) -- a table of at most groups x buckets rows, collected -- and the
-    main job adds each bucket's offset from a literal array, so the per-score
-    aggregation is shuffled once and no join is needed."""
+    Scores are counted once per (group, score), partially aggregated. A score
+    sketch cuts the range into ``n_buckets`` buckets (default: the session's
+    shuffle partitions); the negatives before a bucket come from a joined
+    offset table of groups x buckets rows, and the running count inside it from
+    a window per (group, bucket), so no task sees all scores."""
     by = list(by or [])
     y = (_c(label).cast("double") == 1.0)
     s = _c(score).cast("double")
     base = df.select(*[F.col(b) for b in by], s.alias("_s"), y.alias("_y"))
     if n_buckets is None:
-        # one score-range bucket per input partition once the input is large
-        # (no extra job); any count gives the exact result
-        from tabforge.operators.ranking import input_partitions
-        parts = input_partitions(base)
-        n_buckets = 1 if parts <= 16 else int(min(AUC_MAX_BUCKETS, parts))
-    per_score = (base.groupBy(*by, "_s")
-                 .agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n")))
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        q = base.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []
-        bounds = sorted(set(float(v) for v in q))
-        n_b = len(bounds) + 1
-
-        def bucket_of(frame: DataFrame) -> DataFrame:
-            if len(bounds) <= 64:
-                return frame.withColumn("_b", range_bucket(F.col("_s"), bounds))
-            from pyspark.ml.feature import Bucketizer
-            return (Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_s", outputCol="_bd",
-                               handleInvalid="keep").transform(frame)
-                    .withColumn("_b", F.col("_bd").cast("int")).drop("_bd"))
-        totals_frame = bucket_of(base.where(~F.col("_y"))).groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-        bound = n_b * (n_groups_bound or 1) if by else n_b
-        if by and not n_groups_bound:
-            # unbounded group count: offsets stay a distributed table (join)
-            w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-            offsets = totals_frame.select(*by, "_b", F.coalesce(F.sum("_nb").over(w_off), F.lit(0)).alias("_off"))
-            ranked = bucket_of(per_score).join(offsets, on=[*by, "_b"], how="left")
-            off = F.coalesce(F.col("_off"), F.lit(0))
-        else:
-            rows = totals_frame.limit(bound + 1).collect()     # <= groups x buckets rows
-            if len(rows) > bound:
-                raise ValueError("more AUC groups than n_groups_bound")
-            gkeys = sorted({tuple(r[b] for b in by) for r in rows}, key=repr)
-            gidx = {g: i for i, g in enumerate(gkeys)}
-            table = [0] * (max(1, len(gkeys)) * n_b)
-            for r in rows:
-                table[gidx[tuple(r[b] for b in by)] * n_b + int(r["_b"])] = int(r["_nb"])
-            offs = []
-            for gi in range(max(1, len(gkeys))):
-                run = 0
-                for b in range(n_b):
-                    offs.append(run)
-                    run += table[gi * n_b + b]
-            ranked = bucket_of(per_score)
-            if by:
-                gexpr = None
-                for g, i in gidx.items():
-                    cond = None
-                    for col_name, v in zip(by, g):
-                        c1 = F.col(col_name).eqNullSafe(F.lit(v))
-                        cond = c1 if cond is None else cond & c1
-                    gexpr = F.when(cond, F.lit(i)) if gexpr is None else gexpr.when(cond, F.lit(i))
-                gi_col = gexpr.otherwise(F.lit(0)) if gexpr is not None else F.lit(0)
-            else:
-                gi_col = F.lit(0)
-            off = F.element_at(F.array(*[F.lit(o) for o in offs]).cast("array<bigint>"),
-                               (gi_col * F.lit(n_b) + F.col("_b") + F.lit(1)).cast("int"))
-        w = Window.partitionBy(*by, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-        below = off + F.coalesce(F.sum("_n").over(w), F.lit(0))
+        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = int(min(AUC_MAX_BUCKETS, max(2, n_buckets)))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    q = base.agg(F.percentile_approx("_s", probs, 10 * n_buckets).alias("q")).collect()[0]["q"] or []
+    bounds = sorted({float(v) for v in q if v == v})
+    per_score = base.groupBy(*by, "_s").agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n"))
+    if len(bounds) <= 64:
+        ranked = per_score.withColumn("_b", range_bucket(F.col("_s"), bounds))
     else:
-        ranked = per_score
-        w = Window.partitionBy(*by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-        below = F.coalesce(F.sum("_n").over(w), F.lit(0))
+        from pyspark.ml.feature import Bucketizer
+        ranked = (Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="_s", outputCol="_bd",
+                             handleInvalid="keep").transform(per_score)
+                  .withColumn("_b", F.col("_bd").cast("int")).drop("_bd"))
+    keys = [*by, "_b"]
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranked.groupBy(*keys).agg(F.sum("_n").alias("_nb"))
+    offsets = totals.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
+                            F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
+    ranked = ranked.join(offsets, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    w = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_off") + F.coalesce(F.sum("_n").over(w), F.lit(0))
     contrib = ranked.select(*by, "_p", "_n", (F.col("_p") * (below + F.col("_n") / 2.0)).alias("_u"))
     agg = contrib.groupBy(*by).agg(F.sum("_u").alias("_u"), F.sum("_p").alias("_P"), F.sum("_n").alias("_N"))
     return agg.select(*by, F.when((F.col("_P") > 0) & (F.col("_N") > 0),

@@ -8,11 +8,13 @@
   is checked against ``MAX_FOREST_NODES`` first.
 * X1 native importance = number of splits per feature: a ``groupBy`` over the
   node table.
-* X2 path contributions and X3 SHAP values are per-row computations against a
-  model: ``mapInPandas`` over Arrow batches, the forest shipped once per task
-  in the closure. No shuffle: the rows keep their partitioning.
-  - path: walk each tree with vectorised numpy; on each split, the change of
-    the node value is credited to the split feature (bias = root values).
+* X2 path contributions: on each split, the change of the node value is
+  credited to the split feature (bias = root values). The model's ``leafCol``
+  gives every row's leaf per tree; the leaves are joined with the model-sized
+  table of leaf contributions and summed per row.
+* X3 SHAP values have no Spark equivalent: ``mapInPandas`` over Arrow batches,
+  the forest shipped once per task in the closure. No shuffle: the rows keep
+  their partitioning.
   - SHAP (path-dependent TreeSHAP): per tree, every leaf is a product game
     over the distinct features on its path (``p`` = cover fraction, ``z`` =
     the row satisfies that feature's conditions). Its exact Shapley values are
@@ -41,6 +43,8 @@ from pyspark.sql import types as T
 from tabforge.session import scratch_path
 
 MAX_FOREST_NODES = 5_000_000
+# bytes of leaf contributions that a join may broadcast
+BROADCAST_LEAF_BYTES = 64 << 20
 
 
 # ---------------------------------------------------------------------------
@@ -60,7 +64,8 @@ def forest_table(spark: SparkSession, model, model_path: str | None = None) -> D
                     F.col("impurityStats").getItem(0).alias("cover"),
                     F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
                     F.col("split.featureIndex").alias("feature"),
-                    F.try_element_at(F.col("split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"))
+                    F.try_element_at(F.col("split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"),
+                    (F.coalesce(F.col("split.numCategories"), F.lit(-1)) >= 0).alias("by_category"))
 
 
 @dataclass
@@ -98,6 +103,8 @@ def load_forest(spark: SparkSession, model, model_path: str | None = None) -> Fo
     if n > MAX_FOREST_NODES:
         raise ValueError(f"forest has {n} nodes (> {MAX_FOREST_NODES}); too large to ship to tasks")
     pdf = nodes.toPandas().sort_values(["tree", "id"])
+    if (pdf["by_category"] & (pdf["left"] >= 0)).any():
+        raise ValueError("the forest splits by category sets; train on features without nominal attributes")
     weights = np.asarray(model.treeWeights, dtype=float)
     out = {k: [] for k in ("left", "right", "feature", "threshold", "value", "cover")}
     for t in range(len(weights)):
@@ -137,27 +144,6 @@ def native_importance(spark: SparkSession, model, feature_names: list[str],
 # per-row kernels (numpy, one Arrow batch at a time)
 # ---------------------------------------------------------------------------
 
-def path_contributions_np(forest: Forest, X: np.ndarray) -> np.ndarray:
-    """(rows, features) contributions; ``bias + sum = margin``."""
-    R = X.shape[0]
-    out = np.zeros((R, forest.n_features))
-    rows = np.arange(R)
-    for w, left, right, feat, thr, val in zip(forest.weights, forest.left, forest.right,
-                                              forest.feature, forest.threshold, forest.value):
-        node = np.zeros(R, dtype=int)
-        while True:
-            inner = left[node] >= 0
-            if not inner.any():
-                break
-            r = rows[inner]
-            nd = node[inner]
-            f = feat[nd]
-            nxt = np.where(X[r, f] <= thr[nd], left[nd], right[nd])
-            out[r, f] += w * (val[nxt] - val[nd])
-            node[inner] = nxt
-    return out
-
-
 def _tree_leaf_paths(left, right, feat, thr, cover, n_slots: int):
     """Leaves of one tree with their merged path players, padded to n_slots:
     (leaf_ids, feat[L,D], lo[L,D], hi[L,D], p[L,D])."""
@@ -270,8 +256,7 @@ def attribution(df: DataFrame, model, features_col: str = "features", keep: list
     """Per-row contributions: ``keep`` columns + ``bias`` + ``contributions``
     (array<double>, one entry per model feature) + ``x`` (the feature values).
 
-    ``method``: ``"path"`` (X2, tree-path deltas, numpy per batch),
-    ``"path_join"`` (X2 as leafCol + broadcast join + groupBy) or ``"shap"`` (X3)."""
+    ``method``: ``"path"`` (X2, leafCol joined with the leaf table) or ``"shap"`` (X3)."""
     from pyspark.ml.functions import vector_to_array
     spark = df.sparkSession
     forest = forest or load_forest(spark, model, model_path)
@@ -282,18 +267,17 @@ def attribution(df: DataFrame, model, features_col: str = "features", keep: list
         T.StructField("x", T.ArrayType(T.DoubleType())),
         T.StructField("bias", T.DoubleType()),
         T.StructField("contributions", T.ArrayType(T.DoubleType()))])
-    if method == "path_join":
-        return path_contributions_join(df, model, forest, features_col, keep)
-    if method == "path":
-        bias = forest.bias
-        kernel = lambda X: path_contributions_np(forest, X)
-    elif method == "shap":
-        prepared, D = prepare_shap(forest)
-        bias = shap_base_value(forest)
-        nf = forest.n_features
-        kernel = lambda X: shap_np(prepared, D, nf, X)
-    else:
+    if method in ("path", "path_join"):
+        return path_contributions(df, model, forest, features_col, keep)
+    if method != "shap":
         raise ValueError(f"unknown attribution method: {method}")
+    prepared, D = prepare_shap(forest)
+    bias = shap_base_value(forest)
+    nf = forest.n_features
+
+    def kernel(X):
+        return shap_np(prepared, D, nf, X)
+
     chunk = 4096
 
     def run(batches):
@@ -334,43 +318,41 @@ def leaf_contribution_table(spark: SparkSession, forest: Forest) -> DataFrame:
     return spark.createDataFrame(rows, "tree int, leaf int, c array<double>")
 
 
-def path_contributions_join(df: DataFrame, model, forest: Forest, features_col: str = "features",
-                            keep: list[str] | None = None) -> DataFrame:
+def path_contributions(df: DataFrame, model, forest: Forest, features_col: str = "features",
+                       keep: list[str] | None = None) -> DataFrame:
     """X2 as a Spark composition: the model's ``leafCol`` gives each row's leaf
-    per tree; ``posexplode`` + a broadcast join with the (model-sized) leaf
-    table + ``groupBy(row)`` sums the per-feature contributions. Same output
-    as ``attribution(method="path")``; costs one shuffle by row instead of
-    none."""
+    per tree; ``posexplode``, a join with the leaf table (broadcast only while
+    it is under ``BROADCAST_LEAF_BYTES``) and a ``groupBy(row)`` sum the
+    contributions. Only tree 0 of a row carries its columns through the
+    shuffle."""
     from pyspark.ml.functions import vector_to_array
-    spark = df.sparkSession
     keep = list(keep or [])
-    leaves = leaf_contribution_table(spark, forest)
+    nf = forest.n_features
+    leaves = leaf_contribution_table(df.sparkSession, forest)
+    if sum(int((left < 0).sum()) for left in forest.left) * 8 * nf <= BROADCAST_LEAF_BYTES:
+        leaves = F.broadcast(leaves)
     m = model.copy()
     m.setLeafCol("_leaves").setPredictionCol("_p")
     if hasattr(m, "setProbabilityCol"):
         m.setProbabilityCol("_pr").setRawPredictionCol("_r")
-    scored = m.transform(df).select(*[F.col(f"`{c}`") for c in keep],
-                                    vector_to_array(F.col(features_col)).alias("x"),
-                                    vector_to_array("_leaves").alias("_lv"),
-                                    F.monotonically_increasing_id().alias("_row"))
-    ex = scored.select("_row", *keep, "x", F.posexplode("_lv").alias("tree", "leaf"))
-    ex = ex.withColumn("leaf", F.col("leaf").cast("int"))
-    n_rows = sum(len(v) for v in forest.left)
-    from tabforge.operators.ranking import broadcast_if_small
-    joined = ex.join(broadcast_if_small(leaves, n_rows), ["tree", "leaf"])
-    nf = forest.n_features
-    agg = joined.groupBy("_row").agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in keep],
-                                     F.first("x").alias("x"),
-                                     *[F.sum(F.col("c").getItem(i)).alias(f"_c{i}") for i in range(nf)])
-    return agg.select(*keep, "x", F.lit(forest.bias).alias("bias"),
-                      F.array(*[F.col(f"_c{i}") for i in range(nf)]).alias("contributions"))
+    scored = m.transform(df).select(
+        F.monotonically_increasing_id().alias("_row"), vector_to_array("_leaves").alias("_lv"),
+        F.struct(*[F.col(f"`{c}`") for c in keep], vector_to_array(F.col(features_col)).alias("x")).alias("_of"))
+    one = scored.select("_row", "_of", F.posexplode("_lv").alias("tree", "leaf"))
+    one = one.select("_row", "tree", F.col("leaf").cast("int").alias("leaf"), F.when(F.col("tree") == 0, F.col("_of")).alias("_of"))
+    agg = one.join(leaves, ["tree", "leaf"]).groupBy("_row").agg(
+        F.first("_of", ignorenulls=True).alias("_of"), *[F.sum(F.col("c").getItem(i)).alias(f"_c{i}") for i in range(nf)])
+    return agg.select(*[F.col("_of").getField(c).alias(c) for c in keep], F.col("_of.x").alias("x"),
+                      F.lit(forest.bias).alias("bias"), F.array(*[F.col(f"_c{i}") for i in range(nf)]).alias("contributions"))
 
 
 def contributions_wide(contrib: DataFrame, feature_names: list[str], keep: list[str] | None = None) -> DataFrame:
     """One column per feature (plus ``keep`` columns and ``bias``)."""
     keep = list(keep or [])
+    taken = {c.lower() for c in [*keep, "bias"]}
+    names = [f"{n}__contribution" if n.lower() in taken else n for n in feature_names]
     return contrib.select(*[F.col(f"`{c}`") for c in keep], "bias",
-                          *[F.col("contributions").getItem(i).alias(n) for i, n in enumerate(feature_names)])
+                          *[F.col("contributions").getItem(i).alias(n) for i, n in enumerate(names)])
 
 
 # ---------------------------------------------------------------------------

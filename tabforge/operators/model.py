@@ -4,8 +4,9 @@ refit, scoring and persistence.
 Training uses ``pyspark.ml`` ``GBTClassifier`` / ``GBTRegressor`` (distributed
 histogram split finding). The assembled, projected training frame is
 persisted once and every fold / trial reads it; folds are a column
-(``assign_folds``), a trial's validation rows are marked with
-``validationIndicatorCol`` so one DataFrame serves fit and early stopping.
+(``assign_folds``), so a trial's training and validation rows are filters of
+the one cached frame. Early stopping looks at the validation loss of every
+round and keeps the rounds before ``PATIENCE`` ones without a gain.
 
 Model selection: one random-search trial table (drawn once, deterministic)
 is evaluated on every fold; the trial with the best mean validation score is
@@ -30,14 +31,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import positive_probability, threshold_class
-from tabforge.functions.metrics import auc_frame, classification_metrics, regression_metrics
-from tabforge.operators.ranking import input_partitions
+from tabforge.functions.metrics import auc_frame, metric_value, regression_metrics
 from tabforge.operators.split import assign_folds, with_class_weights
 from tabforge.session import cut_lineage, work_dir
 from tabforge.spec import ModelConfig, draw_trials, parse_space
 
 DEFAULT_MAX_BINS = 255
-VALIDATION_TOL = 0.001
+# boosting rounds without a better validation loss before training stops
+PATIENCE = 10
+# trees when the search space names no number (the common default of boosting libraries)
+DEFAULT_TREES = 100
 MAX_DEPTH_LIMIT = 30
 
 
@@ -48,7 +51,7 @@ MAX_DEPTH_LIMIT = 30
 def spark_params(params: dict) -> tuple[dict, str | None]:
     """Map a trial's parameters onto Spark GBT params; returns (params,
     class_weight mode)."""
-    out: dict = {"maxBins": DEFAULT_MAX_BINS}
+    out: dict = {"maxBins": DEFAULT_MAX_BINS, "maxIter": DEFAULT_TREES}
     weight = None
     for k, v in params.items():
         if k == "learning_rate":
@@ -84,20 +87,45 @@ def spark_params(params: dict) -> tuple[dict, str | None]:
 
 
 def make_estimator(problem_type: str, params: dict, label_col: str, features_col: str,
-                   weight_col: str | None, validation_col: str | None, seed: int):
+                   weight_col: str | None, seed: int):
     est_cls = GBTClassifier if problem_type == "classification" else GBTRegressor
     kw = dict(labelCol=label_col, featuresCol=features_col, seed=seed,
               predictionCol="_pred", cacheNodeIds=True, checkpointInterval=10)
     if weight_col:
         kw["weightCol"] = weight_col
-    if validation_col:
-        # stop when a tree improves the validation loss by less than 0.1 %
-        kw["validationIndicatorCol"] = validation_col
-        kw["validationTol"] = VALIDATION_TOL
     kw.update(params)
     return est_cls(**kw)
 
 
+def kept_rounds(losses: list[float], patience: int = PATIENCE) -> int:
+    """Trees to keep, from the validation loss after each one: training stops
+    once ``patience`` rounds in a row brought no smaller loss, and the rounds up
+    to the smallest one before that stay (at least one)."""
+    best, at = math.inf, 0
+    for i, loss in enumerate(losses):
+        if loss < best:
+            best, at = loss, i
+        elif i - at >= patience:
+            break
+    return at + 1
+
+
+def fit_early_stopped(train: DataFrame, valid: DataFrame, problem_type: str, params: dict, label_col: str,
+                      features_col: str, weight_col: str | None, seed: int, patience: int = PATIENCE):
+    """M3: fit on ``train``, keep the rounds that ``kept_rounds`` allows by the
+    loss on ``valid`` (one scan for all rounds). Boosting is sequential, so the
+    same seed fitted with fewer rounds gives the first trees of the long fit."""
+    model = make_estimator(problem_type, params, label_col, features_col, weight_col, seed).fit(train)
+    if valid.isEmpty():
+        return model
+    losses = (model.evaluateEachIteration(valid) if problem_type == "classification"
+              else model.evaluateEachIteration(valid, "squared"))
+    keep = kept_rounds(list(losses), patience)
+    if keep == len(losses):
+        return model
+    return make_estimator(problem_type, {**params, "maxIter": keep}, label_col, features_col, weight_col, seed).fit(train)
+
+
 # ---------------------------------------------------------------------------
 # scoring (M7)
 # ---------------------------------------------------------------------------
@@ -122,15 +150,7 @@ def evaluate(scored: DataFrame, problem_type: str, metric: str, label_col: str,
              threshold: float = 0.5) -> float:
     """One metric by name on a scored frame."""
     pred = "prediction_proba" if problem_type == "classification" else "prediction"
-    if metric in ("rocauc", "auc"):
-        r = auc_frame(scored, label_col, pred).collect()
-        v = r[0]["auc"] if r else None
-        return float("nan") if v is None else float(v)
-    if metric in ("accuracy", "f1"):
-        return float(classification_metrics(scored, label_col, pred, threshold).collect()[0][metric])
-    if metric in ("mse", "rmse", "r2"):
-        return float(regression_metrics(scored, label_col, pred).collect()[0][metric])
-    raise ValueError(f"Unsupported evaluation metric: {metric}")
+    return metric_value(scored, metric, label_col, pred, threshold)
 
 
 # ---------------------------------------------------------------------------
@@ -157,6 +177,7 @@ class TrainResult:
     trials: list[TrialResult]
     fold_scores: list[tuple[int, float, float]]   # (fold, train_score, val_score)
     summary: dict
+    fold_importance: list[tuple[int, int, float]] = field(default_factory=list)   # (fold, slot, gain)
 
     def cv_results_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -164,6 +185,11 @@ class TrainResult:
              for t in self.trials],
             "fold int, trial int, params string, val_score double, n_trees int")
 
+    def fold_importance_frame(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        """Gain importance of every feature in each fold's best model."""
+        return spark.createDataFrame([(f, names[i], g) for f, i, g in self.fold_importance],
+                                     "fold int, feature string, importance double")
+
     def fold_scores_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(f, float(a), float(b)) for f, a, b in self.fold_scores],
                                      "fold int, train_score double, val_score double")
@@ -172,7 +198,7 @@ class TrainResult:
 def _scores_by_part(scored: DataFrame, problem: str, label_col: str) -> dict:
     """AUC (classification) or RMSE (regression) per value of ``_part``."""
     if problem == "classification":
-        rows = auc_frame(scored, label_col, "prediction_proba", by=["_part"], n_groups_bound=2).collect()
+        rows = auc_frame(scored, label_col, "prediction_proba", by=["_part"]).collect()
         return {r["_part"]: (float("nan") if r["auc"] is None else float(r["auc"])) for r in rows}
     rows = regression_metrics(scored, label_col, "prediction", by=["_part"]).collect()
     return {r["_part"]: float(r["rmse"]) for r in rows}
@@ -185,6 +211,11 @@ def cv_summary_frame(scores: DataFrame) -> DataFrame:
                       F.stddev_pop("val_score").alias("cv_std_val_score"))
 
 
+def rank_score(sign: float, value: float) -> tuple[bool, float]:
+    """Order of scores where larger is better; a score that is not a number is worst."""
+    return (False, 0.0) if math.isnan(value) else (True, sign * value)
+
+
 def _space(cfg: ModelConfig) -> list:
     spaces = cfg.hyperparameter_space or {}
     key = cfg.models[0] if cfg.models and cfg.models[0] in spaces else (next(iter(spaces), None))
@@ -193,14 +224,14 @@ def _space(cfg: ModelConfig) -> list:
 
 def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str = "features",
              id_cols: list[str] | None = None, fold_col: str = "fold",
-             lineage_cut: bool | None = None,
+             lineage_cut: bool = False,
              fold_frames: dict[int, DataFrame] | None = None) -> TrainResult:
     """M4-M6, M9 on an assembled frame (``features_col`` vector + label).
 
-    The training frame feeds every fit of the search. Large inputs (or
-    ``lineage_cut=True``) are checkpointed into the shared checkpoint
-    directory first, so a lost executor costs a re-read, not a re-run of the
-    preparation and fold ranking; small inputs are persisted."""
+    The training frame feeds every fit of the search and is persisted.
+    ``lineage_cut=True`` checkpoints it into the shared checkpoint directory
+    first, so a lost executor costs a re-read, not a re-run of the preparation
+    and fold ranking."""
     spark = df.sparkSession
     work_dir(spark)   # checkpointInterval needs the shared directory
     problem = cfg.problem_type
@@ -220,12 +251,6 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
         base = with_class_weights(base, label_col, "_w_balanced", "balanced")
     cols = [label_col, features_col, fold_col] + (["_w_balanced"] if "_w_balanced" in base.columns else [])
     data = base.select(*cols)
-    # keep the input's parallelism: the fold ranking's shuffle may have split
-    # a small input into many tiny partitions, which every tree level of every
-    # concurrent fit would then schedule (a no-op when the input is large)
-    data = data.coalesce(input_partitions(df))
-    if lineage_cut is None:
-        lineage_cut = input_partitions(df) > 4 * max(1, spark.sparkContext.defaultParallelism)
     if lineage_cut:
         data = cut_lineage(data)              # reliable checkpoint, shared storage
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -233,8 +258,7 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
     # (features prepared from the other folds' rows); the refit reads ``data``
     per_fold = {}
     for f, frame in (fold_frames or {}).items():
-        per_fold[f] = (frame.select(*cols).coalesce(input_partitions(df))
-                       .persist(StorageLevel.MEMORY_AND_DISK))
+        per_fold[f] = frame.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
 
     def rows_of(fold: int) -> DataFrame:
         return per_fold.get(fold, data)
@@ -246,11 +270,10 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
             frame.count()
         def run(fold: int, ti: int) -> TrialResult:
             sp, wmode = spark_params(trials[ti])
-            marked = rows_of(fold).withColumn("_is_val", F.col(fold_col) == fold)
-            est = make_estimator(problem, sp, label_col, features_col,
-                                 "_w_balanced" if wmode == "balanced" else None, "_is_val", seed)
-            model = est.fit(marked)
-            val = score(model, rows_of(fold).where(F.col(fold_col) == fold), problem)
+            valid = rows_of(fold).where(F.col(fold_col) == fold)
+            model = fit_early_stopped(rows_of(fold).where(F.col(fold_col) != fold), valid, problem, sp, label_col,
+                                      features_col, "_w_balanced" if wmode == "balanced" else None, seed)
+            val = score(model, valid, problem)
             return TrialResult(fold, ti, trials[ti], evaluate(val, problem, cfg.evaluation_metric, label_col),
                                int(model.getNumTrees), model)
 
@@ -260,12 +283,13 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
 
         # per fold: best trial -> fold scores (train / validation, metric of the problem type)
         fold_metric = "rocauc" if problem == "classification" else "rmse"
-        fold_scores = []
+        fold_scores, fold_importance = [], []
         best_by_fold = {}
         for f in range(k):
             rs = [r for r in results if r.fold == f]
-            best = max(rs, key=lambda r: (sign * (r.val_score if not math.isnan(r.val_score) else -math.inf)))
+            best = max(rs, key=lambda r: rank_score(sign, r.val_score))
             best_by_fold[f] = best
+            fold_importance += [(f, i, float(g)) for i, g in enumerate(best.model.featureImportances.toArray())]
             # train and validation score of the fold's best model in one grouped job
             scored = score(best.model, rows_of(f), problem).withColumn("_part", F.col(fold_col) == f)
             both = _scores_by_part(scored, problem, label_col)
@@ -275,31 +299,29 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
             chosen = best_by_fold[0].trial
         else:
             means = {t: statistics.fmean(r.val_score for r in results if r.trial == t) for t in range(len(trials))}
-            chosen = max(means, key=lambda t: sign * means[t])
+            chosen = max(means, key=lambda t: rank_score(sign, means[t]))
         best_params = dict(trials[chosen])
         if cfg.retrain_with_whole_dataset:
             sp, wmode = spark_params(best_params)
             n_trees = [r.n_trees for r in results if r.trial == chosen]
             sp["maxIter"] = max(1, int(statistics.median(n_trees)))
             est = make_estimator(problem, sp, label_col, features_col,
-                                 "_w_balanced" if wmode == "balanced" else None, None, seed)
+                                 "_w_balanced" if wmode == "balanced" else None, seed)
             final = est.fit(data)
         else:
-            pick = (max if fold_metric == "rocauc" else min)(fold_scores, key=lambda x: x[2])
+            better = 1.0 if fold_metric == "rocauc" else -1.0
+            pick = max(fold_scores, key=lambda x: rank_score(better, x[2]))
             final = best_by_fold[pick[0]].model
     finally:
         data.unpersist()
         for frame in per_fold.values():
             frame.unpersist()
 
-    vals = [v for _, _, v in fold_scores]
-    summary = {"cv_mean_train_score": statistics.fmean(t for _, t, _ in fold_scores),
-               "cv_mean_val_score": statistics.fmean(vals),
-               "cv_std_val_score": statistics.pstdev(vals),
-               "best_params": best_params}
     for r in results:
         r.model = None   # fold models are not kept
-    return TrainResult(final, problem, [], label_col, best_params, results, fold_scores, summary)
+    result = TrainResult(final, problem, [], label_col, best_params, results, fold_scores, {}, fold_importance)
+    result.summary = {**cv_summary_frame(result.fold_scores_frame(spark)).first().asDict(), "best_params": best_params}
+    return result
 
 
 def fit_single(df: DataFrame, problem_type: str, params: dict, label_col: str,
@@ -316,10 +338,14 @@ def fit_single(df: DataFrame, problem_type: str, params: dict, label_col: str,
     # the fit makes several passes (split finding, tree levels, errors): read
     # the projected input once
     cols = [label_col, features_col] + [c for c in (wcol, validation_col) if c]
-    data = src.select(*cols).coalesce(input_partitions(src)).persist(StorageLevel.MEMORY_AND_DISK)
+    data = src.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         data.count()
-        return make_estimator(problem_type, sp, label_col, features_col, wcol, validation_col, seed).fit(data)
+        if validation_col:
+            held = F.coalesce(F.col(validation_col), F.lit(False))
+            return fit_early_stopped(data.where(~held), data.where(held), problem_type, sp, label_col, features_col,
+                                     wcol, seed)
+        return make_estimator(problem_type, sp, label_col, features_col, wcol, seed).fit(data)
     finally:
         data.unpersist()
 

@@ -79,7 +79,7 @@ class CategoryStat:
 
 
 def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def imputed_moments(n: int, n_valid: int, mean: float | None, var_pop: float | None,
@@ -111,9 +111,11 @@ class FeaturePrep:
                  passthrough: list[str] | None = None, indicator: str = "flag",
                  missing_indicators: bool = True, scale: bool = True,
                  max_categories: int = 100_000, median_relative_error: float = 0.0,
-                 sparse_above: int = 1000):
+                 encoding: str = "columns"):
         if indicator not in ("flag", "fill_one"):
             raise ValueError("indicator must be 'flag' or 'fill_one'")
+        if encoding not in ("columns", "vector"):
+            raise ValueError("encoding must be 'columns' or 'vector'")
         self.spec = spec
         self.target = target
         self.passthrough = list(passthrough or [])
@@ -121,8 +123,9 @@ class FeaturePrep:
         self.missing_indicators = missing_indicators
         self.scale = scale
         self.max_categories = max_categories
-        # vocabularies larger than this become one sparse one-hot vector column
-        self.sparse_above = sparse_above
+        # "columns": one 0/1 column a category; "vector": one sparse vector column a feature.
+        # A choice of the caller, never of the data: the size of a vocabulary changes no schema
+        self.encoding = encoding
         # 0 -> exact median; > 0 -> percentile_approx with that rank error (one pass)
         self.median_relative_error = median_relative_error
 
@@ -220,7 +223,7 @@ class FeaturePrep:
                     fill = "unknown"
                 vocab = sorted(set(seen) | ({fill} if n_null > 0 else set()))
                 cat_stats.append(CategoryStat(f.name, f.impute_method, fill, vocab, n_null,
-                                              sparse=len(vocab) > self.sparse_above))
+                                              sparse=self.encoding == "vector"))
 
         return FeaturePrepModel(
             spec=self.spec, target=self.target, passthrough=self.passthrough,
@@ -277,16 +280,16 @@ class FeaturePrepModel:
             out.append((name, F.coalesce(raw, F.lit(0.0))))
             if self.missing_indicators:
                 out.append((name + MISSING_SUFFIX, indicator(name, raw, raw)))
-        # generated names may collide (a category literally named "missing"):
-        # later duplicates get a numeric suffix
-        seen: dict[str, int] = {}
+        # generated names may collide (a category literally named "missing", or
+        # names that differ by case only): later duplicates get a numeric suffix
+        taken: set[str] = set()
         named = []
         for name, expr in out:
-            if name in seen:
-                seen[name] += 1
-                name = f"{name}__{seen[name]}"
-            else:
-                seen[name] = 0
+            base, k = name, 0
+            while name.lower() in taken:
+                k += 1
+                name = f"{base}__{k}"
+            taken.add(name.lower())
             named.append((name, expr))
         return named
 
@@ -308,20 +311,29 @@ class FeaturePrepModel:
         if self._names is None:
             sparse = {s.name + SPARSE_SUFFIX: s for s in self.categorical if s.sparse}
             names = []
+            taken: set[str] = {n.lower() for n in self.output_columns if n not in sparse}
             for n in self.output_columns:
-                if n in sparse:
-                    names += [f"{sparse[n].name}_{v}" for v in sparse[n].vocab]
-                else:
+                if n not in sparse:
                     names.append(n)
+                    continue
+                for v in sparse[n].vocab:
+                    base = name = f"{sparse[n].name}_{v}"
+                    k = 0
+                    while name.lower() in taken:
+                        k += 1
+                        name = f"{base}__{k}"
+                    taken.add(name.lower())
+                    names.append(name)
             self._names = names
         return list(self._names)
 
     def transform(self, df: DataFrame, keep: list[str] | None = None,
                   assemble: bool = False, features_col: str = "features",
-                  name_prefix: str = "") -> DataFrame:
+                  positional: str | None = None) -> DataFrame:
         """One projection: ``keep`` columns (default: passthrough + target when
-        present) followed by the generated feature columns (named
-        ``name_prefix + name``, so they can sit next to the original columns)."""
+        present) followed by the generated feature columns, in the order of
+        ``output_columns``. ``positional``: name them by this prefix and their
+        place instead, so that they can sit next to any original columns."""
         if keep is None:
             keep = [c for c in [*self.passthrough, self.target] if c and c in df.columns]
         dtypes = {f.name: f.dataType for f in df.schema.fields}
@@ -330,14 +342,23 @@ class FeaturePrepModel:
         if missing:
             raise ValueError(f"Required feature(s) missing from the data: {missing}")
         plan = self._plan(dtypes)
-        out = df.select(*[_q(c) for c in keep], *[e.alias(name_prefix + n) for n, e in plan])
+        # category values become column names: columns are addressed by place
+        # (safe names) until the last projection
+        prefix = positional or "__feature_"
+        names = [n for n, _ in plan]
+        place = {n: f"{prefix}{i}" for i, n in enumerate(names)}
+        out = df.select(*[_q(c) for c in keep], *[e.alias(place[n]) for n, e in plan])
         for st in (x for x in self.categorical if x.sparse):
-            out = _encode_sparse(out, name_prefix + st.name + SPARSE_SUFFIX, st.vocab)
+            out = _encode_sparse(out, place[st.name + SPARSE_SUFFIX], st.vocab)
+        extra = []
         if assemble:
             from pyspark.ml.feature import VectorAssembler
-            out = VectorAssembler(inputCols=[name_prefix + n for n in self.output_columns], outputCol=features_col,
+            out = VectorAssembler(inputCols=[place[n] for n in names], outputCol="__features",
                                   handleInvalid="keep").transform(out)
-        return out
+            # without attributes: 0/1 slots stay numeric, and trees split them by threshold
+            extra = [F.col("__features").alias(features_col, metadata={"ml_attr": {"num_attrs": len(self.feature_names)}})]
+        return out.select(*[_q(c) for c in keep], *[F.col(place[n]).alias(place[n] if positional else n) for n in names],
+                          *extra)
 
     def impute(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Imputed (not encoded, not scaled) feature columns: numeric ->

@@ -56,48 +56,26 @@ def choose_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET, max_buck
     return int(min(max_buckets, max(1, math.ceil(n_rows / max(1, rows_per_bucket)))))
 
 
-def input_partitions(df: DataFrame) -> int:
-    """Input splits of the plan's file scans, computed from the file sizes the
-    way Spark sizes splits (maxPartitionBytes, openCostInBytes, bytes per
-    core) -- without running a job (``df.rdd`` would execute upstream shuffles
-    under AQE just to size its output). Files on remote storage count one split
-    each; plans without files fall back to the default parallelism."""
-    import os
-    spark = df.sparkSession
-    cores = max(1, spark.sparkContext.defaultParallelism)
-    files = df.inputFiles()
-    if not files:
-        return cores
-
-    def conf_bytes(key: str, default: int) -> int:
-        v = str(spark.conf.get(key, str(default))).strip().lower()
-        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        v = v[:-1] if v.endswith("b") else v
-        return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
-    max_bytes = conf_bytes("spark.sql.files.maxPartitionBytes", 128 << 20)
-    open_cost = conf_bytes("spark.sql.files.openCostInBytes", 4 << 20)
-    sizes, remote = [], 0
-    for f in files:
-        if f.startswith("file:") or f.startswith("/"):
-            try:
-                sizes.append(os.path.getsize(f[5:] if f.startswith("file:") else f))
-                continue
-            except OSError:
-                pass
-        remote += 1
-    total = sum(sizes) + open_cost * len(sizes)
-    split = min(max_bytes, max(open_cost, total // cores))
-    return max(1, remote + sum(-(-(sz + open_cost) // split) for sz in sizes))
-
-
-def estimated_buckets(df: DataFrame, max_buckets: int = 1 << 16) -> int:
-    """Bucket count without running a job: one bucket per input split
-    (``spark.sql.files.maxPartitionBytes``), at least one per core. The count
-    only sets how many window tasks share the ranking; every value gives the
-    same ranks."""
-    parts = input_partitions(df)
-    floor = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    return int(min(max_buckets, max(floor, parts)))
+def shuffle_buckets(df: DataFrame) -> int:
+    """Rank buckets: one per shuffle partition of the session. The count only
+    sets how many window tasks share the ranking; every value gives the same
+    ranks, and it does not depend on the input's files."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def with_row_index(df: DataFrame, index_col: str = "index") -> DataFrame:
+    """``index_col`` 0..n-1 in the order of the partitions: counts per partition
+    (one small job, no shuffle of rows) give each its offset. ``df`` should read
+    stored rows, so that both passes see the same partitions."""
+    place = F.monotonically_increasing_id()
+    tagged = df.withColumn("_ix_row", place)
+    counts = tagged.groupBy(F.shiftright("_ix_row", 33).alias("_ix_part")).agg(F.count(F.lit(1)).alias("_ix_n"))
+    # one row a partition of the input: a window over it is bounded
+    before = Window.orderBy("_ix_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_ix_part", F.coalesce(F.sum("_ix_n").over(before), F.lit(0)).alias("_ix_off"))
+    return (tagged.withColumn("_ix_part", F.shiftright("_ix_row", 33)).join(F.broadcast(offsets), "_ix_part")
+            .withColumn(index_col, F.col("_ix_off") + F.col("_ix_row").bitwiseAND(F.lit((1 << 33) - 1)))
+            .drop("_ix_row", "_ix_part", "_ix_off"))
 
 
 def hash_rank(df: DataFrame, key: Column, group_cols: list[str] | None = None,
@@ -113,7 +91,7 @@ def hash_rank(df: DataFrame, key: Column, group_cols: list[str] | None = None,
     group_cols = list(group_cols or [])
     tiebreak = list(tiebreak or [])
     if n_buckets is None:
-        n_buckets = estimated_buckets(df)
+        n_buckets = shuffle_buckets(df)
     keyed = df.withColumn("_rk_key", key).withColumn("_rk_b", _hex_bucket(F.col("_rk_key"), n_buckets))
     counts = keyed.groupBy(*group_cols, "_rk_b").agg(F.count(F.lit(1)).alias("_rk_n"))
     w_off = Window.partitionBy(*group_cols).orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,11 +1,13 @@
 """The jobs a user runs -- train, score, prepare.
 
 Each job is a short driver program over DataFrames: read -> validate (one
-aggregate) -> fit preparation (two aggregates) -> project -> Spark ML. Every
-output is a DataFrame writer into the run's layout
-``<base>/<run_id>/{model, predictions, deep_insights_input}``. Predictions
-are attached to rows inside one projection (original columns, generated
-features under a temporary prefix, the model's output), never by position.
+aggregate) -> fit preparation (two aggregates) -> project -> Spark ML. The
+typed rows are stored once, with the run's row key, and so are the scored rows;
+all statistics, folds and sinks read these. Every output is a DataFrame writer
+into the run's layout ``<base>/<run_id>/{model, predictions,
+deep_insights_input}``. Predictions are attached to rows inside one projection
+(original columns, generated features by place, the model's output), never by
+position.
 """
 
 from __future__ import annotations
@@ -22,14 +24,19 @@ from tabforge.functions.metrics import metrics_long
 from tabforge.operators import explain
 from tabforge.operators.model import load_model, save_model, score, train_cv
 from tabforge.operators.prepare import FeaturePrep, FeaturePrepModel
+from tabforge.operators.ranking import with_row_index
 from tabforge.operators.split import assign_folds, sample_exact
 from tabforge.operators.validate import validate
 from tabforge.sources.readers import apply_types, read_source
-from tabforge.sources.sinks import (OutputLayout, importance_sink, manifest_frame,
-                                   prediction_table, write_table)
+from tabforge.session import scratch_path
+from tabforge.sources.sinks import (OutputLayout, importance_sink, manifest_frame, prediction_table,
+                                    scored_original, scored_transformed, write_table)
 from tabforge.spec import DataConfig, FeatureSpec, ModelConfig
 
-TMP_PREFIX = "__f__"
+# generated features sit next to the original columns under these names
+FEATURE = "__f"
+ROW = "__row"
+FOLD = "__fold"
 
 
 @dataclass
@@ -79,38 +86,48 @@ def _check_label(df: DataFrame, target: str, problem: str) -> None:
         raise ValueError(f"classification target '{target}' has a single class")
 
 
-def _with_features(prep: FeaturePrepModel, typed: DataFrame) -> DataFrame:
-    """Original columns + temporary-named features + the assembled vector (one projection)."""
-    return prep.transform(typed, keep=typed.columns, assemble=True, name_prefix=TMP_PREFIX)
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: everything after
+    reads the stored rows instead of running what came before again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def _transformed_view(scored: DataFrame, prep: FeaturePrepModel, extra: list[str]) -> DataFrame:
-    return scored.select(*[F.col(f"`{TMP_PREFIX}{n}`").alias(n) for n in prep.output_columns],
-                         *[F.col(f"`{c}`") for c in extra if c in scored.columns])
+def _rows(typed: DataFrame, uid: str | None) -> tuple[DataFrame, str]:
+    """The stored typed rows and the run's row key: the id, or an index 0..n-1
+    that all tables of the run share."""
+    stored = _staged(typed, "typed")
+    return (stored, uid) if uid else (with_row_index(stored, ROW), ROW)
 
 
-def _pred_cols(problem: str) -> list[str]:
-    return ["prediction_proba", "prediction_class"] if problem == "classification" else ["prediction"]
+def _scored(prep: FeaturePrepModel, model, rows: DataFrame, problem: str) -> DataFrame:
+    """Rows + features by place + the assembled vector + predictions, computed once."""
+    features = prep.transform(rows, keep=rows.columns, assemble=True, positional=FEATURE)
+    return _staged(score(model, features, problem), "scored")
 
 
-def _attribution_outputs(spark, layout, model, prep, frame, method, uid, fmt, sample, seed,
+def _transformed(scored: DataFrame, prep: FeaturePrepModel, problem: str, target: str | None, last: bool) -> DataFrame:
+    names = prep.output_columns
+    return scored_transformed(scored, [f"{FEATURE}{i}" for i in range(len(names))], problem, target, last, names)
+
+
+def _attribution_outputs(spark, layout, model, prep, frame, method, key, fmt, sample, seed,
                          model_path=None):
     """X2/X3 + X4-X6 + S8/S9 on (a K3 sample of) ``frame``. The per-row
     contributions feed two sinks, so they are computed once and persisted."""
-    rows = (sample_exact(frame, sample, seed=seed, id_cols=[uid] if uid else None, ids_unique=False,
-                         row_cols=[c for c in frame.columns if not c.startswith(TMP_PREFIX)])
+    rows = (sample_exact(frame, sample, seed=seed, id_cols=[key], ids_unique=False,
+                         row_cols=[c for c in frame.columns if not c.startswith(FEATURE)])
             if sample < 1 else frame)
-    keep = [uid] if uid and uid in rows.columns else []
-    if not keep:
-        rows = rows.withColumn("index", F.monotonically_increasing_id())
-        keep = ["index"]
+    shown = "index" if key == ROW else key
+    rows = rows.select(F.col(f"`{key}`").alias(shown), "features")
     name = "treeinterpreter" if method == "path" else "shap"
-    contrib = explain.attribution(rows, model, keep=keep, method=method, model_path=model_path)
+    contrib = explain.attribution(rows, model, keep=[shown], method=method, model_path=model_path)
     contrib = contrib.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         imp = explain.importance_from_contributions(contrib, prep.feature_names)   # small, driver-built
         write_table(importance_sink(imp), layout.insights(f"{name}_feature_importance"), fmt)
-        write_table(explain.contributions_wide(contrib, prep.feature_names, keep),
+        write_table(explain.contributions_wide(contrib, prep.feature_names, [shown]),
                     layout.insights(f"{name}_contributions" if method == "path" else "shap_values"), fmt)
         return {r["feature"]: r["importance"] for r in imp.collect()}
     finally:
@@ -123,24 +140,35 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     typed, spec, report = load_inputs(spark, data_cfg, model_cfg, spec, training=True)
     target, problem = model_cfg.target_variable, model_cfg.problem_type
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
-    _check_label(typed, target, problem)
-    prep = FeaturePrep(spec, target=target, passthrough=[uid] if uid else []).fit(typed)
-    full = _with_features(prep, typed)
-    # folds on the full rows: ids may repeat, the whole row breaks ties
-    folded = assign_folds(full, k=model_cfg.n_folds, seed=model_cfg.seed,
-                          label=target if problem == "classification" else None,
-                          id_cols=[uid] if uid else None, ids_unique=False, row_cols=typed.columns)
+    rows, key = _rows(typed, uid)
+    _check_label(rows, target, problem)
+
+    def preparation() -> FeaturePrep:
+        return FeaturePrep(spec, target=target, passthrough=[uid] if uid else [], encoding=model_cfg.category_encoding)
+
+    prep = preparation().fit(rows)
+    # folds on the typed rows, before features make them wide: ids may repeat,
+    # the whole row breaks ties
+    if model_cfg.use_custom_splits:
+        if "fold" not in typed.columns:
+            raise ValueError("use_custom_splits is set but the data has no 'fold' column")
+        folded = rows.withColumn(FOLD, F.col("fold").cast("int"))
+    else:
+        folded = assign_folds(rows, k=model_cfg.n_folds, seed=model_cfg.seed,
+                              label=target if problem == "classification" else None,
+                              id_cols=[key], ids_unique=False, row_cols=typed.columns, fold_col=FOLD,
+                              exact=model_cfg.exact_folds)
+    if model_cfg.fit_scope == "fold":
+        folded = _staged(folded, "folded")
     fold_frames = None
     if model_cfg.fit_scope == "fold":
         # preparation statistics from each fold's training rows only (no
         # validation rows leak into imputation / scaling / vocabularies)
-        rows = folded.select(*typed.columns, "fold")
-        fold_frames = {}
-        for f in range(model_cfg.n_folds):
-            prep_f = FeaturePrep(spec, target=target, passthrough=[uid] if uid else []).fit(
-                rows.where(F.col("fold") != f))
-            fold_frames[f] = prep_f.transform(rows, keep=[target, "fold"], assemble=True)
-    result = train_cv(folded.select(target, "features", "fold"), model_cfg, target, fold_frames=fold_frames)
+        fold_frames = {f: preparation().fit(folded.where(F.col(FOLD) != f)).transform(
+            folded, keep=[target, FOLD], assemble=True, positional=FEATURE) for f in range(model_cfg.n_folds)}
+    frame = prep.transform(folded, keep=[target, FOLD], assemble=True, positional=FEATURE)
+    result = train_cv(frame.select(F.col(f"`{target}`"), "features", FOLD), model_cfg, target, fold_col=FOLD,
+                      fold_frames=fold_frames)
     model = result.model
     layout = _layout(data_cfg)
     stem = f"{target}_{problem}_{(model_cfg.models or ['gbt'])[0]}"
@@ -150,24 +178,24 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     spark_model_path = f"{layout.model(stem)}/spark_model"      # node table for X1-X3
     prep.save(spark, layout.insights(f"{stem}_data_processor"))
 
-    scored = score(model, full, problem)
-    preds = _pred_cols(problem)
-    originals = [c for c in typed.columns if c != target]
-    write_table(scored.select(*originals, target, *preds),
+    scored = _scored(prep, model, rows, problem)
+    write_table(scored_original(scored, typed.columns, problem, target),
                 layout.predictions("original_data_with_predictions"), fmt)
-    write_table(_transformed_view(scored, prep, [target, *preds]),
+    write_table(_transformed(scored, prep, problem, target, False),
                 layout.predictions("transformed_data_with_predictions"), fmt)
 
     native = explain.native_importance(spark, model, prep.feature_names, spark_model_path)
     write_table(importance_sink(native), layout.insights("native_feature_importance"), fmt)
     method = "path" if model_cfg.importance_extraction_method == "treeinterpreter" else "shap"
-    importance = _attribution_outputs(spark, layout, model, prep, scored, method, uid, fmt,
+    importance = _attribution_outputs(spark, layout, model, prep, scored, method, key, fmt,
                                       float(model_cfg.sample_for_contribution), model_cfg.seed,
                                       spark_model_path)
     results = dict(result.summary)
     write_table(manifest_frame(spark, model_cfg.to_dict(), data_cfg.to_dict(), results),
                 layout.manifest(), "json")
     write_table(result.cv_results_frame(spark), layout.model("cv_results"), fmt)
+    write_table(result.fold_scores_frame(spark), layout.model("fold_scores"), fmt)
+    write_table(result.fold_importance_frame(spark, prep.feature_names), layout.model("fold_importance"), fmt)
     write_table(spark.createDataFrame([(layout.run_id, k, float(v)) for k, v in results.items()
                                        if isinstance(v, (int, float))],
                                       "run_id string, metric string, value double"),
@@ -195,30 +223,27 @@ def predict(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     typed, _, _ = load_inputs(spark, data_cfg, model_cfg, spec, training=False)
     target, problem = model_cfg.target_variable, model_cfg.problem_type
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
-    has_target = target in typed.columns
+    known = target if target in typed.columns else None
     layout = _layout(data_cfg)
-    full = _with_features(prep, typed)
-    scored = score(model, full, problem)
-    preds = _pred_cols(problem)
+    rows, key = _rows(typed, uid)
+    scored = _scored(prep, model, rows, problem)
     out_path = data_cfg.predictions_output_path or layout.predictions("predictions")
-    write_table(prediction_table(scored, problem, uid, target if has_target else None), out_path, fmt)
-    originals = [c for c in typed.columns if c != target]
-    tgt = [target] if has_target else []
-    write_table(scored.select(*originals, *preds, *tgt), layout.predictions("original_data_with_predictions"), fmt)
-    write_table(_transformed_view(scored, prep, [*preds, *tgt]),
+    write_table(prediction_table(scored, problem, uid, known, None if uid else ROW), out_path, fmt)
+    write_table(scored_original(scored, typed.columns, problem, known, True),
+                layout.predictions("original_data_with_predictions"), fmt)
+    write_table(_transformed(scored, prep, problem, known, True),
                 layout.predictions("transformed_data_with_predictions"), fmt)
-    details = {"output_path": out_path}
+    details = {"output_path": out_path, "num_predictions": scored.count()}
     if data_cfg.calculate_importance:
         method = "path" if model_cfg.importance_extraction_method == "treeinterpreter" else "shap"
-        details["importance"] = _attribution_outputs(spark, layout, model, prep, scored, method, uid, fmt,
+        details["importance"] = _attribution_outputs(spark, layout, model, prep, scored, method, key, fmt,
                                                      float(model_cfg.sample_for_contribution), model_cfg.seed,
                                                      f"{data_cfg.model_file_path.rstrip('/')}/spark_model")
-    if has_target and problem == "classification":
-        label = scored.select(F.col(target).alias("y"), F.col("prediction_proba").alias("p"))
+    if known:
+        pred = "prediction_proba" if problem == "classification" else "prediction"
+        label = scored.select(F.col(f"`{target}`").alias("y"), F.col(pred).alias("p")).filter("y is not null")
         details["metrics"] = {r["metric"]: r["value"]
                               for r in metrics_long(spark, label, problem, "y", "p").collect()}
-    details["num_predictions"] = spark.read.option("header", True).csv(out_path).count() \
-        if fmt == "csv" else spark.read.parquet(out_path).count()
     return JobResult(True, layout.root, details)
 
 
@@ -227,5 +252,6 @@ def prepare(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     """Load, validate, fit the preparation and transform."""
     typed, spec, _ = load_inputs(spark, data_cfg, model_cfg, spec)
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
-    prep = FeaturePrep(spec, target=model_cfg.target_variable, passthrough=[uid] if uid else []).fit(typed)
+    prep = FeaturePrep(spec, target=model_cfg.target_variable, passthrough=[uid] if uid else [],
+                       encoding=model_cfg.category_encoding).fit(typed)
     return prep, prep.transform(typed)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.functions.columns import sigmoid, threshold_class
+from tabforge.operators.ranking import with_row_index
 from tabforge.operators.validate import validate, validation_report
 from tabforge.plans.catalogue import query, r6, rounded, table
 from tabforge.plans.queries_prepare import DOCS_BASE_SQL, feature_matrix_sql, fit_docs
@@ -260,14 +261,22 @@ def scored_original_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {r6("p")} AS prediction_proba, CAST(p > 0.5 AS INTEGER) AS prediction_class, quality FROM s
 """)
 def prediction_table_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P4 fallback: without an id column the table carries a generated row
-    index (unique, not contiguous); compared here without that index."""
+    """P4 fallback: without an id column the table carries a row index;
+    compared here without that index (``row_index`` compares the index)."""
     _, _, scored = scored_docs(spark, sf_dir)
     t = prediction_table_sink(scored, "classification", "no_such_id", "quality")
     assert t.columns[0] == "index"
     return rounded(t.drop("index"))
 
 
+@query("row_index", """
+SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS "index" FROM customer
+""")
+def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generated index is 0..n-1 in the order of the stored rows."""
+    return with_row_index(table(spark, sf_dir, "customer").select("c_custkey"))
+
+
 @query("scan_parquet_typed", f"""
 SELECT o_orderkey, {r6("o_totalprice")} AS o_totalprice, o_orderpriority,
        CASE WHEN o_orderstatus = 'F' THEN TRUE WHEN o_orderstatus = 'O' THEN FALSE END AS is_filled

@@ -334,6 +334,27 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(df)
 
 
+# Category texts that are awkward as column names, by p_partkey % 8.
+ODD_VALUES = ["3.5", "St. Louis", "A", "a", "back`tick", "missing", "x,y z", "é"]
+_ODD_SQL = "CASE p_partkey % 8 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(ODD_VALUES)) + " END"
+_ODD_SLOTS = sorted(ODD_VALUES)
+
+
+@query("one_hot_odd_values", "SELECT p_partkey, " + ", ".join(
+    f"CASE WHEN v = '{v}' THEN 1.0 ELSE 0.0 END AS f{i}" for i, v in enumerate(_ODD_SLOTS))
+    + f", 0.0 AS f{len(_ODD_SLOTS)} FROM (SELECT p_partkey, {_ODD_SQL} AS v FROM part) t")
+def one_hot_odd_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9, A11, A12 with values that hold dots, blanks, commas and backticks,
+    differ by case only, or equal a suffix: the assembled vector's slots."""
+    from pyspark.ml.functions import vector_to_array
+    df = table(spark, sf_dir, "part").select("p_partkey", F.expr(_ODD_SQL).alias("c"))
+    spec = FeatureSpec.from_columns({"c": ["category", 1, "unknown", "one-hot", "f"]})
+    model = FeaturePrep(spec, passthrough=["p_partkey"]).fit(df)
+    x = vector_to_array("features")
+    return model.transform(df, assemble=True).select(
+        "p_partkey", *[x[i].alias(f"f{i}") for i in range(len(_ODD_SLOTS) + 1)])
+
+
 @query("one_hot_unseen", "SELECT p_partkey, " + ", ".join(
     f"CASE WHEN p_type = '{v}' THEN 1.0 ELSE 0.0 END AS \"p_type_{v}\"" for v in P_TYPES if v != "PROMO")
     + " FROM part")

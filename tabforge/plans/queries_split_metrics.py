@@ -189,7 +189,7 @@ def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = folded.select("y", "s", F.col("fold").alias("own"),
                          F.explode(F.sequence(F.lit(0), F.lit(4))).alias("fold"))
     sets = sets.withColumn("part", F.when(F.col("own") == F.col("fold"), "val").otherwise("train"))
-    per_fold = auc_frame(sets, "y", "s", by=["fold", "part"], n_groups_bound=10)
+    per_fold = auc_frame(sets, "y", "s", by=["fold", "part"])
     scores = (per_fold.groupBy("fold")
               .agg(F.max(F.when(F.col("part") == "train", F.col("auc"))).alias("train_score"),
                    F.max(F.when(F.col("part") == "val", F.col("auc"))).alias("val_score")))

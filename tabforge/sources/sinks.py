@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabforge.operators.ranking import with_row_index
+
 
 @dataclass(frozen=True)
 class OutputLayout:
@@ -67,16 +69,19 @@ def prediction_columns(scored: DataFrame, problem_type: str, prob_col: str = "pr
 
 
 def prediction_table(scored: DataFrame, problem_type: str, uid: str | None,
-                     target: str | None) -> DataFrame:
-    """Id (or a generated row index) + predictions + target when known.
+                     target: str | None, index_col: str | None = None) -> DataFrame:
+    """Id (or a row index 0..n-1) + predictions + target when known.
 
-    Without an id column a ``monotonically_increasing_id`` index is used: unique
-    and increasing per partition, not contiguous (no single-partition window)."""
+    ``index_col``: the row index the rows already carry; it is shared with the
+    run's other tables. Without it one is made here."""
     cols = []
     if uid and uid in scored.columns:
         cols.append(F.col(f"`{uid}`"))
+    elif index_col:
+        cols.append(F.col(index_col).alias("index"))
     else:
-        cols.append(F.monotonically_increasing_id().alias("index"))
+        scored = with_row_index(scored, "__index")
+        cols.append(F.col("__index").alias("index"))
     cols += prediction_columns(scored, problem_type)
     if target and target in scored.columns:
         cols.append(F.col(f"`{target}`"))
@@ -93,9 +98,18 @@ def scored_original(scored: DataFrame, original_cols: list[str], problem_type: s
 
 
 def scored_transformed(scored: DataFrame, feature_cols: list[str], problem_type: str,
-                       target: str | None, target_last: bool = False) -> DataFrame:
-    """Transformed feature columns, target, predictions."""
-    base = [F.col(f"`{c}`") for c in feature_cols]
+                       target: str | None, target_last: bool = False,
+                       names: list[str] | None = None) -> DataFrame:
+    """Transformed feature columns (shown as ``names``), target, predictions.
+    A vector column is written as its JSON text, which every format can hold."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+
+    def plain(c: str):
+        is_vector = isinstance(scored.schema[c].dataType, VectorUDT)
+        return F.to_json(vector_to_array(F.col(f"`{c}`"))) if is_vector else F.col(f"`{c}`")
+
+    base = [plain(c).alias(n) for c, n in zip(feature_cols, names or feature_cols)]
     tgt = [F.col(f"`{target}`")] if target and target in scored.columns else []
     preds = prediction_columns(scored, problem_type)
     return scored.select(*(base + preds + tgt if target_last else base + tgt + preds))

@@ -169,7 +169,9 @@ class ModelConfig:
     seed: int = 42
     param_selection: str = "best_mean"      # or "first_fold" (parity)
     fit_scope: str = "all"                  # preparation fitted on all rows, or per fold ("fold")
-    parallelism: int = 8
+    parallelism: int = 4
+    category_encoding: str = "columns"      # one column a category, or one sparse "vector" a feature
+    exact_folds: bool = True                # False: folds by hash, without a shuffle
 
     @staticmethod
     def from_dict(d: dict) -> "ModelConfig":
@@ -181,7 +183,7 @@ class ModelConfig:
     @staticmethod
     def from_json_file(path: str) -> "ModelConfig":
         if not os.path.exists(path):
-            raise FileNotFoundError(f"Configuration file not found: {path}")
+            raise FileNotFoundError(f"no model configuration at {path}")
         with open(path) as fh:
             return ModelConfig.from_dict(json.load(fh))
 
@@ -199,6 +201,8 @@ class ModelConfig:
                              f"'{expected}', config says '{self.better_performance}'")
         if self.importance_extraction_method not in ("shap", "treeinterpreter"):
             raise ValueError(f"Unsupported importance method: {self.importance_extraction_method}")
+        if self.category_encoding not in ("columns", "vector"):
+            raise ValueError(f"category_encoding must be 'columns' or 'vector', got {self.category_encoding}")
         if self.fit_scope not in ("all", "fold"):
             raise ValueError(f"fit_scope must be 'all' or 'fold', got {self.fit_scope}")
         if not 0 < float(self.sample_for_contribution) <= 1:
@@ -267,13 +271,17 @@ class ParamDist:
             lo, hi, q = self.args
             steps = int(math.floor((hi - lo) / q + 1e-9))
             v = float(lo + q * int(rng.integers(steps + 1)))
+            v = round(v, 12)      # 30 + 3 * 0.1 stays 30.3, and int() of a whole step stays that step
         elif self.kind == "int":
-            lo, hi = self.args[:2]
-            v = int(rng.integers(int(lo), int(hi) + 1))
+            lo, hi, step, log = self.args
+            if log:
+                v = int(min(hi, max(lo, round(math.exp(rng.uniform(math.log(lo), math.log(hi)))))))
+            else:
+                v = int(lo) + int(step) * int(rng.integers((int(hi) - int(lo)) // int(step) + 1))
         else:  # pragma: no cover - rejected at parse time
             raise ValueError(self.kind)
         if self.cast == "int" and v is not None:
-            v = int(round(v))
+            v = int(v)
         elif self.cast == "float" and v is not None:
             v = float(v)
         return v
@@ -289,6 +297,17 @@ _SUGGEST = {
 }
 
 
+# Parameter names of the search calls, in their public order.
+_PARAMETERS = {
+    "suggest_categorical": ("name", "choices"),
+    "suggest_uniform": ("name", "low", "high"),
+    "suggest_loguniform": ("name", "low", "high"),
+    "suggest_discrete_uniform": ("name", "low", "high", "q"),
+    "suggest_int": ("name", "low", "high", "step", "log"),
+    "suggest_float": ("name", "low", "high", "step", "log"),
+}
+
+
 def _literal(node: ast.AST):
     return ast.literal_eval(node)
 
@@ -314,17 +333,29 @@ def parse_param(key: str, text: str) -> ParamDist:
     args = [_literal(a) for a in tree.args]
     kwargs = {k.arg: _literal(k.value) for k in tree.keywords}
     kind = _SUGGEST[tree.func.attr]
-    if tree.func.attr == "suggest_float":
-        if kwargs.get("log"):
-            kind = "loguniform"
-        elif kwargs.get("step"):
-            kind = "discrete_uniform"
-            args = args[:3] + [kwargs["step"]]
-    if tree.func.attr == "suggest_discrete_uniform" and "q" in kwargs:
-        args = args[:3] + [kwargs["q"]]
-    vals = tuple(args[1:])
+    order = _PARAMETERS[tree.func.attr]
+    if len(args) > len(order) or set(kwargs) - set(order) or set(order[:len(args)]) & set(kwargs):
+        raise ValueError(f"hyper-parameter '{key}': wrong arguments in {text!r}")
+    given = dict(zip(order, args)) | kwargs
     if kind == "categorical":
-        vals = (tuple(vals[0]) if vals else tuple(kwargs.get("choices", ())),)
+        choices = tuple(given.get("choices") or ())
+        if not choices:
+            raise ValueError(f"hyper-parameter '{key}': no choices in {text!r}")
+        return ParamDist(name=key, kind=kind, args=(choices,), cast=cast)
+    if "low" not in given or "high" not in given or given["low"] > given["high"]:
+        raise ValueError(f"hyper-parameter '{key}': needs low <= high in {text!r}")
+    low, high, step, log = given["low"], given["high"], given.get("step", given.get("q")), bool(given.get("log"))
+    if (log or kind == "loguniform") and low <= 0 or step is not None and step <= 0 or log and step not in (None, 1):
+        raise ValueError(f"hyper-parameter '{key}': bad bounds or step in {text!r}")
+    if kind == "int":
+        return ParamDist(name=key, kind=kind, args=(low, high, step or 1, log), cast=cast)
+    if log:
+        kind = "loguniform"
+    elif step is not None:
+        kind = "discrete_uniform"
+    elif kind == "discrete_uniform":
+        raise ValueError(f"hyper-parameter '{key}': needs a step in {text!r}")
+    vals = (low, high, step) if kind == "discrete_uniform" else (low, high)
     return ParamDist(name=key, kind=kind, args=vals, cast=cast)
 
 

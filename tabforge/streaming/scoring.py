@@ -23,7 +23,7 @@ def score_stream(stream: DataFrame, prep: FeaturePrepModel, model, problem_type:
     metadata typing as the batch readers."""
     src = stream if typed else apply_types(normalize_nulls(stream), prep.spec, target=prep.target)
     keep = list(keep if keep is not None else [c for c in prep.passthrough if c in src.columns])
-    feats = prep.transform(src, keep=keep, assemble=True, name_prefix="__f__")
+    feats = prep.transform(src, keep=keep, assemble=True, positional="__f")
     scored = score(model, feats, problem_type)
     preds = ["prediction_proba", "prediction_class"] if problem_type == "classification" else ["prediction"]
     return scored.select(*keep, *preds)

@@ -188,7 +188,7 @@ def test_sparse_one_hot_for_large_vocabulary(spark, tmp_path):
     part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").select(
         "p_partkey", F.concat(F.lit("n"), (F.col("p_partkey") % 150).cast("string")).alias("c"))
     spec = FeatureSpec.from_columns({"c": ["category", 1, "unknown", "one-hot", None]})
-    model = FeaturePrep(spec, passthrough=["p_partkey"], sparse_above=100).fit(part)
+    model = FeaturePrep(spec, passthrough=["p_partkey"], encoding="vector").fit(part)
     st = model.categorical[0]
     assert st.sparse and len(st.vocab) == 150
     assert model.output_columns == ["c_onehot", "c_missing"]

@@ -94,3 +94,17 @@ def test_row_level_checks(spark, tmp_path):
     assert checks[("feature_1", "not_numeric")] == 1
     assert checks[("feature_3", "not_boolean")] == 2
     assert not res.passed and len(res.warnings) == 2
+
+
+def test_rows_of_another_width_fail(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text("id,v\n1,2,3\n4,5\n")
+    with pytest.raises(Exception):
+        read_source(spark, str(tmp_path / "wide.csv"), "CSV").select("id").collect()
+
+
+def test_quotes_and_line_breaks(spark, tmp_path):
+    pd = pytest.importorskip("pandas")
+    frame = pd.DataFrame({"a": ['say "hi"', "x, y", "two\nlines", "plain"], "b": ["1", "2", "3", "4"]})
+    frame.to_csv(tmp_path / "q.csv", index=False)
+    got = read_source(spark, str(tmp_path / "q.csv"), "CSV", multi_line=True).collect()
+    assert [(r.a, r.b) for r in got] == list(frame.itertuples(index=False, name=None))

@@ -1,4 +1,4 @@
-"""Metadata and configuration parsing (reference loader / processor init tests)."""
+"""Metadata and configuration parsing."""
 
 import json
 import math
@@ -7,24 +7,24 @@ import pytest
 
 from tabforge.spec import FeatureSpec, ModelConfig, draw_trials, parse_param, parse_space
 
-F2 = {
-    "id_col": ["category", 0, "unknown", float("nan"), "1_id"],
-    "target": ["bool", 1, "unknown", float("nan"), "2_DEPENDENT"],
-    "feature_1": ["float", 1, "mean", float("nan"), "3_features"],
-    "feature_2": ["category", 1, "unknown", "one-hot", "3_features"],
-    "feature_3": ["bool", 1, "unknown", float("nan"), "3_features"],
+PARCELS = {
+    "ticket": ["category", 0, "unknown", float("nan"), "keys"],
+    "late": ["bool", 1, "unknown", float("nan"), "label"],
+    "weight": ["float", 1, "median", float("nan"), "x"],
+    "carrier": ["category", 1, "unknown", "one-hot", "x"],
+    "fragile": ["bool", 1, "unknown", float("nan"), "x"],
 }
 
 
 def test_metadata_rows_parsed(tmp_path):
     p = tmp_path / "meta.json"
-    p.write_text(json.dumps({k: [None if isinstance(x, float) else x for x in v] for k, v in F2.items()}))
+    p.write_text(json.dumps({k: [None if isinstance(x, float) else x for x in v] for k, v in PARCELS.items()}))
     spec = FeatureSpec.from_json_file(str(p))
-    assert spec.get("feature_1").type == "float"
-    assert spec.get("feature_1").use == 1
-    assert spec.get("id_col").use == 0
-    assert spec.get("feature_1").impute_method == "mean"
-    assert spec.get("feature_2").transform_method == "one-hot"
+    assert spec.get("weight").type == "float"
+    assert spec.get("weight").use == 1
+    assert spec.get("ticket").use == 0
+    assert spec.get("weight").impute_method == "median"
+    assert spec.get("carrier").transform_method == "one-hot"
 
 
 def test_blank_cells_take_defaults():
@@ -38,9 +38,9 @@ def test_blank_cells_take_defaults():
 
 
 def test_usage_filter_keeps_data_order():
-    spec = FeatureSpec.from_columns(F2)
-    used = [f.name for f in spec.used(["feature_3", "id_col", "feature_1", "target"], exclude=("target",))]
-    assert used == ["feature_3", "feature_1"]
+    spec = FeatureSpec.from_columns(PARCELS)
+    used = [f.name for f in spec.used(["fragile", "ticket", "weight", "late"], exclude=("late",))]
+    assert used == ["fragile", "weight"]
 
 
 def test_metadata_errors(tmp_path):
@@ -105,3 +105,19 @@ def test_config_files_and_defaults(tmp_path):
     assert (m.problem_type, m.evaluation_metric, m.better_performance) == ("classification", "rocauc", "gt")
     assert m.num_hp_searches == 10 and m.retrain_with_whole_dataset and m.sample_for_contribution == 1.0
     assert m.importance_extraction_method == "shap" and m.n_folds == 5 and m.seed == 42
+
+
+def test_search_grammar():
+    import numpy as np
+    draws = [parse_param("n", "trial.suggest_int('n', 10, 100, step=10)").draw(np.random.default_rng(i)) for i in range(200)]
+    assert set(draws) == set(range(10, 101, 10))
+    low = parse_param("u", "trial.suggest_uniform('u', low=0.2, high=0.4)")
+    assert all(0.2 <= low.draw(np.random.default_rng(i)) <= 0.4 for i in range(50))
+    cut = parse_param("c", "int(trial.suggest_uniform('c', 1, 3))")
+    assert {cut.draw(np.random.default_rng(i)) for i in range(100)} == {1, 2}
+    log = [parse_param("g", "trial.suggest_float('g', 1e-4, 1.0, log=True)").draw(np.random.default_rng(i)) for i in range(300)]
+    assert 0.35 < sum(x < 1e-2 for x in log) / 300 < 0.65
+    for bad in ("trial.suggest_int('n', 10)", "trial.suggest_int('n', 5, 1)", "trial.suggest_float('f', 0, 1, log=True)",
+                "trial.suggest_int('n', 1, 9, width=2)", "trial.suggest_categorical('c', [])"):
+        with pytest.raises(ValueError):
+            parse_param("p", bad)

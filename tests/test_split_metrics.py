@@ -105,7 +105,7 @@ def test_grouped_auc_bucketed(spark, bound):
     rows = [(int(g), int(y), float(np.round(rng.random() + 0.3 * y, 2)))
             for g in range(3) for y in rng.integers(0, 2, 300)]
     df = spark.createDataFrame(rows, "g int, y int, s double")
-    got = {r["g"]: r["auc"] for r in auc_frame(df, "y", "s", by=["g"], n_buckets=6, n_groups_bound=bound).collect()}
+    got = {r["g"]: r["auc"] for r in auc_frame(df, "y", "s", by=["g"], n_buckets=6).collect()}
     for g in range(3):
         ys = [y for gg, y, _ in rows if gg == g]
         ss = [s for gg, _, s in rows if gg == g]
@@ -125,3 +125,18 @@ def test_fold_balance_property(spark, labels, parts, buckets):
     for y, g in pdf.groupby("y"):
         counts = g["fold"].value_counts().reindex(range(5), fill_value=0)
         assert counts.max() - counts.min() <= 1
+
+
+def test_auc_has_no_single_task_over_the_scores(spark):
+    df = spark.range(1000).selectExpr("id % 2 y", "id / 1000.0 s")
+    plan = auc_frame(df, "y", "s")._jdf.queryExecution().executedPlan().toString()
+    scores_in_one_task = [x for x in plan.split("\n") if "SinglePartition" in x]
+    assert plan.count("Window") >= 2 and "hashpartitioning(_b" in plan
+    # what meets in one task are the per-bucket totals and the last sum, not the scores
+    assert len(scores_in_one_task) <= 2
+
+
+def test_folds_keep_rows_without_a_label(spark):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else float(i % 2)) for i in range(100)], "id long, y double")
+    out = assign_folds(df, k=5, label="y", id_cols=["id"]).groupBy("y", "fold").count().collect()
+    assert sum(r["count"] for r in out) == 100 and {r["count"] for r in out if r["y"] is None} == {2}
