@@ -4,6 +4,7 @@ parquet tables; the streaming score equals the batch score."""
 import pytest
 
 import __spark_entry__ as E
+from tabforge.plans import catalogue
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.01"
@@ -29,10 +30,10 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "n_chars" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_oracle_agrees(spark, duck, name):
-    spark_df = E.queries()[name](spark, SF).toPandas()
-    duck_df = duck.sql(E.oracle_sql()[name]).df()
+    spark_df = catalogue.queries()[name](spark, SF).toPandas()
+    duck_df = duck.sql(catalogue.oracle_sql()[name]).df()
     assert digest(spark_df) == digest(duck_df)
 
 
