@@ -79,5 +79,50 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in OPERATORS}
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS g FROM (
+    SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0) t),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y
+      WHERE 100 * k >= 80 * (nx.n + ny.n - k)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x),
+c AS (SELECT r.a AS rid, min(d.doc_id) AS component_id FROM r JOIN d ON d.rid = r.b GROUP BY r.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d JOIN c ON c.rid = d.rid LEFT JOIN n ON n.rid = d.rid
+"""
+
+OP8_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (
+    SELECT item, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+    FROM b WHERE len(w) > 0) t),
+dw AS (
+  SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM (
+    SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM iw) q) t),
+o AS (SELECT rid, i, dw.k, item FROM dw JOIN iw ON dw.k = iw.k AND dw.g = iw.g),
+h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM o) t GROUP BY rid),
+x AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha
+      FROM (SELECT DISTINCT rid, item FROM o) t GROUP BY rid)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(x.n_items, 0) AS n_items,
+       coalesce(x.sha, sha256('')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h ON h.rid = d.rid LEFT JOIN x ON x.rid = d.rid
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_ngram_jaccard_join": OP2_SQL, "op8_benchmark_decontamination": OP8_SQL}
