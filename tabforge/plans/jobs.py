@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 import warnings
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +28,7 @@ from tabforge.operators.ranking import with_row_index
 from tabforge.operators.split import assign_folds, sample_exact
 from tabforge.operators.validate import validate
 from tabforge.sources.readers import apply_types, read_source
-from tabforge.session import scratch_path
+from tabforge.session import drop_scratch, scratch_path
 from tabforge.sources.sinks import (OutputLayout, importance_sink, manifest_frame, prediction_table,
                                     scored_original, scored_transformed, write_table)
 from tabforge.spec import DataConfig, FeatureSpec, ModelConfig
@@ -86,25 +86,43 @@ def _check_label(df: DataFrame, target: str, problem: str) -> None:
         raise ValueError(f"classification target '{target}' has a single class")
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: everything after
-    reads the stored rows instead of running what came before again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+class _Stage:
+    """Tables a job writes once to the shared folder and reads back: everything
+    after reads the stored rows instead of running what came before again. They
+    go when the job has written its outputs."""
 
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
 
-def _rows(typed: DataFrame, uid: str | None) -> tuple[DataFrame, str]:
-    """The stored typed rows and the run's row key: the id, or an index 0..n-1
-    that all tables of the run share."""
-    stored = _staged(typed, "typed")
-    return (stored, uid) if uid else (with_row_index(stored, ROW), ROW)
+    def __enter__(self) -> "_Stage":
+        return self
 
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            drop_scratch(self.spark, path)
 
-def _scored(prep: FeaturePrepModel, model, rows: DataFrame, problem: str) -> DataFrame:
-    """Rows + features by place + the assembled vector + predictions, computed once."""
-    features = prep.transform(rows, keep=rows.columns, assemble=True, positional=FEATURE)
-    return _staged(score(model, features, problem), "scored")
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.parquet(self.paths[-1])
+
+    def rows(self, typed: DataFrame, uid: str | None) -> tuple[DataFrame, str]:
+        """The typed rows and the run's row key: the id, or an index 0..n-1
+        that all tables of the run share."""
+        stored = self.table(typed, "typed")
+        return (stored, uid) if uid else (with_row_index(stored, ROW), ROW)
+
+    def scored(self, prep: FeaturePrepModel, model, rows: DataFrame, problem: str) -> DataFrame:
+        """Rows + features by place + the assembled vector + predictions."""
+        features = prep.transform(rows, keep=rows.columns, assemble=True, positional=FEATURE)
+        return self.table(score(model, features, problem), "scored")
+
+
+def _held_metrics(spark: SparkSession, scored: DataFrame, problem: str, target: str) -> dict:
+    """Metrics of the rows whose label is known."""
+    pred = "prediction_proba" if problem == "classification" else "prediction"
+    label = scored.select(F.col(f"`{target}`").alias("y"), F.col(pred).alias("p")).filter("y is not null")
+    return {r["metric"]: r["value"] for r in metrics_long(spark, label, problem, "y", "p").collect()}
 
 
 def _transformed(scored: DataFrame, prep: FeaturePrepModel, problem: str, target: str | None, last: bool) -> DataFrame:
@@ -137,10 +155,15 @@ def _attribution_outputs(spark, layout, model, prep, frame, method, key, fmt, sa
 def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
           spec: FeatureSpec | None = None, fmt: str = "csv") -> JobResult:
     """Validate, prepare, cross-validated search, refit, score, attribute, write."""
+    with _Stage(spark) as stage:
+        return _train(spark, stage, model_cfg, data_cfg, spec, fmt)
+
+
+def _train(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig, spec, fmt: str) -> JobResult:
     typed, spec, report = load_inputs(spark, data_cfg, model_cfg, spec, training=True)
     target, problem = model_cfg.target_variable, model_cfg.problem_type
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
-    rows, key = _rows(typed, uid)
+    rows, key = stage.rows(typed, uid)
     _check_label(rows, target, problem)
 
     def preparation() -> FeaturePrep:
@@ -159,7 +182,7 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
                               id_cols=[key], ids_unique=False, row_cols=typed.columns, fold_col=FOLD,
                               exact=model_cfg.exact_folds)
     if model_cfg.fit_scope == "fold":
-        folded = _staged(folded, "folded")
+        folded = stage.table(folded, "folded")
     fold_frames = None
     if model_cfg.fit_scope == "fold":
         # preparation statistics from each fold's training rows only (no
@@ -178,7 +201,7 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     spark_model_path = f"{layout.model(stem)}/spark_model"      # node table for X1-X3
     prep.save(spark, layout.insights(f"{stem}_data_processor"))
 
-    scored = _scored(prep, model, rows, problem)
+    scored = stage.scored(prep, model, rows, problem)
     write_table(scored_original(scored, typed.columns, problem, target),
                 layout.predictions("original_data_with_predictions"), fmt)
     write_table(_transformed(scored, prep, problem, target, False),
@@ -190,7 +213,13 @@ def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     importance = _attribution_outputs(spark, layout, model, prep, scored, method, key, fmt,
                                       float(model_cfg.sample_for_contribution), model_cfg.seed,
                                       spark_model_path)
+    write_table(spark.createDataFrame(list(importance.items()), "feature string, importance double"),
+                f"{layout.model(stem)}/importance_{method}", "parquet")
     results = dict(result.summary)
+    if data_cfg.test_file_path:
+        held, _, _ = load_inputs(spark, replace(data_cfg, file_path=data_cfg.test_file_path), model_cfg, spec, False)
+        features = prep.transform(held, keep=[target], assemble=True, positional=FEATURE)
+        results |= _held_metrics(spark, score(model, features, problem), problem, target)
     write_table(manifest_frame(spark, model_cfg.to_dict(), data_cfg.to_dict(), results),
                 layout.manifest(), "json")
     write_table(result.cv_results_frame(spark), layout.model("cv_results"), fmt)
@@ -208,6 +237,21 @@ def predict(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
             fmt: str = "csv") -> JobResult:
     """Reload preparation + model, validate against the persisted spec,
     score, write the prediction tables (and attributions if asked)."""
+    with _Stage(spark) as stage:
+        return _predict(spark, stage, model_cfg, data_cfg, fmt)
+
+
+def _stored_importance(spark: SparkSession, model_path: str, method: str) -> dict | None:
+    """The importance stored with the model by its training, if any."""
+    from pyspark.errors import AnalysisException
+    try:
+        rows = spark.read.parquet(f"{model_path.rstrip('/')}/importance_{method}").collect()   # one row a feature
+    except AnalysisException:
+        return None
+    return {r["feature"]: r["importance"] for r in rows}
+
+
+def _predict(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig, fmt: str) -> JobResult:
     if not data_cfg.model_file_path:
         raise ValueError("scoring needs model_file_path in the data configuration")
     if not data_cfg.data_processor_file_path:
@@ -225,8 +269,8 @@ def predict(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
     known = target if target in typed.columns else None
     layout = _layout(data_cfg)
-    rows, key = _rows(typed, uid)
-    scored = _scored(prep, model, rows, problem)
+    rows, key = stage.rows(typed, uid)
+    scored = stage.scored(prep, model, rows, problem)
     out_path = data_cfg.predictions_output_path or layout.predictions("predictions")
     write_table(prediction_table(scored, problem, uid, known, None if uid else ROW), out_path, fmt)
     write_table(scored_original(scored, typed.columns, problem, known, True),
@@ -236,14 +280,13 @@ def predict(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
     details = {"output_path": out_path, "num_predictions": scored.count()}
     if data_cfg.calculate_importance:
         method = "path" if model_cfg.importance_extraction_method == "treeinterpreter" else "shap"
-        details["importance"] = _attribution_outputs(spark, layout, model, prep, scored, method, key, fmt,
-                                                     float(model_cfg.sample_for_contribution), model_cfg.seed,
-                                                     f"{data_cfg.model_file_path.rstrip('/')}/spark_model")
+        fresh = _attribution_outputs(spark, layout, model, prep, scored, method, key, fmt,
+                                     float(model_cfg.sample_for_contribution), model_cfg.seed,
+                                     f"{data_cfg.model_file_path.rstrip('/')}/spark_model")
+        # the model's own importance, from its training, goes before that of the rows scored now
+        details["importance"] = _stored_importance(spark, data_cfg.model_file_path, method) or fresh
     if known:
-        pred = "prediction_proba" if problem == "classification" else "prediction"
-        label = scored.select(F.col(f"`{target}`").alias("y"), F.col(pred).alias("p")).filter("y is not null")
-        details["metrics"] = {r["metric"]: r["value"]
-                              for r in metrics_long(spark, label, problem, "y", "p").collect()}
+        details["metrics"] = _held_metrics(spark, scored, problem, target)
     return JobResult(True, layout.root, details)
 
 

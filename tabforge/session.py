@@ -63,6 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_path`` named, wherever it is stored."""
+    root = work_dir(spark).rstrip("/") + "/"
+    if not path.startswith(root):
+        raise ValueError(f"{path} is not a scratch folder of this session")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared work directory (survives executor loss)."""
     work_dir(df.sparkSession)

@@ -230,6 +230,7 @@ class DataConfig:
     output_base: str | None = None
     run_id: str | None = None
     csv_multi_line: bool = False     # cells with line breaks (such files cannot be split)
+    test_file_path: str | None = None    # training: a held-out table for the final model's metrics
 
     @staticmethod
     def from_dict(d: dict) -> "DataConfig":

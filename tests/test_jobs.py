@@ -47,7 +47,8 @@ def test_train_then_predict(spark, workspace):
     d = workspace
     mcfg = ModelConfig.from_dict(MODEL_CFG)
     tcfg = DataConfig(training=True, metadata_file_path=str(d / "meta.json"), input_data_source="CSV",
-                      file_path=str(d / "train.csv"), uid_column_name="order_no", run_id="run1")
+                      file_path=str(d / "train.csv"), uid_column_name="order_no", run_id="run1",
+                      test_file_path=str(d / "test.csv"))
     res = jobs.train(spark, mcfg, tcfg)
     root = res.output_dir
     assert res.success and os.path.isdir(f"{root}/model/repeat_classification_lgbm/spark_model")
@@ -57,6 +58,7 @@ def test_train_then_predict(spark, workspace):
                 "deep_insights_input/shap_values", "training_config"):
         assert os.path.isdir(f"{root}/{sub}"), sub
     assert res.details["training_results"]["cv_mean_val_score"] >= 0.0
+    assert set(res.details["training_results"]) >= {"test_roc_auc", "test_recall"}
     orig = spark.read.option("header", True).csv(f"{root}/predictions/original_data_with_predictions")
     assert orig.count() == 88 and {"prediction_proba", "prediction_class", "repeat"} <= set(orig.columns)
     shap_rows = spark.read.option("header", True).csv(f"{root}/deep_insights_input/shap_values").count()
@@ -69,6 +71,7 @@ def test_train_then_predict(spark, workspace):
                       predictions_output_path=f"{root}/scored", run_id="run2", calculate_importance=True)
     out = jobs.predict(spark, mcfg, pcfg)
     assert out.details["num_predictions"] == 22
+    assert out.details["importance"] == pytest.approx(res.details["importance"])      # stored with the model
     pred = spark.read.option("header", True).csv(f"{root}/scored").toPandas()
     assert list(pred.columns) == ["order_no", "prediction_proba", "prediction_class", "repeat"]
     p = pred["prediction_proba"].astype(float)
