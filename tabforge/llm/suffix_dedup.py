@@ -49,7 +49,10 @@ GRAM = 32
 SHARD_BYTES = 2 << 20
 HOT_SEGMENTS = 20_000
 #: bits of the broadcast filters
-FILTER_BITS = 1 << 24
+FILTER_BITS = 1 << 27
+#: strings whose anchors are found at once; places inside take the low PLACE_BITS of a hash
+CHUNK = 1 << 22
+PLACE_BITS = 24
 #: largest alphabet that is induced bucket by bucket
 BUCKETS = 512
 LAST = (1 << 63) - 1
@@ -156,34 +159,41 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
     return _induce(t, s_type, lms[order], k)
 
 
-def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int, begin: np.ndarray | None = None) -> np.ndarray:
     """Common prefix of each suffix with the one before it in ``sa``, at most
-    ``most``, through permuted common prefixes."""
+    ``most``, through permuted common prefixes.
+
+    A prefix is reducible if its neighbour's begins one place earlier: it is
+    then one shorter. The irreducible ones are measured by binary search over
+    equal hashes. ``begin`` (starts of the texts in ``t``) bounds the search:
+    prefixes are followed anew from each start, to the end of the text and no
+    further, which is exact for prefixes inside a text."""
     n = len(t)
     before = np.empty(n, np.int64)
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = n - 1                       # compares unequal: the sentinel alone
-    i = np.arange(n)
+    begin = np.zeros(1, np.int64) if begin is None else begin
+    longest = int(np.diff(np.append(begin, n)).max())
     irreducible = np.ones(n, bool)
     irreducible[1:] = (t[:-1] != t[before[1:] - 1]) | (before[1:] == 0)
-    irreducible[sa[0]] = True
+    irreducible[sa[0]] = irreducible[begin] = True
     if sa[0] + 1 < n:
         irreducible[sa[0] + 1] = True
     at = np.flatnonzero(irreducible)
-    sums = T.prefix_hash(t.astype(np.uint8) if t.max() < 256 else np.ascontiguousarray(t, "<u2").view(np.uint8))
     width = 1 if t.max() < 256 else 2
-    # the longest equal span, by binary search over equal hashes; chains need it in full, so no cap here
+    sums = T.prefix_hash(t.astype(np.uint8) if width == 1 else np.ascontiguousarray(t, "<u2").view(np.uint8))
     low = np.zeros(len(at), np.int64)
     a, b = at, before[at]
     room = n - np.maximum(a, b)
-    step = 1 << max(int(room.max()).bit_length() - 1, 0) if len(at) else 0
+    step = 1 << max(min(int(room.max()), longest).bit_length() - 1, 0)
     while step:
         ok = np.flatnonzero(low + step <= room)
-        x, y, m = a[ok], b[ok], low[ok] + step
-        same = T.span_hash(sums, x * width, (x + m) * width) == T.span_hash(sums, y * width, (y + m) * width)
+        x, y, m = a[ok] + low[ok], b[ok] + low[ok], step * width
+        same = (T.raw_span(sums, x * width, x * width + m) == T.raw_span(sums, y * width, y * width + m))
         low[ok[same]] += step
         step >>= 1
     low[at == sa[0]] = 0
+    i = np.arange(n)
     anchor = np.maximum.accumulate(np.where(irreducible, i, 0))
     place = np.zeros(n, np.int64)
     place[at] = low
@@ -200,14 +210,17 @@ def repeats(texts: list[bytes], doc: np.ndarray, start: np.ndarray, length: int
     body = np.frombuffer(b"\0".join(texts) + b"\0\0", np.uint8).astype(np.int64) + 2
     body[begin + size] = 1                      # between texts
     body[-1] = 0
-    t = body
-    sa = suffix_array(t, 258)
-    lcp = common_prefixes(t, sa, length)
-    number = np.searchsorted(begin, sa, side="right") - 1
-    offset = sa - begin[number]
-    whole = offset + length <= size[number]
-    run = np.cumsum((lcp < length) | ~whole)
-    number, offset, run = number[whole], offset[whole], run[whole]
+    sa = suffix_array(body, 258)
+    lcp = common_prefixes(body, sa, length, begin)
+    text = np.repeat(np.arange(len(texts)), np.diff(np.append(begin, len(body))))
+    whole = sa - begin[text[sa]] + length <= size[text[sa]]
+    follows = (lcp >= length) & whole
+    meets = follows.copy()                      # members of runs of two or more
+    meets[:-1] |= follows[1:]
+    run = np.cumsum(~follows)[meets]
+    at = sa[meets]
+    number = text[at]
+    offset = at - begin[number]
     d, s = doc[number], start[number] + offset
     order = np.lexsort((s, d, run))
     run, d, s, number, offset = run[order], d[order], s[order], number[order], offset[order]
@@ -219,63 +232,84 @@ def repeats(texts: list[bytes], doc: np.ndarray, start: np.ndarray, length: int
 
 # ---------------------------------------------------------------- segments
 
-def _window_min(h: np.ndarray, size: int) -> np.ndarray:
-    """Leftmost place of the smallest of each ``size`` consecutive values."""
-    best = np.arange(len(h))
-    span = 1
-    while span < size:
-        step = min(span, size - span)
-        a, b = best[:len(best) - step], best[step:]
-        best = np.where(h[b] < h[a], b, a)
-        span += step
-    return best
+_MIX = T._SEEDS[16:16 + GRAM // 8]
+
+
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes at every place, from its 8-byte words."""
+    n = len(data) - GRAM + 1
+    word = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    total = word[:n] * _MIX[0]
+    for k in range(1, GRAM // 8):
+        total += word[8 * k:8 * k + n] * _MIX[k]
+    return T.mix(total)
+
+
+def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the anchor of every string, gram hashes of the text).
+
+    A hash gives its low bits to the place, so the minimum of a string's
+    hashes is its leftmost smallest one."""
+    h = gram_hashes(data)
+    size, low = length - GRAM + 1, T.U64((1 << PLACE_BITS) - 1)
+    out = []
+    for at in range(0, len(h) - size + 1, CHUNK):
+        part = h[at:at + CHUNK + size - 1]
+        best = (part & ~low) | np.arange(len(part), dtype=T.U64)
+        span = 1
+        while span < size:
+            step = min(span, size - span)
+            best = np.minimum(best[:-step], best[step:])
+            span += step
+        out.append((best & low).astype(np.int64) + at)
+    return np.concatenate(out), h
 
 
-def segments(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def segments(raw: bytes, length: int = LENGTH, contents: bool = True) -> tuple[np.ndarray, ...]:
     """(anchor hash, content hash, first string, number of strings) of a text."""
     data = np.frombuffer(raw, np.uint8)
     n = len(data) - length + 1
     if n <= 0:
         none = np.empty(0, np.int64)
         return none, none, none, none
-    sums = T.prefix_hash(data)
-    at = np.arange(len(data) - gram + 1)
-    h = T.span_hash(sums, at, at + gram)
-    anchor = _window_min(h, length - gram + 1)
+    anchor, h = anchors(data, length)
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     count = np.diff(np.append(first, n))
-    content = T.span_hash(sums, first, first + count + length - 1)
-    return h[anchor[first]].view(np.int64), content.view(np.int64), first, count
+    key = h[anchor[first]].view(np.int64)
+    if not contents:
+        return key, key, first, count
+    return key, T.span_hash(T.prefix_hash(data), first, first + count + length - 1).view(np.int64), first, count
 
 
-def _each(batch: pa.RecordBatch):
+def _each(batch: pa.RecordBatch, contents: bool = True):
     """(row, text, anchor, content, first, count) of the rows with segments."""
-    for r, raw in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
-        if raw is not None and len(raw) >= LENGTH:
-            yield (r, raw, *segments(raw))
+    for lo, texts in T.blocks(batch.column("text")):
+        for r, raw in enumerate(texts, lo):
+            if len(raw) >= LENGTH:
+                yield (r, raw, *segments(raw, contents=contents))
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [a for _, _, a, *_ in _each(batch)]
+        found = [a for _, _, a, *_ in _each(batch, False)]
         if found:
             a, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(n)], names=["anchor", "n"])
 
 
-def _unpacked(bits: bytes) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+def _in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & (FILTER_BITS - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 def _bits(rows: DataFrame, column: str) -> bytes:
-    """Packed filter of FILTER_BITS bits over the values of a long column."""
+    """Packed filter over the values of a long column, built by bitmap aggregates."""
     bit = F.col(column).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1        # bitmap functions count from 1
-    out = np.zeros(FILTER_BITS, bool)
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in rows.groupBy(F.bitmap_bucket_number(bit).alias("k")) \
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect():
-        b = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
-        out[(r.k - 1) * 32768:r.k * 32768] = b
-    return np.packbits(out).tobytes()
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).toLocalIterator():
+        out[(r.k - 1) * 4096:r.k * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out.tobytes()
 
 
 _ROWS = "anchor long, content long, rid long, doc long, start long, n long"
@@ -283,12 +317,12 @@ _ROWS = "anchor long, content long, rid long, doc long, start long, n long"
 
 def _occurrences(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = _unpacked(bits.value)
+        wanted = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             rid, doc = batch.column("rid").to_numpy(), batch.column("doc").to_numpy()
             parts = []
             for r, _, a, c, first, count in _each(batch):
-                keep = wanted[a & (FILTER_BITS - 1)]
+                keep = _in(wanted, a)
                 k = int(keep.sum())
                 if k:
                     parts.append((a[keep], c[keep], np.full(k, rid[r]), np.full(k, doc[r]), first[keep], count[keep]))
@@ -298,14 +332,16 @@ def _occurrences(bits):
     return run
 
 
-def _contents(bits):
-    """The bytes of the wanted segments, once a task."""
+def _contents(rows, bits):
+    """The bytes of the wanted segments of the wanted rows, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, seen = _unpacked(bits.value), set()
+        wanted, seen = np.frombuffer(bits.value, np.uint8), set()
+        wanted_rows = np.frombuffer(rows.value, np.uint8)
         for batch in batches:
+            batch = batch.filter(pa.array(_in(wanted_rows, batch.column("rid").to_numpy())))
             keys, texts = [], []
             for _, raw, _, c, first, count in _each(batch):
-                for k in np.flatnonzero(wanted[c & (FILTER_BITS - 1)]).tolist():
+                for k in np.flatnonzero(_in(wanted, c)).tolist():
                     key = int(c[k])
                     if key not in seen:
                         seen.add(key)
@@ -353,10 +389,10 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(rid, start, past) of repeated bytes, from texts(rid, doc, text)."""
     spark = texts.sparkSession
-    counted = texts.select("text").mapInArrow(_anchors, "anchor long, n long").groupBy("anchor") \
+    counted = texts.select("text").mapInArrow(T.tidied(_anchors), "anchor long, n long").groupBy("anchor") \
         .agg(F.sum("n").alias("n")).filter("n > 1")
     bits = spark.sparkContext.broadcast(_bits(counted, "anchor"))
-    found = handed_off(texts.mapInArrow(_occurrences(bits), _ROWS), "dedup-segments")
+    found = handed_off(texts.mapInArrow(T.tidied(_occurrences(bits)), _ROWS), "dedup-segments")
     firsts = found.groupBy("content").agg(
         F.min(F.struct("doc", "rid", "start", "n", "anchor")).alias("f")).select("content", "f.*")
     firsts = handed_off(firsts, "dedup-firsts")
@@ -367,14 +403,16 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     mixed = handed_off(firsts.join(several, "anchor"), "dedup-mixed")
     want = spark.sparkContext.broadcast(_bits(mixed, "content"))
-    content = texts.select("text").mapInArrow(_contents(want), "content long, bytes binary").dropDuplicates(["content"])
+    holders = spark.sparkContext.broadcast(_bits(mixed, "rid"))
+    content = texts.select("rid", "text").mapInArrow(T.tidied(_contents(holders, want)), "content long, bytes binary") \
+        .dropDuplicates(["content"])
     mixed = handed_off(mixed.join(content, "content"), "dedup-texts")
     total = mixed.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     cool = mixed.filter(F.col("kinds") <= HOT_SEGMENTS).withColumn("shard", F.pmod("anchor", F.lit(shards)))
     by_array = cool.select("shard", "bytes", "rid", "doc", "start").groupBy("shard").applyInPandas(_shard, _SPANS)
     strings = mixed.filter(F.col("kinds") > HOT_SEGMENTS).select("bytes", "rid", "doc", "start").mapInArrow(
-        _strings, "string long, rid long, doc long, start long")
+        T.tidied(_strings), "string long, rid long, doc long, start long")
     least = strings.groupBy("string").agg(F.min(F.struct("doc", "rid", "start")).alias("lead"))
     by_string = strings.join(least, "string").filter("struct(doc, rid, start) > lead") \
         .select("rid", "start", (F.col("start") + LENGTH).alias("past"))
@@ -403,11 +441,11 @@ def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _plain(bits):
     """Rows without repeats get their result; the text of others goes on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = _unpacked(bits.value)
+        wanted = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             rid = batch.column("rid")
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            cut = wanted[rid.to_numpy() & (FILTER_BITS - 1)].tolist()
+            cut = _in(wanted, rid.to_numpy()).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), rid, pa.array(list(map(len, texts)), pa.int64()),
                  pa.array([None if c else hashlib.sha256(t).hexdigest() for t, c in zip(texts, cut)], pa.string()),
@@ -444,6 +482,6 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     spans = handed_off(spans, "dedup-spans")
     bits = docs.sparkSession.sparkContext.broadcast(_bits(spans, "rid"))
     plain = texts.select("doc_id", "rid", "text").mapInArrow(
-        _plain(bits), "doc_id long, rid long, n_bytes long, kept_sha256 string, raw binary")
+        T.tidied(_plain(bits)), "doc_id long, rid long, n_bytes long, kept_sha256 string, raw binary")
     return plain.join(spans, "rid", "left").select("doc_id", "n_bytes", "kept_sha256", "raw", "spans") \
-        .mapInArrow(_finish, _OUT)
+        .mapInArrow(T.tidied(_finish), _OUT)

@@ -3,6 +3,7 @@ over blocks of whole texts held as one byte array."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,15 +27,30 @@ LOWER[0x41:0x5B] += 32
 
 def blocks(column: pa.Array, budget: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8) of consecutive rows; null reads as empty."""
-    texts = [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
-    first = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > budget:
-            yield first, texts[first:i]
-            first, size = i, 0
-        size += len(t) + 1
+    first, size, texts = 0, 0, []
+    for lo in range(0, len(column), 256):       # the batch as Python objects, a part at a time
+        for t in column.slice(lo, 256).cast(pa.binary()).to_pylist():
+            t = b"" if t is None else t
+            if size and size + len(t) > budget:
+                yield first, texts
+                first, size, texts = first + len(texts), 0, []
+            texts.append(t)
+            size += len(t) + 1
     if texts:
-        yield first, texts[first:]
+        yield first, texts
+
+
+def tidied(task):
+    """``task`` (batches -> batches) that gives freed memory back at its end:
+    worker processes are used again, by other stages too."""
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):       # another C library
+            pass
+    return run
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,6 +86,11 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix(raw + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def raw_span(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Unmixed hashes of data[start:end], to compare spans of one length."""
+    return (sums[end] - sums[start]) * powers(len(sums))[1][start]
+
+
 @dataclass
 class Words:
     """Words of a block. ``data`` holds the texts joined by a blank."""
