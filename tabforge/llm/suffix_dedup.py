@@ -46,7 +46,7 @@ from tabforge.llm.decontam import suffix_array as doubling_array
 LENGTH = 100
 GRAM = 32
 #: text of one shard
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 HOT_SEGMENTS = 20_000
 #: bits of the broadcast filters
 FILTER_BITS = 1 << 27
