@@ -13,6 +13,17 @@ RANK_ROWS = 50_000
 MIN_BUCKETS = 64
 
 
+#: rows of one Arrow batch: whole texts are large rows
+BATCH_ROWS = 2_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches to ``BATCH_ROWS``; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -20,6 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def handed_off(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the folder all executors share and read back:
     cuts the lineage, survives the loss of an executor."""
+    text_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.llm import text as T
+from tabforge.llm.common import text_batches
 
 WINDOW = 10
 ITEM_BLOCK = 20_000
@@ -194,8 +195,20 @@ def find(w: T.Words, p: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, first + p.length[which], which
 
 
-def _pass(p: Phrases):
-    """One block of items: add occurrences to ``spans`` and ``items``."""
+def _cut(raw: bytes, spans: list[dict]) -> str:
+    """The text without the words of the spans; other bytes stay."""
+    w = T.words([raw], T.NOT_ALNUM, lower=True)
+    out, at = [], 0
+    for x in sorted(spans, key=lambda x: x["first"]):
+        lo, hi = int(w.start[x["first"]]), int(w.end[x["past"] - 1])
+        out.append(raw[at:max(at, lo)])
+        at = max(at, hi)
+    return b"".join([*out, raw[at:]]).decode()
+
+
+def _pass(p: Phrases, cut: bool = False):
+    """One block of items: add occurrences to ``spans`` and ``items``;
+    ``cut``: take the words of all spans out of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
@@ -223,14 +236,18 @@ def _pass(p: Phrases):
                 columns = {"__spans": pa.array(spans, part.schema.field("__spans").type),
                            "__items": pa.array(items, part.schema.field("__items").type),
                            "__n_words": pa.array(np.diff(w.first()))}
+                if cut and any(spans):
+                    columns["text"] = pa.array([_cut(t, s) if s else old for t, s, old in
+                                                zip(texts, spans, part.column("text").to_pylist())], pa.string())
                 yield pa.RecordBatch.from_arrays([columns[c] if c in columns else part.column(k) for k, c in enumerate(names)],
                                                  schema=batch.schema)
     return run
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                item_block: int = ITEM_BLOCK) -> DataFrame:
-    """``docs`` with __n_words, __spans (word intervals, merged within a pass) and __items."""
+                item_block: int = ITEM_BLOCK, cut: bool = False) -> DataFrame:
+    """``docs`` (with ``cut``: without the words that are hit) with __n_words, __spans (word intervals, merged within a pass) and __items."""
+    text_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string")) \
         .filter("item_id is not null").distinct()
     block_count = max(1, -(-items.count() // item_block))
@@ -239,7 +256,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     for k in range(block_count):
         mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(block_count)) == k
         rows = [(r.item_id, r.text) for r in items.filter(mine).collect()]
-        out = out.mapInArrow(_pass(phrases(rows, window)), out.schema)
+        out = out.mapInArrow(T.tidied(_pass(phrases(rows, window), cut and k == block_count - 1)), out.schema)
     return out
 
 
@@ -258,28 +275,8 @@ def digest(found: DataFrame) -> DataFrame:
         .withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the words of the spans from the text; other bytes stay."""
-    for batch in batches:
-        spans = batch.column("__spans").to_pylist()
-        text = batch.column("text").to_pylist()
-        for r, s in enumerate(spans):
-            if s:
-                raw = text[r].encode()
-                w = T.words([raw], T.NOT_ALNUM, lower=True)
-                out, at = [], 0
-                for x in sorted(s, key=lambda x: x["first"]):
-                    lo, hi = int(w.start[x["first"]]), int(w.end[x["past"] - 1])
-                    out.append(raw[at:max(at, lo)])
-                    at = max(at, hi)
-                text[r] = b"".join([*out, raw[at:]]).decode()
-        yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(text, pa.string()))
-
-
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the words of any benchmark window; clean rows unchanged."""
-    found = occurrences(docs, benchmark)
-    cut = found.mapInArrow(_cut, found.schema)
     hit = F.size("__spans") > 0
-    return cut.select(*[F.when(hit, F.length("text")).otherwise(F.col(c)).cast(t).alias(c) if c == "n_chars"
+    return occurrences(docs, benchmark, cut=True).select(*[F.when(hit, F.length("text")).otherwise(F.col(c)).cast(t).alias(c) if c == "n_chars"
                         else F.col(f"`{c}`") for c, t in docs.dtypes])

@@ -152,7 +152,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
     chance = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, share / n))])
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
     sample = labelled.filter(draw < F.coalesce(F.element_at(chance, F.col("lang")), F.lit(0.0)))
-    rows = handed_off(sample.select("lang", "text").mapInArrow(_train_rows, "lang string, x array<double>"),
+    rows = handed_off(sample.select("lang", "text").mapInArrow(T.tidied(_train_rows), "lang string, x array<double>"),
                       "langid-train")
     rows = rows.select("lang", array_to_vector("x").alias("features"))
     means = {r.lang: r.m.toArray() for r in
@@ -207,7 +207,7 @@ def _predict(model: Model | None):
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with __lang_pred and __lang_score."""
     schema = docs.select("*", F.lit("").alias("__lang_pred"), F.lit(0.0).alias("__lang_score")).schema
-    return docs.mapInArrow(_predict(model), schema)
+    return docs.mapInArrow(T.tidied(_predict(model)), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ END_ID = 1
 #: pieces of one packing group: bounds a task's memory, and wastes at most about one sequence a group
 GROUP_PIECES = 20_000
 #: words the table of one worker process holds (about 40 bytes each)
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 800_000
 SEARCH_ROUNDS = 2_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -76,7 +76,9 @@ class WordEncoder:
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, all ids in a row)."""
         lists = [words[i:i + 256] for i in range(0, len(words), 256)]
-        found = self._encoded([" ".join(x) for x in lists])
+        found = []
+        for at in range(0, len(lists), 16):      # the tokenizer's results are large: few at a time
+            found += self._encoded([" ".join(x) for x in lists[at:at + 16]])
         ids = np.concatenate(found) if found else np.empty(0, "<u4")
         past = np.flatnonzero(self.ends[ids]) + 1
         if [int(self.ends[x].sum()) for x in found] == [len(x) for x in lists]:
@@ -90,7 +92,8 @@ class WordEncoder:
         parts = [self.pool]
         length[plain], ids = self._ids([w for w in words if w.isalpha()])
         parts.append(ids)
-        others = self._encoded([w for w in words if not w.isalpha()])
+        rest = [w for w in words if not w.isalpha()]
+        others = [x for k in range(0, len(rest), 4096) for x in self._encoded(rest[k:k + 4096])]
         length[~plain] = list(map(len, others))
         at = np.empty(len(words), np.int64)
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
@@ -244,7 +247,7 @@ def _pack_group(capacity: int):
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every whole text."""
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(_token_pieces(tokenizer_path, capacity), PIECES)
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(T.tidied(_token_pieces(tokenizer_path, capacity)), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,

@@ -95,7 +95,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def base_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"),
-                       F.col("source").cast("string")).mapInArrow(_counts, _SCHEMA)
+                       F.col("source").cast("string")).mapInArrow(T.tidied(_counts), _SCHEMA)
 
 
 def fences(counts: DataFrame) -> DataFrame:
