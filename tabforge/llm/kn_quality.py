@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +38,7 @@ ACCURACY = 10_000
 #: entries of one broadcast shard of the probability table (12 bytes each)
 SHARD_GRAMS = 2_000_000
 #: distinct n-grams a task holds before it hands them on
-HELD_GRAMS = 2_000_000
+HELD_GRAMS = 500_000
 _PAD = b"\x02"
 
 
@@ -93,7 +92,7 @@ def _count(order: int):
 
 def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, c) of all texts(text, trains): c counts only those that train."""
-    return texts.select("text", "trains").mapInArrow(_count(order), "gram long, c long") \
+    return texts.select("text", "trains").mapInArrow(T.tidied(_count(order)), "gram long, c long") \
         .groupBy("gram").agg(F.sum("c").alias("c"))
 
 
@@ -150,16 +149,31 @@ def _score(codes, logs, order: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A partition's probabilities as two byte strings."""
+    parts = [(b.column("gram").to_numpy(), np.log(b.column("p").to_numpy()).astype(np.float32)) for b in batches]
+    if parts:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([np.concatenate(x).tobytes()], pa.binary()) for x in zip(*parts)], names=["grams", "logs"])
+
+
+def _shard(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """One shard of the table on the driver, sorted: 12 bytes an entry."""
+    rows = model.select("gram", "p").mapInArrow(T.tidied(_packed), "grams binary, logs binary").collect()
+    gram = np.frombuffer(b"".join(r.grams for r in rows), np.int64)
+    order = np.argsort(gram)
+    return gram[order], np.frombuffer(b"".join(r.logs for r in rows), np.float32)[order]
+
+
 def scored(docs: DataFrame, model: DataFrame, order: int = ORDER, shard_grams: int = SHARD_GRAMS) -> DataFrame:
     """doc_id, lang and the log-probability of every whole text."""
     spark = docs.sparkSession
     shards = max(1, -(-model.count() // shard_grams))
     out = docs.select("doc_id", "lang", "text", F.lit(0.0).alias("log"))
     for k in range(shards):
-        mine: pd.DataFrame = model.filter(F.pmod(F.xxhash64("gram"), F.lit(shards)) == k) \
-            .select("gram", F.log("p").cast("float").alias("log")).toPandas().sort_values("gram")
-        out = out.mapInArrow(_score(spark.sparkContext.broadcast(mine["gram"].to_numpy(np.int64)),
-                                    spark.sparkContext.broadcast(mine["log"].to_numpy(np.float32)), order), out.schema)
+        grams, logs = _shard(model.filter(F.pmod(F.xxhash64("gram"), F.lit(shards)) == k))
+        out = out.mapInArrow(T.tidied(_score(spark.sparkContext.broadcast(grams), spark.sparkContext.broadcast(logs), order)),
+                             out.schema)
     return out.select("doc_id", "lang", "log", F.octet_length(F.coalesce("text", F.lit(""))).alias("n_bytes"))
 
 
@@ -173,7 +187,8 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: f
     docs = docs.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
     trusted = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
     train = trusted.filter(~_kept_out(F.col("doc_id"))).withColumn("trains", F.lit(True))
-    texts = docs.join(train, "doc_id", "left").select("text", F.coalesce("trains", F.lit(False)).alias("trains"))
+    # labels grow with the documents: never broadcast, at any size
+    texts = docs.join(train.hint("merge"), "doc_id", "left").select("text", F.coalesce("trains", F.lit(False)).alias("trains"))
     model = handed_off(probabilities(gram_counts(texts, order), order), "kn-model")
     done = handed_off(scored(docs, model, order, shard_grams).withColumn(
         "perplexity", F.when(F.col("n_bytes") > 0, F.exp(-F.col("log") / F.col("n_bytes")))), "kn-scored")
