@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from conftest import PASSAGE, SF, by_id, collected
+from llm_helpers import PASSAGE, SF, by_id, collected
 from tabforge.llm import decontam as D
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

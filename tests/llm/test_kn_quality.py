@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from conftest import by_id, collected
+from llm_helpers import by_id, collected
 from tabforge.llm import kn_quality as K
 
 

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from conftest import by_id, collected
+from llm_helpers import by_id, collected
 from tabforge.llm import langid as L
 
 

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import by_id
+from llm_helpers import by_id
 from tabforge.llm import packing as P
 from tabforge.llm.queries import tokenizer_path
 

@@ -1,6 +1,6 @@
 import re
 
-from conftest import SF, collected
+from llm_helpers import SF, collected
 import corpus_pipeline as C
 from tabforge.llm import decontam as D
 from tabforge.llm import ngram_join as J

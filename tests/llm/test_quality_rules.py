@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from conftest import by_id, collected  # noqa: F401  (tests/llm/conftest.py)
+from llm_helpers import by_id, collected
 from tabforge.llm import quality_rules as Q
 
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from conftest import SF, by_id, collected
+from llm_helpers import SF, by_id, collected
 from tabforge.llm import sharding as S
 
 

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from conftest import by_id, collected
+from llm_helpers import by_id, collected
 from tabforge.llm import suffix_dedup as S
 
 

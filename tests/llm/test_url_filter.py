@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from conftest import SF, by_id
+from llm_helpers import SF, by_id
 from tabforge.llm import url_filter as U
 
 
