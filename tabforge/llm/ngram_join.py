@@ -12,8 +12,13 @@ Sets of at most x shingles are light, others heavy; x is chosen by cost.
 Copies are one class (equal sets). Lists are never expanded into all pairs:
 first every class is verified against the one list pivot it shares most
 postings with; then only members of one list that are still in different
-components are paired. Verified pairs are the links, and components over the
-classes give each document the smallest id reachable.
+components are paired. A pair is read again and verified only if the postings
+it shares leave the needed overlap possible. Verified pairs are the links, and
+components over the classes give each document the smallest id reachable.
+
+Shingles posted once and classes without copies are told apart by filters of
+fixed size (``FILTER_BITS``), so that they need no shuffle; what a filter lets
+through in error is sorted out by the exact steps after it.
 
 The order of shingles comes from a mergeable frequency summary over all
 documents (at most ``FREQUENT`` shingles, broadcast); any order gives the same
@@ -47,9 +52,9 @@ LIGHT_LIMIT = 16
 FREQUENT = 1 << 16
 #: fewest occurrences of a shingle that the order puts last
 MIN_FREQUENT = 16
-HELD = 4_000_000
-#: bits of the broadcast filter on classes that need their sets read again
-FILTER_BITS = 1 << 23
+HELD = 1_500_000
+#: bits of the broadcast filters
+FILTER_BITS = 1 << 26
 
 
 def needed(n: int, m: int) -> int:
@@ -75,7 +80,8 @@ def shingle_sets(texts: list[bytes], size: int = SIZE) -> Iterator[np.ndarray]:
     bound = np.searchsorted(w.row[at], np.arange(w.rows + 1))
     for r in range(w.rows):
         if bound[r] < bound[r + 1]:
-            yield np.unique(h[bound[r]:bound[r + 1]])
+            s = np.sort(h[bound[r]:bound[r + 1]])
+            yield s[np.concatenate([[True], s[1:] != s[:-1]])]
         elif first[r] < first[r + 1]:
             yield np.array([T.sequence_hash(w.hash[first[r]:first[r + 1]])], T.U64)
         else:
@@ -89,7 +95,8 @@ def lowered(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 
 def class_of(s: np.ndarray) -> int:
     """Signed 64-bit id of a set; equal sets have equal ids."""
-    return int((T.mix(s).sum(dtype=T.U64) ^ T.mix(T.mix(s ^ T._SEEDS[5])).sum(dtype=T.U64)).view(np.int64))
+    sums = np.array([T.mix(s).sum(dtype=T.U64), len(s)], T.U64)
+    return int(T.mix(sums * T._SEEDS[5:7] + T._SEEDS[7]).sum(dtype=T.U64).view(np.int64))
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +130,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """At most ``FREQUENT`` shingle hashes, the most frequent last."""
-    rows = docs.select("text").mapInArrow(_frequent, "shingle long, n long").groupBy("shingle") \
+    rows = docs.select("text").mapInArrow(T.tidied(_frequent), "shingle long, n long").groupBy("shingle") \
         .agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_FREQUENT).orderBy(F.desc("n"), "shingle").limit(FREQUENT) \
         .select("shingle").toPandas()["shingle"].to_numpy(np.int64)
     return rows[::-1].copy().view(T.U64)
@@ -198,7 +205,7 @@ def _light_links(light: DataFrame) -> DataFrame:
     """Edges (a, b) that join every pair of linked light classes into one
     component: the members of a subset's list are linked across (or within,
     for equal) sizes, so all of them with the smallest."""
-    lists = light.select("class", "posts").mapInArrow(_light, "subset long, class long, n long, m long")
+    lists = light.select("class", "posts").mapInArrow(T.tidied(_light), "subset long, class long, n long, m long")
     heads = lists.groupBy("subset").agg(F.min("class").alias("head"), F.max("class").alias("last"),
                                         F.min("n").alias("low"), F.max("n").alias("high"), F.min("m").alias("least_m")) \
         .filter("head < last and (low < high or low = least_m)")
@@ -206,68 +213,128 @@ def _light_links(light: DataFrame) -> DataFrame:
         .filter("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
 
 
-def _wanted(pairs: DataFrame) -> np.ndarray:
-    """Bits of the classes in pairs(a, b): a filter of fixed size."""
-    bit = F.col("class").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1    # bitmap functions count from 1
-    rows = pairs.select(F.explode(F.array("a", "b")).alias("class")).groupBy(F.bitmap_bucket_number(bit).alias("k")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    out = np.zeros(FILTER_BITS, bool)
-    for r in rows:
-        b = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
-        lo = (r.k - 1) * 32768
-        out[lo:lo + len(b)] = b[:FILTER_BITS - lo]
-    return out
+def _bits(rows: DataFrame, column: str) -> bytes:
+    """Packed filter over the values of a long column, built by bitmap aggregates."""
+    bit = F.col(column).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1    # bitmap functions count from 1
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in rows.groupBy(F.bitmap_bucket_number(bit).alias("k")) \
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect():
+        out[(r.k - 1) * 4096:r.k * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out.tobytes()
+
+
+def _in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & (FILTER_BITS - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _rows_in(bits, column: str, wanted: bool):
+    """Rows whose value is (or is not) in the filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            hit = _in(table, batch.column(column).to_numpy())
+            yield batch.filter(pa.array(hit == wanted))
+    return run
+
 
+def _postings(bits, copies=None):
+    """(shingle, c, n, w) of the first ``posted(n)`` shingles; with ``bits``, of
+    those in it; with ``copies``, of the classes not in it. w: thousandths of
+    the set's postings that are given."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None if bits is None else np.frombuffer(bits.value, np.uint8)
+        skip = None if copies is None else np.frombuffer(copies.value, np.uint8)
+        for batch in batches:
+            if skip is not None:
+                batch = batch.filter(pa.array(~_in(skip, batch.column("class").to_numpy())))
+            n = batch.column("n").to_numpy()
+            posts = batch.column("posts")
+            at = posts.offsets.to_numpy().astype(np.int64)
+            take = np.minimum(n - -(-4 * n // 5) + 1, np.diff(at))
+            place = np.repeat(at[:-1] - np.cumsum(take) + take, take) + np.arange(take.sum())
+            shingle = posts.values.to_numpy()[place]
+            c, size = np.repeat(batch.column("class").to_numpy(), take), np.repeat(n, take)
+            weight = np.full(len(shingle), 1000)
+            if table is not None:
+                hit = _in(table, shingle)
+                upto = np.concatenate([[0], np.cumsum(hit)])
+                past = np.cumsum(take)
+                weight = np.repeat(1000 * (upto[past] - upto[past - take]) // np.maximum(take, 1), take)[hit]
+                shingle, c, size = shingle[hit], c[hit], size[hit]
+            for lo in range(0, len(shingle), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[lo:lo + 100_000]) for x in (shingle, c, size, weight)],
+                                                 names=["shingle", "c", "n", "w"])
+    return run
 
-def _again(wanted: np.ndarray):
-    bits = np.packbits(wanted)
 
+def _read_again(bits):
+    """The whole sets of the rows in the filter, a class once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want, seen = np.unpackbits(bits).astype(bool), set()
+        table, seen = np.frombuffer(bits.value, np.uint8), set()
         for batch in batches:
+            batch = batch.filter(pa.array(_in(table, batch.column("rep").to_numpy())))
             for _, texts in lowered(batch.column("text")):
                 ids, sets = [], []
                 for s in shingle_sets(texts):
-                    if len(s):
-                        c = class_of(s)
-                        if want[c & (FILTER_BITS - 1)] and c not in seen:
-                            seen.add(c)
-                            ids.append(c)
-                            sets.append(s.view(np.int64))
+                    c = class_of(s) if len(s) else None
+                    if c is not None and c not in seen:
+                        seen.add(c)
+                        ids.append(c)
+                        sets.append(s.view(np.int64))
                 if ids:
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
                                                      names=["class", "shingles"])
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The pairs(a, b) whose sets, read again from the texts, link."""
+    spark = docs.sparkSession
     pairs = handed_off(pairs, f"join-{name}-pairs")
-    sets = docs.select("text").mapInArrow(_again(_wanted(pairs)), "class long, shingles array<long>") \
-        .dropDuplicates(["class"])
-    sets = handed_off(sets, f"join-{name}-sets")
+    needed_classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    bits = spark.sparkContext.broadcast(_bits(classes.join(needed_classes, "class").select("rep"), "rep"))
+    sets = handed_off(docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("rep"), "text").mapInArrow(
+        T.tidied(_read_again(bits)), "class long, shingles array<long>"), f"join-{name}-sets")
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a") \
         .join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b")
     inter = F.size(F.array_intersect("x", "y"))
-    return handed_off(both.filter(9 * inter >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), f"join-{name}-links")
+    return handed_off(both.filter(9 * inter >= 4 * (F.size("x") + F.size("y"))).select("a", "b").distinct(),
+                      f"join-{name}-links")
 
 
-def _heavy_links(docs: DataFrame, classes: DataFrame, limit: int) -> list[DataFrame]:
+#: an upper bound of the overlap of sets of n1 and n2 with ``shared`` common postings reaches the need: the set whose
+#: last posting comes first in the order has all other common shingles behind its postings
+_POSSIBLE = ("shared + greatest(ceil(4 * n1 / 5), ceil(4 * n2 / 5)) - 1 >= ceil(4 * (n1 + n2) / 9)"
+             " and 5 * least(n1, n2) >= 4 * greatest(n1, n2)")
+
+
+def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: int) -> list[DataFrame]:
     """Links of heavy classes by scanning inverted lists."""
-    indexed = classes.filter(F.col("n") >= partners(limit + 1).start)
-    posts = indexed.select(F.col("class").alias("c"), "n", F.explode(F.expr(
-        "slice(posts, 1, cast(n - ceil(4 * n / 5) + 1 as int))")).alias("shingle"))
-    single = posts.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("n").alias("top")) \
-        .filter(f"lo < hi and top > {limit}").select("shingle")
-    lists = handed_off(posts.join(single, "shingle"), "join-lists")
-    # one verification a class: against the pivot (of about its size) that it shares most lists with
+    spark = docs.sparkSession
+    indexed = sets.filter(F.col("n") >= partners(limit + 1).start).select("class", "n", "posts")
+    # each class once: only sets of classes with copies are shuffled for it
+    copies = spark.sparkContext.broadcast(_bits(classes.filter("copies > 1").select("class"), "class"))
+    copied = handed_off(indexed.mapInArrow(T.tidied(_rows_in(copies, "class", True)), indexed.schema).dropDuplicates(["class"]),
+                        "join-copied")
+
+    def postings(bits) -> DataFrame:
+        schema = "shingle long, c long, n long, w long"
+        return indexed.mapInArrow(T.tidied(_postings(bits, copies)), schema).union(copied.mapInArrow(T.tidied(_postings(bits)), schema))
+
+    several = postings(None).groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    bits = spark.sparkContext.broadcast(_bits(several.select("shingle"), "shingle"))
+    lists = handed_off(postings(bits), "join-lists")
+    # one verification a class: against the pivot (of about its size) that it shares most lists with. A list's
+    # pivot is the set that shares most of its postings: of edited copies, the original
     near = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.12))).alias("near")
-    pivot = lists.groupBy("shingle", near).agg(F.min("c").alias("pivot"), F.max("c").alias("other")) \
-        .filter("pivot < other").drop("other")
-    best = lists.select("shingle", "c", near).join(pivot, ["shingle", "near"]).filter("c <> pivot") \
-        .groupBy("c", "pivot").agg(F.count(F.lit(1)).alias("shared")) \
+    pivot = lists.groupBy("shingle", near).agg(F.max(F.struct("w", "c", "n")).alias("p"), F.count(F.lit(1)).alias("k")) \
+        .filter("k > 1").select("shingle", "near", F.col("p.c").alias("pivot"), F.col("p.n").alias("n2"))
+    best = lists.select("shingle", "c", F.col("n").alias("n1"), near).join(pivot, ["shingle", "near"]) \
+        .filter("c <> pivot").groupBy("c", "n1", "pivot", "n2").agg(F.count(F.lit(1)).alias("shared")) \
+        .filter(f"{_POSSIBLE} and greatest(n1, n2) > {limit}") \
         .groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
-    first = _verified(docs, best.select(F.col("pivot").alias("a"), F.col("c").alias("b")), "first")
+    first = _verified(docs, classes, best.select(F.col("pivot").alias("a"), F.col("c").alias("b")), "first")
     comp = components(first, "join-first").select(F.col("node").alias("c"), "comp")
     # what one list still holds in different components
     placed = handed_off(lists.join(comp, "c", "left").select("shingle", "c", "n", F.coalesce("comp", "c").alias("comp")),
@@ -275,13 +342,18 @@ def _heavy_links(docs: DataFrame, classes: DataFrame, limit: int) -> list[DataFr
     sizes = placed.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
     most = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"),
                                         F.count(F.lit(1)).alias("comps")).filter("comps > 1").drop("comps")
-    mixed = placed.join(most, "shingle")
+    mixed = handed_off(placed.join(most, "shingle"), "join-mixed")
     left = mixed.filter("comp <> main").select("shingle", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("comp").alias("m1"))
     right = mixed.select("shingle", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("m2"), "main")
-    rest = left.join(right, "shingle").filter(
+    met = left.join(right, "shingle").filter(
         f"m1 <> m2 and 5 * least(n1, n2) >= 4 * greatest(n1, n2) and greatest(n1, n2) > {limit}"
-        " and (m2 = main or c1 < c2)").select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
-    return [first, _verified(docs, rest, "rest")]
+        " and (m2 = main or c1 < c2)")
+    first_is_1 = F.col("c1") < F.col("c2")
+    rest = met.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"),
+                       F.when(first_is_1, F.col("n1")).otherwise(F.col("n2")).alias("n1"),
+                       F.when(first_is_1, F.col("n2")).otherwise(F.col("n1")).alias("n2")) \
+        .agg(F.count(F.lit(1)).alias("shared")).filter(_POSSIBLE).select("a", "b")
+    return [first, _verified(docs, classes, rest, "rest")]
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -289,19 +361,20 @@ def join(docs: DataFrame) -> DataFrame:
     classes) and component_id of every row."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     sets = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        _sets(frequent_shingles(docs)), "doc_id long, text_hash long, class long, n long, posts array<long>")
+        T.tidied(_sets(frequent_shingles(docs))), "doc_id long, text_hash long, class long, n long, posts array<long>")
     sets = handed_off(sets, "join-sets")
+    classes = handed_off(sets.filter("n > 0").groupBy("class").agg(
+        F.min("doc_id").alias("least"), F.min(F.xxhash64("doc_id", "text_hash")).alias("rep"),
+        F.count(F.lit(1)).alias("copies")), "join-classes")
     small = handed_off(sets.filter(f"n between 1 and {LIGHT_LIMIT}").select("class", "n", "posts")
                        .dropDuplicates(["class"]), "join-small")
     limit = light_limit(small)
-    big = sets.filter(f"n > {LIGHT_LIMIT}").select("class", "n", "posts")
     edges = _light_links(small.filter(f"n <= {limit}"))
-    for more in _heavy_links(docs, _deduplicated(big).union(small), limit):
+    for more in _heavy_links(docs, classes, sets, limit):
         edges = edges.union(more)
     comp = components(edges, "join").select(F.col("node").alias("class"), "comp")
-    first = sets.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    named = first.join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    named = handed_off(named, "join-named")
+    named = handed_off(classes.select("class", "least").join(comp, "class", "left")
+                       .withColumn("comp", F.coalesce("comp", "class")), "join-named")
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     of = named.select("class", "comp").join(least, "comp")
     whole = sets.filter("n > 0").select("doc_id", "text_hash", "n", "class").join(of, "class").select(
@@ -311,11 +384,6 @@ def join(docs: DataFrame) -> DataFrame:
         F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("component_id")))
 
 
-def _deduplicated(big: DataFrame) -> DataFrame:
-    """One row a class: copies are dropped before the lists are built."""
-    return big.dropDuplicates(["class"])
-
-
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps one: the row
     with the smallest id (rows without id last); wordless rows all stay."""
