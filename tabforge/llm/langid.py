@@ -5,7 +5,8 @@ unit length). Languages whose centroids are alike form a family. A multinomial
 model predicts the family; inside it one linear support vector machine per
 pair of languages votes. Models are fitted with ``pyspark.ml`` on a bounded
 sample of labelled rows (``TRAIN_ROWS``, dealt evenly over the languages by a
-hash of the row) and applied to all rows in numpy inside Arrow tasks.
+hash of the row, ``LEAST_ROWS`` for each of very many) and applied to all rows
+in numpy inside Arrow tasks. Every language with a labelled text is learned.
 
 Learned from: rows with a language whose crc32(doc_id as text) mod 4 is not 2;
 a null id counts as held out. Only the text is an input of a prediction.
@@ -19,6 +20,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -34,8 +36,10 @@ DIMENSIONS = 4096
 GRAMS = (1, 2, 3)
 #: labelled rows that fit the models, over all languages
 TRAIN_ROWS = 4000
-#: most frequent languages that are learned
-MAX_LANGUAGES = 64
+#: rows a language has at least in the sample, if it has as many
+LEAST_ROWS = 10
+#: pair machines that are fitted at a time
+FITS = 8
 #: rows of one dense feature block
 BLOCK_ROWS = 256
 ITERATIONS = 30
@@ -110,13 +114,18 @@ def families_of(languages: list[str], centroids: np.ndarray) -> list[list[str]]:
     if len(languages) < 3:
         return [[x] for x in languages]
     cut = alike[np.triu_indices(len(languages), 1)].mean()
-    groups = [[i] for i in range(len(languages))]
+    groups, size = [[i] for i in range(len(languages))], np.ones(len(languages))
     while len(groups) > 1:
-        (a, b), top = max((((i, j), alike[np.ix_(groups[i], groups[j])].mean())
-                           for i, j in combinations(range(len(groups)), 2)), key=lambda x: x[1])
-        if top <= cut:
+        mean = np.where(np.triu(np.ones(alike.shape, bool), 1), alike / np.outer(size, size), -np.inf)
+        a, b = map(int, np.unravel_index(mean.argmax(), mean.shape))
+        if mean[a, b] <= cut:
             break
         groups[a] += groups.pop(b)
+        alike[a] += alike[b]        # sums over both groups' members
+        alike[:, a] += alike[:, b]
+        alike = np.delete(np.delete(alike, b, 0), b, 1)
+        size[a] += size[b]
+        size = np.delete(size, b)
     return [[languages[i] for i in sorted(g)] for g in sorted(groups)]
 
 
@@ -143,15 +152,16 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    labelled = docs.filter("lang is not null and text is not null").filter(~held_out())
-    counts = {r.lang: r["count"] for r in
-              labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not counts:
+    labelled = docs.filter("lang is not null and text rlike '\\\\p{L}'").filter(~held_out()).withColumn(
+        "__lang_draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20))
+    counts = handed_off(labelled.groupBy("lang").agg(F.count("*").alias("__lang_n"), F.min("__lang_draw").alias("__lang_least")),
+                        "langid-counts")
+    n = counts.count()
+    if not n:
         return None
-    share = -(-train_rows // len(counts))
-    chance = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, share / n))])
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    sample = labelled.filter(draw < F.coalesce(F.element_at(chance, F.col("lang")), F.lit(0.0)))
+    share = max(-(-train_rows // n), LEAST_ROWS)
+    sample = labelled.join(counts, "lang").filter(
+        (F.col("__lang_draw") < share / F.col("__lang_n")) | (F.col("__lang_draw") == F.col("__lang_least")))
     rows = handed_off(sample.select("lang", "text").mapInArrow(T.tidied(_train_rows), "lang string, x array<double>"),
                       "langid-train")
     rows = rows.select("lang", array_to_vector("x").alias("features"))
@@ -167,15 +177,18 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
         m = LogisticRegression(maxIter=ITERATIONS, regParam=1e-4, family="multinomial").fit(
             rows.withColumn("label", F.element_at(family, F.col("lang"))))
         weights, bias = m.coefficientMatrix.toArray().T, m.interceptVector.toArray()
-    model = Model(families, weights, bias)
-    for members in families:
-        machines = {}
-        for a, b in combinations(range(len(members)), 2):
-            two = rows.filter(F.col("lang").isin(members[a], members[b])).withColumn(
-                "label", (F.col("lang") == members[b]).cast("double"))
-            m = LinearSVC(maxIter=ITERATIONS, regParam=1e-3).fit(two)
-            machines[a, b] = (m.coefficients.toArray(), float(m.intercept))
-        model.pairs.append(machines)
+    model = Model(families, weights, bias, [{} for _ in families])
+
+    def machine(f: int, a: int, b: int) -> None:
+        first, second = families[f][a], families[f][b]
+        two = rows.filter(F.col("lang").isin(first, second)).withColumn(
+            "label", (F.col("lang") == second).cast("double"))
+        m = LinearSVC(maxIter=ITERATIONS, regParam=1e-3).fit(two)
+        model.pairs[f][a, b] = (m.coefficients.toArray(), float(m.intercept))
+
+    with ThreadPoolExecutor(FITS) as pool:
+        list(pool.map(lambda x: machine(*x), [(f, a, b) for f, members in enumerate(families)
+                                              for a, b in combinations(range(len(members)), 2)]))
     return model
 
 

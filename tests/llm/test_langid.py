@@ -44,6 +44,41 @@ def test_no_and_one_language(spark, nothing):
     assert {(r.lang_pred, r.score) for r in L.identify(one).collect()} == {("xx", 1.0), ("und", 0.0)}
 
 
+def test_families_are_average_linkage():
+    r = np.random.default_rng(3)
+    for n in (3, 5, 12):
+        c = r.random((n, 6))
+        unit = c / np.linalg.norm(c, axis=1, keepdims=True)
+        alike = unit @ unit.T
+        cut = alike[np.triu_indices(n, 1)].mean()
+        groups = [[i] for i in range(n)]
+        while len(groups) > 1:
+            pairs = [(i, j) for i in range(len(groups)) for j in range(i + 1, len(groups))]
+            a, b = max(pairs, key=lambda x: alike[np.ix_(groups[x[0]], groups[x[1]])].mean())
+            if alike[np.ix_(groups[a], groups[b])].mean() <= cut:
+                break
+            groups[a] += groups.pop(b)
+        names = [f"{i:02}" for i in range(n)]
+        assert L.families_of(names, c) == [[names[i] for i in sorted(g)] for g in sorted(groups)]
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """More languages than the 64 most frequent; the rare ones are the last.
+    Families of one, as hundreds of pair machines take minutes."""
+    monkeypatch.setattr(L, "families_of", lambda languages, centroids: [[x] for x in languages])
+    monkeypatch.setattr(L, "ITERATIONS", 10)
+
+    def text(k, i):
+        return " ".join(chr(0x4E00 + 90 * k + (7 * i + j) % 20) * 2 for j in range(25))
+
+    rows = [(1000 * k + i, text(k, i), f"l{k:02}") for k in range(70) for i in range(12 if k < 64 else 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(docs)
+    assert sorted(x for f in model.families for x in f) == [f"l{k:02}" for k in range(70)]
+    got = [r["lang"] == r["__lang_pred"] for r in L.predict(docs, model).collect() if r.lang >= "l64"]
+    assert np.mean(got) > 0.9
+
+
 def test_families_join_close_languages():
     c = np.array([[1, 0.1, 0], [1, 0.2, 0], [0, 0.1, 1], [0, 0.2, 1.0]])
     assert L.families_of(list("abcd"), c) == [["a", "b"], ["c", "d"]]
