@@ -12,7 +12,7 @@ The benchmark is read in blocks of ``ITEM_BLOCK`` items; each block is one pass
 over the documents without a shuffle, and passes add to the same spans.
 
 Defined cases: null text or item text has no words; an item whose id is null
-is left out of the report; repeated rows and repeated items count once each
+is left out of the report, but its windows are cut out of the texts; repeated rows and repeated items count once each
 where ids are reported; an empty benchmark leaves every document clean; an
 empty table gives no rows.
 """
@@ -50,9 +50,10 @@ class Phrases:
     items: list[str]
 
 
-def phrases(rows: list[tuple[str, str | None]], window: int = WINDOW) -> Phrases:
-    """Windows of (item id, text) rows; a shorter item is one window."""
-    names = sorted({i for i, _ in rows})
+def phrases(rows: list[tuple[str | None, str | None]], window: int = WINDOW) -> Phrases:
+    """Windows of (item id, text) rows; a shorter item is one window. A null id
+    owns none of its windows."""
+    names = sorted({i for i, _ in rows if i is not None})
     number = {n: k for k, n in enumerate(names)}
     w = T.words([(t or "").encode() for _, t in rows], T.NOT_ALNUM, lower=True)
     first = w.first()
@@ -62,7 +63,9 @@ def phrases(rows: list[tuple[str, str | None]], window: int = WINDOW) -> Phrases
     for k, (item, _) in enumerate(rows):
         s = symbol[first[k]:first[k + 1]]
         for at in range(max(1, len(s) - window + 1) if len(s) else 0):
-            found.setdefault(s[at:at + window].tobytes(), set()).add(number[item])
+            owners = found.setdefault(s[at:at + window].tobytes(), set())
+            if item is not None:
+                owners.add(number[item])
     keys = sorted(found)
     symbols = np.zeros((len(keys), window), np.int32)
     length = np.zeros(len(keys), np.int64)
@@ -246,10 +249,10 @@ def _pass(p: Phrases, cut: bool = False):
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 item_block: int = ITEM_BLOCK, cut: bool = False) -> DataFrame:
-    """``docs`` (with ``cut``: without the words that are hit) with __n_words, __spans (word intervals, merged within a pass) and __items."""
+    """``docs`` (with ``cut``: without the words that are hit, also of items without an id) with __n_words, __spans (word intervals, merged within a pass) and __items."""
     text_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string")) \
-        .filter("item_id is not null").distinct()
+        .filter(F.lit(cut) | F.col("item_id").isNotNull()).distinct()
     block_count = max(1, -(-items.count() // item_block))
     out = docs.select("*", F.lit(0).cast("long").alias("__n_words"), F.array().cast(SPANS).alias("__spans"),
                       F.array().cast("array<string>").alias("__items"))

@@ -92,3 +92,11 @@ def test_remove_keeps_columns_and_clean_rows(spark, awkward):
             assert r == old
         else:
             assert r.text == old.text.replace(PASSAGE, "") and r.n_chars == len(r.text)
+
+
+def test_remove_cuts_items_without_an_id(spark, awkward):
+    bench = spark.createDataFrame([(None, PASSAGE), ("a", "nowhere at all")], "item_id string, text string")
+    out = D.remove(awkward, bench)
+    named = bench.fillna({"item_id": "b"})
+    assert D.digest(D.occurrences(awkward, named)).filter("contaminated").count() > 0
+    assert D.digest(D.occurrences(out, named)).filter("contaminated").count() == 0
