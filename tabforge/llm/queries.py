@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabforge.llm.common import table
 
@@ -70,9 +71,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import collocations
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: every hundredth id. Every seventh row gets the next label."""
+    from tabforge.llm import hard_negatives
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.scaled(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, flipped))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabforge.llm import minhash
+    found = minhash.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 OPERATORS = (op1_label_propagation_sharding, op2_ngram_jaccard_join, op3_suffix_array_dedup,
              op4_kneser_ney_quality, op5_quality_rules, op6_language_id, op7_best_fit_packing,
-             op8_benchmark_decontamination, op9_pii, op10_url_filter)
+             op8_benchmark_decontamination, op9_pii, op10_url_filter, op11_collocation_mining,
+             op12_hard_negative_mining, op13_minhash_near_dedup)
 
 
 def queries() -> dict[str, Query]:
@@ -124,5 +144,65 @@ FROM d LEFT JOIN h ON h.rid = d.rid LEFT JOIN x ON x.rid = d.rid
 """
 
 
+OP11_SQL = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) q) x),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k AS len, string_split(phrase, ' ') AS w, phrase, f AS a FROM f WHERE k > 1),
+x AS (SELECT *, unnest(range(1, len)) AS k FROM c),
+s AS (
+  SELECT x.lang, x.phrase, x.a, x.k, l.f AS l, r.f AS r, t.n, (1000 * x.a * t.n) // (l.f * r.f) AS score
+  FROM x JOIN t ON t.lang = x.lang
+  JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1:x.k], ' ')
+  JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[x.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT o.lang, o.phrase FROM (
+    SELECT lang, a, len, array_to_string(w[i:i + j - 1], ' ') AS part FROM (
+      SELECT lang, w, a, len, j, unnest(range(1, len - j + 2)) AS i FROM (
+        SELECT lang, w, a, len, unnest(range(2, len)) AS j FROM c) y) z) q
+  JOIN c o ON o.lang = q.lang AND o.phrase = q.part WHERE 100 * q.a >= 100 * o.a),
+kept AS (SELECT b.* FROM b ANTI JOIN inside USING (lang, phrase)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+OP12_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and([coalesce(isfinite(x), false) FOR x IN embedding]), true)),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+#: the 5-word join's SQL with 4-word shingles; the smallest id of a component stays
+OP13_SQL = OP2_SQL.replace("w[i:i + 4]", "w[i:i + 3]").replace("greatest(len(w) - 4, 1)", "greatest(len(w) - 3, 1)") \
+    .replace("c.component_id\nFROM d", "c.component_id, d.doc_id = c.component_id AS kept\nFROM d")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_jaccard_join": OP2_SQL, "op8_benchmark_decontamination": OP8_SQL}
+    return {"op2_ngram_jaccard_join": OP2_SQL, "op8_benchmark_decontamination": OP8_SQL,
+            "op11_collocation_mining": OP11_SQL, "op12_hard_negative_mining": OP12_SQL,
+            "op13_minhash_near_dedup": OP13_SQL}
