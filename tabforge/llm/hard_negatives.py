@@ -246,6 +246,8 @@ def _cell(k: int, same: bool, exact: bool):
                 for r in range(0, len(y), TILE_ROWS):
                     rr = slice(r, r + TILE_ROWS)
                     scores = x[aa] @ y[rr].T
+                    if exact and max(scores.max(), -scores.min()) >= 1 << 63:
+                        raise OverflowError("a score passes 64 bits")
                     fit = (own_label[aa, None] == label[None, rr]) == same
                     fit &= own[aa, None] != ids[None, rr]
                     for w in range(lo.shape[1]):
@@ -382,17 +384,17 @@ def mine(rows: DataFrame, positives: int = 5, negatives: int = 10, low: int = 30
     negative_score, from rows(id, label, vec array<long>, anchor boolean)."""
     index = build(rows.select("id", "label", "vec", "anchor"), depth)
     anchors = index.rows.filter("anchor")
-    near = handed_off(search(index, anchors.withColumns({"lo": F.array(F.lit(-(1 << 62))), "hi": F.array(F.lit(1 << 62))}),
+    near = handed_off(search(index, anchors.withColumns({"lo": F.array(F.lit(-(1 << 63) + 1)), "hi": F.array(F.lit((1 << 63) - 1))}),
                              positives, True).select("akey", "id", "score", "rank"), "negatives-positives")
     # the positives of one anchor are at most ``positives``
     lists = near.groupBy("akey").agg(F.sort_array(F.collect_list(F.struct("rank", "id", "score"))).alias("p"))
 
-    def floor_percent(x: Column) -> Column:
-        return F.call_function("div", x - F.pmod(x, F.lit(100)), F.lit(100))
+    def percent(score: Column, of: int) -> Column:
+        return score.cast("decimal(19,0)") * of / 100
 
     asked = anchors.join(lists, "akey").withColumns({
-        "lo": F.transform("p.score", lambda s: -floor_percent(-s * low)),
-        "hi": F.transform("p.score", lambda s: floor_percent(s * high))})
+        "lo": F.transform("p.score", lambda s: F.ceil(percent(s, low)).cast("long")),
+        "hi": F.transform("p.score", lambda s: F.floor(percent(s, high)).cast("long"))})
     found = search(index, asked, negatives, False).withColumn("place", F.col("w") + 1)
     return found.join(near.select("akey", F.col("rank").alias("place"), F.col("id").alias("positive_id"),
                                   F.col("score").alias("positive_score")), ["akey", "place"]) \
