@@ -12,13 +12,16 @@ their full sets; a pair at the bound of 0.8 agrees in fewer with probability
   their first COORDINATES - MATCHES + 1, so only those are posted, and of them
   only values that some other class has too. Passages that many documents share
   are frequent values, which come last.
-* pivots: every class is first compared with one class only, the one of about
-  its size that it collides with most (of edited copies, the original). Members
-  of a list that are then in one component need no comparison any more.
-* skip merging: what a list still holds in different components meets in
-  blocks, dealt as a grid over tasks. A block pair counts collisions coordinate by
-  coordinate and skips each pair as soon as the coordinates left cannot reach
-  MATCHES. No list is expanded into its pairs.
+* clusters: each list has a pivot, the member whose values most others have too
+  (of edited copies, the original), and a class belongs to the pivot that it
+  collides with most. Members are confirmed against their pivot first.
+* skip merging: what a cluster still holds in different components meets in
+  blocks, dealt as a grid over tasks; collisions are counted coordinate by
+  coordinate, and a pair is skipped as soon as the coordinates left cannot reach
+  MATCHES. Blocks carry the texts, so that links are confirmed in place and only
+  those that join components leave the task: no group is expanded into its
+  pairs. Then the same for the lists, for members of different clusters, where
+  a pair counts in the first list that it shares.
 
 Texts are read again for retained pairs only. Filters are sized by their keys;
 beyond ``filters.MOST_BITS`` joins take their place, with the same links.
@@ -51,11 +54,11 @@ PREFIX = COORDINATES - MATCHES + 1
 #: frequent values that the order puts last: how often, and how many at most
 MIN_FREQUENT = 16
 FREQUENT = 1 << 16
-#: pivot rounds, with size bands moved by half a band
-ROUNDS = 2
-#: members of a block of the grid, and coordinates counted at a time
-BLOCK = 512
-STEP = 8
+#: members of a block of the grid and shingles of its members, pairs and coordinates counted at a time
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+PAIRS, STEP = 1 << 19, 8
+#: rows of small blocks that one task call takes together
+GROUPED, GROUPED_SHINGLES = 20_000, 1 << 21
 
 _A = T.mix(np.arange(1, COORDINATES + 1, dtype=T.U64) * T.U64(0x9E3779B97F4A7C15)) | T.U64(1)
 _B = T.mix(np.arange(1, COORDINATES + 1, dtype=T.U64) * T.U64(0xD1B54A32D192ED03))
@@ -130,61 +133,156 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(n)], names=["v", "k"])
 
 
-def _postings(frequent: np.ndarray, shared):
-    """(v, c, n, w) of the first PREFIX values of each class, of them those in
-    the filter; w: how many of all its values are in it."""
-    place = np.argsort(frequent)
-    known = frequent[place]
+class Order:
+    """The global order of values: infrequent ones by key, then the frequent."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        """Frequent keys, the most frequent last, with their counts."""
+        self.place = np.argsort(keys)
+        self.keys, self.counts = keys[self.place], counts[self.place]
+
+    def rank(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, 0 for infrequent; count, 0 for infrequent) of values."""
+        if not len(self.keys):
+            return np.zeros(v.shape, np.int64), np.zeros(v.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, v), len(self.keys) - 1)
+        known = self.keys[at] == v
+        return np.where(known, self.place[at] + 1, 0), np.where(known, self.counts[at], 0)
 
+
+def _postings(order: Order, shared):
+    """(v, c, n, w) of the first PREFIX values of each class, of them those in
+    the filter; w: how many classes have its values, summed over the values."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             v = values(_matrix(batch.column("sig")))
-            rank = np.zeros(v.shape, np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, v), len(known) - 1)
-                rank = np.where(known[at] == v, place[at] + 1, 0)
+            rank, count = order.rank(v)
             held = np.ones(v.shape, bool) if shared is None else shared.value.holds(v.reshape(-1)).reshape(v.shape)
-            order = np.lexsort((v, rank))[:, :PREFIX]
-            first, keep = np.take_along_axis(v, order, 1), np.take_along_axis(held, order, 1)
+            first = np.lexsort((v, rank))[:, :PREFIX]
+            posted, keep = np.take_along_axis(v, first, 1), np.take_along_axis(held, first, 1)
             row = np.nonzero(keep)[0]
+            weight = np.maximum(count, held).sum(axis=1)
             c, n = batch.column("class").to_numpy(), batch.column("n").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(first[keep]), pa.array(c[row]), pa.array(n[row]), pa.array(held.sum(axis=1)[row])],
-                names=["v", "c", "n", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(posted[keep]), pa.array(c[row]), pa.array(n[row]), pa.array(weight[row])],
+                                             names=["v", "c", "n", "w"])
     return run
 
 
-def colliding(left: dict, right: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(left, right) places of the pairs of different components that agree in
-    MATCHES coordinates or more. ``left`` members are outside the list's main
+def cells(cell: np.ndarray, is_left: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(left, right) places of the pairs of each cell, ``PAIRS`` at a time at
+    least; rows of a cell are consecutive, its left ones first."""
+    edge = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]])) if len(cell) else np.zeros(1, np.int64)
+    lefts = np.add.reduceat(is_left.astype(np.int64), edge[:-1]) if len(cell) else np.empty(0, np.int64)
+    rights = np.diff(edge) - lefts
+    size = lefts * rights
+    upto = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
+        n = size[at:to]
+        group = np.repeat(np.arange(at, to), n)
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        yield edge[group] + k // rights[group], edge[group] + lefts[group] + k % rights[group]
+        at = to
+
+
+def colliding(rows: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the pairs (i left, j right) that are of different components,
+    can be similar and agree in MATCHES coordinates or more, with the
+    coordinates that are equal. Left members are outside the cell's main
     component; a pair of two such is looked at from its smaller class."""
-    fits = 5 * np.minimum(left["n"][:, None], right["n"][None]) >= 4 * np.maximum(left["n"][:, None], right["n"][None])
-    fits &= left["comp"][:, None] != right["comp"][None]
-    fits &= right["main"][None] | (left["c"][:, None] < right["c"][None])
-    i, j = np.nonzero(fits)
+    n, c, comp = rows["n"], rows["c"], rows["comp"]
+    fits = (comp[i] != comp[j]) & (rows["main"][j] | (c[i] < c[j]))
+    fits &= 5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])
+    if "cluster" in rows:
+        fits &= rows["cluster"][i] != rows["cluster"][j]
+    i, j = i[fits], j[fits]
     count = np.zeros(len(i), np.int16)
     for at in range(0, COORDINATES, STEP):
         part = slice(at, at + STEP)
-        count += (left["sig"][i, part] == right["sig"][j, part]).sum(axis=1, dtype=np.int16)
+        count += (rows["sig"][i, part] == rows["sig"][j, part]).sum(axis=1, dtype=np.int16)
         alive = count + (COORDINATES - at - STEP) >= MATCHES
         i, j, count = i[alive], j[alive], count[alive]
-    return i, j
+    return i, j, rows["sig"][i] == rows["sig"][j]
 
 
 _PAIRS = "a long, b long"
 
 
-def _cell(table: pa.Table) -> pa.Table:
-    sides = {}
-    for name, flag in (("left", True), ("right", False)):
-        t = table.filter(pa.array(table.column("is_left").to_numpy(zero_copy_only=False) == flag))
-        sides[name] = {c: t.column(c).to_numpy(zero_copy_only=False) for c in ("c", "n", "comp", "main")} | {
-            "sig": _matrix(t.column("sig"))}
-    i, j = colliding(sides["left"], sides["right"])
-    a, b = sides["left"]["c"][i], sides["right"]["c"][j]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _rows(table: pa.Table, *columns: str) -> tuple[np.ndarray, np.ndarray, dict, np.ndarray]:
+    """(cell number, is left, columns, order) of rows sorted by cell, left first."""
+    key = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+    is_left = table.column("is_left").to_numpy(zero_copy_only=False)
+    order = np.lexsort((~is_left, *key))
+    key = key[:, order]
+    cell = np.cumsum(np.concatenate([[0], (key[:, 1:] != key[:, :-1]).any(axis=0)])) if len(order) else np.empty(0, np.int64)
+    rows = {c: table.column(c).to_numpy(zero_copy_only=False)[order] for c in ("c", "n", "comp", "main", *columns)}
+    rows["sig"] = _matrix(table.column("sig"))[order]
+    return cell, is_left[order], rows, order
+
+
+def _list_cells(order: Order):
+    """Pairs of the cells of lists; each in the first list that it shares."""
+    def run(table: pa.Table) -> pa.Table:
+        cell, is_left, rows, at = _rows(table, "cluster")
+        key = table.column("key").to_numpy()[at]
+        out = [np.empty((2, 0), np.int64)]
+        for i, j in cells(cell, is_left):
+            i, j, same = colliding(rows, i, j)
+            if not len(i):
+                continue
+            v = values(rows["sig"][i])
+            rank = np.where(same, order.rank(v)[0], np.iinfo(np.int64).max)
+            least = rank.min(axis=1, keepdims=True)
+            first = np.where(rank == least, v, np.iinfo(np.int64).max).min(axis=1) == key[i]
+            a, b = rows["c"][i[first]], rows["c"][j[first]]
+            out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        a, b = np.concatenate(out, axis=1)
+        return pa.table({"a": a, "b": b})
+    return run
+
+
+def joining(i: np.ndarray, j: np.ndarray, sets: list[np.ndarray], comp: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links among the pairs (i, j) that join components; ``sets`` hold places
+    in one universe. A left member is compared with all of its partners at once."""
+    comp, n = comp.copy(), np.array(list(map(len, sets)))
+    held = np.zeros(max((int(s.max()) + 1 for s in sets if len(s)), default=0), bool)
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    edge = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1], [True]])) if len(i) else np.zeros(1, np.int64)
+    for lo, hi in zip(edge[:-1], edge[1:]):
+        x, y = int(i[lo]), j[lo:hi]
+        y = y[comp[y] != comp[x]]
+        if not len(y):
+            continue
+        held[sets[x]] = True
+        start = np.cumsum(n[y]) - n[y]
+        inter = np.add.reduceat(held[np.concatenate([sets[k] for k in y])], start, dtype=np.int64)
+        held[sets[x]] = False
+        y = y[100 * inter >= 80 * (n[x] + n[y] - inter)]
+        for k in y[np.unique(comp[y], return_index=True)[1]]:
+            yield x, int(k)
+            comp[comp == comp[k]] = comp[x]
+
+
+def _cluster_cells(table: pa.Table) -> pa.Table:
+    """Links that join components, of the cells of clusters."""
+    cell, is_left, rows, at = _rows(table)
+    raw = table.column("text").combine_chunks().take(pa.array(at)).cast(pa.binary()).to_pylist()
+    out: list[tuple[int, int]] = []
+    for i, j in cells(cell, is_left):
+        i, j, _ = colliding(rows, i, j)
+        if len(i):
+            need = np.unique(np.concatenate([i, j]))
+            row, h = shingles([raw[k].lower() for k in need])
+            place = np.unique(h, return_inverse=True)[1]
+            bound = np.searchsorted(row, np.arange(len(need) + 1))
+            sets = [place[bound[k]:bound[k + 1]] for k in range(len(need))]
+            found = joining(np.searchsorted(need, i), np.searchsorted(need, j), sets, rows["comp"][need])
+            out += [(int(rows["c"][need[x]]), int(rows["c"][need[y]])) for x, y in found]
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +302,9 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """The retained pairs(a, b) that link; the text of each class is read once."""
-    wanted = handed_off(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-                        .join(classes.select("class", "rep"), "class"), f"minhash-{name}-wanted")
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """(class, text) of the wanted(class) ones; each document is looked at once."""
+    wanted = handed_off(wanted.distinct().join(classes.select("class", "rep"), "class"), f"minhash-{name}-wanted")
     hold = filter_of(wanted, "rep")
 
     def some(batches):
@@ -215,7 +312,12 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str)
             yield batch.filter(pa.array(hold.value.holds(batch.column("rep").to_numpy())))
 
     read = docs if hold is None else docs.mapInArrow(T.tidied(some), "rep long, text string")
-    texts = handed_off(read.join(wanted, "rep").dropDuplicates(["class"]).select("class", "text"), f"minhash-{name}-texts")
+    return handed_off(read.join(wanted, "rep").dropDuplicates(["class"]).select("class", "text"), f"minhash-{name}-texts")
+
+
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """The retained pairs(a, b) that link."""
+    texts = _texts(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")), name)
     # a pivot's text meets its pairs first, then the pairs go to the members: no key holds many texts
     both = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
@@ -224,50 +326,58 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str)
 
 
 def _retained(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that agree in MATCHES coordinates or more."""
-    x, y = [classes.select(F.col("class").alias(c), F.col("sig").alias(f"s{c}")) for c in "ab"]
+    """The pairs that can be similar and agree in MATCHES coordinates or more."""
+    x, y = [classes.select(F.col("class").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "ab"]
     same = F.size(F.filter(F.zip_with("sa", "sb", lambda s, t: s == t), lambda v: v))
-    return pairs.join(x, "a").join(y, "b").filter(same >= MATCHES).select("a", "b")
-
-
-def _by_pivot(lists: DataFrame, shift: float) -> DataFrame:
-    """(a, b): for each class the pivot that it collides with most, among the
-    pivots of its lists' size bands."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + shift).alias("band")
-    pivot = lists.groupBy("v", band).agg(F.max(F.struct("w", "c", "n", "comp")).alias("p"), F.count(F.lit(1)).alias("k")) \
-        .filter("k > 1").select("v", "band", F.col("p.c").alias("a"), F.col("p.n").alias("m"), F.col("p.comp").alias("other"))
-    return lists.select("v", "c", "n", "comp", band).join(pivot, ["v", "band"]) \
-        .filter("comp <> other and 5 * least(n, m) >= 4 * greatest(n, m)") \
-        .groupBy("c", "a").agg(F.count(F.lit(1)).alias("k")) \
-        .groupBy("c").agg(F.max_by("a", F.struct("k", "a")).alias("a")).select("a", F.col("c").alias("b"))
-
-
-def _several(lists: DataFrame, comp: DataFrame, name: str) -> DataFrame:
-    """The lists whose members are in several components, each member with its
-    component and whether that is the list's main one."""
-    placed = lists.select("v", "c", "n", "w").join(comp, "c", "left").select(
-        "v", "c", "n", "w", F.coalesce("comp", "c").alias("comp"))
-    sizes = placed.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("k"))
-    mixed = sizes.groupBy("v").agg(F.max_by("comp", F.struct("k", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"),
-                                   F.sum("k").alias("k"), F.max("k").alias("in_main")).filter("comps > 1")
-    return handed_off(placed.join(mixed.select("v", "most", "k", (F.col("k") - F.col("in_main")).alias("k_left")), "v")
-                      .withColumn("main", F.col("comp") == F.col("most")).drop("most"), f"minhash-{name}")
-
-
-def _by_blocks(classes: DataFrame, lists: DataFrame) -> DataFrame:
-    """(a, b) of colliding members in different components of one list."""
-    rows = lists.join(classes.select(F.col("class").alias("c"), "sig"), "c").withColumns({
-        "blocks": F.ceil(F.col("k") / BLOCK).cast("int"), "left_blocks": F.ceil(F.col("k_left") / BLOCK).cast("int")})
+    return pairs.join(x, "a").join(y, "b").filter("5 * least(na, nb) >= 4 * greatest(na, nb)").filter(same >= MATCHES) \
+        .select("a", "b")
+
+
+def _clusters(lists: DataFrame) -> DataFrame:
+    """(c, cluster): the pivot that each listed class collides with most."""
+    pivot = lists.groupBy("v").agg(F.max(F.struct("w", "c")).alias("p"), F.count(F.lit(1)).alias("k")) \
+        .filter("k > 1").select("v", F.col("p.c").alias("pivot"))
+    return lists.select("v", "c").join(pivot, "v").groupBy("c", "pivot").agg(F.count(F.lit(1)).alias("k")) \
+        .groupBy("c").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("cluster"))
+
+
+def _in_blocks(rows: DataFrame, comp: DataFrame, name: str) -> DataFrame:
+    """rows(key, c, n) of the keys whose members are in several components,
+    each with its component, and the blocks of its key: left ones of members
+    outside the main component, right ones of all."""
+    placed = rows.join(comp, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("m"))
+    mixed = sizes.groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"),
+                                     F.sum("k").alias("k"), F.sum("m").alias("m"), F.max(F.struct("k", "comp", "m")).alias("main")) \
+        .filter("comps > 1")
+
+    def blocks(k, m):
+        return F.greatest(F.ceil(k / BLOCK), F.ceil(m / BLOCK_SHINGLES)).cast("int")
+
+    mixed = mixed.select("key", "most", blocks(F.col("k"), F.col("m")).alias("blocks"),
+                         blocks(F.col("k") - F.col("main.k"), F.col("m") - F.col("main.m")).alias("left_blocks"))
+    return handed_off(placed.join(mixed, "key").withColumn("main", F.col("comp") == F.col("most")).drop("most"), f"minhash-{name}")
+
+
+def _met(blocks: DataFrame, with_columns: DataFrame, columns: list[str], grouped: int, task) -> DataFrame:
+    """The grid of the blocks' cells, small cells together, through ``task``."""
     own = F.xxhash64("c", F.lit(3))
 
     def upto(c):
         return F.explode(F.sequence(F.lit(0), F.col(c) - 1))
 
+    rows = blocks.join(with_columns, "c")
     left = rows.filter("not main").withColumn("i", F.pmod(own, "left_blocks").cast("int")).withColumn("j", upto("blocks"))
     right = rows.withColumn("j", F.pmod(own, "blocks").cast("int")).withColumn("i", upto("left_blocks"))
-    columns = ["v", "i", "j", "c", "n", "comp", "main", "sig"]
-    cells = left.select(*columns, F.lit(True).alias("is_left")).union(right.select(*columns, F.lit(False).alias("is_left")))
-    return cells.groupBy("v", "i", "j").applyInArrow(_cell, _PAIRS).distinct()
+    columns = ["key", "i", "j", "c", "n", "comp", "main", "sig", *columns]
+    both = left.select(*columns, F.lit(True).alias("is_left")).union(right.select(*columns, F.lit(False).alias("is_left")))
+    group = F.pmod(F.xxhash64("key", "i", "j"), F.lit(grouped))
+    return both.withColumn("cells", group).groupBy("cells").applyInArrow(task, _PAIRS)
+
+
+def _groups(blocks: DataFrame) -> int:
+    facts = blocks.agg(F.sum(F.greatest("blocks", "left_blocks")).alias("k"), F.sum(F.col("n") * F.col("blocks")).alias("m")).first()
+    return max(1, (facts["k"] or 0) // GROUPED, (facts["m"] or 0) // GROUPED_SHINGLES)
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -283,22 +393,26 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     texts = docs.select("rep", "text")
     several = handed_off(classes.select("sig").mapInArrow(T.tidied(_values), "v long, k long").groupBy("v")
                          .agg(F.sum("k").alias("k")).filter("k > 1"), "minhash-values")
-    often = several.filter(F.col("k") >= MIN_FREQUENT).orderBy(F.desc("k"), "v").limit(FREQUENT).toPandas()["v"]
+    often = several.filter(F.col("k") >= MIN_FREQUENT).orderBy(F.desc("k"), "v").limit(FREQUENT).toPandas()
+    order = Order(*[often[c].to_numpy(np.int64)[::-1].copy() for c in ("v", "k")])
     shared = filter_of(several, "v")
     lists = classes.select("class", "n", "sig").mapInArrow(
-        T.tidied(_postings(often.to_numpy(np.int64)[::-1].copy(), shared)), "v long, c long, n long, w long")
+        T.tidied(_postings(order, shared)), "v long, c long, n long, w long")
     if shared is None:
         lists = lists.join(several.select("v"), "v", "left_semi")
     lists = handed_off(lists, "minhash-lists")
-    links: DataFrame | None = None
-    comp, mixed = None, lists.withColumn("comp", F.col("c"))
-    for r in range(ROUNDS):
-        pairs = handed_off(_retained(classes, _by_pivot(mixed, r / 2)), f"minhash-pairs{r}")
-        more = _confirmed(texts, classes, pairs, f"round{r}")
-        links = more if links is None else links.union(more)
-        comp = components(links, f"minhash-round{r}").select(F.col("node").alias("c"), "comp")
-        mixed = _several(lists, comp, f"mixed{r}")
-    rest = handed_off(_by_blocks(classes, mixed), "minhash-rest")
+    clusters = handed_off(_clusters(lists), "minhash-clusters")
+    pairs = handed_off(_retained(classes, clusters.filter("c <> cluster").select(F.col("cluster").alias("a"), F.col("c").alias("b"))),
+                       "minhash-pairs")
+    links = _confirmed(texts, classes, pairs, "pivots")
+    comp = components(links, "minhash-pivots").select(F.col("node").alias("c"), "comp")
+    sizes, sigs = [classes.select(F.col("class").alias("c"), x) for x in ("n", "sig")]
+    blocks = _in_blocks(clusters.join(sizes, "c").withColumnRenamed("cluster", "key"), comp, "cluster-blocks")
+    raw = _texts(texts, classes, blocks.select(F.col("c").alias("class")), "clusters").withColumnRenamed("class", "c")
+    links = links.union(handed_off(_met(blocks, sigs.join(raw, "c"), ["text"], _groups(blocks), _cluster_cells), "minhash-clustered"))
+    comp = components(links, "minhash-clusters").select(F.col("node").alias("c"), "comp")
+    blocks = _in_blocks(lists.select(F.col("v").alias("key"), "c", "n").join(clusters, "c"), comp, "list-blocks")
+    rest = handed_off(_met(blocks, sigs, ["cluster"], _groups(blocks), _list_cells(order)), "minhash-rest")
     links = links.union(_confirmed(texts, classes, rest, "rest"))
     comp = components(links, "minhash").select(F.col("node").alias("class"), "comp")
     named = handed_off(classes.select("class", "least").join(comp, "class", "left")

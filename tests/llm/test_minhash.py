@@ -68,12 +68,16 @@ def edited(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("change", [{}, {"ROUNDS": 0, "BLOCK": 7}, {"MIN_FREQUENT": 2, "FREQUENT": 50, "BLOCK": 16}])
+@pytest.mark.parametrize("change", [{}, {"pivots": 0, "BLOCK": 7, "PAIRS": 9, "GROUPED": 30},
+                                    {"clusters": 0, "BLOCK": 16, "BLOCK_SHINGLES": 500},
+                                    {"MIN_FREQUENT": 2, "FREQUENT": 50, "BLOCK": 16}])
 def test_near_copies(spark, monkeypatch, change):
-    """Whichever way pairs are found: by pivots, by blocks, in any order of values."""
+    """Whichever way pairs are found: by pivots, in clusters, in lists, in any order of values."""
     for k, v in change.items():
-        if k == "ROUNDS" and not v:
-            monkeypatch.setattr(M, "_by_pivot", lambda lists, shift: lists.select("c").limit(0).selectExpr("c as a", "c as b"))
+        if k == "pivots":
+            monkeypatch.setattr(M, "_retained", lambda classes, pairs: pairs.limit(0))
+        elif k == "clusters":
+            monkeypatch.setattr(M, "_clusters", lambda lists: lists.selectExpr("c", "c as cluster").distinct())
         else:
             monkeypatch.setattr(M, k, v)
     check(spark.createDataFrame(edited(3), "doc_id long, text string").repartition(4))
@@ -95,11 +99,43 @@ def test_agreement_follows_similarity():
     assert len(np.unique(x[0])) == M.COORDINATES and ((x[0] == x[1]) == (sig[0] == sig[1])).all()
 
 
+def test_cells_hold_all_pairs(monkeypatch):
+    monkeypatch.setattr(M, "PAIRS", 10)
+    cell = np.repeat([0, 1, 2, 3, 4], [3, 8, 1, 2, 6])
+    left = np.array([k < 2 for n in (3, 8, 1, 2, 6) for k in range(n)])
+    got = [p for i, j in M.cells(cell, left) for p in zip(i.tolist(), j.tolist())]
+    assert sorted(got) == [(i, j) for i in range(20) for j in range(20) if cell[i] == cell[j] and left[i] and not left[j]]
+    assert list(M.cells(np.empty(0, np.int64), np.empty(0, bool))) == []
+
+
 def test_blocks_count_whole_signatures():
     r = np.random.default_rng(2)
-    sig = r.integers(0, 2, (40, M.COORDINATES)).astype(np.int32)
-    side = {"c": np.arange(40), "n": r.integers(8, 14, 40), "comp": np.arange(40) // 3, "main": np.zeros(40, bool), "sig": sig}
-    got = set(zip(*[x.tolist() for x in M.colliding(side, side)]))
-    want = {(i, j) for i in range(40) for j in range(40) if (sig[i] == sig[j]).sum() >= M.MATCHES and i < j and i // 3 != j // 3
-            and 5 * min(side["n"][i], side["n"][j]) >= 4 * max(side["n"][i], side["n"][j])}
-    assert got == want and want
+    n, comp, sig = r.integers(8, 14, 40), np.arange(40) // 3, r.integers(0, 2, (40, M.COORDINATES)).astype(np.int32)
+    rows = {"c": np.arange(40), "n": n, "comp": comp, "main": np.zeros(40, bool), "sig": sig}
+    x, y = map(np.ravel, np.meshgrid(np.arange(40), np.arange(40)))
+    i, j, same = M.colliding(rows, x, y)
+    want = {(a, b) for a in range(40) for b in range(a) if 0 <= a and (sig[a] == sig[b]).sum() >= M.MATCHES
+            and comp[a] != comp[b] and 5 * min(n[a], n[b]) >= 4 * max(n[a], n[b])}
+    assert {(b, a) for a, b in zip(i.tolist(), j.tolist())} == want and want
+    assert (same == (sig[i] == sig[j])).all()
+
+
+def test_links_that_join_components():
+    r = np.random.default_rng(5)
+    sets = [np.unique(np.concatenate([np.arange(30), r.integers(30, 60, r.integers(0, 7))])) for _ in range(30)]
+    i, j = map(np.ravel, np.meshgrid(np.arange(30), np.arange(30)))
+    comp = np.arange(30) // 2
+    links = list(M.joining(i, j, sets, comp))
+
+    def similar(a, b):
+        k = len(np.intersect1d(sets[a], sets[b]))
+        return 100 * k >= 80 * (len(sets[a]) + len(sets[b]) - k)
+
+    def groups(pairs):
+        label = comp.copy()
+        for a, b in pairs:
+            label[label == label[b]] = label[a]
+        return {tuple(np.flatnonzero(label == x)) for x in set(label.tolist())}
+
+    assert all(similar(a, b) for a, b in links) and len(links) < 15
+    assert groups(links) == groups([(a, b) for a in range(30) for b in range(30) if similar(a, b)])
