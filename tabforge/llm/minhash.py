@@ -57,6 +57,8 @@ FREQUENT = 1 << 16
 #: members of a block of the grid and shingles of its members, pairs and coordinates counted at a time
 BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 PAIRS, STEP = 1 << 19, 8
+#: rows of a table that is broadcast
+BROADCAST_ROWS = 1_000_000
 #: rows of small blocks that one task call takes together
 GROUPED, GROUPED_SHINGLES = 20_000, 1 << 21
 
@@ -356,6 +358,9 @@ def _in_blocks(rows: DataFrame, comp: DataFrame, name: str) -> DataFrame:
 
     mixed = mixed.select("key", "most", blocks(F.col("k"), F.col("m")).alias("blocks"),
                          blocks(F.col("k") - F.col("main.k"), F.col("m") - F.col("main.m")).alias("left_blocks"))
+    mixed = handed_off(mixed, f"minhash-{name}-mixed")
+    if mixed.count() <= BROADCAST_ROWS:     # else a shuffle by key, whose skew AQE splits
+        mixed = F.broadcast(mixed)
     return handed_off(placed.join(mixed, "key").withColumn("main", F.col("comp") == F.col("most")).drop("most"), f"minhash-{name}")
 
 
