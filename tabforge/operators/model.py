@@ -5,14 +5,19 @@ Training uses ``pyspark.ml`` ``GBTClassifier`` / ``GBTRegressor`` (distributed
 histogram split finding). The assembled, projected training frame is
 persisted once and every fold / trial reads it; folds are a column
 (``assign_folds``), so a trial's training and validation rows are filters of
-the one cached frame. Early stopping looks at the validation loss of every
-round and keeps the rounds before ``PATIENCE`` ones without a gain.
-
-Model selection: one random-search trial table (drawn once, deterministic)
-is evaluated on every fold; the trial with the best mean validation score is
-refit on all rows (``param_selection="first_fold"`` reproduces the parity
-rule "best trial of fold 0"). Fold fits run concurrently from a driver thread
-pool (``parallelism``) -- each fit is itself a distributed Spark job.
+the one cached frame.
+
+A trial is fitted once. The validation rows of a fold are scanned once for all
+its trials of a batch, which gives every trial's score after every round
+(``ensemble.round_scores``); early stopping (AUC or RMSE, ``PATIENCE`` rounds
+without a gain) keeps the first trees of the fitted model.
+
+Model selection: a search (``sampler``: Parzen estimators or random) proposes
+batches of trials. One ``shared`` study is told a trial's mean score over the
+folds, and the best trial is refit on all rows (``param_selection="first_fold"``
+takes the best trial of fold 0); with ``study="per_fold"`` each fold has a study
+of its own. Fits run concurrently from a driver thread pool (``parallelism``) --
+each fit is itself a distributed Spark job.
 """
 
 from __future__ import annotations
@@ -32,16 +37,18 @@ from pyspark.sql import functions as F
 
 from tabforge.functions.columns import positive_probability, threshold_class
 from tabforge.functions.metrics import auc_frame, metric_value, regression_metrics
+from tabforge.operators.ensemble import PATIENCE, first_trees, kept_rounds, stopped_early
+from tabforge.operators.search import Study, random_trials
 from tabforge.operators.split import assign_folds, with_class_weights
 from tabforge.session import cut_lineage, work_dir
-from tabforge.spec import ModelConfig, draw_trials, parse_space
+from tabforge.spec import ModelConfig, parse_space
 
 DEFAULT_MAX_BINS = 255
-# boosting rounds without a better validation loss before training stops
-PATIENCE = 10
 # trees when the search space names no number (the common default of boosting libraries)
 DEFAULT_TREES = 100
 MAX_DEPTH_LIMIT = 30
+# rows of one task of a fit: the many small jobs of a fit on little data take few tasks
+ROWS_PER_TASK = 50_000
 
 
 # ---------------------------------------------------------------------------
@@ -97,33 +104,14 @@ def make_estimator(problem_type: str, params: dict, label_col: str, features_col
     return est_cls(**kw)
 
 
-def kept_rounds(losses: list[float], patience: int = PATIENCE) -> int:
-    """Trees to keep, from the validation loss after each one: training stops
-    once ``patience`` rounds in a row brought no smaller loss, and the rounds up
-    to the smallest one before that stay (at least one)."""
-    best, at = math.inf, 0
-    for i, loss in enumerate(losses):
-        if loss < best:
-            best, at = loss, i
-        elif i - at >= patience:
-            break
-    return at + 1
-
-
 def fit_early_stopped(train: DataFrame, valid: DataFrame, problem_type: str, params: dict, label_col: str,
                       features_col: str, weight_col: str | None, seed: int, patience: int = PATIENCE):
-    """M3: fit on ``train``, keep the rounds that ``kept_rounds`` allows by the
-    loss on ``valid`` (one scan for all rounds). Boosting is sequential, so the
-    same seed fitted with fewer rounds gives the first trees of the long fit."""
+    """M3: fit on ``train`` once and keep the first trees that early stopping on
+    ``valid`` allows (AUC or RMSE after every round, from one scan)."""
     model = make_estimator(problem_type, params, label_col, features_col, weight_col, seed).fit(train)
-    if valid.isEmpty():
-        return model
-    losses = (model.evaluateEachIteration(valid) if problem_type == "classification"
-              else model.evaluateEachIteration(valid, "squared"))
-    keep = kept_rounds(list(losses), patience)
-    if keep == len(losses):
-        return model
-    return make_estimator(problem_type, {**params, "maxIter": keep}, label_col, features_col, weight_col, seed).fit(train)
+    metric = "rocauc" if problem_type == "classification" else "rmse"
+    keep, _ = stopped_early(valid, [model], problem_type, label_col, metric, features_col, patience)[0]
+    return first_trees(model, keep)
 
 
 # ---------------------------------------------------------------------------
@@ -222,6 +210,12 @@ def _space(cfg: ModelConfig) -> list:
     return parse_space(spaces.get(key, {})) if key else []
 
 
+def _study(cfg: ModelConfig, space: list, n_trials: int, seed: int, sign: float) -> Study:
+    study = random_trials(space, n_trials, seed) if cfg.sampler == "random" else Study(space, seed)
+    study.sign = sign
+    return study
+
+
 def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str = "features",
              id_cols: list[str] | None = None, fold_col: str = "fold",
              lineage_cut: bool = False,
@@ -238,8 +232,8 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
     k, seed = cfg.n_folds, cfg.seed
     sign = cfg.metric_sign
 
-    trials = draw_trials(_space(cfg), max(1, int(cfg.num_hp_searches)), seed)
-    weight_modes = {spark_params(t)[1] for t in trials}
+    space, n_trials = _space(cfg), max(1, int(cfg.num_hp_searches))
+    balanced = any(p.name == "class_weight" for p in space)
     base = df
     if fold_col not in base.columns:
         if cfg.use_custom_splits:
@@ -247,7 +241,7 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
         base = assign_folds(base, k=k, seed=seed,
                             label=label_col if problem == "classification" else None,
                             id_cols=id_cols, fold_col=fold_col)
-    if problem == "classification" and "balanced" in weight_modes:
+    if problem == "classification" and balanced:
         base = with_class_weights(base, label_col, "_w_balanced", "balanced")
     cols = [label_col, features_col, fold_col] + (["_w_balanced"] if "_w_balanced" in base.columns else [])
     data = base.select(*cols)
@@ -265,21 +259,40 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
     try:
         # materialise once: concurrent trials must not each recompute the
         # lineage (preparation, fold ranking) while the cache is still empty
-        data.count()
+        tasks = max(1, -(-data.count() // ROWS_PER_TASK))
         for frame in per_fold.values():
             frame.count()
-        def run(fold: int, ti: int) -> TrialResult:
-            sp, wmode = spark_params(trials[ti])
-            valid = rows_of(fold).where(F.col(fold_col) == fold)
-            model = fit_early_stopped(rows_of(fold).where(F.col(fold_col) != fold), valid, problem, sp, label_col,
-                                      features_col, "_w_balanced" if wmode == "balanced" else None, seed)
-            val = score(model, valid, problem)
-            return TrialResult(fold, ti, trials[ti], evaluate(val, problem, cfg.evaluation_metric, label_col),
-                               int(model.getNumTrees), model)
-
-        jobs = [(f, t) for f in range(k) for t in range(len(trials))]
+
+        def fit(job) -> object:
+            fold, _, params = job
+            sp, wmode = spark_params(params)
+            train = rows_of(fold).where(F.col(fold_col) != fold).coalesce(tasks)
+            est = make_estimator(problem, sp, label_col, features_col, "_w_balanced" if wmode == "balanced" else None, seed)
+            return est.fit(train)
+
+        def judge(batch: list) -> list[TrialResult]:
+            """Trials of one fold: one scan of its validation rows for all."""
+            fold = batch[0][0][0]
+            valid = rows_of(fold).where(F.col(fold_col) == fold).coalesce(tasks)
+            kept = stopped_early(valid, [m for _, m in batch], problem, label_col, cfg.evaluation_metric, features_col)
+            return [TrialResult(fold, number, params, value, keep, first_trees(model, keep))
+                    for ((_, number, params), model), (keep, value) in zip(batch, kept)]
+
+        results: list[TrialResult] = []
+        studies = ({f: _study(cfg, space, n_trials, seed + 1000 * f, sign) for f in range(k)} if cfg.study == "per_fold"
+                   else {None: _study(cfg, space, n_trials, seed, sign)})
+        size = n_trials if cfg.sampler == "random" else max(1, int(cfg.search_batch))
         with ThreadPoolExecutor(max_workers=max(1, cfg.parallelism)) as pool:
-            results = list(pool.map(lambda ft: run(*ft), jobs))
+            for first in range(0, n_trials, size):
+                asked = {s: study.ask(min(size, n_trials - first)) for s, study in studies.items()}
+                todo = [(f, number, params) for f in range(k) for number, params in asked[f if f in asked else None]]
+                fitted = list(zip(todo, pool.map(fit, todo)))
+                found = [r for rs in pool.map(judge, [[x for x in fitted if x[0][0] == f] for f in range(k)]) for r in rs]
+                results += found
+                for s, study in studies.items():
+                    for number, _ in asked[s]:
+                        study.tell(number, statistics.fmean(
+                            r.val_score for r in found if r.trial == number and s in (None, r.fold)))
 
         # per fold: best trial -> fold scores (train / validation, metric of the problem type)
         fold_metric = "rocauc" if problem == "classification" else "rmse"
@@ -296,18 +309,20 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
             fold_scores.append((f, both.get(False, float("nan")), both.get(True, float("nan"))))
 
         if cfg.param_selection == "first_fold":
-            chosen = best_by_fold[0].trial
+            chosen = best_by_fold[0]
+        elif cfg.study == "per_fold":
+            chosen = max(best_by_fold.values(), key=lambda r: rank_score(sign, r.val_score))
         else:
-            means = {t: statistics.fmean(r.val_score for r in results if r.trial == t) for t in range(len(trials))}
-            chosen = max(means, key=lambda t: rank_score(sign, means[t]))
-        best_params = dict(trials[chosen])
+            number = studies[None].best()
+            chosen = next(r for r in results if r.trial == number)
+        best_params = dict(chosen.params)
         if cfg.retrain_with_whole_dataset:
             sp, wmode = spark_params(best_params)
-            n_trees = [r.n_trees for r in results if r.trial == chosen]
+            n_trees = [r.n_trees for r in results if r.trial == chosen.trial and (cfg.study == "shared" or r.fold == chosen.fold)]
             sp["maxIter"] = max(1, int(statistics.median(n_trees)))
             est = make_estimator(problem, sp, label_col, features_col,
                                  "_w_balanced" if wmode == "balanced" else None, seed)
-            final = est.fit(data)
+            final = est.fit(data.coalesce(tasks))
         else:
             better = 1.0 if fold_metric == "rocauc" else -1.0
             pick = max(fold_scores, key=lambda x: rank_score(better, x[2]))
@@ -338,16 +353,17 @@ def fit_single(df: DataFrame, problem_type: str, params: dict, label_col: str,
     # the fit makes several passes (split finding, tree levels, errors): read
     # the projected input once
     cols = [label_col, features_col] + [c for c in (wcol, validation_col) if c]
-    data = src.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = data = src.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        data.count()
+        tasks = max(1, -(-data.count() // ROWS_PER_TASK))
+        data = data.coalesce(tasks)
         if validation_col:
             held = F.coalesce(F.col(validation_col), F.lit(False))
             return fit_early_stopped(data.where(~held), data.where(held), problem_type, sp, label_col, features_col,
                                      wcol, seed)
         return make_estimator(problem_type, sp, label_col, features_col, wcol, seed).fit(data)
     finally:
-        data.unpersist()
+        kept.unpersist()
 
 
 # ---------------------------------------------------------------------------

@@ -168,6 +168,9 @@ class ModelConfig:
     n_folds: int = 5
     seed: int = 42
     param_selection: str = "best_mean"      # or "first_fold" (parity)
+    sampler: str = "tpe"                    # Parzen estimators, or "random" trials
+    study: str = "shared"                   # one study on the folds' mean score, or one "per_fold"
+    search_batch: int = 5                   # trials proposed together
     fit_scope: str = "all"                  # preparation fitted on all rows, or per fold ("fold")
     parallelism: int = 4
     category_encoding: str = "columns"      # one column a category, or one sparse "vector" a feature
@@ -203,6 +206,12 @@ class ModelConfig:
             raise ValueError(f"Unsupported importance method: {self.importance_extraction_method}")
         if self.category_encoding not in ("columns", "vector"):
             raise ValueError(f"category_encoding must be 'columns' or 'vector', got {self.category_encoding}")
+        if self.sampler not in ("tpe", "random"):
+            raise ValueError(f"sampler must be 'tpe' or 'random', got {self.sampler}")
+        if self.study not in ("shared", "per_fold"):
+            raise ValueError(f"study must be 'shared' or 'per_fold', got {self.study}")
+        if int(self.search_batch) < 1:
+            raise ValueError("search_batch must be 1 or more")
         if self.fit_scope not in ("all", "fold"):
             raise ValueError(f"fit_scope must be 'all' or 'fold', got {self.fit_scope}")
         if not 0 < float(self.sample_for_contribution) <= 1:

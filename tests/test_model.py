@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabforge.operators import explain
+from tabforge.operators.ensemble import round_scores
 from tabforge.operators.model import (fit_single, kept_rounds, load_model, rank_score, save_model, score,
                                       spark_params, train_cv)
 from tabforge.spec import ModelConfig
@@ -202,12 +203,14 @@ def test_patience_rule():
 
 
 def test_early_stopped_model_is_the_long_ones_beginning(spark, f4):
+    """The watched metric of a classifier is the AUC (binned), as of the first trees of one fit."""
     mat = f4.withColumn("_v", F.col("rid") % 4 == 0)
     long = fit_single(mat.where(~F.col("_v")), "classification", {"n_estimators": 30, "num_leaves": 4}, "target")
     short = fit_single(mat, "classification", {"n_estimators": 30, "num_leaves": 4}, "target", validation_col="_v")
     losses = long.evaluateEachIteration(mat.where("_v"))
-    assert short.getNumTrees == kept_rounds(list(losses))
+    aucs = [r["rocauc"] for r in round_scores(mat.where("_v"), [long], "classification", "target").orderBy("round").collect()]
     n = short.getNumTrees
+    assert n == kept_rounds(aucs, sign=1.0)
     assert abs(short.evaluateEachIteration(mat.where("_v"))[-1] - losses[n - 1]) < 1e-12
 
 
