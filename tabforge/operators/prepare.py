@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.operators.dictionary import Dictionary, encode, fit_dictionary
 from tabforge.operators.ranking import _accuracy_for, exact_medians_from_sketches, median_sketch_exprs
 from tabforge.sources.readers import to_bool_double, to_category, to_double
 from tabforge.spec import FeatureSpec
@@ -114,8 +115,8 @@ class FeaturePrep:
                  encoding: str = "columns"):
         if indicator not in ("flag", "fill_one"):
             raise ValueError("indicator must be 'flag' or 'fill_one'")
-        if encoding not in ("columns", "vector"):
-            raise ValueError("encoding must be 'columns' or 'vector'")
+        if encoding not in ("columns", "vector", "dictionary"):
+            raise ValueError("encoding must be 'columns', 'vector' or 'dictionary'")
         self.spec = spec
         self.target = target
         self.passthrough = list(passthrough or [])
@@ -123,7 +124,8 @@ class FeaturePrep:
         self.missing_indicators = missing_indicators
         self.scale = scale
         self.max_categories = max_categories
-        # "columns": one 0/1 column a category; "vector": one sparse vector column a feature.
+        # "columns": one 0/1 column a category; "vector": one sparse vector column a feature;
+        # "dictionary": the same vectors by joins with a stored dictionary, for any number of categories.
         # A choice of the caller, never of the data: the size of a vocabulary changes no schema
         self.encoding = encoding
         # 0 -> exact median; > 0 -> percentile_approx with that rank error (one pass)
@@ -191,7 +193,13 @@ class FeaturePrep:
 
         # -- pass 2: category vocabularies, one aggregate ------------------
         cat_stats: list[CategoryStat] = []
-        if categorical:
+        words: Dictionary | None = None
+        if categorical and self.encoding == "dictionary":
+            words = fit_dictionary(df, {f.name: to_category(_q(f.name), dtypes[f.name]) for f in categorical},
+                                   {f.name for f in categorical if f.impute_method == "most_frequent"})
+            cat_stats = [CategoryStat(f.name, f.impute_method, words.fills[f.name], [], words.nulls[f.name], sparse=True)
+                         for f in categorical]
+        elif categorical:
             pairs = F.explode(F.array(*[
                 F.struct(F.lit(f.name).alias("feature"),
                          to_category(_q(f.name), dtypes[f.name]).alias("value"))
@@ -228,7 +236,7 @@ class FeaturePrep:
         return FeaturePrepModel(
             spec=self.spec, target=self.target, passthrough=self.passthrough,
             numeric=num_stats, categorical=cat_stats, boolean=[f.name for f in boolean],
-            indicator=self.indicator, missing_indicators=self.missing_indicators)
+            indicator=self.indicator, missing_indicators=self.missing_indicators, words=words)
 
     def fit_transform(self, df: DataFrame, **kw) -> DataFrame:
         return self.fit(df).transform(df, **kw)
@@ -244,6 +252,7 @@ class FeaturePrepModel:
     boolean: list[str]
     indicator: str = "flag"
     missing_indicators: bool = True
+    words: Dictionary | None = None         # of the "dictionary" encoding
     _names: list[str] = field(default=None, repr=False)
 
     # -- output plan ----------------------------------------------------------
@@ -307,7 +316,8 @@ class FeaturePrepModel:
     @property
     def feature_names(self) -> list[str]:
         """One name per slot of the assembled feature vector (sparse
-        categories expanded to ``<c>_<value>``)."""
+        categories expanded to ``<c>_<value>``, or to ``<c>#<position>`` where
+        the values are in a dictionary: ``vocabulary_frame`` has them)."""
         if self._names is None:
             sparse = {s.name + SPARSE_SUFFIX: s for s in self.categorical if s.sparse}
             names = []
@@ -316,7 +326,11 @@ class FeaturePrepModel:
                 if n not in sparse:
                     names.append(n)
                     continue
-                for v in sparse[n].vocab:
+                st = sparse[n]
+                for v in (range(self.words.width(st.name)) if self.words else st.vocab):
+                    if self.words:
+                        names.append(f"{st.name}#{v}")
+                        continue
                     base = name = f"{sparse[n].name}_{v}"
                     k = 0
                     while name.lower() in taken:
@@ -327,6 +341,13 @@ class FeaturePrepModel:
             self._names = names
         return list(self._names)
 
+    @property
+    def slots(self) -> int:
+        """Places of the assembled feature vector."""
+        if self.words is None:
+            return len(self.feature_names)
+        return len(self.output_columns) - len(self.categorical) + sum(map(self.words.width, self.words.sizes))
+
     def transform(self, df: DataFrame, keep: list[str] | None = None,
                   assemble: bool = False, features_col: str = "features",
                   positional: str | None = None) -> DataFrame:
@@ -348,7 +369,9 @@ class FeaturePrepModel:
         names = [n for n, _ in plan]
         place = {n: f"{prefix}{i}" for i, n in enumerate(names)}
         out = df.select(*[_q(c) for c in keep], *[e.alias(place[n]) for n, e in plan])
-        for st in (x for x in self.categorical if x.sparse):
+        if self.words is not None:
+            out = encode(out, {place[st.name + SPARSE_SUFFIX]: st.name for st in self.categorical}, self.words)
+        for st in (x for x in self.categorical if x.sparse and self.words is None):
             out = _encode_sparse(out, place[st.name + SPARSE_SUFFIX], st.vocab)
         extra = []
         if assemble:
@@ -356,7 +379,7 @@ class FeaturePrepModel:
             out = VectorAssembler(inputCols=[place[n] for n in names], outputCol="__features",
                                   handleInvalid="keep").transform(out)
             # without attributes: 0/1 slots stay numeric, and trees split them by threshold
-            extra = [F.col("__features").alias(features_col, metadata={"ml_attr": {"num_attrs": len(self.feature_names)}})]
+            extra = [F.col("__features").alias(features_col, metadata={"ml_attr": {"num_attrs": self.slots}})]
         return out.select(*[_q(c) for c in keep], *[F.col(place[n]).alias(place[n] if positional else n) for n in names],
                           *extra)
 
@@ -375,7 +398,9 @@ class FeaturePrepModel:
         return df.select(*[_q(c) for c in keep], *exprs)
 
     def vocabulary_frame(self, spark: SparkSession) -> DataFrame:
-        """A8 as a table: ``(feature, pos, category)``; bounded by max_categories."""
+        """A8 as a table: ``(feature, pos, category)``."""
+        if self.words is not None:
+            return self.words.table.select("feature", "pos", "category")
         return spark.createDataFrame(
             [(s.name, i, v) for s in self.categorical for i, v in enumerate(s.vocab)],
             "feature string, pos long, category string")
@@ -392,11 +417,15 @@ class FeaturePrepModel:
                 "passthrough": self.passthrough, "boolean": self.boolean,
                 "indicator": self.indicator, "missing_indicators": self.missing_indicators,
                 "numeric_order": [s.name for s in self.numeric],
-                "categorical_order": [s.name for s in self.categorical]}
+                "categorical_order": [s.name for s in self.categorical], "dictionary": self.words is not None}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
         spark.createDataFrame([tuple(asdict(s).values()) for s in self.numeric],
                               "name string, impute string, fill double, mean double, scale double, "
                               "n_valid long, n_rows long").write.mode("overwrite").parquet(f"{path}/numeric_stats")
+        if self.words is not None:
+            self.words.table.write.mode("overwrite").parquet(f"{path}/dictionary")
+            spark.createDataFrame([(f, n, self.words.rows) for f, n in self.words.sizes.items()], "feature string, size long, n_rows long") \
+                .write.mode("overwrite").parquet(f"{path}/dictionary_sizes")
         spark.createDataFrame([(s.name, s.impute, s.fill, i, v, s.n_null)
                                for s in self.categorical for i, v in enumerate(s.vocab)] or [],
                               "name string, impute string, fill string, pos int, value string, n_null long"
@@ -423,9 +452,15 @@ class FeaturePrepModel:
         # restore the fitted (data column) order
         numeric = [nums[n] for n in meta["numeric_order"]]
         categorical = [cats[n] for n in meta["categorical_order"]]
+        words = None
+        if meta.get("dictionary"):
+            sizes = spark.read.parquet(f"{path}/dictionary_sizes").collect()      # one row a feature
+            words = Dictionary(spark.read.parquet(f"{path}/dictionary"), {r["feature"]: r["size"] for r in sizes},
+                               {c.name: c.n_null for c in categorical}, {c.name: c.fill for c in categorical},
+                               max(r["n_rows"] for r in sizes))
         return FeaturePrepModel(spec=spec, target=meta["target"], passthrough=meta["passthrough"],
                                 numeric=numeric, categorical=categorical, boolean=meta["boolean"],
-                                indicator=meta["indicator"], missing_indicators=meta["missing_indicators"])
+                                indicator=meta["indicator"], missing_indicators=meta["missing_indicators"], words=words)
 
 
 def select_features(df: DataFrame, spec: FeatureSpec, target: str | None,

@@ -366,3 +366,62 @@ def one_hot_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = FeaturePrep(spec, passthrough=["p_partkey"], missing_indicators=False).fit(
         df.where(F.col("p_type") != "PROMO"))
     return model.transform(df)
+
+
+@query("dictionary_vocabulary", """
+SELECT feature, count(*) AS n_categories, min(pos) AS first_pos, max(pos) AS last_pos, CAST(sum(n) AS BIGINT) AS n_rows
+FROM (
+  SELECT feature, category, count(*) AS n, row_number() OVER (PARTITION BY feature ORDER BY category) - 1 AS pos
+  FROM (
+    SELECT 'line' AS feature, concat(l_orderkey, '-', l_linenumber) AS category FROM lineitem
+    UNION ALL
+    SELECT 'supply', CASE WHEN l_linenumber % 3 <> 0 THEN concat(l_partkey, '/', l_suppkey, '/', l_orderkey) ELSE 'unknown' END
+    FROM lineitem) v
+  GROUP BY feature, category) c
+GROUP BY feature
+""")
+def dictionary_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 at any size: dense positions of a category a line and one a supply,
+    a third of the latter null (over 100,000 categories together at sf 0.1)."""
+    _, prep = _line_dictionary(spark, sf_dir)
+    return prep.words.table.groupBy("feature").agg(
+        F.count_distinct("category").alias("n_categories"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"),
+        F.sum("n").alias("n_rows"))
+
+
+def _line_dictionary(spark: SparkSession, sf_dir: str):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"),
+        F.when(F.col("l_linenumber") % 3 != 0, F.concat_ws("/", "l_partkey", "l_suppkey", "l_orderkey")).alias("supply"))
+    spec = FeatureSpec.from_columns({"line": ["category", 1, "unknown", "one-hot", "f"],
+                                     "supply": ["category", 1, "unknown", "one-hot", "f"]})
+    return li, FeaturePrep(spec, passthrough=["l_orderkey", "l_linenumber"], encoding="dictionary").fit(li)
+
+
+@query("dictionary_one_hot", """
+SELECT count(*) AS n_rows, count(DISTINCT concat(l_orderkey, '-', l_linenumber)) AS line_places,
+       count(DISTINCT CASE WHEN l_linenumber % 3 <> 0 THEN concat(l_partkey, '/', l_suppkey, '/', l_orderkey) ELSE 'unknown' END)
+       AS supply_places,
+       CAST(0 AS BIGINT) AS not_one_hot, CAST(0 AS BIGINT) AS wrong_place, count(*) FILTER (WHERE l_linenumber % 3 = 0) AS supply_missing
+FROM lineitem
+""")
+def dictionary_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 at any size: every row's sparse vectors have their one at the place
+    that the dictionary gives the row's value."""
+    from tabforge.operators.dictionary import positions
+    li, prep = _line_dictionary(spark, sf_dir)
+    out = prep.transform(li, keep=["line", "supply"])
+
+    def ones(c):
+        """Places of the ones of a vector column: its printed form has no dense copy."""
+        return F.from_json(F.regexp_extract(F.col(c).cast("string"), r"^\(\d+,(\[[^\]]*\])", 1), "array<long>")
+
+    seen = out.select("line", F.coalesce("supply", F.lit("unknown")).alias("supply"), "supply_missing",
+                      ones("line_onehot").alias("a"), ones("supply_onehot").alias("b"))
+    both = positions(seen, {"line": "line", "supply": "supply"}, prep.words)
+    a, b = F.col("a")[0], F.col("b")[0]
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(a).alias("line_places"), F.count_distinct(b).alias("supply_places"),
+        F.count_if((F.size("a") != 1) | (F.size("b") != 1)).alias("not_one_hot"),
+        F.count_if((a != F.col("line")) | (b != F.col("supply"))).alias("wrong_place"),
+        F.sum("supply_missing").cast("long").alias("supply_missing"))

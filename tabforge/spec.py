@@ -204,8 +204,8 @@ class ModelConfig:
                              f"'{expected}', config says '{self.better_performance}'")
         if self.importance_extraction_method not in ("shap", "treeinterpreter"):
             raise ValueError(f"Unsupported importance method: {self.importance_extraction_method}")
-        if self.category_encoding not in ("columns", "vector"):
-            raise ValueError(f"category_encoding must be 'columns' or 'vector', got {self.category_encoding}")
+        if self.category_encoding not in ("columns", "vector", "dictionary"):
+            raise ValueError(f"category_encoding must be 'columns', 'vector' or 'dictionary', got {self.category_encoding}")
         if self.sampler not in ("tpe", "random"):
             raise ValueError(f"sampler must be 'tpe' or 'random', got {self.sampler}")
         if self.study not in ("shared", "per_fold"):
