@@ -8,15 +8,15 @@ Shared by folds / sampling (K1-K3), median imputation (A2) and ROC AUC (E1).
   offset, and ``row_number`` runs per ``(g, bucket)``. A hot group (one label
   holding most rows) is split over all ``B`` buckets, so no task holds it.
 * ``exact_medians`` -- exact median (mean of the two middle values) by
-  bracketing the middle ranks with ``percentile_approx`` and ranking only
-  the few rows inside the bracket; retried with a wider bracket if the
-  approximation missed.
+  bracketing the middle ranks with ``percentile_approx``, all columns
+  together, and ranking only the few rows inside the brackets.
 * ``broadcast_if_small`` -- broadcast only behind a proven row bound.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,9 @@ ROWS_PER_BUCKET = 2_000_000
 _HEX8 = 4294967296  # 16 ** 8
 # rows a median bracket may hold before it is narrowed further
 MAX_BRACKET_ROWS = 2_000_000
+# cells and accuracy of the quantiles that narrow a bracket, and rounds at most
+GRID, GRID_ACCURACY = 256, 10_000
+MAX_ROUNDS = 60
 
 
 def broadcast_if_small(df: DataFrame, row_bound: int, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -171,125 +174,118 @@ def median_sketch_exprs(col: str, n_rows_hint: int | None = None) -> list[Column
     acc = _accuracy_for(n_rows_hint or 0)
     eps = 4.0 / acc
     probs = [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)]
-    c = F.col(f"`{col}`")
+    c = F.col("`" + col.replace("`", "``") + "`")
     return [F.count(c).alias(f"_med_n__{col}"),
             F.percentile_approx(c, probs, acc).alias(f"_med_q__{col}")]
 
 
-def exact_median_from_sketch(df: DataFrame, col: str, n_valid: int, bracket: list[float] | None,
-                             accuracy: int = 10_000) -> float | None:
-    """Exact median from the pass-1 sketch.
-
-    Small brackets (the usual case): ONE job -- rows up to ``hi`` grouped by
-    value, everything under ``lo`` folded into one null group, a running count
-    over the (bounded) group table locates the two middle ranks; a bracket that
-    missed is widened and retried. Large brackets (huge columns) are first
-    narrowed by sketches of the bracket rows only."""
-    if n_valid == 0 or bracket is None:
-        return None
-    k1 = (n_valid - 1) // 2          # 0-based middle ranks
-    k2 = n_valid // 2
-    lo, hi = float(bracket[0]), float(bracket[1])
-    c = F.col(f"`{col}`")
-    if n_valid * 8.0 / accuracy > MAX_BRACKET_ROWS:
-        lo, hi = _narrow(df, c, n_valid, k1, k2, lo, hi)
-    for _ in range(3):
-        grouped = (df.where(c <= hi).groupBy(F.when(c >= lo, c).alias("v"))
-                   .agg(F.count(F.lit(1)).alias("n")))
-        w = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = grouped.select("v", "n", F.sum("n").over(w).alias("cum"))
-        picks = ranked.where(F.col("v").isNull() | ((F.col("cum") - F.col("n") <= F.lit(k2))
-                                                     & (F.col("cum") > F.lit(k1)))).collect()
-        below = next((r["n"] for r in picks if r["v"] is None), 0)
-
-        def at(k):
-            for r in picks:
-                if r["cum"] - r["n"] <= k < r["cum"]:
-                    return r["v"]
-            return None
-        a, b = at(k1), at(k2)
-        if a is not None and b is not None:
-            return (float(a) + float(b)) / 2.0
-        # the sketch missed a middle rank (its error bound makes this rare):
-        # open the missing side to the data range, then narrow by counting
-        mm = df.agg(F.min(c).alias("a"), F.max(c).alias("b")).collect()[0]
-        if below > k1:
-            lo = float(mm["a"])
-        if (a is None and below <= k1) or (b is None and below <= k2):
-            hi = float(mm["b"])
-        lo, hi = _narrow(df, c, n_valid, k1, k2, lo, hi)
-    raise RuntimeError(f"median bracket for {col} did not converge")
-
-
-def _narrow(df: DataFrame, c: Column, n_valid: int, k1: int, k2: int, lo: float, hi: float):
-    """Shrink a bracket with sketches over the bracket rows until it is small."""
-    row = df.agg(F.count_if(c < lo).alias("below"), F.count_if(c <= hi).alias("upto")).collect()[0]
-    below, upto = int(row["below"]), int(row["upto"])
-    if not (below <= k1 and upto > k2):
-        return lo, hi        # sketch missed: the caller widens
-    for _ in range(8):
-        inside_n = upto - below
-        if inside_n <= MAX_BRACKET_ROWS:
-            break
-        acc = _accuracy_for(inside_n)
-        eps = 4.0 / acc
-        p1 = max(0.0, (k1 - below) / inside_n - eps)
-        p2 = min(1.0, (k2 - below + 1) / inside_n + eps)
-        q = df.where((c >= lo) & (c <= hi)).agg(F.percentile_approx(c, [p1, p2], acc).alias("q")).collect()[0]["q"]
-        nlo, nhi = float(q[0]), float(q[1])
-        row = df.agg(F.count_if(c < nlo).alias("below"), F.count_if(c <= nhi).alias("upto")).collect()[0]
-        nb, nu = int(row["below"]), int(row["upto"])
-        if not (nb <= k1 and nu > k2) or (nu - nb) >= inside_n:
-            break
-        lo, hi, below, upto = nlo, nhi, nb, nu
-    return lo, hi
+@dataclass
+class _Bracket:
+    """Where the two middle values of a column lie."""
+
+    k1: int                     # 0-based ranks of the two middle values
+    k2: int
+    lo: float
+    hi: float
+    inside: float               # values in [lo, hi]; an estimate until they are counted
+    outer: tuple[float, float] = (-math.inf, math.inf)      # counted to hold both ranks
+    settled: bool = False       # counted, and few or few different values inside
+    most: int = 0               # values that a bracket may hold
+
+    @property
+    def wide(self) -> bool:
+        return not self.settled and self.inside > self.most
+
+    def narrow(self, below: int, upto: int, grid: list[float] | None) -> None:
+        """From the counts of values under lo and up to hi, and quantiles inside."""
+        if below > self.k1 or upto <= self.k2:
+            # the sketch missed: look beside the bracket, inside the last sure one
+            self.lo, self.hi = (self.outer[0], self.hi) if below > self.k1 else (self.lo, self.outer[1])
+            if below > self.k1 and upto <= self.k2:
+                self.lo, self.hi = self.outer
+            self.inside = math.inf
+            return
+        self.inside, before, self.outer = upto - below, (self.lo, self.hi), (self.lo, self.hi)
+        if self.inside <= self.most or not grid or self.lo == self.hi:
+            self.settled = True
+            return
+        cells, eps = len(grid) - 1, 4.0 / GRID_ACCURACY
+        first = math.floor(((self.k1 - below) / self.inside - eps) * cells)
+        last = math.ceil(((self.k2 - below + 1) / self.inside + eps) * cells)
+        self.lo, self.hi = max(self.lo, float(grid[max(0, first)])), min(self.hi, float(grid[min(cells, last)]))
+        self.inside *= (last - first) / cells
+        self.settled = (self.lo, self.hi) == before         # few different values: counting them is cheap
 
 
 def exact_medians_from_sketches(df: DataFrame, sketches: dict[str, tuple[int, list[float] | None]],
-                                accuracy: int = 10_000) -> dict[str, float | None]:
-    """Exact medians of several columns from their pass-1 sketches in ONE job
-    (small brackets): every row contributes one ``(column, value-or-below)``
-    pair per column whose bracket top it is under; a window partitioned by
-    column ranks the (bounded) per-value table. Columns whose bracket is large
-    or missed fall back to ``exact_median_from_sketch``."""
+                                accuracy: int = 10_000, bracket_rows: int | None = None) -> dict[str, float | None]:
+    """Exact medians of several columns from their pass-1 sketches.
+
+    Every round is ONE aggregate for all columns whose bracket is still wide: it
+    counts the values under and in the bracket and takes a grid of quantiles
+    inside it, from which the next bracket follows. When all brackets are small,
+    one more job counts the values inside them: every row gives a (column,
+    value-or-below) entry per column whose bracket top it is under, and a window
+    partitioned by column ranks the bounded table of values. A bracket that
+    missed its ranks is opened again. The jobs grow with the logarithm of the
+    rows (a round divides a bracket by about ``GRID`` / 2), not with the columns."""
     out: dict[str, float | None] = {}
-    todo = []
-    for col, (n_valid, bracket) in sketches.items():
-        if n_valid == 0 or bracket is None:
+    open_: dict[str, _Bracket] = {}
+    for col, (n, q) in sketches.items():
+        if n == 0 or q is None:
             out[col] = None
-        elif n_valid * 8.0 / accuracy > MAX_BRACKET_ROWS:
-            out[col] = exact_median_from_sketch(df, col, n_valid, bracket, accuracy)
         else:
-            todo.append((col, n_valid, float(bracket[0]), float(bracket[1])))
-    if not todo:
-        return out
+            open_[col] = _Bracket((n - 1) // 2, n // 2, float(q[0]), float(q[1]), n * 8.0 / accuracy,
+                                  most=MAX_BRACKET_ROWS if bracket_rows is None else bracket_rows)
+    probs = [i / GRID for i in range(GRID + 1)]
+    for _ in range(MAX_ROUNDS):
+        if not open_:
+            return out
+        wide = {i: b for i, (c, b) in enumerate(open_.items()) if b.wide}
+        if wide:
+            names = list(open_)
+            exprs = []
+            for i, b in wide.items():
+                c = F.col("`" + names[i].replace("`", "``") + "`")
+                exprs += [F.count_if(c < b.lo).alias(f"a{i}"), F.count_if(c <= b.hi).alias(f"b{i}"),
+                          F.percentile_approx(F.when((c >= b.lo) & (c <= b.hi), c), probs, GRID_ACCURACY).alias(f"q{i}")]
+            row = df.agg(*exprs).collect()[0]
+            for i, b in wide.items():
+                b.narrow(int(row[f"a{i}"]), int(row[f"b{i}"]), row[f"q{i}"])
+            continue
+        found = _middle_values(df, open_)
+        for col, (a, b) in found.items():
+            bracket = open_[col]
+            if a is not None and b is not None:
+                out[col] = (a + b) / 2.0
+                del open_[col]
+            else:
+                bracket.lo, bracket.hi = bracket.outer
+                bracket.inside, bracket.settled = math.inf, False
+    raise RuntimeError(f"medians of {sorted(open_)} did not settle in {MAX_ROUNDS} rounds")
+
+
+def _middle_values(df: DataFrame, brackets: dict[str, _Bracket]) -> dict[str, tuple[float | None, float | None]]:
+    """The values of both middle ranks of each column, None outside its bracket."""
     pairs = []
-    for i, (col, _, lo, hi) in enumerate(todo):
-        c = F.col(f"`{col}`")
-        pairs.append(F.when(c <= F.lit(hi), F.struct(F.lit(i).alias("i"), F.when(c >= F.lit(lo), c).alias("v"))))
+    for i, (col, b) in enumerate(brackets.items()):
+        c = F.col("`" + col.replace("`", "``") + "`")
+        pairs.append(F.when(c <= F.lit(b.hi), F.struct(F.lit(i).alias("i"), F.when(c >= F.lit(b.lo), c.cast("double")).alias("v"))))
     exploded = df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull()).select("p.i", "p.v")
     grouped = exploded.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     ranked = grouped.select("i", "v", "n", F.sum("n").over(w).alias("cum"))
-    k1s = F.element_at(F.array(*[F.lit((n - 1) // 2) for _, n, _, _ in todo]), F.col("i") + 1)
-    k2s = F.element_at(F.array(*[F.lit(n // 2) for _, n, _, _ in todo]), F.col("i") + 1)
-    picks = ranked.where(F.col("v").isNull() | ((F.col("cum") - F.col("n") <= k2s) & (F.col("cum") > k1s))).collect()
-    for i, (col, n_valid, lo, hi) in enumerate(todo):
-        rows = [r for r in picks if r["i"] == i]
-        k1, k2 = (n_valid - 1) // 2, n_valid // 2
-
-        def at(k):
-            for r in rows:
-                if r["v"] is not None and r["cum"] - r["n"] <= k < r["cum"]:
-                    return float(r["v"])
-            return None
-        a, b = at(k1), at(k2)
-        out[col] = ((a + b) / 2.0 if a is not None and b is not None
-                    else exact_median_from_sketch(df, col, n_valid, [lo, hi], accuracy))
-    return out
-
-
-def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    k1s, k2s = [F.element_at(F.array(*[F.lit(getattr(b, k)).cast("long") for b in brackets.values()]), F.col("i") + 1)
+                for k in ("k1", "k2")]
+    picks = ranked.where(F.col("v").isNotNull() & (F.col("cum") - F.col("n") <= k2s) & (F.col("cum") > k1s)).collect()
+
+    def at(i: int, k: int) -> float | None:
+        return next((float(r["v"]) for r in picks if r["i"] == i and r["cum"] - r["n"] <= k < r["cum"]), None)
+
+    return {col: (at(i, b.k1), at(i, b.k2)) for i, (col, b) in enumerate(brackets.items())}
+
+
+def exact_medians(df: DataFrame, cols: list[str], bracket_rows: int | None = None) -> dict[str, float | None]:
     """Exact median of each column (nulls ignored); None for an all-null column."""
     if not cols:
         return {}
@@ -298,4 +294,4 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
         exprs += median_sketch_exprs(c, None)
     row = df.agg(*exprs).collect()[0]
     return exact_medians_from_sketches(
-        df, {c: (int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"]) for c in cols}, _accuracy_for(0))
+        df, {c: (int(row[f"_med_n__{c}"]), row[f"_med_q__{c}"]) for c in cols}, _accuracy_for(0), bracket_rows)

@@ -425,3 +425,20 @@ def dictionary_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if((F.size("a") != 1) | (F.size("b") != 1)).alias("not_one_hot"),
         F.count_if((a != F.col("line")) | (b != F.col("supply"))).alias("wrong_place"),
         F.sum("supply_missing").cast("long").alias("supply_missing"))
+
+
+# Fixed: columns whose medians are taken together, each null on its own rows.
+MEDIAN_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey")
+
+
+@query("medians_together", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {r6(f'median(CAST({c} AS DOUBLE))')} AS median FROM lineitem WHERE l_linenumber % {i + 2} <> 0"
+    for i, c in enumerate(MEDIAN_COLUMNS)))
+def medians_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: exact medians of six columns by brackets of at most 500 values,
+    narrowed together by one aggregate a round."""
+    from tabforge.operators.ranking import exact_medians
+    li = table(spark, sf_dir, "lineitem").select(
+        *[F.when(F.col("l_linenumber") % (i + 2) != 0, F.col(c).cast("double")).alias(c) for i, c in enumerate(MEDIAN_COLUMNS)])
+    found = exact_medians(li, list(MEDIAN_COLUMNS), bracket_rows=500)
+    return rounded(spark.createDataFrame(list(found.items()), "feature string, median double"))

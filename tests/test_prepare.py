@@ -1,6 +1,7 @@
 """Feature preparation (reference processor tests + properties)."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -210,3 +211,37 @@ def test_empty_table(spark, f3):
     assert model.transform(empty).count() == 0
     out = model.transform(f3).collect()                 # a fitted-on-nothing model still transforms
     assert len(out) == 5 and all(v is not None for r in out for v in r)
+
+
+def test_jobs_of_medians_do_not_grow_with_the_columns(spark):
+    """Brackets narrowed to 20 values: the same jobs for one column and for nine."""
+    from tabforge.operators.ranking import exact_medians
+    r = np.random.default_rng(4)
+    x = r.normal(size=(20_000, 9)) ** 3
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"c{i}" for i in range(9)])).repartition(4).cache()
+    df.count()
+
+    def run(cols, group):
+        spark.sparkContext.setJobGroup(group, group)
+        got = exact_medians(df, cols, bracket_rows=20)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert got == {c: float(np.median(x[:, int(c[1:])])) for c in cols}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    one, nine = run(["c0"], "median-one"), run([f"c{i}" for i in range(9)], "median-nine")
+    assert nine <= one + 2
+
+
+def test_medians_with_ties_gaps_and_missed_brackets(spark, monkeypatch):
+    from tabforge.operators import ranking
+    columns = {"same": [7.0] * 4001, "two": [1.0] * 2000 + [2.0] * 2000, "gap": [0.0] * 1999 + [1e300] * 2000,
+               "wide": [(-1.0) ** i * 2.0 ** (i % 900) for i in range(4000)], "none": [], "one": [3.5]}
+    rows = [tuple(v[i] if i < len(v) else None for v in columns.values()) for i in range(4001)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).repartition(3)
+    want = {c: float(np.median(v)) if v else None for c, v in columns.items()}
+    for most in (1, 50, 10_000):
+        assert ranking.exact_medians(df, list(columns), bracket_rows=most) == want
+    # a sketch that is wrong everywhere: brackets are opened again
+    wrong = {c: (len(v), [1e9, 2e9] if v else None) for c, v in columns.items()}
+    for most in (1, 50, 10_000):
+        assert ranking.exact_medians_from_sketches(df, wrong, bracket_rows=most) == want
