@@ -217,9 +217,9 @@ class _Bracket:
         self.settled = (self.lo, self.hi) == before         # few different values: counting them is cheap
 
 
-def exact_medians_from_sketches(df: DataFrame, sketches: dict[str, tuple[int, list[float] | None]],
-                                accuracy: int = 10_000, bracket_rows: int | None = None) -> dict[str, float | None]:
-    """Exact medians of several columns from their pass-1 sketches.
+def order_statistics(df: DataFrame, columns: dict[str, Column], brackets: dict[str, _Bracket]) -> dict[str, list]:
+    """For every bracket's column, (value, rank of its first row, rows) of the
+    values at the ranks k1 and k2 of its non-null values in ascending order.
 
     Every round is ONE aggregate for all columns whose bracket is still wide: it
     counts the values under and in the bracket and takes a grid of quantiles
@@ -229,14 +229,8 @@ def exact_medians_from_sketches(df: DataFrame, sketches: dict[str, tuple[int, li
     partitioned by column ranks the bounded table of values. A bracket that
     missed its ranks is opened again. The jobs grow with the logarithm of the
     rows (a round divides a bracket by about ``GRID`` / 2), not with the columns."""
-    out: dict[str, float | None] = {}
-    open_: dict[str, _Bracket] = {}
-    for col, (n, q) in sketches.items():
-        if n == 0 or q is None:
-            out[col] = None
-        else:
-            open_[col] = _Bracket((n - 1) // 2, n // 2, float(q[0]), float(q[1]), n * 8.0 / accuracy,
-                                  most=MAX_BRACKET_ROWS if bracket_rows is None else bracket_rows)
+    out: dict[str, list] = {}
+    open_ = dict(brackets)
     probs = [i / GRID for i in range(GRID + 1)]
     for _ in range(MAX_ROUNDS):
         if not open_:
@@ -246,30 +240,29 @@ def exact_medians_from_sketches(df: DataFrame, sketches: dict[str, tuple[int, li
             names = list(open_)
             exprs = []
             for i, b in wide.items():
-                c = F.col("`" + names[i].replace("`", "``") + "`")
+                c = columns[names[i]]
                 exprs += [F.count_if(c < b.lo).alias(f"a{i}"), F.count_if(c <= b.hi).alias(f"b{i}"),
                           F.percentile_approx(F.when((c >= b.lo) & (c <= b.hi), c), probs, GRID_ACCURACY).alias(f"q{i}")]
             row = df.agg(*exprs).collect()[0]
             for i, b in wide.items():
                 b.narrow(int(row[f"a{i}"]), int(row[f"b{i}"]), row[f"q{i}"])
             continue
-        found = _middle_values(df, open_)
-        for col, (a, b) in found.items():
-            bracket = open_[col]
-            if a is not None and b is not None:
-                out[col] = (a + b) / 2.0
-                del open_[col]
+        for name, found in _at_ranks(df, columns, open_).items():
+            bracket = open_[name]
+            if None not in found:
+                out[name] = found
+                del open_[name]
             else:
                 bracket.lo, bracket.hi = bracket.outer
                 bracket.inside, bracket.settled = math.inf, False
-    raise RuntimeError(f"medians of {sorted(open_)} did not settle in {MAX_ROUNDS} rounds")
+    raise RuntimeError(f"ranks of {sorted(open_)} did not settle in {MAX_ROUNDS} rounds")
 
 
-def _middle_values(df: DataFrame, brackets: dict[str, _Bracket]) -> dict[str, tuple[float | None, float | None]]:
-    """The values of both middle ranks of each column, None outside its bracket."""
+def _at_ranks(df: DataFrame, columns: dict[str, Column], brackets: dict[str, _Bracket]) -> dict[str, list]:
+    """(value, rank of its first row, rows) at both ranks of each bracket, None outside it."""
     pairs = []
-    for i, (col, b) in enumerate(brackets.items()):
-        c = F.col("`" + col.replace("`", "``") + "`")
+    for i, (name, b) in enumerate(brackets.items()):
+        c = columns[name]
         pairs.append(F.when(c <= F.lit(b.hi), F.struct(F.lit(i).alias("i"), F.when(c >= F.lit(b.lo), c.cast("double")).alias("v"))))
     exploded = df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull()).select("p.i", "p.v")
     grouped = exploded.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
@@ -279,10 +272,23 @@ def _middle_values(df: DataFrame, brackets: dict[str, _Bracket]) -> dict[str, tu
                 for k in ("k1", "k2")]
     picks = ranked.where(F.col("v").isNotNull() & (F.col("cum") - F.col("n") <= k2s) & (F.col("cum") > k1s)).collect()
 
-    def at(i: int, k: int) -> float | None:
-        return next((float(r["v"]) for r in picks if r["i"] == i and r["cum"] - r["n"] <= k < r["cum"]), None)
+    def at(i: int, k: int):
+        return next(((float(r["v"]), r["cum"] - r["n"], r["n"]) for r in picks
+                     if r["i"] == i and r["cum"] - r["n"] <= k < r["cum"]), None)
+
+    return {name: [at(i, b.k1), at(i, b.k2)] for i, (name, b) in enumerate(brackets.items())}
 
-    return {col: (at(i, b.k1), at(i, b.k2)) for i, (col, b) in enumerate(brackets.items())}
+
+def exact_medians_from_sketches(df: DataFrame, sketches: dict[str, tuple[int, list[float] | None]],
+                                accuracy: int = 10_000, bracket_rows: int | None = None) -> dict[str, float | None]:
+    """Exact medians of several columns from their pass-1 sketches, all
+    columns together."""
+    most = MAX_BRACKET_ROWS if bracket_rows is None else bracket_rows
+    brackets = {col: _Bracket((n - 1) // 2, n // 2, float(q[0]), float(q[1]), n * 8.0 / accuracy, most=most)
+                for col, (n, q) in sketches.items() if n and q is not None}
+    columns = {col: F.col("`" + col.replace("`", "``") + "`") for col in brackets}
+    found = order_statistics(df, columns, brackets)
+    return {col: (found[col][0][0] + found[col][1][0]) / 2.0 if col in found else None for col in sketches}
 
 
 def exact_medians(df: DataFrame, cols: list[str], bracket_rows: int | None = None) -> dict[str, float | None]:

@@ -180,7 +180,7 @@ def _train(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig, s
         folded = assign_folds(rows, k=model_cfg.n_folds, seed=model_cfg.seed,
                               label=target if problem == "classification" else None,
                               id_cols=[key], ids_unique=False, row_cols=typed.columns, fold_col=FOLD,
-                              exact=model_cfg.exact_folds)
+                              exact=model_cfg.exact_folds, dealt="ranges")
     if model_cfg.fit_scope == "fold":
         folded = stage.table(folded, "folded")
     fold_frames = None

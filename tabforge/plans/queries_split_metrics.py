@@ -36,6 +36,19 @@ def stratified_kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NULL_STATUS = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END"
 
 
+@query("stratified_kfold_ranges", f"""
+SELECT o_orderkey, o_orderstatus,
+       CAST(((row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(concat(o_orderkey, ':42')), o_orderkey) - 1) * 5)
+            // count(*) OVER (PARTITION BY o_orderstatus) AS INTEGER) AS fold
+FROM (SELECT o_orderkey, {_NULL_STATUS} AS o_orderstatus FROM orders) t
+""")
+def stratified_kfold_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 without moving rows: 5 stratified folds as ranges of the order by
+    md5(id:42), a seventh of the labels null."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_NULL_STATUS).alias("o_orderstatus"))
+    return assign_folds(o, k=5, seed=42, label="o_orderstatus", id_cols=["o_orderkey"], dealt="ranges")
+
+
 @query("stratified_kfold_null_label", f"""
 SELECT o_orderkey, o_orderstatus,
        CAST({_FOLD_SQL.format(part="o_orderstatus")} AS INTEGER) AS fold

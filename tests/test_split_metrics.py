@@ -140,3 +140,49 @@ def test_folds_keep_rows_without_a_label(spark):
     df = spark.createDataFrame([(i, None if i % 10 == 0 else float(i % 2)) for i in range(100)], "id long, y double")
     out = assign_folds(df, k=5, label="y", id_cols=["id"]).groupBy("y", "fold").count().collect()
     assert sum(r["count"] for r in out) == 100 and {r["count"] for r in out if r["y"] is None} == {2}
+
+
+def _sizes(df, k, by="c"):
+    rows = df.groupBy(by, "fold").count().collect()
+    out = {}
+    for r in rows:
+        out.setdefault(r[by], [0] * k)[r["fold"]] = r["count"]
+    return out
+
+
+@pytest.mark.parametrize("bracket_rows", [3, 2_000_000])
+def test_folds_by_cuts_are_ranges_of_the_shuffled_order(spark, bracket_rows):
+    import hashlib
+    from tabforge.operators.split import folds_by_cuts
+    rows = [(i, ["a", "b", None, "rare"][0 if i % 3 else 1 + (i // 3) % 2] if i > 4 else "rare", float(i)) for i in range(997)]
+    df = spark.createDataFrame(rows, "id long, c string, x double").repartition(5).cache()
+    out = folds_by_cuts(df, 5, 42, "c", ["id"], bracket_rows=bracket_rows)
+    got = {r["id"]: r["fold"] for r in out.collect()}
+    want = {}
+    for c in ("a", "b", None, "rare"):
+        order = sorted((hashlib.md5(f"{i}:42".encode()).hexdigest(), i) for i, x, _ in rows if x == c)
+        want |= {i: place * 5 // len(order) for place, (_, i) in enumerate(order)}
+    assert got == want and out.columns == ["id", "c", "x", "fold"]
+    assert all(max(s) - min(s) <= 1 for s in _sizes(out, 5).values())
+
+
+def test_folds_by_cuts_move_no_rows(spark):
+    from tabforge.operators.split import assign_folds
+    df = spark.range(5000).selectExpr("id", "id % 3 as c", "id * 0.5 as feature").cache()
+    out = assign_folds(df, 5, 1, "c", ["id"], dealt="ranges")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    assert all(max(s) - min(s) <= 1 for s in _sizes(out, 5).values())
+
+
+def test_folds_by_cuts_of_equal_rows_and_many_classes(spark):
+    from tabforge.operators.split import assign_folds, folds_by_cuts
+    same = spark.createDataFrame([(1, "a")] * 203 + [(i, "b") for i in range(40)] + [(7, "c")], "id long, c string").repartition(4).cache()
+    for ids in (["id"], None):
+        out = folds_by_cuts(same, 4, 3, "c", ids, ids_unique=False)
+        assert out.count() == 244 and all(max(s) - min(s) <= 1 for s in _sizes(out, 4).values())
+    many = spark.range(600).selectExpr("id", "id % 300 as c").cache()
+    assert folds_by_cuts(many, 2, 1, "c", ["id"]) is None
+    assert all(s == [1, 1] for s in _sizes(assign_folds(many, 2, 1, "c", ["id"], dealt="ranges"), 2).values())
+    empty = spark.createDataFrame([], "id long, c string")
+    assert folds_by_cuts(empty, 3, 1, "c", ["id"]).count() == 0 and folds_by_cuts(empty, 3, 1, None, ["id"]).count() == 0
