@@ -9,9 +9,10 @@
 * X1 native importance = number of splits per feature: a ``groupBy`` over the
   node table.
 * X2 path contributions: on each split, the change of the node value is
-  credited to the split feature (bias = root values). The model's ``leafCol``
-  gives every row's leaf per tree; the leaves are joined with the model-sized
-  table of leaf contributions and summed per row.
+  credited to the split feature (bias = root values). The node table is walked
+  level by level into a sparse (tree, leaf, feature, value) table; the model's
+  ``leafCol`` gives every row's leaf per tree, and the joined entries are summed
+  per row.
 * X3 SHAP values have no Spark equivalent: ``mapInPandas`` over Arrow batches,
   the forest shipped once per task in the closure. No shuffle: the rows keep
   their partitioning.
@@ -36,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -259,18 +260,18 @@ def attribution(df: DataFrame, model, features_col: str = "features", keep: list
     ``method``: ``"path"`` (X2, leafCol joined with the leaf table) or ``"shap"`` (X3)."""
     from pyspark.ml.functions import vector_to_array
     spark = df.sparkSession
-    forest = forest or load_forest(spark, model, model_path)
     keep = list(keep or [])
+    if method == "path":
+        return path_contributions(df, model, features_col, keep, model_path)
+    if method != "shap":
+        raise ValueError(f"unknown attribution method: {method}")
+    forest = forest or load_forest(spark, model, model_path)
     src = df.select(*[F.col(f"`{c}`") for c in keep], vector_to_array(F.col(features_col)).alias("x"))
     key_fields = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(key_fields + [
         T.StructField("x", T.ArrayType(T.DoubleType())),
         T.StructField("bias", T.DoubleType()),
         T.StructField("contributions", T.ArrayType(T.DoubleType()))])
-    if method in ("path", "path_join"):
-        return path_contributions(df, model, forest, features_col, keep)
-    if method != "shap":
-        raise ValueError(f"unknown attribution method: {method}")
     prepared, D = prepare_shap(forest)
     bias = shap_base_value(forest)
     nf = forest.n_features
@@ -296,40 +297,68 @@ def attribution(df: DataFrame, model, features_col: str = "features", keep: list
     return src.mapInPandas(run, schema)
 
 
-def leaf_contribution_table(spark: SparkSession, forest: Forest) -> DataFrame:
-    """``(tree, leaf, c)``: for every leaf, the weighted per-feature sum of the
-    node-value changes along its path. Leaves are numbered left to right
-    (the order of Spark's ``leafCol``). Bounded by the forest size."""
-    rows = []
-    for t, (w, left, right, feat, val) in enumerate(zip(forest.weights, forest.left, forest.right,
-                                                        forest.feature, forest.value)):
-        counter = 0
-        stack = [(0, np.zeros(forest.n_features))]
-        while stack:
-            node, acc = stack.pop()
-            if left[node] < 0:
-                rows.append((t, counter, [float(v) for v in acc]))
-                counter += 1
-                continue
-            for child in (right[node], left[node]):        # left child is popped first
-                nxt = acc.copy()
-                nxt[feat[node]] += w * (val[child] - val[node])
-                stack.append((child, nxt))
-    return spark.createDataFrame(rows, "tree int, leaf int, c array<double>")
-
+def leaf_contributions(spark: SparkSession, model, model_path: str | None = None) -> tuple[DataFrame, float]:
+    """X2's model side: ``(tree, leaf, feature, value)``, for every leaf the
+    weighted sums of the node-value changes along its path, per feature that is
+    split on there, and the bias (the roots' weighted values).
 
-def path_contributions(df: DataFrame, model, forest: Forest, features_col: str = "features",
-                       keep: list[str] | None = None) -> DataFrame:
+    The node table is walked from the roots level by level, a join a level;
+    leaves are numbered left to right (the order of Spark's ``leafCol``), which
+    is that of their pre-order ids. Nothing of the forest's size is collected."""
+    nodes = forest_table(spark, model, model_path)
+    weights = spark.createDataFrame(list(enumerate(float(w) for w in model.treeWeights)), "tree int, weight double")
+    path = scratch_path(spark, "nodes")
+    nodes.join(F.broadcast(weights), "tree").select(
+        "tree", "id", (F.col("weight") * F.col("value")).alias("value"), "left", "right", "feature").write.parquet(path)
+    nodes = spark.read.parquet(path)
+    bias = float(nodes.filter("id = 0").agg(F.sum("value")).first()[0])
+    child = nodes.select("tree", F.col("id").alias("child"), F.col("value").alias("to"), F.col("left").alias("l"),
+                         F.col("right").alias("r"), F.col("feature").alias("f"))
+    level = nodes.filter("id = 0").withColumn("steps", F.array().cast("array<struct<feature:int,value:double>>"))
+    done = []
+    levels = int(model.getMaxDepth())
+    for depth in range(levels):
+        done.append(level.filter("left < 0").select("tree", "id", "steps"))
+        below = level.filter("left >= 0").select("tree", "feature", "value", "steps", F.explode(F.array("left", "right")).alias("child"))
+        below = below.join(child, ["tree", "child"]).select(
+            "tree", F.col("child").alias("id"), F.col("to").alias("value"), F.col("l").alias("left"), F.col("r").alias("right"),
+            F.col("f").alias("feature"), F.concat("steps", F.array(F.struct(
+                F.col("feature").cast("int").alias("feature"), (F.col("to") - F.col("value")).alias("value")))).alias("steps"))
+        level = below
+        if depth + 1 == levels:
+            break
+        if depth % 8 == 7:      # cut the plan of deep trees
+            path = scratch_path(spark, f"level{depth}")
+            below.write.parquet(path)
+            level = spark.read.schema(below.schema).parquet(path)
+    done.append(level.select("tree", "id", "steps"))
+    leaves = done[0]
+    for more in done[1:]:
+        leaves = leaves.union(more)
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("id"))
+    # feature -1 stands for the leaf itself, so that a tree without a split has a row
+    step = F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("feature"), F.lit(0.0).alias("value"))), F.col("steps")))
+    table = leaves.withColumn("leaf", place - 1).select("tree", "leaf", step.alias("s")).groupBy("tree", "leaf", "s.feature") \
+        .agg(F.sum("s.value").alias("value"))
+    return table, bias
+
+
+def path_contributions(df: DataFrame, model, features_col: str = "features", keep: list[str] | None = None,
+                       model_path: str | None = None) -> DataFrame:
     """X2 as a Spark composition: the model's ``leafCol`` gives each row's leaf
-    per tree; ``posexplode``, a join with the leaf table (broadcast only while
-    it is under ``BROADCAST_LEAF_BYTES``) and a ``groupBy(row)`` sum the
-    contributions. Only tree 0 of a row carries its columns through the
-    shuffle."""
+    per tree; ``posexplode`` and a join with the sparse leaf table (broadcast only
+    while it is under ``BROADCAST_LEAF_BYTES``) give (row, feature, value), which
+    are summed per row and feature and put together per row. The plan does not
+    grow with the features. One entry of a row carries its columns along."""
     from pyspark.ml.functions import vector_to_array
+    spark = df.sparkSession
     keep = list(keep or [])
-    nf = forest.n_features
-    leaves = leaf_contribution_table(df.sparkSession, forest)
-    if sum(int((left < 0).sum()) for left in forest.left) * 8 * nf <= BROADCAST_LEAF_BYTES:
+    leaves, bias = leaf_contributions(spark, model, model_path)
+    path = scratch_path(spark, "leaf-contributions")
+    leaves.groupBy("tree", "leaf").agg(F.collect_list(F.struct("feature", "value")).alias("c"), F.count(F.lit(1)).alias("n")) \
+        .write.parquet(path)
+    leaves = spark.read.parquet(path)
+    if 16 * (leaves.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_LEAF_BYTES:
         leaves = F.broadcast(leaves)
     m = model.copy()
     m.setLeafCol("_leaves").setPredictionCol("_p")
@@ -337,13 +366,18 @@ def path_contributions(df: DataFrame, model, forest: Forest, features_col: str =
         m.setProbabilityCol("_pr").setRawPredictionCol("_r")
     scored = m.transform(df).select(
         F.monotonically_increasing_id().alias("_row"), vector_to_array("_leaves").alias("_lv"),
-        F.struct(*[F.col(f"`{c}`") for c in keep], vector_to_array(F.col(features_col)).alias("x")).alias("_of"))
+        F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in keep], vector_to_array(F.col(features_col)).alias("x")).alias("_of"))
     one = scored.select("_row", "_of", F.posexplode("_lv").alias("tree", "leaf"))
     one = one.select("_row", "tree", F.col("leaf").cast("int").alias("leaf"), F.when(F.col("tree") == 0, F.col("_of")).alias("_of"))
-    agg = one.join(leaves, ["tree", "leaf"]).groupBy("_row").agg(
-        F.first("_of", ignorenulls=True).alias("_of"), *[F.sum(F.col("c").getItem(i)).alias(f"_c{i}") for i in range(nf)])
-    return agg.select(*[F.col("_of").getField(c).alias(c) for c in keep], F.col("_of.x").alias("x"),
-                      F.lit(forest.bias).alias("bias"), F.array(*[F.col(f"_c{i}") for i in range(nf)]).alias("contributions"))
+    each = one.join(leaves.select("tree", "leaf", "c"), ["tree", "leaf"]).select("_row", "_of", F.explode("c").alias("c")).select(
+        "_row", F.col("c.feature").alias("feature"), F.col("c.value").alias("value"), F.when(F.col("c.feature") == -1, F.col("_of")).alias("_of"))
+    sums = each.groupBy("_row", "feature").agg(F.sum("value").alias("value"), F.first("_of", ignorenulls=True).alias("_of"))
+    rows = sums.groupBy("_row").agg(F.first("_of", ignorenulls=True).alias("_of"),
+                                    F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("_m"))
+    nf = int(model.numFeatures)
+    whole = F.transform(F.sequence(F.lit(0), F.lit(nf - 1)), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0)))
+    return rows.select(*[F.col("_of").getField(c).alias(c) for c in keep], F.col("_of.x").alias("x"),
+                       F.lit(bias).alias("bias"), whole.alias("contributions"))
 
 
 def contributions_wide(contrib: DataFrame, feature_names: list[str], keep: list[str] | None = None) -> DataFrame:

@@ -240,7 +240,7 @@ def train_cv(df: DataFrame, cfg: ModelConfig, label_col: str, features_col: str
             raise ValueError(f"use_custom_splits is set but the data has no '{fold_col}' column")
         base = assign_folds(base, k=k, seed=seed,
                             label=label_col if problem == "classification" else None,
-                            id_cols=id_cols, fold_col=fold_col)
+                            id_cols=id_cols, fold_col=fold_col, dealt="ranges")
     if problem == "classification" and balanced:
         base = with_class_weights(base, label_col, "_w_balanced", "balanced")
     cols = [label_col, features_col, fold_col] + (["_w_balanced"] if "_w_balanced" in base.columns else [])
