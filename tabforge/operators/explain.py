@@ -2,10 +2,9 @@
 
 * The forest is read as a Spark table: the model is written with its own
   ML writer into the shared work directory and its ``data`` parquet (one row
-  per node: tree, id, prediction, cover, children, split) is scanned. The
-  node table is bounded by the model size (trees x 2^depth), so collecting it
-  into a few numpy arrays -- which the driver-resident model already holds --
-  is checked against ``MAX_FOREST_NODES`` first.
+  per node: tree, id, prediction, cover, children, split) is scanned. Where tasks
+  need node arrays (X3), they get them in blocks of trees of at most
+  ``MAX_FOREST_NODES`` nodes; the blocks' sums add up, for a forest of any size.
 * X1 native importance = number of splits per feature: a ``groupBy`` over the
   node table.
 * X2 path contributions: on each split, the change of the node value is
@@ -14,15 +13,17 @@
   ``leafCol`` gives every row's leaf per tree, and the joined entries are summed
   per row.
 * X3 SHAP values have no Spark equivalent: ``mapInPandas`` over Arrow batches,
-  the forest shipped once per task in the closure. No shuffle: the rows keep
-  their partitioning.
+  a block of trees shipped once per task in the closure. No shuffle: the rows
+  keep their partitioning.
   - SHAP (path-dependent TreeSHAP): per tree, every leaf is a product game
     over the distinct features on its path (``p`` = cover fraction, ``z`` =
     the row satisfies that feature's conditions). Its exact Shapley values are
     ``v * (z_i - p_i) * sum_k w(k) * e_k``, with ``e_k`` the coefficients of
     ``prod_{j != i} (p_j + z_j t)``. Paths are padded to one length with
     null players (p = z = 1), so all leaves of a tree and all rows of a batch
-    are processed as arrays.
+    are processed as arrays. The values depend on a row only through its pattern
+    of satisfied features, so for all but deep trees the patterns are computed
+    once and rows look theirs up.
 * X4-X6: mean |contribution|, sign of covariance(feature, contribution) and
   the signed importance, all from one aggregate; ranked by absolute value.
 
@@ -43,7 +44,9 @@ from pyspark.sql import types as T
 
 from tabforge.session import scratch_path
 
-MAX_FOREST_NODES = 5_000_000
+# nodes of a block of trees that goes to the tasks in one piece, and blocks chained in one plan
+MAX_FOREST_NODES = 500_000
+CHAINED_BLOCKS = 4
 # bytes of leaf contributions that a join may broadcast
 BROADCAST_LEAF_BYTES = 64 << 20
 
@@ -98,17 +101,36 @@ class Forest:
         return best
 
 
-def load_forest(spark: SparkSession, model, model_path: str | None = None) -> Forest:
+def tree_blocks(nodes: DataFrame, block_nodes: int) -> list[tuple[int, int]]:
+    """Ranges [first, past) of consecutive trees of at most ``block_nodes``
+    nodes together (one tree at least), from a count per tree."""
+    out: list[list[int]] = []
+    held = 0
+    for r in sorted(nodes.groupBy("tree").count().collect()):
+        if not out or held + r["count"] > block_nodes:
+            out.append([r["tree"], r["tree"]])
+            held = 0
+        out[-1][1] = r["tree"] + 1
+        held += r["count"]
+    return [(a, b) for a, b in out]
+
+
+def load_forest(spark: SparkSession, model, model_path: str | None = None, trees: tuple[int, int] | None = None) -> Forest:
+    """Node arrays of the trees [first, past) (all of them by default): one
+    block, of at most ``MAX_FOREST_NODES`` nodes."""
     nodes = forest_table(spark, model, model_path)
+    first, past = trees or (0, model.getNumTrees)
+    if trees:
+        nodes = nodes.filter((F.col("tree") >= first) & (F.col("tree") < past))
     n = nodes.count()
-    if n > MAX_FOREST_NODES:
-        raise ValueError(f"forest has {n} nodes (> {MAX_FOREST_NODES}); too large to ship to tasks")
+    if n > MAX_FOREST_NODES and past - first > 1:
+        raise ValueError(f"{n} nodes (> {MAX_FOREST_NODES}) in one block of trees: split it with tree_blocks")
     pdf = nodes.toPandas().sort_values(["tree", "id"])
     if (pdf["by_category"] & (pdf["left"] >= 0)).any():
         raise ValueError("the forest splits by category sets; train on features without nominal attributes")
-    weights = np.asarray(model.treeWeights, dtype=float)
+    weights = np.asarray(model.treeWeights, dtype=float)[first:past]
     out = {k: [] for k in ("left", "right", "feature", "threshold", "value", "cover")}
-    for t in range(len(weights)):
+    for t in range(first, past):
         g = pdf[pdf["tree"] == t]
         size = int(g["id"].max()) + 1
         for k in out:
@@ -189,6 +211,8 @@ def prepare_shap(forest: Forest) -> list:
 
 # doubles one SHAP working array may hold (rows x leaves x path slots), ~64 MB
 SHAP_WORK_ELEMS = 8_000_000
+# doubles of one tree's pattern table; larger trees are evaluated row by row
+PATTERN_ELEMS = 1 << 20
 
 
 def shap_np(prepared, D: int, n_features: int, X: np.ndarray) -> np.ndarray:
@@ -198,43 +222,61 @@ def shap_np(prepared, D: int, n_features: int, X: np.ndarray) -> np.ndarray:
     out = np.zeros((R, n_features))
     for tree in prepared:
         L = len(tree[2])
+        table = pattern_table(tree, D) if L * D << D <= min(PATTERN_ELEMS, L * D * max(R, 1)) else None
         step = max(1, SHAP_WORK_ELEMS // max(1, L * (D + 1)))
         for i in range(0, R, step):
-            out[i:i + step] += _shap_tree(tree, D, n_features, X[i:i + step])
+            out[i:i + step] += _shap_tree(tree, D, n_features, X[i:i + step], table)
     return out
 
 
-def _shap_tree(tree, D: int, n_features: int, X: np.ndarray) -> np.ndarray:
-    R = X.shape[0]
-    out = np.zeros((R, n_features))
+def _slot_values(v: np.ndarray, P: np.ndarray, Z: np.ndarray, D: int) -> np.ndarray:
+    """Shapley values (rows, leaves, slots) of the leaves' product games, from
+    which slots are satisfied, Z (rows, leaves, slots)."""
     # Shapley weights for a game of D players: k! (D-1-k)! / D!
     wk = np.array([math.factorial(k) * math.factorial(D - 1 - k) / math.factorial(D) for k in range(D)])
-    for w, val, ids, Fm, LO, HI, P in [tree]:
-        v = w * val[ids]                                   # (L,)
-        xv = X[:, Fm]                                      # (R, L, D)
-        Z = ((xv > LO) & (xv <= HI)).astype(float)         # pads: lo=-inf, hi=inf -> 1
-        # coefficients of prod_j (p_j + z_j t): C[..., k]
-        C = np.zeros((R, len(ids), D + 1))
-        C[..., 0] = 1.0
-        for j in range(D):
-            pj, zj = P[:, j], Z[..., j]
-            nxt = C * pj[None, :, None]
-            nxt[..., 1:] += C[..., :-1] * zj[..., None]
-            C = nxt
-        for i in range(D):
-            pi, zi = P[:, i], Z[..., i]                    # (L,), (R, L)
-            # divide out (p_i + z_i t): z_i = 1 -> synthetic division by (t + p_i); z_i = 0 -> by p_i
-            Q1 = np.zeros((R, len(ids), D))
-            Q1[..., D - 1] = C[..., D]
-            for k in range(D - 1, 0, -1):
-                Q1[..., k - 1] = C[..., k] - pi[None, :] * Q1[..., k]
-            Q0 = C[..., :D] / np.where(pi > 0, pi, 1.0)[None, :, None]
-            Q = np.where(zi[..., None] > 0, Q1, Q0)
-            phi = v[None, :] * (zi - pi[None, :]) * (Q @ wk)   # (R, L)
-            # scatter per feature of slot i
-            onehot = np.zeros((len(ids), n_features))
-            onehot[np.arange(len(ids)), Fm[:, i]] = 1.0
-            out += phi @ onehot
+    # coefficients of prod_j (p_j + z_j t): C[..., k]
+    C = np.zeros((*Z.shape[:2], D + 1))
+    C[..., 0] = 1.0
+    for j in range(D):
+        nxt = C * P[:, j][None, :, None]
+        nxt[..., 1:] += C[..., :-1] * Z[..., j][..., None]
+        C = nxt
+    out = np.empty(Z.shape)
+    for i in range(D):
+        pi, zi = P[:, i], Z[..., i]                    # (L,), (R, L)
+        # divide out (p_i + z_i t): z_i = 1 -> synthetic division by (t + p_i); z_i = 0 -> by p_i
+        Q1 = np.zeros((*Z.shape[:2], D))
+        Q1[..., D - 1] = C[..., D]
+        for k in range(D - 1, 0, -1):
+            Q1[..., k - 1] = C[..., k] - pi[None, :] * Q1[..., k]
+        Q0 = C[..., :D] / np.where(pi > 0, pi, 1.0)[None, :, None]
+        Q = np.where(zi[..., None] > 0, Q1, Q0)
+        out[..., i] = v[None, :] * (zi - pi[None, :]) * (Q @ wk)
+    return out
+
+
+def pattern_table(tree, D: int) -> np.ndarray:
+    """(pattern, leaf, slot): a leaf's values depend on a row only by which of
+    the leaf's slots it satisfies, so all 2^D patterns are computed once."""
+    w, val, ids, _, _, _, P = tree
+    patterns = (np.arange(1 << D)[:, None] >> np.arange(D)[None] & 1).astype(float)
+    return _slot_values(w * val[ids], P, np.repeat(patterns[:, None, :], len(ids), axis=1), D)
+
+
+def _shap_tree(tree, D: int, n_features: int, X: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    w, val, ids, Fm, LO, HI, P = tree
+    xv = X[:, Fm]                                      # (R, L, D)
+    Z = (xv > LO) & (xv <= HI)                         # pads: lo=-inf, hi=inf -> satisfied
+    if table is None:
+        phi = _slot_values(w * val[ids], P, Z.astype(float), D)
+    else:
+        phi = table[(Z << np.arange(D)).sum(axis=2), np.arange(len(ids))[None, :]]
+    out = np.zeros((X.shape[0], n_features))
+    for i in range(D):
+        # scatter per feature of slot i
+        onehot = np.zeros((len(ids), n_features))
+        onehot[np.arange(len(ids)), Fm[:, i]] = 1.0
+        out += phi[..., i] @ onehot
     return out
 
 
@@ -265,36 +307,37 @@ def attribution(df: DataFrame, model, features_col: str = "features", keep: list
         return path_contributions(df, model, features_col, keep, model_path)
     if method != "shap":
         raise ValueError(f"unknown attribution method: {method}")
-    forest = forest or load_forest(spark, model, model_path)
-    src = df.select(*[F.col(f"`{c}`") for c in keep], vector_to_array(F.col(features_col)).alias("x"))
-    key_fields = [f for f in src.schema.fields if f.name in keep]
-    schema = T.StructType(key_fields + [
-        T.StructField("x", T.ArrayType(T.DoubleType())),
-        T.StructField("bias", T.DoubleType()),
-        T.StructField("contributions", T.ArrayType(T.DoubleType()))])
-    prepared, D = prepare_shap(forest)
-    bias = shap_base_value(forest)
-    nf = forest.n_features
+    whole = df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in keep], vector_to_array(F.col(features_col)).alias("x"))
+    if forest is None and model_path is None:
+        model_path = scratch_path(spark, "forest")
+        model.write().overwrite().save(model_path)
+    blocks = [None] if forest else tree_blocks(forest_table(spark, model, model_path), MAX_FOREST_NODES)
+    out = whole.withColumns({"bias": F.lit(0.0), "contributions": F.array_repeat(F.lit(0.0), int(model.numFeatures))})
+    for i, trees in enumerate(blocks):
+        if i and i % CHAINED_BLOCKS == 0:       # a task holds few blocks at a time
+            path = scratch_path(spark, "partial-shap")
+            out.write.parquet(path)
+            out = spark.read.schema(out.schema).parquet(path)
+        out = out.mapInPandas(_adding(forest or load_forest(spark, model, model_path, trees)), out.schema)
+    return out
 
-    def kernel(X):
-        return shap_np(prepared, D, nf, X)
 
-    chunk = 4096
+def _adding(forest: Forest):
+    """Adds a block of trees to the bias and the contributions of rows."""
+    prepared, D = prepare_shap(forest)
+    bias, nf, chunk = shap_base_value(forest), forest.n_features, 4096
 
     def run(batches):
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            X = np.vstack(pdf["x"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, forest.n_features))
-            parts = [kernel(X[i:i + chunk]) for i in range(0, len(X), chunk)]
-            C = np.vstack(parts)
-            out = pdf[keep].copy() if keep else pd.DataFrame(index=pdf.index)
-            out["x"] = pdf["x"]
-            out["bias"] = bias
-            out["contributions"] = list(C)
+            X = np.vstack(pdf["x"].to_numpy()).astype(float)
+            C = np.vstack([shap_np(prepared, D, nf, X[i:i + chunk]) for i in range(0, len(X), chunk)])
+            out = pdf.copy()
+            out["bias"] = pdf["bias"] + bias
+            out["contributions"] = list(np.vstack(pdf["contributions"].to_numpy()) + C)
             yield out
-
-    return src.mapInPandas(run, schema)
+    return run
 
 
 def leaf_contributions(spark: SparkSession, model, model_path: str | None = None) -> tuple[DataFrame, float]:

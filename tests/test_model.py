@@ -242,3 +242,46 @@ def test_start_scoring_stream(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == docs_labeled(spark, sf).count()
     assert out.columns == ["doc_id", "prediction_proba", "prediction_class"]
+
+
+def _by_row(df):
+    return {r["rid"]: (r["bias"], r["contributions"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("nodes, chained", [(1, 4), (40, 1)])
+def test_shap_of_a_forest_in_blocks(trained, f4, monkeypatch, nodes, chained):
+    """A forest far above the limit of one block gives the same values."""
+    whole = _by_row(explain.attribution(f4, trained.model, keep=["rid"], method="shap"))
+    monkeypatch.setattr(explain, "MAX_FOREST_NODES", nodes)
+    monkeypatch.setattr(explain, "CHAINED_BLOCKS", chained)
+    spark = f4.sparkSession
+    blocks = explain.tree_blocks(explain.forest_table(spark, trained.model), nodes)
+    assert len(blocks) > 1 and blocks[0][0] == 0 and blocks[-1][1] == trained.model.getNumTrees
+    assert all(a[1] == b[0] for a, b in zip(blocks, blocks[1:]))
+    parts = _by_row(explain.attribution(f4, trained.model, keep=["rid"], method="shap"))
+    for k, (bias, values) in whole.items():
+        assert abs(parts[k][0] - bias) < 1e-9 and np.allclose(parts[k][1], values, atol=1e-9)
+    with pytest.raises(ValueError, match="split it"):
+        explain.load_forest(spark, trained.model)
+
+
+def test_patterns_give_the_values_of_the_kernel(spark, f4, monkeypatch):
+    model = fit_single(f4, "classification", {"num_leaves": 16, "n_estimators": 5, "min_data_in_leaf": 2}, "target")
+    prepared, D = explain.prepare_shap(explain.load_forest(spark, model))
+    X = np.random.default_rng(1).uniform(-1.2, 1.2, (300, 5))
+    by_pattern = explain.shap_np(prepared, D, 5, X)
+    monkeypatch.setattr(explain, "PATTERN_ELEMS", 0)
+    assert np.allclose(by_pattern, explain.shap_np(prepared, D, 5, X), atol=1e-12)
+
+
+def test_plan_of_path_contributions_does_not_grow_with_features(spark, f4):
+    def size(n):
+        wide = f4.select("rid", "target", *[F.col(FEATS[i % 5]).alias(f"w{i}") for i in range(n)])
+        wide = VectorAssembler(inputCols=[f"w{i}" for i in range(n)], outputCol="features").transform(wide).select("rid", "target", "features").cache()
+        wide.count()
+        model = fit_single(wide, "classification", {"num_leaves": 4, "n_estimators": 3}, "target")
+        out = explain.attribution(wide, model, keep=["rid"], method="path")
+        assert all(len(r["contributions"]) == n for r in out.collect())
+        return out._jdf.queryExecution().analyzed().toString().count("sum(")
+
+    assert size(5) == size(60)
