@@ -5,14 +5,13 @@ aggregate) -> fit preparation (two aggregates) -> project -> Spark ML. The
 typed rows are stored once, with the run's row key, and so are the scored rows;
 all statistics, folds and sinks read these. Every output is a DataFrame writer
 into the run's layout ``<base>/<run_id>/{model, predictions,
-deep_insights_input}``. Predictions are attached to rows inside one projection
+deep_insights_input}``, staged and published together at the end. Predictions are attached to rows inside one projection
 (original columns, generated features by place, the model's output), never by
 position.
 """
 
 from __future__ import annotations
 
-import os
 import warnings
 from dataclasses import dataclass, replace
 
@@ -31,6 +30,7 @@ from tabforge.sources.readers import apply_types, read_source
 from tabforge.session import drop_scratch, scratch_path
 from tabforge.sources.sinks import (OutputLayout, importance_sink, manifest_frame, prediction_table,
                                     scored_original, scored_transformed, write_table)
+from tabforge.sources.storage import Run, exists, parent
 from tabforge.spec import DataConfig, FeatureSpec, ModelConfig
 
 # generated features sit next to the original columns under these names
@@ -47,8 +47,7 @@ class JobResult:
 
 
 def _layout(data_cfg: DataConfig) -> OutputLayout:
-    base = data_cfg.output_base or os.path.dirname(data_cfg.file_path or "") or os.getcwd()
-    return OutputLayout.create(base, data_cfg.run_id)
+    return OutputLayout.create(data_cfg.output_base or parent(data_cfg.file_path), data_cfg.run_id)
 
 
 def _label_kind(spec: FeatureSpec, target: str) -> str | None:
@@ -60,7 +59,7 @@ def load_inputs(spark: SparkSession, data_cfg: DataConfig, model_cfg: ModelConfi
                 spec: FeatureSpec | None = None, training: bool | None = None):
     """S1-S3 + V1-V6: typed DataFrame and the spec; raises if validation fails."""
     training = data_cfg.training if training is None else training
-    spec = spec or FeatureSpec.from_json_file(data_cfg.metadata_file_path)
+    spec = spec or FeatureSpec.from_json_file(data_cfg.metadata_file_path, spark)
     raw = read_source(spark, data_cfg.file_path, data_cfg.input_data_source, data_cfg.csv_multi_line)
     target = model_cfg.target_variable
     report = validate(raw, spec, target, training=training)
@@ -155,11 +154,11 @@ def _attribution_outputs(spark, layout, model, prep, frame, method, key, fmt, sa
 def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
           spec: FeatureSpec | None = None, fmt: str = "csv") -> JobResult:
     """Validate, prepare, cross-validated search, refit, score, attribute, write."""
-    with _Stage(spark) as stage:
-        return _train(spark, stage, model_cfg, data_cfg, spec, fmt)
+    with _Stage(spark) as stage, Run(spark, _layout(data_cfg)) as run:
+        return _train(spark, stage, run, model_cfg, data_cfg, spec, fmt)
 
 
-def _train(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig, spec, fmt: str) -> JobResult:
+def _train(spark, stage: _Stage, run: Run, model_cfg: ModelConfig, data_cfg: DataConfig, spec, fmt: str) -> JobResult:
     typed, spec, report = load_inputs(spark, data_cfg, model_cfg, spec, training=True)
     target, problem = model_cfg.target_variable, model_cfg.problem_type
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
@@ -192,8 +191,7 @@ def _train(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig, s
     frame = prep.transform(folded, keep=[target, FOLD], assemble=True, positional=FEATURE)
     result = train_cv(frame.select(F.col(f"`{target}`"), "features", FOLD), model_cfg, target, fold_col=FOLD,
                       fold_frames=fold_frames)
-    model = result.model
-    layout = _layout(data_cfg)
+    model, layout = result.model, run.layout
     stem = f"{target}_{problem}_{(model_cfg.models or ['gbt'])[0]}"
     save_model(spark, model, layout.model(stem), {"problem_type": problem, "target": target,
                                                   "feature_names": prep.feature_names,
@@ -220,16 +218,15 @@ def _train(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig, s
         held, _, _ = load_inputs(spark, replace(data_cfg, file_path=data_cfg.test_file_path), model_cfg, spec, False)
         features = prep.transform(held, keep=[target], assemble=True, positional=FEATURE)
         results |= _held_metrics(spark, score(model, features, problem), problem, target)
-    write_table(manifest_frame(spark, model_cfg.to_dict(), data_cfg.to_dict(), results),
-                layout.manifest(), "json")
     write_table(result.cv_results_frame(spark), layout.model("cv_results"), fmt)
     write_table(result.fold_scores_frame(spark), layout.model("fold_scores"), fmt)
     write_table(result.fold_importance_frame(spark, prep.feature_names), layout.model("fold_importance"), fmt)
-    write_table(spark.createDataFrame([(layout.run_id, k, float(v)) for k, v in results.items()
+    write_table(spark.createDataFrame([(run.final.run_id, k, float(v)) for k, v in results.items()
                                        if isinstance(v, (int, float))],
                                       "run_id string, metric string, value double"),
                 layout.model("metrics"), fmt)
-    return JobResult(True, layout.root, {"training_results": results, "importance": importance,
+    root = run.publish(manifest_frame(spark, model_cfg.to_dict(), data_cfg.to_dict(), results))
+    return JobResult(True, root, {"training_results": results, "importance": importance,
                                          "warnings": report.warnings})
 
 
@@ -237,8 +234,8 @@ def predict(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
             fmt: str = "csv") -> JobResult:
     """Reload preparation + model, validate against the persisted spec,
     score, write the prediction tables (and attributions if asked)."""
-    with _Stage(spark) as stage:
-        return _predict(spark, stage, model_cfg, data_cfg, fmt)
+    with _Stage(spark) as stage, Run(spark, _layout(data_cfg)) as run:
+        return _predict(spark, stage, run, model_cfg, data_cfg, fmt)
 
 
 def _stored_importance(spark: SparkSession, model_path: str, method: str) -> dict | None:
@@ -251,7 +248,7 @@ def _stored_importance(spark: SparkSession, model_path: str, method: str) -> dic
     return {r["feature"]: r["importance"] for r in rows}
 
 
-def _predict(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig, fmt: str) -> JobResult:
+def _predict(spark, stage: _Stage, run: Run, model_cfg: ModelConfig, data_cfg: DataConfig, fmt: str) -> JobResult:
     if not data_cfg.model_file_path:
         raise ValueError("scoring needs model_file_path in the data configuration")
     if not data_cfg.data_processor_file_path:
@@ -259,8 +256,8 @@ def _predict(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig,
     prep = FeaturePrepModel.load(spark, data_cfg.data_processor_file_path)
     model, meta = load_model(spark, data_cfg.model_file_path)
     spec = prep.spec
-    if data_cfg.metadata_file_path and os.path.exists(data_cfg.metadata_file_path):
-        current = FeatureSpec.from_json_file(data_cfg.metadata_file_path)
+    if data_cfg.metadata_file_path and exists(spark, data_cfg.metadata_file_path):
+        current = FeatureSpec.from_json_file(data_cfg.metadata_file_path, spark)
         if current != spec:
             warnings.warn("metadata file differs from the one the processor was fitted with; "
                           "using the fitted one")
@@ -268,11 +265,11 @@ def _predict(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig,
     target, problem = model_cfg.target_variable, model_cfg.problem_type
     uid = data_cfg.uid_column_name if data_cfg.uid_column_name in typed.columns else None
     known = target if target in typed.columns else None
-    layout = _layout(data_cfg)
+    layout = run.layout
     rows, key = stage.rows(typed, uid)
     scored = stage.scored(prep, model, rows, problem)
-    out_path = data_cfg.predictions_output_path or layout.predictions("predictions")
-    write_table(prediction_table(scored, problem, uid, known, None if uid else ROW), out_path, fmt)
+    out_path = data_cfg.predictions_output_path or run.final.predictions("predictions")
+    write_table(prediction_table(scored, problem, uid, known, None if uid else ROW), run.beside(out_path), fmt)
     write_table(scored_original(scored, typed.columns, problem, known, True),
                 layout.predictions("original_data_with_predictions"), fmt)
     write_table(_transformed(scored, prep, problem, known, True),
@@ -280,14 +277,22 @@ def _predict(spark, stage: _Stage, model_cfg: ModelConfig, data_cfg: DataConfig,
     details = {"output_path": out_path, "num_predictions": scored.count()}
     if data_cfg.calculate_importance:
         method = "path" if model_cfg.importance_extraction_method == "treeinterpreter" else "shap"
-        fresh = _attribution_outputs(spark, layout, model, prep, scored, method, key, fmt,
-                                     float(model_cfg.sample_for_contribution), model_cfg.seed,
-                                     f"{data_cfg.model_file_path.rstrip('/')}/spark_model")
         # the model's own importance, from its training, goes before that of the rows scored now
-        details["importance"] = _stored_importance(spark, data_cfg.model_file_path, method) or fresh
+        stored = _stored_importance(spark, data_cfg.model_file_path, method)
+        if stored is None or data_cfg.row_contributions:
+            fresh = _attribution_outputs(spark, layout, model, prep, scored, method, key, fmt,
+                                         float(model_cfg.sample_for_contribution), model_cfg.seed,
+                                         f"{data_cfg.model_file_path.rstrip('/')}/spark_model")
+        else:
+            fresh = stored
+            name = "treeinterpreter" if method == "path" else "shap"
+            write_table(importance_sink(spark.createDataFrame(list(stored.items()), "feature string, importance double")),
+                        layout.insights(f"{name}_feature_importance"), fmt)
+        details["importance"] = stored or fresh
     if known:
         details["metrics"] = _held_metrics(spark, scored, problem, target)
-    return JobResult(True, layout.root, details)
+    root = run.publish(manifest_frame(spark, model_cfg.to_dict(), data_cfg.to_dict(), details.get("metrics", {})), "prediction_config")
+    return JobResult(True, root, details)
 
 
 def prepare(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,

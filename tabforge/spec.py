@@ -23,6 +23,24 @@ CATEGORY_TRANSFORMS = ("one-hot",)
 _BLANK = {None, "", "nan", "none", "null"}
 
 
+def _json_at(path: str, what: str, spark=None, suffix: str = ""):
+    """The JSON value of a local file, or with a session of a URI."""
+    if spark is not None:
+        from tabforge.sources.storage import read_text
+        try:
+            text = read_text(spark, path) if path.endswith(suffix) else ""
+        except FileNotFoundError as e:
+            raise FileNotFoundError(f"no {what} at {path}") from e
+    else:
+        if not os.path.exists(path):
+            raise FileNotFoundError(f"no {what} at {path}")
+        with open(path) as fh:
+            text = fh.read()
+    if not path.endswith(suffix):
+        raise ValueError(f"{what} must be a {suffix} file, got {path}")
+    return json.loads(text)
+
+
 def _blank(v: Any) -> bool:
     if v is None:
         return True
@@ -91,15 +109,11 @@ class FeatureSpec:
             for r in records))
 
     @staticmethod
-    def from_json_file(path: str) -> "FeatureSpec":
+    def from_json_file(path: str, spark=None) -> "FeatureSpec":
+        """From a local file, or with a session from any URI that Spark reads."""
         if not path:
             raise ValueError("the data configuration names no metadata_file_path")
-        if not os.path.exists(path):
-            raise FileNotFoundError(f"no feature metadata at {path}")
-        if not path.endswith(".json"):
-            raise ValueError(f"feature metadata must be a .json file, got {path}")
-        with open(path) as fh:
-            obj = json.load(fh)
+        obj = _json_at(path, "feature metadata", spark, ".json")
         if isinstance(obj, list):
             return FeatureSpec.from_records(obj)
         return FeatureSpec.from_columns(obj)
@@ -184,11 +198,9 @@ class ModelConfig:
         return cfg
 
     @staticmethod
-    def from_json_file(path: str) -> "ModelConfig":
-        if not os.path.exists(path):
-            raise FileNotFoundError(f"no model configuration at {path}")
-        with open(path) as fh:
-            return ModelConfig.from_dict(json.load(fh))
+    def from_json_file(path: str, spark=None) -> "ModelConfig":
+        """From a local file, or with a session from any URI that Spark reads."""
+        return ModelConfig.from_dict(_json_at(path, "model configuration", spark))
 
     def check(self) -> None:
         if self.problem_type not in ("classification", "regression"):
@@ -236,6 +248,7 @@ class DataConfig:
     uid_column_name: str | None = None
     predictions_output_path: str | None = None
     calculate_importance: bool = False
+    row_contributions: bool = True   # with the importance, write every row's contributions
     output_base: str | None = None
     run_id: str | None = None
     csv_multi_line: bool = False     # cells with line breaks (such files cannot be split)
@@ -246,11 +259,9 @@ class DataConfig:
         return DataConfig(**{k: v for k, v in d.items() if k in DataConfig.__dataclass_fields__})
 
     @staticmethod
-    def from_json_file(path: str) -> "DataConfig":
-        if not os.path.exists(path):
-            raise FileNotFoundError(f"no data configuration at {path}")
-        with open(path) as fh:
-            return DataConfig.from_dict(json.load(fh))
+    def from_json_file(path: str, spark=None) -> "DataConfig":
+        """From a local file, or with a session from any URI that Spark reads."""
+        return DataConfig.from_dict(_json_at(path, "data configuration", spark))
 
     def to_dict(self) -> dict:
         return asdict(self)

@@ -217,3 +217,68 @@ def test_label_that_is_not_a_number_is_an_error(spark, workspace, tmp_path):
     cfg = DataConfig(training=True, metadata_file_path=str(d / "meta.json"), file_path=str(tmp_path / "bad.csv"))
     with pytest.raises(ValueError, match="not numbers"):
         jobs.train(spark, ModelConfig.from_dict(MODEL_CFG), cfg)
+
+
+def _uri_workspace(workspace, base):
+    return {"metadata_file_path": (workspace / "meta.json").as_uri(), "input_data_source": "CSV",
+            "uid_column_name": "order_no", "output_base": base.as_uri()}
+
+
+def test_jobs_by_uri_and_stored_importance(spark, workspace, tmp_path, monkeypatch):
+    """Metadata, configurations, data and outputs named by file: URIs; scoring
+    compares the metadata, and takes the stored importance without an attribution."""
+    from tabforge.sources.storage import committed
+    base = _uri_workspace(workspace, tmp_path)
+    (tmp_path / "model.json").write_text(json.dumps(MODEL_CFG))
+    (tmp_path / "data.json").write_text(json.dumps(dict(base, training=True, run_id="r1", file_path=(workspace / "train.csv").as_uri())))
+    mcfg = ModelConfig.from_json_file((tmp_path / "model.json").as_uri(), spark)
+    res = jobs.train(spark, mcfg, DataConfig.from_json_file((tmp_path / "data.json").as_uri(), spark))
+    assert res.output_dir == f"{tmp_path.as_uri()}/r1" and committed(spark, res.output_dir)
+    assert sorted(p.name for p in (tmp_path / "r1").iterdir()) == ["deep_insights_input", "model", "predictions", "training_config"]
+    changed = json.loads((workspace / "meta.json").read_text())
+    changed = {k: v for k, v in changed.items() if k != list(changed)[-1]}
+    (tmp_path / "meta2.json").write_text(json.dumps(changed))
+    pcfg = DataConfig(**dict(base, metadata_file_path=(tmp_path / "meta2.json").as_uri()), file_path=(workspace / "test.csv").as_uri(),
+                      model_file_path=f"{res.output_dir}/model/repeat_classification_lgbm",
+                      data_processor_file_path=f"{res.output_dir}/deep_insights_input/repeat_classification_lgbm_data_processor",
+                      run_id="r2", calculate_importance=True, row_contributions=False)
+
+    def no_attribution(*a, **k):
+        raise AssertionError("the stored importance serves")
+
+    monkeypatch.setattr(jobs, "_attribution_outputs", no_attribution)
+    with pytest.warns(UserWarning, match="metadata file differs"):
+        out = jobs.predict(spark, mcfg, pcfg)
+    assert out.details["importance"] == pytest.approx(res.details["importance"])
+    assert spark.read.option("header", True).csv(f"{out.output_dir}/deep_insights_input/shap_feature_importance").count() == len(
+        res.details["importance"])
+    assert committed(spark, out.output_dir, "prediction_config")
+    assert spark.read.option("header", True).csv(out.details["output_path"]).count() == 22
+    with pytest.raises(FileNotFoundError):
+        ModelConfig.from_json_file((tmp_path / "none.json").as_uri(), spark)
+
+
+@pytest.mark.parametrize("broken", [1, 4])
+def test_a_failed_run_leaves_nothing(spark, workspace, tmp_path, monkeypatch, broken):
+    """A sink that breaks midway: no output can be read, and an earlier run of
+    the same id stays as it was."""
+    from tabforge.sources.storage import committed
+    old = tmp_path / "run" / "model"
+    old.mkdir(parents=True)
+    (old / "kept").write_text("x")
+    written = []
+
+    def write(df, path, fmt="csv", *a, **k):
+        written.append(path)
+        if len(written) == broken:
+            raise OSError("disk full")
+        return real(df, path, fmt, *a, **k)
+
+    real = jobs.write_table
+    monkeypatch.setattr(jobs, "write_table", write)
+    cfg = DataConfig(training=True, run_id="run", file_path=(workspace / "train.csv").as_uri(), **_uri_workspace(workspace, tmp_path))
+    with pytest.raises(OSError, match="disk full"):
+        jobs.train(spark, ModelConfig.from_dict(MODEL_CFG), cfg)
+    assert len(written) == broken and [p.name for p in old.iterdir()] == ["kept"]
+    assert not committed(spark, f"{tmp_path.as_uri()}/run")
+    assert not list((tmp_path / "_staging").glob("*"))
