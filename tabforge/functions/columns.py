@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, which may hold dots and backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def threshold_class(p: Column | str, threshold: float = 0.5) -> Column:
     """P5: class 1 when the probability is strictly above ``threshold``."""
     p = F.col(p) if isinstance(p, str) else p

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.functions.columns import quoted
 from tabforge.operators.ranking import hash_rank, md5_key
 from tabforge.session import scratch_path
 
@@ -89,8 +90,8 @@ def positions(df: DataFrame, columns: dict[str, str], words: Dictionary) -> Data
         F.col("category").alias("_v"), F.col("pos").alias("_pos"), "n")
     hot = F.broadcast(known.filter(F.col("n") > least).select("_f", "_v", F.col("_pos").alias("_hot")))
     cold = known.filter(F.col("n") <= least).select("_f", "_v", F.lit(0).alias("_s"), F.col("_pos").alias("_cold"))
-    entries = F.array(*[F.struct(F.lit(place[columns[c]]).alias("_f"), F.col(f"`{c}`").alias("_v")) for c in names])
-    whole = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_of"),
+    entries = F.array(*[F.struct(F.lit(place[columns[c]]).alias("_f"), quoted(c).alias("_v")) for c in names])
+    whole = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[quoted(c) for c in rest]).alias("_of"),
                       entries.alias("_es"))
     long = whole.select("_row", "_of", F.posexplode("_es").alias("_i", "_e")) \
         .select("_row", "_i", F.when(F.col("_i") == 0, F.col("_of")).alias("_of"), "_e._f", "_e._v")
@@ -115,9 +116,9 @@ def encode(df: DataFrame, columns: dict[str, str], words: Dictionary) -> DataFra
         size = words.width(f)
         # one more place, dropped again, for values that are not in the dictionary
         nominal = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
-        index = F.coalesce(F.col(f"`{c}`"), F.lit(size)).cast("double").alias("_index", metadata=nominal)
+        index = F.coalesce(quoted(c), F.lit(size)).cast("double").alias("_index", metadata=nominal)
         with_index = out.select("*", index)
         coded = OneHotEncoder(inputCols=["_index"], outputCols=["_vector"], dropLast=True, handleInvalid="error") \
             .fit(with_index).transform(with_index)
-        out = coded.select(*[F.col("_vector").alias(c) if x == c else F.col(f"`{x}`") for x in out.columns])
+        out = coded.select(*[F.col("_vector").alias(c) if x == c else quoted(x) for x in out.columns])
     return out

@@ -24,8 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.functions.columns import quoted
+
 #: bins of the probability of class 1
-AUC_BINS = 1024
+AUC_BINS = 4096
 # boosting rounds without a better validation score before training stops
 PATIENCE = 10
 
@@ -134,7 +136,7 @@ def _statistics(leaves: list[Leaves], problem: str):
                         at = np.clip(np.ceil(prob * AUC_BINS).astype(np.int64) - 1, 0, AUC_BINS - 1)
                         at += AUC_BINS * np.arange(lv.trees)
                         size = AUC_BINS * lv.trees
-                        found = np.zeros((lv.trees, AUC_BINS, 4))
+                        found = np.empty((lv.trees, AUC_BINS, 2))
                         for i, side in enumerate((t == 1.0, t != 1.0)):
                             found[:, :, i] = np.bincount(at[side].reshape(-1), minlength=size).reshape(lv.trees, AUC_BINS)
                     held[k, p] = held[k, p] + found if (k, p) in held else found
@@ -142,7 +144,7 @@ def _statistics(leaves: list[Leaves], problem: str):
             r, b = np.nonzero(found.any(axis=2))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(r), k), pa.int32()), pa.array(np.full(len(r), p), pa.int32()), pa.array(r, pa.int32()),
-                 pa.array(b, pa.int32()), *[pa.array(found[r, b, i]) for i in range(4)]],
+                 pa.array(b, pa.int32()), *[pa.array(found[r, b, i] if i < found.shape[2] else np.zeros(len(r))) for i in range(4)]],
                 names=["model", "part", "round", "bin", "a", "b", "c", "d"])
     return run
 
@@ -155,7 +157,7 @@ def round_scores(df: DataFrame, models: list, problem: str, label_col: str, feat
     ``r2``. Null where a part lacks a class. One scan; what is shuffled is
     models x parts x rounds x bins counts a task."""
     part = F.lit(0) if part is None else part
-    found = with_leaves(df, models, features_col, F.col(f"`{label_col}`"), part).mapInArrow(
+    found = with_leaves(df, models, features_col, quoted(label_col), part).mapInArrow(
         _statistics([leaves_of(m) for m in models], problem),
         "model int, part int, round int, bin int, a double, b double, c double, d double")
     keys = ["model", "part", "round"]

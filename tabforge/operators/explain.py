@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.functions.columns import quoted
 from tabforge.session import scratch_path
 
 # nodes of a block of trees that goes to the tasks in one piece, and blocks chained in one plan
@@ -307,7 +308,7 @@ def attribution(df: DataFrame, model, features_col: str = "features", keep: list
         return path_contributions(df, model, features_col, keep, model_path)
     if method != "shap":
         raise ValueError(f"unknown attribution method: {method}")
-    whole = df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in keep], vector_to_array(F.col(features_col)).alias("x"))
+    whole = df.select(*[quoted(c) for c in keep], vector_to_array(F.col(features_col)).alias("x"))
     if forest is None and model_path is None:
         model_path = scratch_path(spark, "forest")
         model.write().overwrite().save(model_path)
@@ -409,7 +410,7 @@ def path_contributions(df: DataFrame, model, features_col: str = "features", kee
         m.setProbabilityCol("_pr").setRawPredictionCol("_r")
     scored = m.transform(df).select(
         F.monotonically_increasing_id().alias("_row"), vector_to_array("_leaves").alias("_lv"),
-        F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in keep], vector_to_array(F.col(features_col)).alias("x")).alias("_of"))
+        F.struct(*[quoted(c) for c in keep], vector_to_array(F.col(features_col)).alias("x")).alias("_of"))
     one = scored.select("_row", "_of", F.posexplode("_lv").alias("tree", "leaf"))
     one = one.select("_row", "tree", F.col("leaf").cast("int").alias("leaf"), F.when(F.col("tree") == 0, F.col("_of")).alias("_of"))
     each = one.join(leaves.select("tree", "leaf", "c"), ["tree", "leaf"]).select("_row", "_of", F.explode("c").alias("c")).select(
@@ -428,7 +429,7 @@ def contributions_wide(contrib: DataFrame, feature_names: list[str], keep: list[
     keep = list(keep or [])
     taken = {c.lower() for c in [*keep, "bias"]}
     names = [f"{n}__contribution" if n.lower() in taken else n for n in feature_names]
-    return contrib.select(*[F.col(f"`{c}`") for c in keep], "bias",
+    return contrib.select(*[quoted(c) for c in keep], "bias",
                           *[F.col("contributions").getItem(i).alias(n) for i, n in enumerate(names)])
 
 

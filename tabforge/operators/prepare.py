@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.functions.columns import quoted
 from tabforge.operators.dictionary import Dictionary, encode, fit_dictionary
 from tabforge.operators.ranking import _accuracy_for, exact_medians_from_sketches, median_sketch_exprs
 from tabforge.sources.readers import to_bool_double, to_category, to_double
@@ -54,7 +55,7 @@ def _encode_sparse(df: DataFrame, col: str, vocab: list[str]) -> DataFrame:
     # removes exactly that slot, so unseen values encode as all zeros
     encoded = OneHotEncoder(inputCols=[idx], outputCols=[vec], dropLast=True,
                             handleInvalid="error").fit(indexed).transform(indexed)
-    cols = [F.col(vec).alias(col) if c == col else F.col(f"`{c}`") for c in df.columns]
+    cols = [F.col(vec).alias(col) if c == col else quoted(c) for c in df.columns]
     return encoded.select(*cols)
 
 
@@ -80,7 +81,7 @@ class CategoryStat:
 
 
 def _q(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return quoted(name)
 
 
 def imputed_moments(n: int, n_valid: int, mean: float | None, var_pop: float | None,
@@ -469,7 +470,7 @@ def select_features(df: DataFrame, spec: FeatureSpec, target: str | None,
 
     Training requires the target; when scoring, a missing target stays missing."""
     if target and target not in df.columns and training:
-        raise ValueError(f"Target variable '{target}' not found in the data")
+        raise ValueError(f"the target column '{target}' does not exist")
     keep = list(keep or [])
     feats = [f.name for f in spec.used(df.columns, exclude=tuple(c for c in [target, *keep] if c))]
     tgt = [target] if target and target in df.columns else []

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabforge.functions.columns import quoted
+
 # rows one broadcast side may hold (bounded tables only: offsets, forests)
 BROADCAST_ROW_LIMIT = 2_000_000
 # target rows per rank bucket (one window task)
@@ -108,9 +110,9 @@ def hash_rank(df: DataFrame, key: Column, group_cols: list[str] | None = None,
         bound = None                           # unknown: let AQE decide on measured size
     # null-safe: rows without a group value are a group of their own
     keys = [*group_cols, "_rk_b"]
-    side = offsets.select(*[F.col(f"`{c}`").alias(f"_rk_k{i}") for i, c in enumerate(keys)], "_rk_off")
+    side = offsets.select(*[quoted(c).alias(f"_rk_k{i}") for i, c in enumerate(keys)], "_rk_off")
     side = broadcast_if_small(side, bound) if bound is not None else side
-    joined = keyed.join(side, [F.col(f"`{c}`").eqNullSafe(F.col(f"_rk_k{i}")) for i, c in enumerate(keys)]) \
+    joined = keyed.join(side, [quoted(c).eqNullSafe(F.col(f"_rk_k{i}")) for i, c in enumerate(keys)]) \
         .drop(*[f"_rk_k{i}" for i in range(len(keys))])
     order = [F.col("_rk_key")] + [F.col(t) if isinstance(t, str) else t for t in tiebreak]
     w = Window.partitionBy(*group_cols, "_rk_b").orderBy(*order)
@@ -174,7 +176,7 @@ def median_sketch_exprs(col: str, n_rows_hint: int | None = None) -> list[Column
     acc = _accuracy_for(n_rows_hint or 0)
     eps = 4.0 / acc
     probs = [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)]
-    c = F.col("`" + col.replace("`", "``") + "`")
+    c = quoted(col)
     return [F.count(c).alias(f"_med_n__{col}"),
             F.percentile_approx(c, probs, acc).alias(f"_med_q__{col}")]
 
@@ -286,7 +288,7 @@ def exact_medians_from_sketches(df: DataFrame, sketches: dict[str, tuple[int, li
     most = MAX_BRACKET_ROWS if bracket_rows is None else bracket_rows
     brackets = {col: _Bracket((n - 1) // 2, n // 2, float(q[0]), float(q[1]), n * 8.0 / accuracy, most=most)
                 for col, (n, q) in sketches.items() if n and q is not None}
-    columns = {col: F.col("`" + col.replace("`", "``") + "`") for col in brackets}
+    columns = {col: quoted(col) for col in brackets}
     found = order_statistics(df, columns, brackets)
     return {col: (found[col][0][0] + found[col][1][0]) / 2.0 if col in found else None for col in sketches}
 

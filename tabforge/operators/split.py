@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.functions.columns import quoted
 from tabforge.operators.ranking import (MAX_BRACKET_ROWS, _Bracket, hash_rank, hash_sample, md5_key, order_statistics,
                                         with_row_index)
 
@@ -98,7 +99,7 @@ def folds_by_cuts(df: DataFrame, k: int, seed: int, label: str | None, id_cols:
     keys = _key_cols(df, id_cols)
     rest = [] if ids_unique and id_cols else [c for c in (row_cols or _atomic_cols(df)) if c not in keys]
     base = df.withColumn("_fk", _fold_key(md5_key(keys + rest, seed)))
-    group = F.col("`" + label.replace("`", "``") + "`") if label else F.lit(0)
+    group = quoted(label) if label else F.lit(0)
     probs = [min(1.0, max(0.0, j / k + d)) for j in range(1, k) for d in (-4e-4, 4e-4)]
     classes = base.groupBy(group.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_fk", probs, 10_000).alias("q")) \
         .limit(max_classes + 1).collect()

@@ -19,6 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabforge.functions.columns import quoted
 from tabforge.functions.metrics import metrics_long
 from tabforge.operators import explain
 from tabforge.operators.model import load_model, save_model, score, train_cv
@@ -72,7 +73,7 @@ def load_inputs(spark: SparkSession, data_cfg: DataConfig, model_cfg: ModelConfi
 
 def _check_label(df: DataFrame, target: str, problem: str) -> None:
     """The typed label is complete; for classification it is 0/1 with both classes."""
-    y = F.col(f"`{target}`")
+    y = quoted(target)
     r = df.agg(F.count_if(y.isNull()).alias("null"), F.count_if(~y.isin(0.0, 1.0)).alias("bad"),
                F.count_if(y == 1.0).alias("pos"), F.count_if(y == 0.0).alias("neg")).collect()[0]
     if r["null"]:
@@ -120,7 +121,7 @@ class _Stage:
 def _held_metrics(spark: SparkSession, scored: DataFrame, problem: str, target: str) -> dict:
     """Metrics of the rows whose label is known."""
     pred = "prediction_proba" if problem == "classification" else "prediction"
-    label = scored.select(F.col(f"`{target}`").alias("y"), F.col(pred).alias("p")).filter("y is not null")
+    label = scored.select(quoted(target).alias("y"), F.col(pred).alias("p")).filter("y is not null")
     return {r["metric"]: r["value"] for r in metrics_long(spark, label, problem, "y", "p").collect()}
 
 
@@ -137,7 +138,7 @@ def _attribution_outputs(spark, layout, model, prep, frame, method, key, fmt, sa
                          row_cols=[c for c in frame.columns if not c.startswith(FEATURE)])
             if sample < 1 else frame)
     shown = "index" if key == ROW else key
-    rows = rows.select(F.col(f"`{key}`").alias(shown), "features")
+    rows = rows.select(quoted(key).alias(shown), "features")
     name = "treeinterpreter" if method == "path" else "shap"
     contrib = explain.attribution(rows, model, keep=[shown], method=method, model_path=model_path)
     contrib = contrib.persist(StorageLevel.MEMORY_AND_DISK)
@@ -189,7 +190,7 @@ def _train(spark, stage: _Stage, run: Run, model_cfg: ModelConfig, data_cfg: Dat
         fold_frames = {f: preparation().fit(folded.where(F.col(FOLD) != f)).transform(
             folded, keep=[target, FOLD], assemble=True, positional=FEATURE) for f in range(model_cfg.n_folds)}
     frame = prep.transform(folded, keep=[target, FOLD], assemble=True, positional=FEATURE)
-    result = train_cv(frame.select(F.col(f"`{target}`"), "features", FOLD), model_cfg, target, fold_col=FOLD,
+    result = train_cv(frame.select(quoted(target), "features", FOLD), model_cfg, target, fold_col=FOLD,
                       fold_frames=fold_frames)
     model, layout = result.model, run.layout
     stem = f"{target}_{problem}_{(model_cfg.models or ['gbt'])[0]}"

@@ -195,18 +195,18 @@ WITH v AS (SELECT l_orderkey, l_linenumber,
 
 _V_TARGET = ("SELECT 'error' AS severity, 'target' AS \"column\", 'target_nulls' AS \"check\", "
              "count(*) FILTER (WHERE target IS NULL) AS bad_rows, "
-             "'Target variable ''target'' contains ' || CAST(count(*) FILTER (WHERE target IS NULL) AS VARCHAR) "
-             "|| ' null values' AS message FROM v")
+             "'the target column ''target'' is empty in ' || CAST(count(*) FILTER (WHERE target IS NULL) AS VARCHAR) "
+             "|| ' rows' AS message FROM v")
 _V_NUMERIC = ("SELECT 'warning' AS severity, 'qty_txt' AS \"column\", 'not_numeric' AS \"check\", "
               "count(*) FILTER (WHERE qty_txt IS NOT NULL AND try_cast(qty_txt AS DOUBLE) IS NULL) AS bad_rows, "
-              "'Column ''qty_txt'' should be float but has non-numeric values' AS message FROM v")
+              "'''qty_txt'' is declared float, yet some values are no numbers' AS message FROM v")
 _V_BOOL = ("SELECT 'warning' AS severity, 'status_bool' AS \"column\", 'not_boolean' AS \"check\", "
            "count(*) FILTER (WHERE status_bool IS NOT NULL AND lower(trim(status_bool)) NOT IN "
            "('true', '1', '1.0', 'false', '0', '0.0')) AS bad_rows, "
-           "'Column ''status_bool'' should be boolean but has non-boolean values' AS message FROM v "
+           "'''status_bool'' is declared bool, yet some values are neither true nor false' AS message FROM v "
            "UNION ALL SELECT 'warning', 'linenumber_bool', 'not_boolean', "
            "count(*) FILTER (WHERE CAST(linenumber_bool AS DOUBLE) NOT IN (0.0, 1.0)), "
-           "'Column ''linenumber_bool'' should be boolean but has non-boolean values' FROM v")
+           "'''linenumber_bool'' is declared bool, yet some values are neither true nor false' FROM v")
 
 
 def _report_rows(spark: SparkSession, sf_dir: str, checks: tuple[str, ...] | None) -> DataFrame:
@@ -236,7 +236,7 @@ def validate_bool_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("validation_report", _VAL_BASE_SQL + " UNION ALL ".join([
     _V_TARGET, _V_NUMERIC, _V_BOOL,
     "SELECT 'error', 'l_comment', 'missing_feature', count(*), "
-    "'Required feature ''l_comment'' is missing from the data' FROM v"]))
+    "'the data lacks the used feature ''l_comment''' FROM v"]))
 def validation_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V6 (with V1, V5): every failed check in one table; one aggregate job."""
     return _report_rows(spark, sf_dir, None)

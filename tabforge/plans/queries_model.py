@@ -518,3 +518,144 @@ def predict_job_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count_if(p.isNull() | (p < 0) | (p > 1)).alias("bad_probability"),
                  F.count_if(F.col("prediction_class").cast("int") != (p > 0.5).cast("int")).alias("bad_class"))
+
+
+# ---------------------------------------------------------------------------
+# contracts of fits, searches and runs
+# ---------------------------------------------------------------------------
+
+@query("classifier_contract", f"SELECT count(*) AS n_rows, 20 AS n_trees, TRUE AS beats_chance {_DOC_COUNT_SQL}")
+def classifier_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the asked number of trees, better than chance on its rows."""
+    from tabforge.functions.metrics import auc_frame
+    _, _, mat, model, _ = doc_model(spark, sf_dir)
+    scored = score(model, mat, "classification")
+    auc = auc_frame(scored, "quality", "prediction_proba").first()["auc"]
+    return scored.agg(F.count("prediction_proba").alias("n_rows")).select(
+        "n_rows", F.lit(int(model.getNumTrees)).alias("n_trees"), F.lit(auc > 0.6).alias("beats_chance"))
+
+
+@query("regressor_contract", """
+SELECT count(*) AS n_rows, TRUE AS trees_in_range, TRUE AS explains_most FROM lineitem
+""")
+def regressor_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: of a label that the features decide, the model explains most on
+    the rows that early stopping kept out."""
+    from tabforge.functions.metrics import regression_metrics
+    _, mat, model, _ = lineitem_regression(spark, sf_dir)
+    r2 = regression_metrics(score(model, mat.where(F.col("_is_val")), "regression"), "charge", "prediction").first()["r2"]
+    kept = 1 <= model.getNumTrees <= REGRESSOR_PARAMS["n_estimators"]
+    return score(model, mat, "regression").agg(F.count("prediction").alias("n_rows")).select(
+        "n_rows", F.lit(kept).alias("trees_in_range"), F.lit(r2 > 0.8).alias("explains_most"))
+
+
+@query("rounds_contract", f"""
+SELECT count(*) AS n_rows, 20 AS n_rounds, CAST(0 AS BIGINT) AS outside_bound, TRUE AS bound_is_small {_DOC_COUNT_SQL}
+""")
+def rounds_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The binned AUC of every round, from one scan, is within its
+    stated bound of the exact AUC of that many trees."""
+    from tabforge.functions.metrics import auc_frame
+    from tabforge.operators.ensemble import first_trees, round_scores
+    _, _, mat, model, _ = doc_model(spark, sf_dir)
+    mat = mat.select("doc_id", "features", "quality").cache()
+    rounds = round_scores(mat, [model], "classification", "quality").select("round", "rocauc", "bound")
+    parts = [score(first_trees(model, k), mat, "classification").select("quality", "prediction_proba", F.lit(k - 1).alias("round"))
+             for k in (1, 5, 10, int(model.getNumTrees))]
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.union(p)
+    both = rounds.join(auc_frame(scored, "quality", "prediction_proba", by=["round"]), "round", "left")
+    facts = both.agg(F.count(F.lit(1)).cast("int").alias("n_rounds"),
+                     F.count_if(F.abs(F.col("rocauc") - F.col("auc")) > F.col("bound") + 1e-12).alias("outside_bound"),
+                     (F.max_by("bound", "round") < 0.05).alias("bound_is_small"))
+    return mat.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(facts)       # one row each
+
+
+@query("importance_contract", f"""
+SELECT count(*) AS n_rows, TRUE AS splits_add_up, TRUE AS every_feature {_DOC_COUNT_SQL}
+""")
+def importance_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per feature, and the splits of all features are the inner
+    nodes of all trees (leaves less one each)."""
+    _, prep, mat, model, path = doc_model(spark, sf_dir)
+    imp = explain.native_importance(spark, model, prep.feature_names, path)
+    trees = _tree_summary(spark, model, path).agg(F.sum(F.col("leaves") - 1).alias("s")).first()["s"]
+    facts = imp.agg((F.sum("importance") == trees).alias("splits_add_up"),
+                    (F.count_distinct("feature") == len(prep.feature_names)).alias("every_feature"))
+    return mat.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(facts)       # one row each
+
+
+@query("train_job_contract", f"""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS bad_probability, CAST(10 AS BIGINT) AS n_trials, CAST(5 AS BIGINT) AS n_folds,
+       CAST(0 AS BIGINT) AS bad_trials {_DOC_COUNT_SQL}
+""")
+def train_job_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prediction per input row, and a row per trial and fold whose
+    kept trees are at most the asked ones and whose score is a probability."""
+    _, _, _, res = _job_inputs(spark, sf_dir)
+    p = F.col("prediction_proba").cast("double")
+    rows = train_job(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"),
+                                        F.count_if(p.isNull() | (p < 0) | (p > 1)).alias("bad_probability"))
+    trials = spark.read.option("header", True).option("escape", '"').csv(f"{res.output_dir}/model/cv_results")
+    asked = F.get_json_object("params", "$.n_estimators").cast("int")
+    kept, val = F.col("n_trees").cast("int"), F.col("val_score").cast("double")
+    fine = (kept >= 1) & (kept <= asked) & (val >= 0) & (val <= 1)
+    facts = trials.agg(F.count(F.lit(1)).alias("n_trials"), F.count_distinct("fold").alias("n_folds"),
+                       F.count_if(~F.coalesce(fine, F.lit(False))).alias("bad_trials"))
+    return rows.crossJoin(facts)       # one row each
+
+
+@query("run_manifest", f"""
+SELECT 'quality' AS target, 'classification' AS problem_type, 2 AS n_searches, TRUE AS has_score, TRUE AS committed,
+       count(*) AS n_rows {_DOC_COUNT_SQL}
+""")
+def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the published run, and the rows that it vouches for."""
+    from tabforge.sources.storage import committed
+    _, _, _, res = _job_inputs(spark, sf_dir)
+    m = spark.read.json(f"{res.output_dir}/training_config").select(
+        F.get_json_object("modeling_config", "$.target_variable").alias("target"),
+        F.get_json_object("modeling_config", "$.problem_type").alias("problem_type"),
+        F.get_json_object("modeling_config", "$.num_hp_searches").cast("int").alias("n_searches"),
+        F.get_json_object("training_results", "$.cv_mean_val_score").cast("double").between(0, 1).alias("has_score"),
+        F.lit(committed(spark, res.output_dir)).alias("committed"))
+    return m.crossJoin(train_job(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows")))      # one row each
+
+
+@query("target_missing", f"""
+SELECT count(*) AS n_rows, TRUE AS training_fails, TRUE AS names_target, TRUE AS scoring_passes {_DOC_COUNT_SQL}
+""")
+def target_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1: without the target column training is refused, by the target's name;
+    scoring goes on."""
+    from tabforge.operators.validate import validate
+    from tabforge.plans.queries_prepare import DOC_SPEC, docs_labeled
+    rows = docs_labeled(spark, sf_dir).drop("quality")
+    train, test = [validate(rows, DOC_SPEC, "quality", training=t) for t in (True, False)]
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", F.lit(bool(train.errors)).alias("training_fails"), F.lit(any("quality" in e for e in train.errors)).alias("names_target"),
+        F.lit(not test.errors).alias("scoring_passes"))
+
+
+@query("metric_direction", """
+SELECT * FROM (VALUES ('accuracy', 'gt'), ('f1', 'gt'), ('mse', 'lt'), ('r2', 'gt'), ('rmse', 'lt'), ('rocauc', 'gt')) m(metric, better),
+  (SELECT count(*) AS n_rows, TRUE AS ranks_first FROM orders) o
+""")
+def metric_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By every metric's direction, predictions that follow the label rank
+    before those that contradict it on a part of the rows."""
+    from tabforge.operators.model import evaluate, rank_score
+    from tabforge.spec import METRIC_SIGN
+    o = table(spark, sf_dir, "orders").select((F.col("o_orderstatus") == "F").cast("double").alias("y"), "o_orderkey")
+    wrong = F.when(F.col("o_orderkey") % 5 == 0, 1 - F.col("y")).otherwise(F.col("y"))
+    rows = []
+    for metric, sign in METRIC_SIGN.items():
+        if metric == "auc":
+            continue
+        problem = "classification" if metric in ("rocauc", "accuracy", "f1") else "regression"
+        column = "prediction_proba" if problem == "classification" else "prediction"
+        good, bad = [evaluate(o.withColumn(column, 0.1 + 0.8 * p), problem, metric, "y") for p in (F.col("y"), wrong)]
+        rows.append((metric, "gt" if sign > 0 else "lt", rank_score(sign, good) > rank_score(sign, bad)))
+    facts = spark.createDataFrame(rows, "metric string, better string, ranks_first boolean")
+    return facts.crossJoin(o.agg(F.count(F.lit(1)).alias("n_rows")))         # one row on the right

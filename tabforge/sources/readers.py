@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.functions.columns import quoted
 from tabforge.spec import FeatureSpec
 
 # The tokens a CSV reader of the reference's generation treats as
@@ -119,7 +120,7 @@ def apply_types(df: DataFrame, spec: FeatureSpec, target: str | None = None,
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for name in df.columns:
-        c = F.col(f"`{name}`")
+        c = quoted(name)
         field = spec.get(name)
         if name == target:
             if label_kind == "bool" or (field is not None and field.type == "bool"):

@@ -11,6 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabforge.functions.columns import quoted
 from tabforge.operators.ranking import with_row_index
 from tabforge.sources.layout import OutputLayout  # noqa: F401
 
@@ -47,7 +48,7 @@ def prediction_table(scored: DataFrame, problem_type: str, uid: str | None,
     run's other tables. Without it one is made here."""
     cols = []
     if uid and uid in scored.columns:
-        cols.append(F.col(f"`{uid}`"))
+        cols.append(quoted(uid))
     elif index_col:
         cols.append(F.col(index_col).alias("index"))
     else:
@@ -55,15 +56,15 @@ def prediction_table(scored: DataFrame, problem_type: str, uid: str | None,
         cols.append(F.col("__index").alias("index"))
     cols += prediction_columns(scored, problem_type)
     if target and target in scored.columns:
-        cols.append(F.col(f"`{target}`"))
+        cols.append(quoted(target))
     return scored.select(*cols)
 
 
 def scored_original(scored: DataFrame, original_cols: list[str], problem_type: str,
                     target: str | None, target_last: bool = False) -> DataFrame:
     """Original columns, target, predictions (target last in scoring mode)."""
-    base = [F.col(f"`{c}`") for c in original_cols if c != target]
-    tgt = [F.col(f"`{target}`")] if target and target in scored.columns else []
+    base = [quoted(c) for c in original_cols if c != target]
+    tgt = [quoted(target)] if target and target in scored.columns else []
     preds = prediction_columns(scored, problem_type)
     return scored.select(*(base + preds + tgt if target_last else base + tgt + preds))
 
@@ -78,10 +79,10 @@ def scored_transformed(scored: DataFrame, feature_cols: list[str], problem_type:
 
     def plain(c: str):
         is_vector = isinstance(scored.schema[c].dataType, VectorUDT)
-        return F.to_json(vector_to_array(F.col(f"`{c}`"))) if is_vector else F.col(f"`{c}`")
+        return F.to_json(vector_to_array(quoted(c))) if is_vector else quoted(c)
 
     base = [plain(c).alias(n) for c, n in zip(feature_cols, names or feature_cols)]
-    tgt = [F.col(f"`{target}`")] if target and target in scored.columns else []
+    tgt = [quoted(target)] if target and target in scored.columns else []
     preds = prediction_columns(scored, problem_type)
     return scored.select(*(base + preds + tgt if target_last else base + tgt + preds))
 
