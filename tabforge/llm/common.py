@@ -13,15 +13,28 @@ RANK_ROWS = 50_000
 MIN_BUCKETS = 64
 
 
-#: rows of one Arrow batch: whole texts are large rows
+#: rows and bytes of one Arrow batch: whole texts are large rows
 BATCH_ROWS = 2_000
+BATCH_BYTES = 8 << 20
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches to ``BATCH_ROWS``; a smaller setting stays."""
+    """Bound the session's Arrow batches to ``BATCH_ROWS`` and ``BATCH_BYTES``;
+    smaller settings stay."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def under_plain_names(needed: set[str], change, docs: DataFrame) -> DataFrame:
+    """``change(docs)`` with all other columns renamed for its time, so that no
+    column of the caller can clash with one of the operator's; it returns the
+    columns of ``docs``, in their order."""
+    names = docs.columns
+    return change(docs.toDF(*[c if c in needed else f"column{i}" for i, c in enumerate(names)])).toDF(*names)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

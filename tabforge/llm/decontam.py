@@ -12,8 +12,8 @@ The benchmark is read in blocks of ``ITEM_BLOCK`` items; each block is one pass
 over the documents without a shuffle, and passes add to the same spans.
 
 Defined cases: null text or item text has no words; an item whose id is null
-is left out of the report, but its windows are cut out of the texts; repeated rows and repeated items count once each
-where ids are reported; an empty benchmark leaves every document clean; an
+hits like any other, and only the ids reported lack it; repeated rows and
+repeated items count once each where ids are reported; an empty benchmark leaves every document clean; an
 empty table gives no rows.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.llm import text as T
-from tabforge.llm.common import text_batches
+from tabforge.llm.common import under_plain_names, text_batches
 
 WINDOW = 10
 ITEM_BLOCK = 20_000
@@ -249,10 +249,13 @@ def _pass(p: Phrases, cut: bool = False):
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 item_block: int = ITEM_BLOCK, cut: bool = False) -> DataFrame:
-    """``docs`` (with ``cut``: without the words that are hit, also of items without an id) with __n_words, __spans (word intervals, merged within a pass) and __items."""
+    """``docs`` (with ``cut``: without the words that are hit) with __n_words,
+    __spans (word intervals, merged within a pass) and __items. Items without an
+    id are searched like all others; only the list of ids lacks them. Columns of
+    ``docs`` of these names give way (``remove`` keeps them)."""
     text_batches(docs.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string")) \
-        .filter(F.lit(cut) | F.col("item_id").isNotNull()).distinct()
+    docs = docs.drop("__n_words", "__spans", "__items")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string")).distinct()
     block_count = max(1, -(-items.count() // item_block))
     out = docs.select("*", F.lit(0).cast("long").alias("__n_words"), F.array().cast(SPANS).alias("__spans"),
                       F.array().cast("array<string>").alias("__items"))
@@ -280,6 +283,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the words of any benchmark window; clean rows unchanged."""
+    return under_plain_names({"text", "n_chars"}, lambda d: _removed(d, benchmark), docs)
+
+
+def _removed(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hit = F.size("__spans") > 0
     return occurrences(docs, benchmark, cut=True).select(*[F.when(hit, F.length("text")).otherwise(F.col(c)).cast(t).alias(c) if c == "n_chars"
                         else F.col(f"`{c}`") for c, t in docs.dtypes])

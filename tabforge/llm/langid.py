@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.llm import text as T
-from tabforge.llm.common import handed_off
+from tabforge.llm.common import under_plain_names, handed_off
 
 DIMENSIONS = 4096
 GRAMS = (1, 2, 3)
@@ -233,6 +233,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
     """Rows of ``docs`` whose language is known (not ``und``) with at least ``least_score``."""
+    return under_plain_names({"doc_id", "text", "lang"}, lambda d: _accepted(d, least_score), docs)
+
+
+def _accepted(docs: DataFrame, least_score: float) -> DataFrame:
     return predict(docs, fit(docs)).filter(
         (F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") >= least_score)).select(
         *[F.col(f"`{c}`") for c in docs.columns])

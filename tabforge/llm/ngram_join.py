@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.llm import text as T
-from tabforge.llm.common import components, handed_off
+from tabforge.llm.common import under_plain_names, components, handed_off
 
 SIZE = 5
 #: largest set that may be light
@@ -387,6 +387,10 @@ def join(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps one: the row
     with the smallest id (rows without id last); wordless rows all stay."""
+    return under_plain_names({"doc_id", "text"}, _one_of_each, docs)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
     found = handed_off(join(docs).filter("n_shingles > 0").select("doc_id", "text_hash", "comp"), "join-found")
     keep = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
                                      .alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))

@@ -126,7 +126,7 @@ WITH d AS (
 b AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
          coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
+  FROM benchmark),
 iw AS (
   SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (
     SELECT item, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
@@ -137,7 +137,7 @@ dw AS (
 o AS (SELECT rid, i, dw.k, item FROM dw JOIN iw ON dw.k = iw.k AND dw.g = iw.g),
 h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM o) t GROUP BY rid),
 x AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha
-      FROM (SELECT DISTINCT rid, item FROM o) t GROUP BY rid)
+      FROM (SELECT DISTINCT rid, item FROM o WHERE item IS NOT NULL) t GROUP BY rid)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(x.n_items, 0) AS n_items,
        coalesce(x.sha, sha256('')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN h ON h.rid = d.rid LEFT JOIN x ON x.rid = d.rid

@@ -16,7 +16,9 @@ def few_partitions(spark):
 def awkward(spark):
     """Awkward rows with extra columns whose names clash with internal ones."""
     rows = awkward_rows()
-    df = spark.createDataFrame([(*x, k, "z") for k, x in enumerate(rows)], DOCS + ", row long, hash string")
+    clashing = ("row", "hash", "__key", "__spans", "__n_words", "__id", "__times", "__lang_x", "class", "column0")
+    df = spark.createDataFrame([(*x, *[f"{c}{k}" for c in clashing]) for k, x in enumerate(rows)],
+                               ", ".join([DOCS, *[f"{c} string" for c in clashing]]))
     return df.repartition(3)
 
 

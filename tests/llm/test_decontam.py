@@ -19,9 +19,8 @@ def brute(docs, items, size=10):
     phrases = {}
     for item, text in items:
         w = words(text)
-        if item is not None and w:
-            for i in range(max(1, len(w) - size + 1)):
-                phrases.setdefault(tuple(w[i:i + size]), set()).add(str(item))
+        for i in range(max(1, len(w) - size + 1) if w else 0):
+            phrases.setdefault(tuple(w[i:i + size]), set()).update([] if item is None else [str(item)])
     lengths = {len(p) for p in phrases}
     out = []
     for doc, text in docs:
@@ -100,3 +99,12 @@ def test_remove_cuts_items_without_an_id(spark, awkward):
     named = bench.fillna({"item_id": "b"})
     assert D.digest(D.occurrences(awkward, named)).filter("contaminated").count() > 0
     assert D.digest(D.occurrences(out, named)).filter("contaminated").count() == 0
+
+
+def test_items_without_an_id_hit(spark, awkward):
+    """Their windows count as hits; only the list of ids lacks them."""
+    bench = spark.createDataFrame([(None, PASSAGE), ("a", PASSAGE[:120])], "item_id string, text string")
+    got = collected(D.digest(D.occurrences(awkward, bench)), *COLUMNS)
+    assert by_id(got) == brute(collected(awkward, "doc_id", "text"), collected(bench, "item_id", "text"))
+    only = collected(D.digest(D.occurrences(awkward, bench.filter("item_id is null"))), *COLUMNS)
+    assert sum(r[5] for r in only) == 12 and all(r[3] == 0 for r in only)

@@ -50,6 +50,6 @@ def test_registered():
     import __spark_entry__ as E
     names = set(E.queries())
     assert "pipeline" in names and set(queries()) <= names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 14))
     assert [n for n, _ in C.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "pii",
                                         "best_fit_packing"]
