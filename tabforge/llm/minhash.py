@@ -190,14 +190,19 @@ def cells(cell: np.ndarray, is_left: np.ndarray) -> Iterator[tuple[np.ndarray, n
         at = to
 
 
-def colliding(rows: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Those of the pairs (i left, j right) that are of different components,
-    can be similar and agree in MATCHES coordinates or more, with the
-    coordinates that are equal. Left members are outside the cell's main
+def comparable(rows: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i left, j right) are of different components and can
+    be similar by their sizes. Left members are outside the cell's main
     component; a pair of two such is looked at from its smaller class."""
     n, c, comp = rows["n"], rows["c"], rows["comp"]
     fits = (comp[i] != comp[j]) & (rows["main"][j] | (c[i] < c[j]))
-    fits &= 5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])
+    return fits & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
+
+
+def colliding(rows: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the comparable pairs that agree in MATCHES coordinates or more,
+    with the coordinates that are equal; of different clusters, where given."""
+    fits = comparable(rows, i, j)
     if "cluster" in rows:
         fits &= rows["cluster"][i] != rows["cluster"][j]
     i, j = i[fits], j[fits]
@@ -213,7 +218,7 @@ def colliding(rows: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.
 _PAIRS = "a long, b long"
 
 
-def _rows(table: pa.Table, *columns: str) -> tuple[np.ndarray, np.ndarray, dict, np.ndarray]:
+def cell_rows(table: pa.Table, *columns: str) -> tuple[np.ndarray, np.ndarray, dict, np.ndarray]:
     """(cell number, is left, columns, order) of rows sorted by cell, left first."""
     key = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
     is_left = table.column("is_left").to_numpy(zero_copy_only=False)
@@ -221,14 +226,15 @@ def _rows(table: pa.Table, *columns: str) -> tuple[np.ndarray, np.ndarray, dict,
     key = key[:, order]
     cell = np.cumsum(np.concatenate([[0], (key[:, 1:] != key[:, :-1]).any(axis=0)])) if len(order) else np.empty(0, np.int64)
     rows = {c: table.column(c).to_numpy(zero_copy_only=False)[order] for c in ("c", "n", "comp", "main", *columns)}
-    rows["sig"] = _matrix(table.column("sig"))[order]
+    if "sig" in table.column_names:
+        rows["sig"] = _matrix(table.column("sig"))[order]
     return cell, is_left[order], rows, order
 
 
 def _list_cells(order: Order):
     """Pairs of the cells of lists; each in the first list that it shares."""
     def run(table: pa.Table) -> pa.Table:
-        cell, is_left, rows, at = _rows(table, "cluster")
+        cell, is_left, rows, at = cell_rows(table, "cluster")
         key = table.column("key").to_numpy()[at]
         out = [np.empty((2, 0), np.int64)]
         for i, j in cells(cell, is_left):
@@ -271,7 +277,7 @@ def joining(i: np.ndarray, j: np.ndarray, sets: list[np.ndarray], comp: np.ndarr
 
 def _cluster_cells(table: pa.Table) -> pa.Table:
     """Links that join components, of the cells of clusters."""
-    cell, is_left, rows, at = _rows(table)
+    cell, is_left, rows, at = cell_rows(table)
     raw = table.column("text").combine_chunks().take(pa.array(at)).cast(pa.binary()).to_pylist()
     out: list[tuple[int, int]] = []
     for i, j in cells(cell, is_left):
@@ -304,7 +310,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+def texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
     """(class, text) of the wanted(class) ones; each document is looked at once."""
     wanted = handed_off(wanted.distinct().join(classes.select("class", "rep"), "class"), f"minhash-{name}-wanted")
     hold = filter_of(wanted, "rep")
@@ -319,7 +325,7 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, name: str) ->
 
 def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The retained pairs(a, b) that link."""
-    texts = _texts(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")), name)
+    texts = texts_of(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")), name)
     # a pivot's text meets its pairs first, then the pairs go to the members: no key holds many texts
     both = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
@@ -343,7 +349,7 @@ def _clusters(lists: DataFrame) -> DataFrame:
         .groupBy("c").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("cluster"))
 
 
-def _in_blocks(rows: DataFrame, comp: DataFrame, name: str) -> DataFrame:
+def in_blocks(rows: DataFrame, comp: DataFrame, name: str) -> DataFrame:
     """rows(key, c, n) of the keys whose members are in several components,
     each with its component, and the blocks of its key: left ones of members
     outside the main component, right ones of all."""
@@ -364,7 +370,7 @@ def _in_blocks(rows: DataFrame, comp: DataFrame, name: str) -> DataFrame:
     return handed_off(placed.join(mixed, "key").withColumn("main", F.col("comp") == F.col("most")).drop("most"), f"minhash-{name}")
 
 
-def _met(blocks: DataFrame, with_columns: DataFrame, columns: list[str], grouped: int, task) -> DataFrame:
+def met(blocks: DataFrame, with_columns: DataFrame, columns: list[str], grouped: int, task) -> DataFrame:
     """The grid of the blocks' cells, small cells together, through ``task``."""
     own = F.xxhash64("c", F.lit(3))
 
@@ -374,13 +380,13 @@ def _met(blocks: DataFrame, with_columns: DataFrame, columns: list[str], grouped
     rows = blocks.join(with_columns, "c")
     left = rows.filter("not main").withColumn("i", F.pmod(own, "left_blocks").cast("int")).withColumn("j", upto("blocks"))
     right = rows.withColumn("j", F.pmod(own, "blocks").cast("int")).withColumn("i", upto("left_blocks"))
-    columns = ["key", "i", "j", "c", "n", "comp", "main", "sig", *columns]
+    columns = ["key", "i", "j", "c", "n", "comp", "main", *columns]
     both = left.select(*columns, F.lit(True).alias("is_left")).union(right.select(*columns, F.lit(False).alias("is_left")))
     group = F.pmod(F.xxhash64("key", "i", "j"), F.lit(grouped))
     return both.withColumn("cells", group).groupBy("cells").applyInArrow(task, _PAIRS)
 
 
-def _groups(blocks: DataFrame) -> int:
+def groups(blocks: DataFrame) -> int:
     facts = blocks.agg(F.sum(F.greatest("blocks", "left_blocks")).alias("k"), F.sum(F.col("n") * F.col("blocks")).alias("m")).first()
     return max(1, (facts["k"] or 0) // GROUPED, (facts["m"] or 0) // GROUPED_SHINGLES)
 
@@ -412,12 +418,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     links = _confirmed(texts, classes, pairs, "pivots")
     comp = components(links, "minhash-pivots").select(F.col("node").alias("c"), "comp")
     sizes, sigs = [classes.select(F.col("class").alias("c"), x) for x in ("n", "sig")]
-    blocks = _in_blocks(clusters.join(sizes, "c").withColumnRenamed("cluster", "key"), comp, "cluster-blocks")
-    raw = _texts(texts, classes, blocks.select(F.col("c").alias("class")), "clusters").withColumnRenamed("class", "c")
-    links = links.union(handed_off(_met(blocks, sigs.join(raw, "c"), ["text"], _groups(blocks), _cluster_cells), "minhash-clustered"))
+    blocks = in_blocks(clusters.join(sizes, "c").withColumnRenamed("cluster", "key"), comp, "cluster-blocks")
+    raw = texts_of(texts, classes, blocks.select(F.col("c").alias("class")), "clusters").withColumnRenamed("class", "c")
+    links = links.union(handed_off(met(blocks, sigs.join(raw, "c"), ["sig", "text"], groups(blocks), _cluster_cells), "minhash-clustered"))
     comp = components(links, "minhash-clusters").select(F.col("node").alias("c"), "comp")
-    blocks = _in_blocks(lists.select(F.col("v").alias("key"), "c", "n").join(clusters, "c"), comp, "list-blocks")
-    rest = handed_off(_met(blocks, sigs, ["cluster"], _groups(blocks), _list_cells(order)), "minhash-rest")
+    blocks = in_blocks(lists.select(F.col("v").alias("key"), "c", "n").join(clusters, "c"), comp, "list-blocks")
+    rest = handed_off(met(blocks, sigs, ["sig", "cluster"], groups(blocks), _list_cells(order)), "minhash-rest")
     links = links.union(_confirmed(texts, classes, rest, "rest"))
     comp = components(links, "minhash").select(F.col("node").alias("class"), "comp")
     named = handed_off(classes.select("class", "least").join(comp, "class", "left")

@@ -11,8 +11,9 @@ Sets of at most x shingles are light, others heavy; x is chosen by cost.
 
 Copies are one class (equal sets). Lists are never expanded into all pairs:
 first every class is verified against the one list pivot it shares most
-postings with; then only members of one list that are still in different
-components are paired. A pair is read again and verified only if the postings
+postings with, then against the members of that pivot's cluster that are in other
+components (in blocks, which give only links that join components); then only
+members of one list, of different clusters and components, are paired. A pair is read again and verified only if the postings
 it shares leave the needed overlap possible. Verified pairs are the links, and
 components over the classes give each document the smallest id reachable.
 
@@ -42,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.llm import minhash as M
 from tabforge.llm import text as T
 from tabforge.llm.common import under_plain_names, components, handed_off
 
@@ -309,6 +311,25 @@ _POSSIBLE = ("shared + greatest(ceil(4 * n1 / 5), ceil(4 * n2 / 5)) - 1 >= ceil(
              " and 5 * least(n1, n2) >= 4 * greatest(n1, n2)")
 
 
+def _cluster_cells(table: pa.Table) -> pa.Table:
+    """Links that join components, of the cells of clusters."""
+    cell, is_left, rows, at = M.cell_rows(table)
+    raw = table.column("text").combine_chunks().take(pa.array(at)).cast(pa.binary()).to_pylist()
+    out: list[tuple[int, int]] = []
+    for i, j in M.cells(cell, is_left):
+        fits = M.comparable(rows, i, j)
+        i, j = i[fits], j[fits]
+        if len(i):
+            need = np.unique(np.concatenate([i, j]))
+            sets = list(shingle_sets([raw[k].lower() for k in need]))
+            bound = np.cumsum([0, *map(len, sets)])
+            place = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            sets = [place[a:b] for a, b in zip(bound[:-1], bound[1:])]
+            found = M.joining(np.searchsorted(need, i), np.searchsorted(need, j), sets, rows["comp"][need])
+            out += [(int(rows["c"][need[x]]), int(rows["c"][need[y]])) for x, y in found]
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
 def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: int) -> list[DataFrame]:
     """Links of heavy classes by scanning inverted lists."""
     spark = docs.sparkSession
@@ -330,24 +351,37 @@ def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: in
     near = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.12))).alias("near")
     pivot = lists.groupBy("shingle", near).agg(F.max(F.struct("w", "c", "n")).alias("p"), F.count(F.lit(1)).alias("k")) \
         .filter("k > 1").select("shingle", "near", F.col("p.c").alias("pivot"), F.col("p.n").alias("n2"))
-    best = lists.select("shingle", "c", F.col("n").alias("n1"), near).join(pivot, ["shingle", "near"]) \
-        .filter("c <> pivot").groupBy("c", "n1", "pivot", "n2").agg(F.count(F.lit(1)).alias("shared")) \
-        .filter(f"{_POSSIBLE} and greatest(n1, n2) > {limit}") \
+    collide = handed_off(lists.select("shingle", "c", F.col("n").alias("n1"), near).join(pivot, ["shingle", "near"])
+                         .groupBy("c", "n1", "pivot", "n2").agg(F.count(F.lit(1)).alias("shared")), "join-collide")
+    best = collide.filter(f"c <> pivot and {_POSSIBLE} and greatest(n1, n2) > {limit}") \
         .groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
     first = _verified(docs, classes, best.select(F.col("pivot").alias("a"), F.col("c").alias("b")), "first")
     comp = components(first, "join-first").select(F.col("node").alias("c"), "comp")
+    # a class's cluster is the pivot that it shares most lists with; what a cluster still holds in different
+    # components meets in blocks that carry the texts
+    clusters = handed_off(collide.groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("cluster"),
+                                                   F.first("n1").alias("n")), "join-clusters")
+    blocks = M.in_blocks(clusters.withColumnRenamed("cluster", "key"), comp, "join-blocks")
+    texts = M.texts_of(docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("rep"), "text"), classes,
+                       blocks.select(F.col("c").alias("class")), "join")
+    inside = handed_off(M.met(blocks, texts.withColumnRenamed("class", "c"), ["text"], M.groups(blocks), _cluster_cells),
+                        "join-clustered")
+    first = first.union(inside)
+    comp = components(first, "join-clusters").select(F.col("node").alias("c"), "comp")
     # what one list still holds in different components
-    placed = handed_off(lists.join(comp, "c", "left").select("shingle", "c", "n", F.coalesce("comp", "c").alias("comp")),
-                        "join-placed")
+    known = lists.select("shingle", "c", "n").join(comp, "c", "left").join(clusters.select("c", "cluster"), "c", "left")
+    placed = handed_off(known.select("shingle", "c", "n", "cluster", F.coalesce("comp", "c").alias("comp")), "join-placed")
     sizes = placed.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
     most = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"),
                                         F.count(F.lit(1)).alias("comps")).filter("comps > 1").drop("comps")
     mixed = handed_off(placed.join(most, "shingle"), "join-mixed")
-    left = mixed.filter("comp <> main").select("shingle", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("comp").alias("m1"))
-    right = mixed.select("shingle", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("m2"), "main")
+    left = mixed.filter("comp <> main").select("shingle", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("comp").alias("m1"),
+                                              F.col("cluster").alias("k1"))
+    right = mixed.select("shingle", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("m2"), "main",
+                         F.col("cluster").alias("k2"))
     met = left.join(right, "shingle").filter(
         f"m1 <> m2 and 5 * least(n1, n2) >= 4 * greatest(n1, n2) and greatest(n1, n2) > {limit}"
-        " and (m2 = main or c1 < c2)")
+        " and (m2 = main or c1 < c2) and coalesce(k1 <> k2, true)")
     first_is_1 = F.col("c1") < F.col("c2")
     rest = met.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"),
                        F.when(first_is_1, F.col("n1")).otherwise(F.col("n2")).alias("n1"),
