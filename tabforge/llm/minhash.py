@@ -83,6 +83,36 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return row[new], h[new]
 
 
+def parts(texts: list[bytes], budget: int = T.BLOCK_BYTES) -> Iterator[list[bytes]]:
+    """Consecutive texts of about ``budget`` bytes together; a longer one is a part of its own."""
+    held, size = [], 0
+    for t in texts:
+        if held and size + len(t) > budget:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
+
+
+def sets_of(texts: list[bytes]) -> list[np.ndarray]:
+    """Sorted distinct shingles of each text, a part at a time."""
+    out: list[np.ndarray] = []
+    for part in parts(texts):
+        row, h = shingles([t.lower() for t in part])
+        bound = np.searchsorted(row, np.arange(len(part) + 1))
+        out += [h[a:b] for a, b in zip(bound[:-1], bound[1:])]
+    return out
+
+
+def places_of(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets as places in their common universe."""
+    place = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    bound = np.cumsum([0, *map(len, sets)])
+    return [place[a:b] for a, b in zip(bound[:-1], bound[1:])]
+
+
 def signatures(h: np.ndarray, start: np.ndarray) -> np.ndarray:
     """(sets x COORDINATES) minima of the sets that begin at ``start`` in ``h``."""
     out = np.empty((len(start), COORDINATES), np.int32)
@@ -284,10 +314,7 @@ def _cluster_cells(table: pa.Table) -> pa.Table:
         i, j, _ = colliding(rows, i, j)
         if len(i):
             need = np.unique(np.concatenate([i, j]))
-            row, h = shingles([raw[k].lower() for k in need])
-            place = np.unique(h, return_inverse=True)[1]
-            bound = np.searchsorted(row, np.arange(len(need) + 1))
-            sets = [place[bound[k]:bound[k + 1]] for k in range(len(need))]
+            sets = places_of(sets_of([raw[k] for k in need]))
             found = joining(np.searchsorted(need, i), np.searchsorted(need, j), sets, rows["comp"][need])
             out += [(int(rows["c"][need[x]]), int(rows["c"][need[y]])) for x, y in found]
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
@@ -299,12 +326,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = []
         x, y = [batch.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b")]
         for lo in range(0, len(x), 64):
-            texts = [t.lower() for t in x[lo:lo + 64]] + [t.lower() for t in y[lo:lo + 64]]
-            half = len(texts) // 2
-            row, h = shingles(texts)
-            bound = np.searchsorted(row, np.arange(2 * half + 1))
-            for k in range(half):
-                s, t = h[bound[k]:bound[k + 1]], h[bound[half + k]:bound[half + k + 1]]
+            for s, t in zip(sets_of(x[lo:lo + 64]), sets_of(y[lo:lo + 64])):
                 inter = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * inter >= 80 * (len(s) + len(t) - inter))
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])

@@ -321,10 +321,7 @@ def _cluster_cells(table: pa.Table) -> pa.Table:
         i, j = i[fits], j[fits]
         if len(i):
             need = np.unique(np.concatenate([i, j]))
-            sets = list(shingle_sets([raw[k].lower() for k in need]))
-            bound = np.cumsum([0, *map(len, sets)])
-            place = np.unique(np.concatenate(sets), return_inverse=True)[1]
-            sets = [place[a:b] for a, b in zip(bound[:-1], bound[1:])]
+            sets = M.places_of([x for part in M.parts([raw[k].lower() for k in need]) for x in shingle_sets(part)])
             found = M.joining(np.searchsorted(need, i), np.searchsorted(need, j), sets, rows["comp"][need])
             out += [(int(rows["c"][need[x]]), int(rows["c"][need[y]])) for x, y in found]
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
