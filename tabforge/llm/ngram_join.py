@@ -354,9 +354,9 @@ def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: in
         .groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
     first = _verified(docs, classes, best.select(F.col("pivot").alias("a"), F.col("c").alias("b")), "first")
     comp = components(first, "join-first").select(F.col("node").alias("c"), "comp")
-    # a class's cluster is the pivot that it shares most lists with; what a cluster still holds in different
+    # a class's cluster is the pivot that it shares most lists with, of those it can be similar to; what a cluster still holds in different
     # components meets in blocks that carry the texts
-    clusters = handed_off(collide.groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("cluster"),
+    clusters = handed_off(collide.filter(f"c = pivot or {_POSSIBLE}").groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("cluster"),
                                                    F.first("n1").alias("n")), "join-clusters")
     blocks = M.in_blocks(clusters.withColumnRenamed("cluster", "key"), comp, "join-blocks")
     texts = M.texts_of(docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("rep"), "text"), classes,
