@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.columns import quoted
 from tabforge.functions.metrics import metrics_long
 from tabforge.operators import explain
-from tabforge.operators.model import load_model, save_model, score, train_cv
+from tabforge.operators.model import load_model, save_model, score, spread, train_cv
 from tabforge.operators.prepare import FeaturePrep, FeaturePrepModel
 from tabforge.operators.ranking import with_row_index
 from tabforge.operators.split import assign_folds, sample_exact
@@ -37,6 +37,8 @@ from tabforge.spec import DataConfig, FeatureSpec, ModelConfig
 # generated features sit next to the original columns under these names
 FEATURE = "__f"
 ROW = "__row"
+# rows of one task that attributes them: a row passes every leaf of the model
+SHAP_ROWS = 5_000
 FOLD = "__fold"
 
 
@@ -138,7 +140,7 @@ def _attribution_outputs(spark, layout, model, prep, frame, method, key, fmt, sa
                          row_cols=[c for c in frame.columns if not c.startswith(FEATURE)])
             if sample < 1 else frame)
     shown = "index" if key == ROW else key
-    rows = rows.select(quoted(key).alias(shown), "features")
+    rows = spread(rows.select(quoted(key).alias(shown), "features").persist(StorageLevel.MEMORY_AND_DISK), SHAP_ROWS)[0]
     name = "treeinterpreter" if method == "path" else "shap"
     contrib = explain.attribution(rows, model, keep=[shown], method=method, model_path=model_path)
     contrib = contrib.persist(StorageLevel.MEMORY_AND_DISK)
@@ -150,6 +152,7 @@ def _attribution_outputs(spark, layout, model, prep, frame, method, key, fmt, sa
         return {r["feature"]: r["importance"] for r in imp.collect()}
     finally:
         contrib.unpersist()
+        rows.unpersist()
 
 
 def train(spark: SparkSession, model_cfg: ModelConfig, data_cfg: DataConfig,
