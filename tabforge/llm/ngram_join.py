@@ -12,11 +12,18 @@ Sets of at most x shingles are light, others heavy; x is chosen by cost.
 Copies are one class (equal sets). Lists are never expanded into all pairs:
 first every class is verified against the one list pivot it shares most
 postings with, then against the members of that pivot's cluster that are in other
-components (in blocks, which give only links that join components); then only
-members of one list, of different clusters and components, are paired. A pair is read again and verified only if the postings
-it shares leave the needed overlap possible. Verified pairs are the links, and
+components (in blocks, which give only links that join components); then
+members of one list, of different clusters and components, meet in blocks that
+give only pairs which can be similar. Verified pairs are the links, and
 components over the classes give each document the smallest id reachable.
 
+Two bounds keep impossible pairs out of lists and blocks; neither loses a link:
+
+* At least 8/9 of the smaller set of a link is in the overlap, so one of its first
+  n/9 + 1 shingles is posted by both: only those of some set have lists.
+* The marks of a set hold the parity of its shingles by hash, at least one bit a
+  shingle. Bits that differ between two sets are at most the shingles that do.
+
 Shingles posted once and classes without copies are told apart by filters of
 fixed size (``FILTER_BITS``), so that they need no shuffle; what a filter lets
 through in error is sorted out by the exact steps after it.
@@ -55,6 +62,10 @@ FREQUENT = 1 << 16
 #: fewest occurrences of a shingle that the order puts last
 MIN_FREQUENT = 16
 HELD = 1_500_000
+#: sets of a list whose pairs are joined; longer lists meet in blocks
+SHORT = 32
+#: bytes of marks compared at a time
+MARKED = 1 << 22
 #: bits of the broadcast filters
 FILTER_BITS = 1 << 26
 
@@ -74,6 +85,33 @@ def posted(n: int) -> int:
     return n - -(-4 * n // 5) + 1
 
 
+def marks_of(s: np.ndarray) -> bytes:
+    """Parities of a set's hashes, in as many bits as the power of two from its size on."""
+    bits = max(128, 1 << (len(s) - 1).bit_length())
+    return np.packbits(np.bincount((T.mix(s) & T.U64(bits - 1)).astype(np.int64), minlength=bits) & 1 == 1, bitorder="little").tobytes()
+
+
+def close(marks: pa.Array, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) of sets that are similar in size can link by
+    their marks; wider marks are folded to the narrower ones of a pair."""
+    start = np.frombuffer(marks.buffers()[1] or b"", np.int32)[marks.offset:marks.offset + len(marks) + 1].astype(np.int64)
+    raw, width = np.frombuffer(marks.buffers()[2] or b"", np.uint8), np.diff(start)
+    narrow, out = np.minimum(width[i], width[j]), np.zeros(len(i), bool)
+    for w in np.unique(narrow).tolist():
+        pair = np.flatnonzero(narrow == w)
+        row, at = np.unique(np.concatenate([i[pair], j[pair]]), return_inverse=True)
+        table = raw[start[row][:, None] + np.arange(w)]
+        wide = width[row] > w
+        table[wide] ^= raw[start[row[wide]][:, None] + w + np.arange(w)]
+        table, (a, b) = table.view(T.U64), at.reshape(2, -1)
+        step = max(1, MARKED // w)
+        for lo in range(0, len(pair), step):
+            differ = np.bitwise_count(table[a[lo:lo + step]] ^ table[b[lo:lo + step]]).sum(axis=1, dtype=np.int64)
+            both = n[i[pair[lo:lo + step]]] + n[j[pair[lo:lo + step]]]
+            out[pair[lo:lo + step]] = differ <= both - 2 * -(-4 * both // 9)
+    return out
+
+
 def shingle_sets(texts: list[bytes], size: int = SIZE) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     w = T.words(texts)
@@ -145,11 +183,12 @@ def _sets(frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, texts in lowered(batch.column("text")):
-                ids, sizes, posts = [], [], []
+                ids, sizes, posts, marks = [], [], [], []
                 for s in shingle_sets(texts):
                     n = len(s)
                     ids.append(class_of(s) if n else 0)
                     sizes.append(n)
+                    marks.append(marks_of(s) if n else b"")
                     if len(known):
                         at = np.searchsorted(known, s)
                         at[at == len(known)] = 0
@@ -159,8 +198,8 @@ def _sets(frequent: np.ndarray):
                     posts.append((s if n <= LIGHT_LIMIT else s[:posted(n)]).view(np.int64))
                 head = [batch.column(k).slice(lo, len(texts)) for k in ("doc_id", "text_hash")]
                 yield pa.RecordBatch.from_arrays(
-                    [*head, pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(posts, pa.list_(pa.int64()))],
-                    names=["doc_id", "text_hash", "class", "n", "posts"])
+                    [*head, pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(posts, pa.list_(pa.int64())),
+                     pa.array(marks, pa.binary())], names=["doc_id", "text_hash", "class", "n", "posts", "marks"])
     return run
 
 
@@ -240,13 +279,14 @@ def _rows_in(bits, column: str, wanted: bool):
     return run
 
 
-def _postings(bits, copies=None):
-    """(shingle, c, n, w) of the first ``posted(n)`` shingles; with ``bits``, of
-    those in it; with ``copies``, of the classes not in it. w: thousandths of
-    the set's postings that are given."""
+def _postings(shared=None, wanted=None, copies=None, early=False):
+    """(shingle, c, n, alone, hidden) of the first ``posted(n)`` shingles; with
+    filters, of those in ``shared`` and ``wanted``; with ``copies``, of the classes not
+    in it; ``early``: only those that a class needs as the smaller set of a link.
+    alone, hidden: how many of the set's postings are not in ``shared``, and in it
+    but not in ``wanted``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None if bits is None else np.frombuffer(bits.value, np.uint8)
-        skip = None if copies is None else np.frombuffer(copies.value, np.uint8)
+        some, often, skip = [None if x is None else np.frombuffer(x.value, np.uint8) for x in (shared, wanted, copies)]
         for batch in batches:
             if skip is not None:
                 batch = batch.filter(pa.array(~_in(skip, batch.column("class").to_numpy())))
@@ -254,79 +294,134 @@ def _postings(bits, copies=None):
             posts = batch.column("posts")
             at = posts.offsets.to_numpy().astype(np.int64)
             take = np.minimum(n - -(-4 * n // 5) + 1, np.diff(at))
-            place = np.repeat(at[:-1] - np.cumsum(take) + take, take) + np.arange(take.sum())
-            shingle = posts.values.to_numpy()[place]
-            c, size = np.repeat(batch.column("class").to_numpy(), take), np.repeat(n, take)
-            weight = np.full(len(shingle), 1000)
-            if table is not None:
-                hit = _in(table, shingle)
+            past = np.cumsum(take)
+            nth = np.arange(take.sum()) - np.repeat(past - take, take)
+            shingle = posts.values.to_numpy()[np.repeat(at[:-1], take) + nth]
+
+            def held(hit):
                 upto = np.concatenate([[0], np.cumsum(hit)])
-                past = np.cumsum(take)
-                weight = np.repeat(1000 * (upto[past] - upto[past - take]) // np.maximum(take, 1), take)[hit]
-                shingle, c, size = shingle[hit], c[hit], size[hit]
-            for lo in range(0, len(shingle), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[lo:lo + 100_000]) for x in (shingle, c, size, weight)],
-                                                 names=["shingle", "c", "n", "w"])
+                return upto[past] - upto[past - take]
+
+            hit = np.ones(len(shingle), bool) if some is None else _in(some, shingle)
+            alone = take - held(hit)
+            if often is not None:
+                hit &= _in(often, shingle)
+            hidden = take - alone - held(hit)
+            if early:
+                most = n - -(-8 * n // 9)       # of a smaller set's shingles, outside of the overlap
+                hit &= nth <= np.repeat(most, take)
+            columns = [shingle, *[np.repeat(x, take) for x in (batch.column("class").to_numpy(), n, alone, hidden)]]
+            columns = [x[hit] for x in columns]
+            for lo in range(0, len(columns[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[lo:lo + 100_000]) for x in columns],
+                                                 names=["shingle", "c", "n", "alone", "hidden"])
     return run
 
 
-def _read_again(bits):
-    """The whole sets of the rows in the filter, a class once a task."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = np.frombuffer(bits.value, np.uint8), set()
-        for batch in batches:
-            batch = batch.filter(pa.array(_in(table, batch.column("rep").to_numpy())))
-            for _, texts in lowered(batch.column("text")):
-                ids, sets = [], []
-                for s in shingle_sets(texts):
-                    c = class_of(s) if len(s) else None
-                    if c is not None and c not in seen:
-                        seen.add(c)
-                        ids.append(c)
-                        sets.append(s.view(np.int64))
-                if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-                                                     names=["class", "shingles"])
-    return run
+def sets_of(texts: list[bytes]) -> list[np.ndarray]:
+    """The sets of texts, a part at a time."""
+    return [s for part in M.parts([t.lower() for t in texts]) for s in shingle_sets(part)]
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose whole sets link."""
+    for batch in batches:
+        keep = []
+        for lo in range(0, batch.num_rows, 64):
+            x, y = [sets_of(batch.column(c).slice(lo, 64).cast(pa.binary()).to_pylist()) for c in ("text_a", "text_b")]
+            keep += [9 * len(np.intersect1d(s, t, assume_unique=True)) >= 4 * (len(s) + len(t)) for s, t in zip(x, y)]
+        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The pairs(a, b) whose sets, read again from the texts, link."""
-    spark = docs.sparkSession
     pairs = handed_off(pairs, f"join-{name}-pairs")
-    needed_classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    bits = spark.sparkContext.broadcast(_bits(classes.join(needed_classes, "class").select("rep"), "rep"))
-    sets = handed_off(docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("rep"), "text").mapInArrow(
-        T.tidied(_read_again(bits)), "class long, shingles array<long>"), f"join-{name}-sets")
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a") \
-        .join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b")
-    inter = F.size(F.array_intersect("x", "y"))
-    return handed_off(both.filter(9 * inter >= 4 * (F.size("x") + F.size("y"))).select("a", "b").distinct(),
-                      f"join-{name}-links")
+    texts = M.texts_of(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")), f"join-{name}")
+    both = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a") \
+        .join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
+    return handed_off(both.select("a", "b", "text_a", "text_b").mapInArrow(T.tidied(_linked), "a long, b long"), f"join-{name}-links")
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose marks allow a link."""
+    for batch in batches:
+        k = np.arange(batch.num_rows)
+        marks = pa.concat_arrays([batch.column(c) for c in ("marks_a", "marks_b")])
+        n = np.concatenate([batch.column(c).to_numpy() for c in ("n1", "n2")])     # only their sum counts
+        yield batch.filter(pa.array(close(marks, n, k, k + batch.num_rows))).select(["a", "b"])
+
+
+def _with_close_marks(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Of pairs(a, b, n1, n2), n1 and n2 being sizes of the two, those whose marks allow a link."""
+    for side in "ab":
+        pairs = pairs.join(marks.select(F.col("c").alias(side), F.col("marks").alias(f"marks_{side}")), side)
+    return pairs.select("a", "b", "n1", "n2", "marks_a", "marks_b").mapInArrow(T.tidied(_close), "a long, b long")
 
 
 #: an upper bound of the overlap of sets of n1 and n2 with ``shared`` common postings reaches the need: the set whose
-#: last posting comes first in the order has all other common shingles behind its postings
-_POSSIBLE = ("shared + greatest(ceil(4 * n1 / 5), ceil(4 * n2 / 5)) - 1 >= ceil(4 * (n1 + n2) / 9)"
-             " and 5 * least(n1, n2) >= 4 * greatest(n1, n2)")
+#: last posting comes first in the order has all other common shingles behind its postings, and none that is alone
+_FACTS = ("n", "alone", "hidden")
+_SIZES = ("5 * least(n1, n2) >= 4 * greatest(n1, n2)"
+          " and greatest(n1 - alone1, n2 - alone2) >= ceil(4 * (n1 + n2) / 9)")
+_POSSIBLE = f"shared + greatest(ceil(4 * n1 / 5), ceil(4 * n2 / 5)) - 1 >= ceil(4 * (n1 + n2) / 9) and {_SIZES}"
+
+
+def _marks(table: pa.Table, at: np.ndarray) -> pa.Array:
+    return table.column("marks").combine_chunks().take(pa.array(at))
 
 
 def _cluster_cells(table: pa.Table) -> pa.Table:
     """Links that join components, of the cells of clusters."""
     cell, is_left, rows, at = M.cell_rows(table)
-    raw = table.column("text").combine_chunks().take(pa.array(at)).cast(pa.binary()).to_pylist()
+    marks, raw = _marks(table, at), table.column("text")
     out: list[tuple[int, int]] = []
     for i, j in M.cells(cell, is_left):
         fits = M.comparable(rows, i, j)
         i, j = i[fits], j[fits]
+        fits = close(marks, rows["n"], i, j)
+        i, j = i[fits], j[fits]
         if len(i):
             need = np.unique(np.concatenate([i, j]))
-            sets = M.places_of([x for part in M.parts([raw[k].lower() for k in need]) for x in shingle_sets(part)])
+            sets = M.places_of(sets_of(raw.take(pa.array(at[need])).cast(pa.binary()).to_pylist()))
             found = M.joining(np.searchsorted(need, i), np.searchsorted(need, j), sets, rows["comp"][need])
             out += [(int(rows["c"][need[x]]), int(rows["c"][need[y]])) for x, y in found]
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
+def _list_cells(limit: int):
+    """Pairs of the cells of lists, of different clusters, that can link."""
+    def run(table: pa.Table) -> pa.Table:
+        cell, is_left, rows, at = M.cell_rows(table, "cluster", "alone")
+        marks, n = _marks(table, at), rows["n"]
+        listed = n - rows["alone"]
+        out = np.empty((2, 0), np.int64)
+        for i, j in M.cells(cell, is_left):
+            fits = M.comparable(rows, i, j) & (rows["cluster"][i] != rows["cluster"][j]) & (np.maximum(n[i], n[j]) > limit)
+            fits &= np.maximum(listed[i], listed[j]) >= -(-4 * (n[i] + n[j]) // 9)
+            i, j = i[fits], j[fits]
+            fits = close(marks, n, i, j)
+            a, b = rows["c"][i[fits]], rows["c"][j[fits]]
+            # a pair shares many lists
+            out = np.unique(np.concatenate([out, np.stack([np.minimum(a, b), np.maximum(a, b)])], axis=1), axis=1)
+        return pa.table({"a": out[0], "b": out[1]})
+    return run
+
+
+def _short_pairs(placed: DataFrame, long: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
+    """Pairs of the short lists, of different clusters and components, that can link."""
+    many = placed.join(long, "key", "left_semi").groupBy("c").agg(F.count(F.lit(1)).alias("many"))
+    short = placed.join(long, "key", "left_anti").join(many, "c", "left") \
+        .withColumn("hidden", F.col("hidden") + F.coalesce("many", F.lit(0)))
+    x, y = [short.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("c", *_FACTS, "cluster", "comp")]) for k in "12"]
+    met = x.join(y, "key").filter(
+        f"c1 < c2 and comp1 <> comp2 and cluster1 <> cluster2 and greatest(n1, n2) > {limit} and {_SIZES}")
+    # a pair may share all that both have in long lists or in none
+    found = met.groupBy("c1", "c2", *[f"{x}{k}" for k in "12" for x in _FACTS]).agg(F.count(F.lit(1)).alias("listed")) \
+        .withColumn("shared", F.col("listed") + F.least("hidden1", "hidden2")).filter(_POSSIBLE) \
+        .select(F.col("c1").alias("a"), F.col("c2").alias("b"), "n1", "n2")
+    return _with_close_marks(found, marks)
+
+
 def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: int) -> list[DataFrame]:
     """Links of heavy classes by scanning inverted lists."""
     spark = docs.sparkSession
@@ -336,55 +431,52 @@ def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: in
     copied = handed_off(indexed.mapInArrow(T.tidied(_rows_in(copies, "class", True)), indexed.schema).dropDuplicates(["class"]),
                         "join-copied")
 
-    def postings(bits) -> DataFrame:
-        schema = "shingle long, c long, n long, w long"
-        return indexed.mapInArrow(T.tidied(_postings(bits, copies)), schema).union(copied.mapInArrow(T.tidied(_postings(bits)), schema))
+    def postings(*filters, early: bool = False) -> DataFrame:
+        schema = "shingle long, c long, n long, alone long, hidden long"
+        return indexed.mapInArrow(T.tidied(_postings(*filters, copies=copies, early=early)), schema) \
+            .union(copied.mapInArrow(T.tidied(_postings(*filters, early=early)), schema))
 
-    several = postings(None).groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    bits = spark.sparkContext.broadcast(_bits(several.select("shingle"), "shingle"))
-    lists = handed_off(postings(bits), "join-lists")
+    several = postings().groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    shared = spark.sparkContext.broadcast(_bits(several.select("shingle"), "shingle"))
+    # linked sets share one of the first shingles of the smaller, whose overlap is 8/9 of it at least
+    wanted = spark.sparkContext.broadcast(_bits(postings(shared, early=True), "shingle"))
+    lists = handed_off(postings(shared, wanted), "join-lists")
     # one verification a class: against the pivot (of about its size) that it shares most lists with. A list's
     # pivot is the set that shares most of its postings: of edited copies, the original
     near = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.12))).alias("near")
-    pivot = lists.groupBy("shingle", near).agg(F.max(F.struct("w", "c", "n")).alias("p"), F.count(F.lit(1)).alias("k")) \
-        .filter("k > 1").select("shingle", "near", F.col("p.c").alias("pivot"), F.col("p.n").alias("n2"))
-    collide = handed_off(lists.select("shingle", "c", F.col("n").alias("n1"), near).join(pivot, ["shingle", "near"])
-                         .groupBy("c", "n1", "pivot", "n2").agg(F.count(F.lit(1)).alias("shared")), "join-collide")
-    best = collide.filter(f"c <> pivot and {_POSSIBLE} and greatest(n1, n2) > {limit}") \
-        .groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot"))
-    first = _verified(docs, classes, best.select(F.col("pivot").alias("a"), F.col("c").alias("b")), "first")
+    share = F.expr("1 - alone / (n - ceil(4 * n / 5) + 1)").alias("w")
+    pivot = lists.groupBy("shingle", near).agg(F.max(F.struct(share, "c", "n", "alone", "hidden")).alias("p"), F.count(F.lit(1)).alias("k")) \
+        .filter("k > 1").select("shingle", "near", F.col("p.c").alias("pivot"), *[F.col(f"p.{x}").alias(f"{x}2") for x in _FACTS])
+    collide = handed_off(lists.select("shingle", "c", *[F.col(x).alias(f"{x}1") for x in _FACTS], near)
+                         .join(pivot, ["shingle", "near"]).groupBy("c", "pivot", *[f"{x}{k}" for k in "12" for x in _FACTS])
+                         .agg(F.count(F.lit(1)).alias("listed")).withColumn("shared", F.col("listed") + F.least("hidden1", "hidden2"))
+                         .filter(f"c = pivot or {_POSSIBLE}"), "join-collide")
+    marks = handed_off(sets.join(lists.select(F.col("c").alias("class")).distinct(), "class", "left_semi")
+                       .select(F.col("class").alias("c"), "marks").dropDuplicates(["c"]), "join-marks")
+    best = collide.filter(f"c <> pivot and greatest(n1, n2) > {limit}").groupBy("c") \
+        .agg(F.max_by(F.struct("pivot", "n1", "n2"), F.struct("shared", "pivot")).alias("p")) \
+        .select(F.col("p.pivot").alias("a"), F.col("c").alias("b"), "p.n1", "p.n2")
+    read = docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("rep"), "text")
+    first = _verified(read, classes, _with_close_marks(best, marks), "first")
     comp = components(first, "join-first").select(F.col("node").alias("c"), "comp")
     # a class's cluster is the pivot that it shares most lists with, of those it can be similar to; what a cluster still holds in different
     # components meets in blocks that carry the texts
-    clusters = handed_off(collide.filter(f"c = pivot or {_POSSIBLE}").groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("cluster"),
+    clusters = handed_off(collide.groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("cluster"),
                                                    F.first("n1").alias("n")), "join-clusters")
-    blocks = M.in_blocks(clusters.withColumnRenamed("cluster", "key"), comp, "join-blocks")
-    texts = M.texts_of(docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("rep"), "text"), classes,
-                       blocks.select(F.col("c").alias("class")), "join")
-    inside = handed_off(M.met(blocks, texts.withColumnRenamed("class", "c"), ["text"], M.groups(blocks), _cluster_cells),
-                        "join-clustered")
+    blocks = M.in_blocks(clusters.withColumnRenamed("cluster", "key"), comp, "join-blocks").join(marks, "c")
+    texts = M.texts_of(read, classes, blocks.select(F.col("c").alias("class")), "join").withColumnRenamed("class", "c")
+    inside = handed_off(M.met(blocks, texts, ["text", "marks"], M.groups(blocks), T.tidied_group(_cluster_cells)), "join-clustered")
     first = first.union(inside)
     comp = components(first, "join-clusters").select(F.col("node").alias("c"), "comp")
-    # what one list still holds in different components
-    known = lists.select("shingle", "c", "n").join(comp, "c", "left").join(clusters.select("c", "cluster"), "c", "left")
-    placed = handed_off(known.select("shingle", "c", "n", "cluster", F.coalesce("comp", "c").alias("comp")), "join-placed")
-    sizes = placed.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
-    most = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"),
-                                        F.count(F.lit(1)).alias("comps")).filter("comps > 1").drop("comps")
-    mixed = handed_off(placed.join(most, "shingle"), "join-mixed")
-    left = mixed.filter("comp <> main").select("shingle", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("comp").alias("m1"),
-                                              F.col("cluster").alias("k1"))
-    right = mixed.select("shingle", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("m2"), "main",
-                         F.col("cluster").alias("k2"))
-    met = left.join(right, "shingle").filter(
-        f"m1 <> m2 and 5 * least(n1, n2) >= 4 * greatest(n1, n2) and greatest(n1, n2) > {limit}"
-        " and (m2 = main or c1 < c2) and coalesce(k1 <> k2, true)")
-    first_is_1 = F.col("c1") < F.col("c2")
-    rest = met.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"),
-                       F.when(first_is_1, F.col("n1")).otherwise(F.col("n2")).alias("n1"),
-                       F.when(first_is_1, F.col("n2")).otherwise(F.col("n1")).alias("n2")) \
-        .agg(F.count(F.lit(1)).alias("shared")).filter(_POSSIBLE).select("a", "b")
-    return [first, _verified(docs, classes, rest, "rest")]
+    # what one list still holds in different components, but for pairs of one cluster (a class without one is never a pivot)
+    placed = handed_off(lists.withColumnRenamed("shingle", "key").join(clusters.select("c", "cluster"), "c", "left").join(comp, "c", "left")
+                        .select("key", "c", *_FACTS, F.coalesce("cluster", "c").alias("cluster"), F.coalesce("comp", "c").alias("comp")),
+                        "join-placed")
+    long = handed_off(placed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > SHORT).select("key"), "join-long")
+    blocks = M.in_blocks(placed.drop("comp").join(long, "key"), comp, "join-lists-blocks")
+    rest = M.met(blocks, marks, ["cluster", "alone", "marks"], M.groups(blocks), T.tidied_group(_list_cells(limit)))
+    rest = rest.union(_short_pairs(placed, long, marks, limit)).distinct()
+    return [first, _verified(read, classes, rest, "rest")]
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -392,7 +484,7 @@ def join(docs: DataFrame) -> DataFrame:
     classes) and component_id of every row."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     sets = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        T.tidied(_sets(frequent_shingles(docs))), "doc_id long, text_hash long, class long, n long, posts array<long>")
+        T.tidied(_sets(frequent_shingles(docs))), "doc_id long, text_hash long, class long, n long, posts array<long>, marks binary")
     sets = handed_off(sets, "join-sets")
     classes = handed_off(sets.filter("n > 0").groupBy("class").agg(
         F.min("doc_id").alias("least"), F.min(F.xxhash64("doc_id", "text_hash")).alias("rep"),

@@ -40,16 +40,30 @@ def blocks(column: pa.Array, budget: int = BLOCK_BYTES) -> Iterator[tuple[int, l
         yield first, texts
 
 
+def give_back() -> None:
+    """Return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
+
+
 def tidied(task):
     """``task`` (batches -> batches) that gives freed memory back at its end:
     worker processes are used again, by other stages too."""
     def run(batches):
         yield from task(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):       # another C library
-            pass
+        give_back()
+    return run
+
+
+def tidied_group(task):
+    """``task`` (table -> table of a group) that gives freed memory back."""
+    def run(table):
+        out = task(table)
+        give_back()
+        return out
     return run
 
 

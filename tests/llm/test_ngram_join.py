@@ -127,3 +127,44 @@ def test_bytes_and_classes():
     a, b = J.shingle_sets([b"a b c d e f", b"a b c d e f a b c d e"])
     assert len(a) == 2 and len(b) == 6 and set(a.tolist()) < set(b.tolist())
     assert J.class_of(a) != J.class_of(b) and J.class_of(np.sort(a)[::-1].copy()) == J.class_of(a)
+
+
+def test_supersets_at_the_bound_are_linked(spark):
+    """A set of 4/5 of another's size inside it: shingles posted by the one may stand behind the other's postings."""
+    rows = []
+    for k in range(80):
+        w = [f"s{k}x{i}" for i in range(24 + k % 9 * 4)]        # 20, 24, ... shingles
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w + [f"t{k}x{i}" for i in range((len(w) - 4) // 4)]))]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+
+
+def test_marks_never_part_sets_that_link():
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.integers(0, 1 << 63, n).astype(J.T.U64)) for n in (1, 5, 40, 63, 64, 65, 130, 500)]
+    sets += [np.sort(np.concatenate([s[:len(s) - cut], rng.integers(0, 1 << 63, more).astype(J.T.U64)]))
+             for s in sets for cut, more in ((0, len(s) // 4), (len(s) // 10, len(s) // 10), (len(s) // 5, 0))]
+    n = np.array(list(map(len, sets)))
+    i, j = np.nonzero(5 * np.minimum(n[:, None], n) >= 4 * np.maximum(n[:, None], n))
+    link = np.array([9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (n[a] + n[b]) for a, b in zip(i, j)])
+    found = J.close(J.pa.array([b"?", *map(J.marks_of, sets)], J.pa.binary()).slice(1), n, i, j)
+    assert link.sum() > len(sets) and found[link].all() and not found[~link].all()
+
+
+def test_many_edited_copies_of_different_clusters(spark, monkeypatch):
+    """Long lists meet in blocks, short ones are joined; both give only pairs that can link."""
+    r, rows, handed = random.Random(3), [], {}
+    passage = [f"p{i}" for i in range(60)]
+    for k in range(90):
+        w = passage[:20 + 4 * (k % 10)] + [f"q{k}x{i}" for i in range(r.randrange(0, 40, 3))]
+        rows += [(3 * k, " ".join(w)), (3 * k + 1, " ".join(w[:-2] + ["z"])), (3 * k + 2, " ".join(w + [f"y{k}"]))]
+    keep = J.handed_off
+    monkeypatch.setattr(J, "MIN_FREQUENT", 1 << 30)     # the passage comes first in no set, nor last in all
+    monkeypatch.setattr(J, "handed_off", lambda df, name: handed.setdefault(name, keep(df, name)))
+    monkeypatch.setattr(J, "SHORT", 8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(docs)
+    sets = {J.class_of(s): s for s in J.sets_of([t.encode() for _, t in rows])}
+    pairs = handed["join-rest-pairs"].collect()
+    assert handed["join-long"].count()
+    near = [len(np.intersect1d(sets[a], sets[b])) >= 0.7 * max(len(sets[a]), len(sets[b])) for a, b in pairs]
+    assert sum(near) >= 0.9 * len(near) > 0     # marks may agree by chance
