@@ -64,6 +64,8 @@ MIN_FREQUENT = 16
 HELD = 1_500_000
 #: sets of a list whose pairs are joined; longer lists meet in blocks
 SHORT = 32
+#: tasks' groups of cells for one of minhash's: a group, with its texts, is held whole
+GROUPS = 8
 #: bytes of marks compared at a time
 MARKED = 1 << 22
 #: bits of the broadcast filters
@@ -465,7 +467,7 @@ def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: in
                                                    F.first("n1").alias("n")), "join-clusters")
     blocks = M.in_blocks(clusters.withColumnRenamed("cluster", "key"), comp, "join-blocks").join(marks, "c")
     texts = M.texts_of(read, classes, blocks.select(F.col("c").alias("class")), "join").withColumnRenamed("class", "c")
-    inside = handed_off(M.met(blocks, texts, ["text", "marks"], M.groups(blocks), T.tidied_group(_cluster_cells)), "join-clustered")
+    inside = handed_off(M.met(blocks, texts, ["text", "marks"], GROUPS * M.groups(blocks), T.tidied_group(_cluster_cells)), "join-clustered")
     first = first.union(inside)
     comp = components(first, "join-clusters").select(F.col("node").alias("c"), "comp")
     # what one list still holds in different components, but for pairs of one cluster (a class without one is never a pivot)
@@ -474,7 +476,7 @@ def _heavy_links(docs: DataFrame, classes: DataFrame, sets: DataFrame, limit: in
                         "join-placed")
     long = handed_off(placed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > SHORT).select("key"), "join-long")
     blocks = M.in_blocks(placed.drop("comp").join(long, "key"), comp, "join-lists-blocks")
-    rest = M.met(blocks, marks, ["cluster", "alone", "marks"], M.groups(blocks), T.tidied_group(_list_cells(limit)))
+    rest = M.met(blocks, marks, ["cluster", "alone", "marks"], GROUPS * M.groups(blocks), T.tidied_group(_list_cells(limit)))
     rest = rest.union(_short_pairs(placed, long, marks, limit)).distinct()
     return [first, _verified(read, classes, rest, "rest")]
 
