@@ -263,6 +263,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(block_count)) == k
         rows = [(r.item_id, r.text) for r in items.filter(mine).collect()]
         out = out.mapInArrow(T.tidied(_pass(phrases(rows, window), cut and k == block_count - 1)), out.schema)
+        del rows
+        T.give_back()
     return out
 
 

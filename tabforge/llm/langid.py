@@ -189,6 +189,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
     with ThreadPoolExecutor(FITS) as pool:
         list(pool.map(lambda x: machine(*x), [(f, a, b) for f, members in enumerate(families)
                                               for a, b in combinations(range(len(members)), 2)]))
+    T.give_back()
     return model
 
 

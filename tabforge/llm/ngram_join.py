@@ -263,6 +263,7 @@ def _bits(rows: DataFrame, column: str) -> bytes:
     for r in rows.groupBy(F.bitmap_bucket_number(bit).alias("k")) \
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect():
         out[(r.k - 1) * 4096:r.k * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    T.give_back()
     return out.tobytes()
 
 

@@ -16,10 +16,8 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +29,7 @@ CAPACITY = 4096
 END_ID = 1
 #: pieces of one packing group: bounds a task's memory, and wastes at most about one sequence a group
 GROUP_PIECES = 20_000
-#: words the table of one worker process holds (about 40 bytes each)
+#: words the table of one task holds (about 40 bytes each)
 CACHE_WORDS = 800_000
 SEARCH_ROUNDS = 2_000
 
@@ -121,17 +119,11 @@ class WordEncoder:
         return np.split(ids, np.cumsum(w.per_row(length))[:-1])
 
 
-@cache
-def _encoder(path: str) -> WordEncoder:
-    """One encoder (and table) a worker process."""
-    return WordEncoder(path)
-
-
 def _token_pieces(path: str, capacity: int):
     end = np.asarray([END_ID], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
+        encode = WordEncoder(path)      # of this task: the worker process serves other stages after it
         for batch in batches:
             doc_ids, rows = batch.column(0).to_pylist(), []
             for first, texts in T.blocks(batch.column(1)):
@@ -233,15 +225,15 @@ def _shift(bins, fill, size, donor, b, give, take) -> None:
 
 
 def _pack_group(capacity: int):
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece", "ids_crc32", "length"], kind="stable", ignore_index=True)
-        sizes = rows["length"].to_numpy()
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32", "length")])     # null ids last
+        sizes, group = rows.column("length").to_numpy(), rows.column("_group")[0].as_py()
         bins = local_search(best_fit(sizes, capacity), sizes, capacity)
-        sequence, offset = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+        sequence, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
         for n, b in enumerate(bins):
-            sequence[b] = (int(key[0]) << 32) + n
+            sequence[b] = (group << 32) + n
             offset[b] = np.cumsum(sizes[b]) - sizes[b]
-        return rows.drop(columns="_group").assign(sequence_id=sequence, offset=offset)
+        return rows.drop_columns("_group").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
     return run
 
 
@@ -256,4 +248,4 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     pieces = handed_off(token_pieces(docs, tokenizer_path, capacity), "pack-pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
     dealt = pieces.withColumn("_group", F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int"))
-    return dealt.groupBy("_group").applyInPandas(_pack_group(capacity), PACKED)
+    return dealt.groupBy("_group").applyInArrow(T.tidied_group(_pack_group(capacity)), PACKED)

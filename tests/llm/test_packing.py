@@ -1,10 +1,13 @@
+import gc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_helpers import by_id
 from tabforge.llm import packing as P
+from tabforge.llm import text as T
 from tabforge.llm.queries import tokenizer_path
 
 
@@ -36,6 +39,38 @@ def test_pieces_and_places(awkward, small, capacity):
         assert len(bins) <= len(P.best_fit(np.asarray([w[3] for w in want]), capacity)) + 2 * (groups - 1)
 
 
+def test_a_task_leaves_no_tables_in_its_worker():
+    """Workers serve the other stages too: neither the encoder nor the powers stay."""
+    rows = pa.table({"doc_id": [1, 2], "text": ["some words, more words", None]}).to_batches()
+    out = list(T.tidied(P._token_pieces(tokenizer_path(), P.CAPACITY))(iter(rows)))
+    assert [r["length"] > 0 for b in out for r in b.to_pylist()] == [True, True]
+    gc.collect()
+    assert not any(isinstance(x, P.WordEncoder) for x in gc.get_objects())
+    assert sum(x.nbytes for x in T._powers) < 1000
+
+
+def test_a_group_is_packed_without_pandas():
+    """A worker that loads pandas, or keeps a group's lists, is larger in every stage after it."""
+    rows = pa.table({"doc_id": [2, None, 1], "piece": pa.array([0, 0, 0], pa.int32()), "start": [0, 0, 0], "length": [5, 4, 6],
+                     "ids_crc32": [1, 2, 3], "_group": pa.array([3, 3, 3], pa.int32())})
+    out = P._pack_group(10)(rows)
+    assert out.column_names == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert [(r["doc_id"], r["sequence_id"] >> 32) for r in out.to_pylist()] == [(1, 3), (2, 3), (None, 3)]
+    at = {r["doc_id"]: (r["sequence_id"], r["offset"]) for r in out.to_pylist()}
+    assert at[1][0] == at[None][0] != at[2][0] and {at[1][1], at[None][1]} in ({0, 4}, {0, 6})
+    assert not hasattr(P, "pd")
+
+
+def test_hashes_do_not_depend_on_the_powers_at_hand():
+    texts = [b"one two three", b"", b"three two one " * 40]
+    T.give_back()
+    grown = T.words(texts).hash
+    T.powers(T.BLOCK_BYTES)
+    assert np.array_equal(grown, T.words(texts).hash)
+    up, down = (x[:5].tolist() for x in T.powers(5))
+    assert up == [pow(T._BASE, k, 1 << 64) for k in range(5)] and down == [pow(T._INVERSE, k, 1 << 64) for k in range(5)]
+
+
 def test_empty(nothing):
     assert P.pack(nothing, tokenizer_path()).count() == 0
 
