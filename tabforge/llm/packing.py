@@ -13,6 +13,7 @@ their order in the group).
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,6 +32,10 @@ END_ID = 1
 GROUP_PIECES = 20_000
 #: words the table of one task holds (about 40 bytes each)
 CACHE_WORDS = 800_000
+#: bytes of text that are encoded at a time; a longer text is encoded alone
+ENCODED_BYTES = 1 << 18
+#: new words of a string, and strings, that the tokenizer gets at a time
+STRING_WORDS, STRINGS = 128, 4
 SEARCH_ROUNDS = 2_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -56,8 +61,13 @@ class WordEncoder:
     WORD_END = "</w>"
 
     def __init__(self, path: str):
+        # a task has one core; else every worker starts a thread, with a heap of its own, for each core of the machine
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        resize = getattr(self.tokenizer.model, "_resize_cache", None)
+        if resize:      # the tokenizer's own table of words outlives it, in every thread; here a word is encoded once
+            resize(0)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith(self.WORD_END)]] = True
@@ -71,17 +81,21 @@ class WordEncoder:
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _one_by_one(self, words: list[str]) -> list[np.ndarray]:
+        size = STRING_WORDS * STRINGS
+        return [x for k in range(0, len(words), size) for x in self._encoded(words[k:k + size])]
+
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, all ids in a row)."""
-        lists = [words[i:i + 256] for i in range(0, len(words), 256)]
+        lists = [words[i:i + STRING_WORDS] for i in range(0, len(words), STRING_WORDS)]
         found = []
-        for at in range(0, len(lists), 16):      # the tokenizer's results are large: few at a time
-            found += self._encoded([" ".join(x) for x in lists[at:at + 16]])
+        for at in range(0, len(lists), STRINGS):      # the tokenizer's results are large: few at a time
+            found += self._encoded([" ".join(x) for x in lists[at:at + STRINGS]])
         ids = np.concatenate(found) if found else np.empty(0, "<u4")
         past = np.flatnonzero(self.ends[ids]) + 1
         if [int(self.ends[x].sum()) for x in found] == [len(x) for x in lists]:
             return np.diff(past, prepend=0), ids
-        found = self._encoded(words)
+        found = self._one_by_one(words)
         return np.fromiter(map(len, found), np.int64, len(found)), np.concatenate(found)
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
@@ -91,7 +105,7 @@ class WordEncoder:
         length[plain], ids = self._ids([w for w in words if w.isalpha()])
         parts.append(ids)
         rest = [w for w in words if not w.isalpha()]
-        others = [x for k in range(0, len(rest), 4096) for x in self._encoded(rest[k:k + 4096])]
+        others = self._one_by_one(rest)
         length[~plain] = list(map(len, others))
         at = np.empty(len(words), np.int64)
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
@@ -107,7 +121,11 @@ class WordEncoder:
         known, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
         if len(self.hash) > CACHE_WORDS:
             self.forget()
-        new = np.flatnonzero(~np.isin(known, self.hash, assume_unique=True))
+        place = np.searchsorted(self.hash, known)
+        here = np.flatnonzero(place < len(self.hash))
+        unseen = np.ones(len(known), bool)
+        unseen[here] = self.hash[place[here]] != known[here]
+        new = np.flatnonzero(unseen)
         if len(new):
             raw = w.data.tobytes()
             self._learn(known[new], [raw[a:b].decode() for a, b in
@@ -126,7 +144,7 @@ def _token_pieces(path: str, capacity: int):
         encode = WordEncoder(path)      # of this task: the worker process serves other stages after it
         for batch in batches:
             doc_ids, rows = batch.column(0).to_pylist(), []
-            for first, texts in T.blocks(batch.column(1)):
+            for first, texts in T.blocks(batch.column(1), ENCODED_BYTES):
                 for doc, ids in zip(doc_ids[first:first + len(texts)], encode(texts)):
                     ids = np.concatenate([ids, end])
                     for piece, lo in enumerate(range(0, len(ids), capacity)):

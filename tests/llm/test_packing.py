@@ -1,5 +1,9 @@
 import gc
+import os
+import random
+import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +53,35 @@ def test_a_task_leaves_no_tables_in_its_worker():
     assert sum(x.nbytes for x in T._powers) < 1000
 
 
+def test_workers_do_not_grow_with_their_tasks(monkeypatch):
+    """A worker runs many tasks: the tokenizer's word tables, one a task and thread, stayed in it."""
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    draw = random.Random(7)
+    texts = [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(500)) for _ in range(40)]
+    rows = pa.table({"doc_id": range(len(texts)), "text": texts}).to_batches()
+
+    def after_a_task() -> float:
+        assert sum(b.num_rows for b in T.tidied(P._token_pieces(tokenizer_path(), P.CAPACITY))(iter(rows))) >= len(texts)
+        gc.collect()
+        return int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    held, threads = [after_a_task() for _ in range(2)][-1], len(os.listdir("/proc/self/task"))
+    assert max(after_a_task() for _ in range(6)) - held < 12       # MB; a table holds about 7
+    assert len(os.listdir("/proc/self/task")) <= threads
+
+
+@pytest.mark.parametrize("budget", [1, 100, 1 << 20])
+def test_ids_do_not_depend_on_what_is_encoded_at_a_time(monkeypatch, budget):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = ["Some words, more words. it's 12 o'clock", None, "", "na\u00efve caf\u00e9! " * 30, "x" * 300, "a <|endoftext|> b", "tail words more"]
+    monkeypatch.setattr(P, "ENCODED_BYTES", budget)
+    monkeypatch.setattr(P, "STRING_WORDS", 2)
+    rows = pa.table({"doc_id": range(len(texts)), "text": pa.array(texts, pa.string())}).to_batches()
+    found = [tuple(r.values()) for b in P._token_pieces(tokenizer_path(), 50)(iter(rows)) for r in b.to_pylist()]
+    assert found == [(k, *p) for k, t in enumerate(texts) for p in pieces_of(t, tok, 50)]
+
+
 def test_a_group_is_packed_without_pandas():
     """A worker that loads pandas, or keeps a group's lists, is larger in every stage after it."""
     rows = pa.table({"doc_id": [2, None, 1], "piece": pa.array([0, 0, 0], pa.int32()), "start": [0, 0, 0], "length": [5, 4, 6],
